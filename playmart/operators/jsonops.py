@@ -19,13 +19,13 @@ def _underscored(name: str) -> str:
     return name.replace("-", "_")
 
 
-def read_artist_json(spark: SparkSession, path: str, schema: str | T.StructType | None = None
-                     ) -> DataFrame:
+def read_artist_json(spark: SparkSession, path: str, schema: str | T.StructType | None = None,
+                     glob: str = "*.json") -> DataFrame:
     """Artist documents, one per file, with ``source_file`` = file name without extension."""
-    reader = spark.read.option("multiLine", True).option("pathGlobFilter", "*.json")
+    reader = spark.read.option("multiLine", True).option("recursiveFileLookup", True).option("pathGlobFilter", glob)
     if schema is not None:
         reader = reader.schema(schema)
-    stem = F.regexp_replace(F.col("_metadata.file_name"), r"\.json$", "")
+    stem = F.regexp_replace(F.col("_metadata.file_name"), r"\.[^.]+$", "")
     return reader.json(path).select("*", stem.alias("source_file"))
 
 

@@ -13,12 +13,14 @@ from pyspark.sql import functions as F
 HOUR = 3600
 
 
-def same(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
-    """Join condition in which NULL keys match each other."""
+def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str],
+                   how: str = "inner") -> DataFrame:
+    """Equi-join in which NULL keys match each other; keeps the left keys."""
+    renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
     cond = F.lit(True)
-    for key in keys:
-        cond = cond & left[key].eqNullSafe(right[key])
-    return cond
+    for k in keys:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_right_{k}"))
+    return left.join(renamed, cond, how).drop(*[f"_right_{k}" for k in keys])
 
 
 def previous_in_key(
@@ -43,8 +45,7 @@ def previous_in_key(
     ).drop("_last")
     return (
         rows.join(border, group, "left")
-        .withColumn("previous", F.coalesce("_before", "_border"))
-        .drop("_slice", "_before", "_border")
+        .select(*df.columns, F.coalesce("_before", "_border").alias("previous"))
     )
 
 
@@ -71,9 +72,8 @@ def row_number_in_slices(
         *group, F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_earlier"))
     ranked = sliced.withColumn(
         "_rank", F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
-    return ranked.join(offsets, same(ranked, offsets, group)).select(
-        *[ranked[c] for c in df.columns],
-        (F.col("_rank") + F.col("_earlier")).cast("bigint").alias(name),
+    return join_null_safe(ranked, offsets, group).select(
+        *df.columns, (F.col("_rank") + F.col("_earlier")).cast("bigint").alias(name),
     )
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from playmart.functions.scoring import NO_GENRE, scaled_ms
 from playmart.functions.text import MARK, first_credit, mark_credits
 from playmart.functions.times import seconds_of_day
-from playmart.operators.skew import left_join_dim, row_number_in_slices
+from playmart.operators.skew import join_null_safe, left_join_dim, row_number_in_slices
 
 SPINE_START = date(2005, 2, 1)
 SPINE_DAYS_AHEAD = 30
@@ -69,8 +69,7 @@ def area_hierarchy(areas: DataFrame) -> DataFrame:
 
 def _with_genre_total(artist_genre: DataFrame) -> DataFrame:
     totals = artist_genre.groupBy("genre").agg(F.count(F.lit(1)).alias("genre_total"))
-    joined = artist_genre.join(totals, artist_genre["genre"].eqNullSafe(totals["genre"]))
-    return joined.select(*[artist_genre[c] for c in artist_genre.columns], "genre_total")
+    return join_null_safe(artist_genre, totals, ["genre"])
 
 
 def artist_genre_rank(artist_genre: DataFrame) -> DataFrame:

@@ -17,7 +17,6 @@ from playmart.plans import intermediate as I
 from playmart.plans import stage
 
 NO_DATE = "1900-01-01"
-BLANK = F.lit("")
 # fixed values: labels of the outer genre groups
 FIRST_GROUP, LAST_GROUP = "Group 1 (Most Played Genres)", "Group 5 (Least Played Genres)"
 MINUTE_MS = 60_000
@@ -62,7 +61,7 @@ def dim_artist_genre(ranked: DataFrame, precision: str = "float") -> DataFrame:
     minutes = S.scaled_ms(F.coalesce("total_ms_played_in_genre", F.lit(0)),
                           MINUTE_MS, 2, precision)
     return ranked.select(
-        surrogate_key("genre", BLANK).alias("genre_sid"),
+        surrogate_key("genre", F.lit("")).alias("genre_sid"),
         "genre", "top_artist_in_genre", "most_popular_artist_in_genre",
         "rank_by_tracks_played", "tracks_grouping",
         label("tracks_grouping").alias("group_by_tracks_played"),
@@ -156,7 +155,7 @@ def fact_artist_genre(played: DataFrame, artist_genre: DataFrame) -> DataFrame:
     uid = surrogate_key("track_id", "track_name", "artist", timestamp_part("played_at"))
     return tagged.select(
         uid.alias("track_played_uid"), *_play_keys(),
-        surrogate_key("genre", BLANK).alias("genre_sid"),
+        surrogate_key("genre", F.lit("")).alias("genre_sid"),
         "date_sid", "time_sid", "popularity", "duration_ms", "duration_mins",
     )
 

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playmart.functions.times import parse_played_at
+from playmart.operators.dedup import dedup_plays
+from playmart.operators.sinks import write_csv_snapshot
 from playmart.schemas import RAW_PLAY, RECENTLY_PLAYED_CSV
 
 
@@ -19,13 +21,14 @@ def typed_plays(raw: DataFrame) -> DataFrame:
     }).withColumnsRenamed({"uri": "track_uri", "request_after": "request_cursor"})
 
 
-def read_raw_plays(spark: SparkSession, path: str, with_file: bool = False) -> DataFrame:
+def read_raw_plays(spark: SparkSession, path: str, with_file: bool = False,
+                   glob: str = "*.json") -> DataFrame:
     """All JSON files below ``path``; a file holds an array of records or one record."""
     raw = (
         spark.read.schema(RAW_PLAY)
         .option("multiLine", True)
         .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.json")
+        .option("pathGlobFilter", glob)
         .json(path)
     )
     if with_file:
@@ -34,4 +37,16 @@ def read_raw_plays(spark: SparkSession, path: str, with_file: bool = False) -> D
 
 
 def read_recently_played_csv(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("header", True).schema(RECENTLY_PLAYED_CSV).csv(path)
+    """The snapshot; a file whose header differs from the contract is refused."""
+    return spark.read.option("header", True).option("enforceSchema", False).schema(
+        RECENTLY_PLAYED_CSV).csv(path)
+
+
+def consolidate_plays(spark: SparkSession, raw_path: str, csv_path: str, glob: str = "*.json",
+                      tie: tuple[str, ...] = (), single_file: bool = False) -> None:
+    """All raw files, without exact and near repeats, as the CSV snapshot."""
+    raw = read_raw_plays(spark, raw_path, with_file=True, glob=glob)
+    unique = dedup_plays(raw, order=["source_file"], tie=tie).drop("source_file")
+    snapshot = unique.withColumnsRenamed(
+        {"track_uri": "uri", "request_cursor": "request_after"})
+    write_csv_snapshot(snapshot, csv_path, single_file)

@@ -20,10 +20,10 @@ DELAY = "1 hour"
 
 
 def stream_raw_plays(spark: SparkSession, path: str, archive: str | None = None,
-                     files_per_trigger: int | None = None) -> DataFrame:
+                     files_per_trigger: int | None = None, glob: str = "*.json") -> DataFrame:
     """New JSON files as typed plays; with ``archive`` finished files are moved there."""
     reader = spark.readStream.schema(RAW_PLAY).option("multiLine", True).option(
-        "pathGlobFilter", "*.json")
+        "pathGlobFilter", glob)
     if archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     if files_per_trigger:
@@ -115,9 +115,12 @@ class DurationDedup:
         mark = spark.range(1).select(F.lit(closed).cast("timestamp").alias("closed"))
         write_overwrite(mark, self.state, f"mark/{batch_id}")
 
-    def flush(self, spark: SparkSession, empty: DataFrame, batch_id: int) -> None:
-        """Closes a bounded stream: plays still waiting are taken as final."""
-        self.process(empty, batch_id, closing=True)
+    def flush(self, spark: SparkSession, like: DataFrame, batch_id: int) -> None:
+        """Closes a bounded stream after batch ``batch_id``: waiting plays are taken as final.
+
+        ``like`` gives the columns of a play; none of its rows are read.
+        """
+        self.process(spark.createDataFrame([], like.schema), batch_id + 1, closing=True)
 
     def result(self, spark: SparkSession) -> DataFrame:
         return spark.read.parquet(self.out).drop("batch")
