@@ -46,11 +46,20 @@ def _between(column: str, start: Day, end: Day) -> Column:
     return F.col(column).between(F.lit(start).cast("date"), F.lit(end).cast("date"))
 
 
+def _period(fact: DataFrame, start: Day, end: Day) -> DataFrame:
+    """Fact rows of the period; a stored fact is also cut to the folders of its years."""
+    rows = fact.where(_between("date_sid", start, end))
+    if "play_year" in fact.columns:
+        years = [F.year(F.lit(day).cast("date")) for day in (start, end)]
+        rows = rows.where(F.col("play_year").between(*years))
+    return rows
+
+
 def _counts(fact: DataFrame, dim_date: DataFrame, start: Day, end: Day, by: list[str],
             dim_time: DataFrame | None = None, filters: Column | None = None) -> DataFrame:
     """``plays`` per ``by`` columns, which may come from the fact, dim_date or dim_time."""
     days = F.broadcast(dim_date.where(_between("date", start, end)).select("date_sid", "year_num"))
-    rows = fact.where(_between("date_sid", start, end)).join(days, "date_sid")
+    rows = _period(fact, start, end).join(days, "date_sid")
     if dim_time is not None:
         clock = dim_time.select("time_sid", "hour_of_day", "time_of_day")
         rows = rows.join(F.broadcast(clock), "time_sid")
@@ -351,9 +360,9 @@ def top_artist_in_top_genres(fact: DataFrame, dim_genre: DataFrame, dim_artist:
 def measures(fact_tracks: DataFrame, fact_genres: DataFrame, start: Day, end: Day) -> DataFrame:
     """The three named measures over a period."""
     minutes = F.sum(exact_minutes(F.col("duration_ms") / F.lit(60_000))).cast("double")
-    in_genre = fact_genres.where(_between("date_sid", start, end)).agg(
+    in_genre = _period(fact_genres, start, end).agg(
         F.count("track_sid")).scalar()
-    return fact_tracks.where(_between("date_sid", start, end)).agg(
+    return _period(fact_tracks, start, end).agg(
         F.count("track_sid").alias("count_tracks_played"),
         minutes.alias("sum_of_minutes_played"),
     ).withColumn("count_tracks_played_in_genre", in_genre)

@@ -45,26 +45,31 @@ class Source:
     """Proxies, warehouse inputs and scratch tables of one data folder."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = configure(spark), sf_dir
+        self.spark, self.sf_dir, self._frames = configure(spark), sf_dir, {}
+        self.inputs = warehouse.Inputs(
+            spark,
+            tables={
+                "tracks_played": lambda: self.history,
+                "spotify_artists": lambda: self.artist_rows,
+                "spotify_artist_genre": lambda: self.artist_genre,
+                "spotify_albums": lambda: self.album_rows,
+                "mbz_artist_info": lambda: self.info_rows,
+                "mbz_area_hierarchy": lambda: self.area_rows,
+                "cities_with_lat_long": lambda: self.city_rows,
+                "mask_artists": lambda: self.mask_rows,
+                "recently_played": self.snapshot,
+            },
+            spine_start=SPINE_START, spine_end=SPINE_END,
+        )
 
     def __getattr__(self, name: str) -> DataFrame:
-        return spark_proxy(self.spark, self.sf_dir, name)
-
-    def inputs(self) -> warehouse.Inputs:
-        return warehouse.Inputs(
-            tracks_played=self.history, spotify_artists=self.artist_rows,
-            spotify_artist_genre=self.artist_genre, spotify_albums=self.album_rows,
-            mbz_artist_info=self.info_rows, mbz_area_hierarchy=self.area_rows,
-            cities_with_lat_long=self.city_rows, mask_artists=self.mask_rows,
-            recently_played=self.snapshot(), spine_start=SPINE_START, spine_end=SPINE_END,
-        )
+        return spark_proxy(self.spark, self.sf_dir, name, self._frames)
 
     def model(self, name: str) -> DataFrame:
-        return warehouse.build_model(self.inputs(), name)
+        return warehouse.build_model(self.inputs, name)
 
     def models(self, *names: str) -> list[DataFrame]:
-        inputs = self.inputs()
-        return [warehouse.build_model(inputs, n) for n in names]
+        return [self.model(n) for n in names]
 
     def snapshot(self) -> DataFrame:
         """Plays under the column names of the consolidated snapshot."""
@@ -553,7 +558,7 @@ def _(s):
 def _(s):
     base = s.scratch("warehouse")
     names = warehouse.write_warehouse(
-        s.inputs(), base, exclude=["dim_date", "dim_time", "dim_artist_genre"])
+        s.inputs, base, exclude=["dim_date", "dim_time", "dim_artist_genre"])
     out = None
     for name in names:
         row = tables.read_table(s.spark, base, name).agg(F.count(F.lit(1)).alias("row_count"))

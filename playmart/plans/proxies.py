@@ -196,13 +196,19 @@ def _seconds(text: str, spelled: str) -> str:
     return text
 
 
-def spark_proxy(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table or proxy as a lazy DataFrame."""
-    if name in TABLES:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    text = _seconds(SQL[name], "make_dt_interval(0, 0, 0, {})")
-    used = [n for n in (*TABLES, *SQL) if "{" + n + "}" in text]
-    return spark.sql(text, **{n: spark_proxy(spark, sf_dir, n) for n in used})
+def spark_proxy(spark: SparkSession, sf_dir: str, name: str,
+                frames: dict[str, DataFrame] | None = None) -> DataFrame:
+    """A driver table or proxy as a lazy DataFrame; ``frames`` keeps those already built."""
+    frames = {} if frames is None else frames
+    if name not in frames:
+        if name in TABLES:
+            frames[name] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        else:
+            text = _seconds(SQL[name], "make_dt_interval(0, 0, 0, {})")
+            used = {n: spark_proxy(spark, sf_dir, n, frames)
+                    for n in (*TABLES, *SQL) if "{" + n + "}" in text}
+            frames[name] = spark.sql(text, **used)
+    return frames[name]
 
 
 def oracle_proxies() -> dict[str, str]:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from collections.abc import Callable
+from dataclasses import dataclass, field, replace
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,8 +16,11 @@ from playmart.operators.sinks import write_overwrite
 from playmart.operators.skew import left_join_dim
 from playmart.plans import intermediate as I
 from playmart.plans import stage
+from playmart.schemas import REQUIRED_TABLES
+from playmart.sources.tables import read_table
 
 NO_DATE = "1900-01-01"
+FACT_PARTITION = "play_year"
 # fixed values: labels of the outer genre groups
 FIRST_GROUP, LAST_GROUP = "Group 1 (Most Played Genres)", "Group 5 (Least Played Genres)"
 MINUTE_MS = 60_000
@@ -173,40 +177,46 @@ def recently_played(snapshot: DataFrame, precision: str = "float") -> DataFrame:
 
 @dataclass
 class Inputs:
-    """Stored tables the models read, and their parameters."""
-
-    tracks_played: DataFrame
-    spotify_artists: DataFrame
-    spotify_artist_genre: DataFrame
-    spotify_albums: DataFrame
-    mbz_artist_info: DataFrame
-    mbz_area_hierarchy: DataFrame
-    cities_with_lat_long: DataFrame
-    mask_artists: DataFrame
-    recently_played: DataFrame | None = None
+    """Stored tables the models read, by name, and the parameters of the models.
+
+    A table may be a DataFrame or a function that gives one; only those that a selected model
+    needs are opened.
+    """
+
+    spark: SparkSession
+    tables: dict[str, DataFrame | Callable[[], DataFrame]]
     zone: str = LOCAL_ZONE
     precision: str = "float"
     groups_mode: str = "exact"
     spine_start: date = I.SPINE_START
     spine_end: date | None = None
-    built: dict = field(default_factory=dict, repr=False)
+    built: dict[str, DataFrame] = field(default_factory=dict, repr=False)
+
+    def table(self, name: str) -> DataFrame:
+        found = self.tables[name]
+        if not isinstance(found, DataFrame):
+            found = self.tables[name] = found()
+        return found
 
-    @property
-    def spark(self) -> SparkSession:
-        return self.tracks_played.sparkSession
+
+def stored_inputs(spark: SparkSession, base: str, **params) -> Inputs:
+    """Inputs over the Parquet folders below ``base``."""
+    names = (*REQUIRED_TABLES, "mask_artists", "recently_played")
+    return Inputs(spark, {n: (lambda n=n: read_table(spark, base, n)) for n in names}, **params)
 
 
 # model name -> builder; ``m`` gives other models by name
 MODELS = {
-    "stg_cities": lambda i, m: stage.stg_cities(i.cities_with_lat_long),
-    "stg_area_hierarchy": lambda i, m: stage.stg_area_hierarchy(i.mbz_area_hierarchy),
-    "stg_artist_info": lambda i, m: stage.stg_artist_info(i.mbz_artist_info),
-    "stg_albums": lambda i, m: stage.stg_albums(i.spotify_albums),
-    "stg_artist_genre": lambda i, m: stage.stg_artist_genre(i.spotify_artist_genre),
-    "stg_artists": lambda i, m: stage.stg_artists(i.spotify_artists),
+    "stg_cities": lambda i, m: stage.stg_cities(i.table("cities_with_lat_long")),
+    "stg_area_hierarchy": lambda i, m: stage.stg_area_hierarchy(i.table("mbz_area_hierarchy")),
+    "stg_artist_info": lambda i, m: stage.stg_artist_info(i.table("mbz_artist_info")),
+    "stg_albums": lambda i, m: stage.stg_albums(i.table("spotify_albums")),
+    "stg_artist_genre": lambda i, m: stage.stg_artist_genre(i.table("spotify_artist_genre")),
+    "stg_artists": lambda i, m: stage.stg_artists(i.table("spotify_artists")),
     "stg_tracks_played": lambda i, m: stage.stg_tracks_played(
-        i.tracks_played, i.zone, i.precision),
-    "albums": lambda i, m: I.albums(m("stg_tracks_played"), m("stg_albums")),
+        i.table("tracks_played"), i.zone, i.precision),
+    # highest ids per name: repeats do not matter, so the stored plays do without the distinct
+    "albums": lambda i, m: I.albums(i.table("tracks_played"), m("stg_albums")),
     "area_hierarchy": lambda i, m: I.area_hierarchy(m("stg_area_hierarchy")),
     "artist_genre_rank": lambda i, m: I.artist_genre_rank(m("stg_artist_genre")),
     "artist_location": lambda i, m: I.artist_location(m("stg_artist_info")),
@@ -214,7 +224,7 @@ MODELS = {
         m("artist_location"), m("area_hierarchy"), m("stg_cities")),
     "artist_top_genre": lambda i, m: I.artist_top_genre(m("stg_artist_genre")),
     "artists_distinct": lambda i, m: I.artists_distinct(m("stg_artists")),
-    "unmatched_artists_prep": lambda i, m: I.unmatched_artists_prep(i.tracks_played),
+    "unmatched_artists_prep": lambda i, m: I.unmatched_artists_prep(i.table("tracks_played")),
     "unmatched_artists": lambda i, m: I.unmatched_artists(m("unmatched_artists_prep")),
     "artists": lambda i, m: I.artists(
         m("artists_distinct"), m("artist_top_genre"), m("artist_location_hierarchy"),
@@ -225,17 +235,20 @@ MODELS = {
         m("stg_tracks_played"), m("stg_artists"), m("stg_artist_genre")),
     "played": lambda i, m: I.played(m("stg_tracks_played"), m("artists_distinct")),
     "ranked_genre": lambda i, m: I.ranked_genre(m("genre_stats"), groups_mode=i.groups_mode),
-    "tracks": lambda i, m: I.tracks(i.tracks_played, i.precision),
+    "tracks": lambda i, m: I.tracks(i.table("tracks_played"), i.precision),
     "dim_album": lambda i, m: dim_album(m("albums")),
-    "dim_artist": lambda i, m: dim_artist(m("artists"), i.mask_artists),
+    "dim_artist": lambda i, m: dim_artist(m("artists"), i.table("mask_artists")),
     "dim_artist_genre": lambda i, m: dim_artist_genre(m("ranked_genre"), i.precision),
     "dim_date": lambda i, m: dim_date(m("dates")),
     "dim_time": lambda i, m: dim_time(m("times")),
     "dim_track": lambda i, m: dim_track(m("tracks")),
     "fact_track_played": lambda i, m: fact_track_played(m("played")),
     "fact_artist_genre": lambda i, m: fact_artist_genre(m("played"), m("stg_artist_genre")),
-    "recently_played": lambda i, m: recently_played(i.recently_played, i.precision),
+    "recently_played": lambda i, m: recently_played(i.table("recently_played"), i.precision),
 }
+# models that read the distinct plays; from two on, they are written once and read back
+FROM_DISTINCT_PLAYS = {"dim_artist_genre", "ranked_genre", "genre_stats", "played",
+                       "fact_track_played", "fact_artist_genre"}
 WAREHOUSE = ("dim_album", "dim_artist", "dim_artist_genre", "dim_date", "dim_time", "dim_track",
              "fact_track_played", "fact_artist_genre")
 
@@ -266,13 +279,29 @@ def write_warehouse(inputs: Inputs, base: str, select: list[str] | None = None,
                     exclude: list[str] | None = None) -> list[str]:
     """Writes the selected models to Parquet folders.
 
-    Facts are partitioned by the year of ``date_sid``: report date ranges then prune folders.
+    Facts are partitioned by the year of ``date_sid``, so report date ranges prune folders, and
+    sorted by it within files, so they prune row groups. The rebalance step evens out file sizes:
+    a year with many plays becomes many files, a small one few. The distinct over whole plays is
+    the one wide shuffle several models share, so its result is written as a table of its own.
     """
+    names = selected_models(select, exclude)
+    plays = "stg_tracks_played"
+    if plays not in inputs.built and len(FROM_DISTINCT_PLAYS.intersection(names)) > 1:
+        write_overwrite(build_model(inputs, plays), base, plays)
+        inputs = replace(inputs, built={plays: read_table(inputs.spark, base, plays)})
     models = build_warehouse(inputs, select, exclude)
     for name, df in models.items():
         if name.startswith("fact_"):
-            df = df.withColumn("play_year", F.year("date_sid"))
-            write_overwrite(df, base, name, ["play_year"])
+            by_year = df.withColumn(FACT_PARTITION, F.year("date_sid"))
+            ordered = by_year.hint("rebalance", FACT_PARTITION).sortWithinPartitions(
+                FACT_PARTITION, "date_sid")
+            write_overwrite(ordered, base, name, [FACT_PARTITION])
         else:
             write_overwrite(df, base, name)
     return list(models)
+
+
+def stored_warehouse(spark: SparkSession, base: str) -> dict[str, DataFrame]:
+    """The written star schema, for reports."""
+    found = {name: read_table(spark, base, name) for name in WAREHOUSE}
+    return {name: df for name, df in found.items() if df is not None}
