@@ -29,7 +29,8 @@ def _page(df: DataFrame, limit: int | None, offset: int) -> DataFrame:
 def _without(df: DataFrame, known: DataFrame | None, key: str, known_key: str | None = None):
     if known is None:
         return df
-    return df.join(known.select(F.col(known_key or key).alias(key)), key, "left_anti")
+    ids = known.select(F.col(known_key or key).alias(key))
+    return df.join(ids, key, "left_anti").select(*df.columns)
 
 
 def missing_artists(plays: DataFrame, artists: DataFrame | None, limit: int | None = None,
