@@ -105,9 +105,21 @@ class Source:
             {"track_uri": "uri", "request_cursor": "request_after"})
 
 
+_SOURCES: dict[tuple[str, str], Source] = {}
+
+
+def source_for(spark: SparkSession, sf_dir: str) -> Source:
+    """One source per application and folder: its lazy DataFrames are planned once."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _SOURCES:
+        _SOURCES[key] = Source(spark, sf_dir)
+    configure(spark)
+    return _SOURCES[key]
+
+
 def query(name: str):
     def add(fn: Callable[[Source], DataFrame]):
-        QUERIES[name] = lambda spark, sf_dir: plain(fn(Source(spark, sf_dir)))
+        QUERIES[name] = lambda spark, sf_dir: plain(fn(source_for(spark, sf_dir)))
         return fn
     return add
 
