@@ -38,7 +38,7 @@ def band(value: str, classes, missing, pick: int, at_least: bool) -> str:
     found = (f"(SELECT arg_{best}({column}, edge) FROM (VALUES {rows}) t(edge, label, code) "
              f"WHERE {value} {test} edge)")
     none = f"'{missing[0]}'" if pick == 1 else missing[1]
-    return f"coalesce({found}, {none})"
+    return f"coalesce({found}, {none})" if pick == 1 else f"CAST(coalesce({found}, {none}) AS BIGINT)"
 
 
 def desc_all(columns: str) -> str:
@@ -181,7 +181,7 @@ FROM o_ranked""",
 SELECT p.track_id, p.track_name, p.artist, p.artist_id, p.album_id, p.album, p.request_cursor,
     p.played_at, p.played_at_local, CAST(p.played_at_local AS DATE) AS date_sid,
     CAST(floor(epoch(p.played_at_local)) AS BIGINT) % 86400 AS time_sid, p.popularity,
-    a.artist_popularity, p.duration_ms, p.duration_mins, 1 AS tracks_played
+    a.artist_popularity, p.duration_ms, p.duration_mins, CAST(1 AS BIGINT) AS tracks_played
 FROM o_plays p LEFT JOIN o_artists a ON a.artist_id = p.artist_id""",
     "o_fact": f"""
 SELECT {key('track_id', 'track_name', 'artist')} AS track_sid,

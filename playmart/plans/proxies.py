@@ -33,10 +33,10 @@ JOIN {{part}} p ON p.p_partkey = CAST(regexp_extract(e.props, '([0-9]+)', 1) AS
 JOIN {{supplier}} a ON a.s_suppkey = p.p_partkey % (SELECT COUNT(*) FROM {{supplier}})""",
     # the same with exact repeats (purchases) and repeats five seconds later (views)
     "raw_plays": """
-SELECT 0 AS seq, * FROM {plays}
-UNION ALL SELECT 1 AS seq, * FROM {plays} WHERE play_source = 'purchase'
+SELECT CAST(0 AS BIGINT) AS seq, * FROM {plays}
+UNION ALL SELECT CAST(1 AS BIGINT) AS seq, * FROM {plays} WHERE play_source = 'purchase'
 UNION ALL
-SELECT 2 AS seq, play_id, user_id, track_id, track_uri, track_isrc, track_name, album_id,
+SELECT CAST(2 AS BIGINT) AS seq, play_id, user_id, track_id, track_uri, track_isrc, track_name, album_id,
     album_uri, album, artist_id, artist_mbid, artist, duration_ms,
     played_at + @seconds(5) AS played_at, popularity, request_cursor, play_source
 FROM {plays} WHERE play_source = 'view'""",
