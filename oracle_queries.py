@@ -426,7 +426,7 @@ SELECT play_id, CASE play_source WHEN 'view' THEN date_trunc('millisecond', play
     WHEN 'signup' THEN date_trunc('second', played_at) + INTERVAL 7 HOUR END AS played_at
 FROM plays""",
     "b6_high_water_mark": """
-SELECT 'ms' AS unit, epoch_ms(max(played_at)) + 1 AS "cursor" FROM plays
+SELECT 'ms' AS unit, epoch_us(max(played_at)) // 1000 + 1 AS "cursor" FROM plays
 UNION ALL SELECT 's', CAST(floor(epoch(max(played_at))) AS BIGINT) FROM plays""",
     "b6_newer_than": """
 SELECT play_id, played_at FROM plays WHERE played_at > TIMESTAMP '2024-01-15 00:00:00'""",

@@ -76,9 +76,11 @@ def part_of_day_sort(hour: Column) -> Column:
 def scaled_ms(ms: Column, unit_ms: int, digits: int, precision: str = "float") -> Column:
     """Milliseconds in a larger unit, rounded; 32-bit arithmetic unless ``precision='double'``.
 
-    Spark divides in double, so the quotient is narrowed before it is rounded.
+    Spark divides in double, so the quotient is narrowed before it is rounded. The optimizer takes
+    bigint to float to double for one widening cast; ``nanvl`` keeps the step through float.
     """
-    quotient = (ms.cast(precision) / F.lit(unit_ms)).cast(precision)
+    value = ms.cast(precision)
+    quotient = (F.nanvl(value, value) / F.lit(unit_ms)).cast(precision)
     return F.round(quotient, digits)
 
 

@@ -96,6 +96,12 @@ def test_scaled_ms_uses_32_bit_arithmetic(spark):
     assert double == 2057613.15
 
 
+def test_scaled_ms_keeps_the_float_step_in_optimized_plans(spark):
+    ms = (F.col("id") + 9156498000).alias("ms")
+    df = spark.range(1).select(ms).repartition(1)
+    assert df.select(S.scaled_ms(F.col("ms"), 60_000, 2)).first()[0] == 152608.3125
+
+
 def test_exact_minutes_sum_is_order_free(spark):
     rows = [(0.1,), (0.2,), (0.7,)] * 1000
     df = spark.createDataFrame(rows, "m float")
