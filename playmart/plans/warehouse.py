@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 from datetime import date
 
@@ -276,7 +277,7 @@ def build_warehouse(inputs: Inputs, select: list[str] | None = None,
 
 
 def write_warehouse(inputs: Inputs, base: str, select: list[str] | None = None,
-                    exclude: list[str] | None = None) -> list[str]:
+                    exclude: list[str] | None = None, jobs: int = 4) -> list[str]:
     """Writes the selected models to Parquet folders.
 
     Facts are partitioned by the year of ``date_sid``, so report date ranges prune folders, and
@@ -289,8 +290,9 @@ def write_warehouse(inputs: Inputs, base: str, select: list[str] | None = None,
     if plays not in inputs.built and len(FROM_DISTINCT_PLAYS.intersection(names)) > 1:
         write_overwrite(build_model(inputs, plays), base, plays)
         inputs = replace(inputs, built={plays: read_table(inputs.spark, base, plays)})
-    models = build_warehouse(inputs, select, exclude)
-    for name, df in models.items():
+
+    def write(name: str) -> None:
+        df = build_model(inputs, name)
         if name.startswith("fact_"):
             by_year = df.withColumn(FACT_PARTITION, F.year("date_sid"))
             ordered = by_year.hint("rebalance", FACT_PARTITION).sortWithinPartitions(
@@ -298,7 +300,11 @@ def write_warehouse(inputs: Inputs, base: str, select: list[str] | None = None,
             write_overwrite(ordered, base, name, [FACT_PARTITION])
         else:
             write_overwrite(df, base, name)
-    return list(models)
+
+    # independent jobs, long ones first: small models run in the gaps of the facts
+    with ThreadPoolExecutor(max_workers=jobs) as pool:
+        list(pool.map(write, sorted(names, key=lambda n: not n.startswith("fact_"))))
+    return names
 
 
 def stored_warehouse(spark: SparkSession, base: str) -> dict[str, DataFrame]:
