@@ -793,9 +793,9 @@ FROM history""",
     # K
     "k1_last_24h_tracks": "SELECT * FROM o_recent",
     "k2_artist_aggregates": """
-SELECT artist, CAST(sum(CAST(minutes_played AS DECIMAL(18, 2))) AS DOUBLE) AS total_minutes,
-    count(*) AS track_count
-FROM o_recent GROUP BY artist ORDER BY total_minutes DESC NULLS LAST, artist LIMIT 15""",
+SELECT artist, CAST(ifnull(sum(CAST(minutes_played AS DECIMAL(18, 2))), 0) AS DOUBLE)
+    AS total_minutes, count(artist) AS track_count
+FROM o_recent GROUP BY artist ORDER BY total_minutes DESC, artist LIMIT 15""",
     "k3_tracks_for_artist": f"""
 SELECT track_name, album, minutes_played, played_at, popularity FROM o_recent
 WHERE artist = '{c.ARTIST}'""",

@@ -20,10 +20,11 @@ def _null(name: str):
 def flatten_recently_played(
     payloads: DataFrame, user_id: str, request_after: str | None = None
 ) -> DataFrame:
-    """One raw play per item that has a track; first artist only."""
+    """One raw play per item that has a track (not NULL, not ``{}``); first artist only."""
     item = payloads.select(F.explode("items").alias("i")).select("i.*")
     artist = F.try_element_at("track.artists", F.lit(1))
-    return item.where(F.col("track").isNotNull()).select(
+    empty = F.from_json(F.lit("{}"), item.schema["track"].dataType)
+    return item.where(F.col("track").isNotNull() & ~F.col("track").eqNullSafe(empty)).select(
         F.lit(user_id).alias("user_id"),
         F.col("track.id").alias("track_id"),
         F.col("track.uri").alias("uri"),

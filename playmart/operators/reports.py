@@ -78,11 +78,17 @@ def last_24h_tracks(recent: DataFrame, now: datetime | str, hours: int = LAST_HO
     ).orderBy(F.desc("played_at"))
 
 
+def _total_minutes() -> Column:
+    """Exact sum of minutes; 0 where none are known."""
+    minutes = F.sum(exact_minutes(F.col("minutes_played")))
+    return F.coalesce(minutes, F.lit(0)).cast("double")
+
+
 def artist_aggregates(tracks: DataFrame, top: int | None = None) -> DataFrame:
     out = tracks.groupBy("artist").agg(
-        F.sum(exact_minutes(F.col("minutes_played"))).cast("double").alias("total_minutes"),
+        _total_minutes().alias("total_minutes"),
         F.count("artist").alias("track_count"),
-    ).orderBy(F.desc_nulls_last("total_minutes"), F.asc_nulls_last("artist"))
+    ).orderBy(F.desc("total_minutes"), F.asc_nulls_last("artist"))
     return out.limit(top) if top else out
 
 
@@ -95,7 +101,7 @@ def tracks_for_artist(tracks: DataFrame, artist: str) -> DataFrame:
 def kpi_last_24h(tracks: DataFrame) -> DataFrame:
     """Minutes, plays, distinct track names and distinct artists (a missing artist counts)."""
     return tracks.agg(
-        F.sum(exact_minutes(F.col("minutes_played"))).cast("double").alias("total_minutes"),
+        _total_minutes().alias("total_minutes"),
         F.count(F.lit(1)).alias("total_tracks"),
         F.countDistinct("track_name").alias("distinct_tracks"),
         (F.countDistinct("artist")
@@ -105,9 +111,8 @@ def kpi_last_24h(tracks: DataFrame) -> DataFrame:
 
 
 def artist_detail(tracks: DataFrame, artist: str) -> DataFrame:
-    minutes = F.coalesce(F.sum(exact_minutes(F.col("minutes_played"))), F.lit(0)).cast("double")
     return tracks.where(F.col("artist") == artist).agg(
-        minutes.alias("total_minutes"), F.count("artist").alias("track_count"),
+        _total_minutes().alias("total_minutes"), F.count("artist").alias("track_count"),
     ).withColumn("avg_minutes", F.coalesce(
         F.try_divide("total_minutes", "track_count"), F.lit(0.0)))
 

@@ -57,6 +57,7 @@ def test_flatten_recently_played(spark):
     items = [
         dict(track=track(), context={"uri": "ctx"}, played_at="p1"),
         dict(track=None, context=None, played_at="p2"),
+        dict(track={}, context=None, played_at="p5"),
         dict(track=track(artists=[]), context=None, played_at="p3"),
         dict(track=track(popularity=None), context={"uri": None}, played_at="p4"),
     ]

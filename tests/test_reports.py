@@ -140,6 +140,13 @@ def test_last_24_hours(spark):
         ("x", 2.25), ("x", 1.5)]
 
 
+def test_unknown_minutes_count_as_none(spark):
+    df = spark.createDataFrame([("A", "x", None)],
+                               "artist string, track_name string, minutes_played float")
+    assert tuples(R.artist_aggregates(df)) == [("A", 0.0, 1)]
+    assert R.kpi_last_24h(df).first()["total_minutes"] == 0.0
+
+
 def test_measures(spark, star):
     t = star["t"].selectExpr("*", "CAST(90000 AS bigint) AS duration_ms")
     row = R.measures(t, star["f"], *FULL).first()
