@@ -69,3 +69,31 @@ def test_join_null_safe(spark):
     right = spark.createDataFrame([("a", 10), (None, 20)], "k string, w int")
     assert sorted(tuples(join_null_safe(left, right, ["k"])), key=str) == [
         ("a", 1, 10), (None, 2, 20)]
+
+
+def test_hot_key_of_a_play_grain_join_is_split(spark):
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+    }
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    try:
+        # a third of the rows has one key, a third has none
+        key = (F.when(F.col("id") % 3 == 0, "hot")
+               .when(F.col("id") % 3 == 1, F.concat(F.lit("k"), F.col("id") % 1000)))
+        fact = spark.range(0, 120_000, 1, 8).select(key.alias("k"), F.md5(
+            F.col("id").cast("string")).alias("v"))
+        dim = spark.range(1000).select(F.concat(F.lit("k"), "id").alias("k"), "id").union(
+            spark.createDataFrame([("hot", -1)], "k string, id bigint"))
+        joined = left_join_dim(fact, dim, "k", ["id"])
+        rows = joined.groupBy(F.col("id").isNull().alias("none")).agg(
+            F.count("v").alias("n"), F.max("v"))
+        assert {r["none"]: r["n"] for r in rows.collect()} == {False: 80_000, True: 40_000}
+        assert "skew=true" in rows._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key in conf:
+            spark.conf.unset(key)
