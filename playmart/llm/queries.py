@@ -11,8 +11,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playmart.llm import bpe, quality, tokencount
-from playmart.session import ensure_checkpoint_dir
+from playmart.llm import bpe, extract, quality, shards, simhash, tokencount, warc
+from playmart.session import ensure_checkpoint_dir, scratch_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,6 +43,17 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op4_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = shards.kd_shards(table(spark, sf_dir, "documents"),
+                             ["source", "lang", "n_chars", "doc_id"], shards=16)
+    return found.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
+                        "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, max_bits=2)
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = quality.train(docs, table(spark, sf_dir, "labels"))
@@ -56,10 +67,30 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    warc.write(table(spark, sf_dir, "pages"), path)
+    found = warc.join_revisits(warc.read(spark, path))
+    return found.select(
+        F.col("page_key").cast("bigint").alias("page_id"), "payload_bytes", "payload_digest",
+        "record_type", F.col("original_key").cast("bigint").alias("refers_to"))
+
+
+def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    found = extract.extract(pages, extract.train(pages))
+    return found.select("page_id", "url", F.col("main_text").alias("text"),
+                        F.char_length("main_text").cast("bigint").alias("n_chars"))
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
+    "op4_kd_shards": op4_kd_shards,
+    "op6_simhash": op6_simhash,
     "op7_quality_rules": op7_quality_rules,
     "op8_token_counts": op8_token_counts,
+    "op9_warc": op9_warc,
+    "op10_main_text": op10_main_text,
 }
 
 ORACLE_SQL: dict[str, str] = {}
