@@ -11,7 +11,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playmart.llm import bpe, extract, quality, shards, simhash, tokencount, warc
+from playmart.llm import bpe, decontaminate, extract, quality, shards, simhash, tokencount, warc
 from playmart.session import ensure_checkpoint_dir, scratch_path
 
 
@@ -43,6 +43,14 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
 def op4_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = shards.kd_shards(table(spark, sf_dir, "documents"),
                              ["source", "lang", "n_chars", "doc_id"], shards=16)
@@ -85,6 +93,7 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_bpe": op1_bpe,
+    "op2_decontaminate": op2_decontaminate,
     "op4_kd_shards": op4_kd_shards,
     "op6_simhash": op6_simhash,
     "op7_quality_rules": op7_quality_rules,
