@@ -202,8 +202,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Trees | N
 
 
 def judge(docs: DataFrame, model: Trees | None, text: str = "text",
-          least: float = 0.0) -> DataFrame:
-    """`docs` with `quality`: a struct of the five base counts, `base_failed`, `score` (log odds)
+          least: float = 0.0, name: str = "quality") -> DataFrame:
+    """`docs` with column `name`: a struct of the five base counts, `base_failed`, `score` (log odds)
     and `kept`. It replaces a column of that name; all other columns and all rows stay.
 
     `kept` is false if the base rule fails (under 50 words, or over half of the words repeated),
@@ -224,4 +224,4 @@ def judge(docs: DataFrame, model: Trees | None, text: str = "text",
             score = trees.score(matrix([x for _, x in found])) if trees else np.ones(len(out))
             yield out.assign(base_failed=failed, score=score, kept=~failed & (score > least))
 
-    return docs.withColumn("quality", rules.asNondeterministic()(docs[f"`{text}`"]))
+    return docs.withColumn(name, rules.asNondeterministic()(docs[f"`{text}`"]))

@@ -7,6 +7,7 @@ result's columns from the operator's output.
 from __future__ import annotations
 
 import os
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,8 +27,21 @@ from playmart.llm import (
 from playmart.session import ensure_checkpoint_dir, scratch_path
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+ROOT = str(Path(__file__).resolve().parents[2])
+
+
+def ready(spark: SparkSession) -> None:
+    """Sets the checkpoint folder, and lets Python workers find the package where it is not
+    installed (a cluster gets it with --py-files)."""
     ensure_checkpoint_dir(spark)
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if ROOT not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, ROOT])
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ready(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

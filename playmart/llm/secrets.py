@@ -41,6 +41,7 @@ ALLOWED = (  # fixed values: strings that look random and are no secrets
     r"^/.*|^[A-Za-z_-]+(/[A-Za-z0-9_-]+){2,}/?$",                             # paths
 )
 KINDS = (*BASE, *CLASSES)
+MARK = "[SECRET]"    # stands in a text for a secret
 
 
 def entries(text: Column, kind: int, pattern: str, group: int = 0, least: int = 0,
@@ -184,7 +185,7 @@ def spelled(spans: Column) -> Column:
 
 
 def redact(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """`docs` with every span replaced by `[SECRET]`; spans that touch become one. All rows and
+    """`docs` with every span replaced by `MARK`; spans that touch become one. All rows and
     columns stay, texts without a span as they are (null stays null)."""
     found = find_secrets(docs, key, text).where("size(spans) > 0")
     flat = found.select("doc", "hash", "rid", F.explode("spans").alias("s")).select(
@@ -200,6 +201,6 @@ def redact(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     starts = F.concat(F.col("_cuts.start"), F.array(F.char_length(body).cast("bigint")))
     between = F.transform(F.arrays_zip(ends.alias("a"), starts.alias("b")), lambda z: F.substring(
         body, (z["a"] + 1).cast("int"), (z["b"] - z["a"]).cast("int")))
-    clean = F.when(F.col("_cuts").isNull(), body).otherwise(F.array_join(between, "[SECRET]"))
+    clean = F.when(F.col("_cuts").isNull(), body).otherwise(F.array_join(between, MARK))
     joined = docs.join(cuts, cond, "left")
     return joined.select(*[clean.alias(c) if c == text else docs[f"`{c}`"] for c in docs.columns])

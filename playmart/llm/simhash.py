@@ -13,11 +13,9 @@ one member per bit and one more, whatever the data.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -26,10 +24,15 @@ from pyspark.sql import types as T
 
 from playmart.llm.batches import slices
 from playmart.llm.components import components
+from playmart.session import scratch_path
 
 SEED = 42
 BITS = 64
 CROWD = 24     # members up to which a variant's fingerprints are paired
+MARKS = 1 << 18
+# candidates for a similarity: segments, words whose runs are hashed, and the share of bits that a
+# pair may differ in before it is verified
+SEGMENTS, INDEX_WORDS, APART = 10, 2, 0.25
 UPPER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _BYTE_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1)
 
@@ -49,15 +52,19 @@ def shingle_hashes(text: str | None, words: int) -> np.ndarray:
                     np.uint64)
 
 
-def fingerprint(hashes: np.ndarray) -> int:
-    """A bit is 1 if it is set in over half of the hashes; no hashes give zero."""
+def majority(hashes: np.ndarray) -> np.ndarray:
+    """The 64 bits, highest first, that are set in over half of the hashes; none for no hashes."""
     ones = np.zeros(BITS, np.int64)
     for at in range(0, len(hashes), 1 << 16):  # bounded memory for very long texts
         part = hashes[at:at + (1 << 16)].astype(">u8").view(np.uint8).reshape(-1, 8)
         for k in range(8):
             seen = np.bincount(part[:, k], minlength=256)
             ones[8 * k:8 * k + 8] += seen @ _BYTE_BITS
-    return int.from_bytes(np.packbits(2 * ones > len(hashes)).tobytes(), "big")
+    return 2 * ones > len(hashes)
+
+
+def fingerprint(hashes: np.ndarray) -> int:
+    return int.from_bytes(np.packbits(majority(hashes)).tobytes(), "big")
 
 
 def fingerprints(docs: DataFrame, words: int = 3, key: str = "doc_id",
@@ -101,6 +108,15 @@ def variants(bits: Column, max_bits: int) -> Column:
     return F.array(*out)
 
 
+def members_of(index: DataFrame, keys: DataFrame) -> DataFrame:
+    """Rows of the index under some of its keys (place, rest). A broadcast table of marks, which has
+    `MARKS` rows at most, drops most others before the join shuffles them."""
+    mark = F.pmod(F.xxhash64("place", "rest"), F.lit(MARKS))
+    marks = keys.select(mark.alias("mark")).distinct()
+    near = index.withColumn("mark", mark).join(F.broadcast(marks), "mark").drop("mark")
+    return near.join(keys, ["place", "rest"])
+
+
 def links(prints: DataFrame, max_bits: int = 2) -> DataFrame:
     """Edges (a, b) between distinct fingerprints that join exactly the groups that pairs at most
     `max_bits` (1 or 2) apart join. `prints` has one row per value of `bits`.
@@ -118,7 +134,7 @@ def links(prints: DataFrame, max_bits: int = 2) -> DataFrame:
     shared = groups.where("n > 1").checkpoint()
     pairs = shared.where("n = 2").select(F.col("least").alias("a"), F.col("most").alias("b"))
     several = shared.where("n > 2").select("place", "rest", "n")
-    members = index.join(several, ["place", "rest"]).checkpoint()
+    members = members_of(index, several).checkpoint()
     few = members.where(F.col("n") <= CROWD).groupBy("place", "rest").agg(
         F.array_sort(F.collect_list("bits")).alias("all"))
     few_pairs = few.select(F.posexplode("all").alias("at", "a"), "all").select(
@@ -159,3 +175,117 @@ def near_duplicates(docs: DataFrame, words: int = 3, max_bits: int = 2, key: str
     by_print = named.join(best, "root").select("bits", "component_id")
     return rows.join(by_print, "bits").select(
         key, F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def segment_bits(texts: int) -> int:
+    """Bits of a segment: six more than number the texts, so that the variants a text shares by
+    chance stay a few, whatever the size of the corpus."""
+    return max(16, texts.bit_length() + 6)
+
+
+def long_fingerprint(text: str | None, width: int) -> list[int]:
+    """`SEGMENTS` segments of `width` bits over runs of `INDEX_WORDS` words: a changed word touches
+    fewer of those than of longer runs. Further bits come from mixing each hash again."""
+    hashes, bits = shingle_hashes(text, INDEX_WORDS), []
+    for k in range(-(-SEGMENTS * width // BITS)):
+        x = hashes + np.uint64((k + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        bits.append(majority(x ^ (x >> np.uint64(31))))
+    flat = np.concatenate(bits)[:SEGMENTS * width].reshape(SEGMENTS, width)
+    return (flat @ (1 << np.arange(width, dtype=np.int64))).tolist()
+
+
+def map_texts(rows: DataFrame, column: str, make) -> DataFrame:
+    """`id` and a list of 64-bit integers that `make` gives for each text."""
+    schema = T.StructType([rows.schema["id"], T.StructField(column, T.ArrayType(T.LongType()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            lists = [make(t) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), pa.array(lists, pa.list_(pa.int64()))], ["id", column])
+
+    return rows.select("id", "text").mapInArrow(run, schema)
+
+
+def similar_links(texts: DataFrame, words: int, similarity: float) -> DataFrame:
+    """Edges (a, b) between `id`s of distinct `text`s whose sets of `words`-word shingles have a
+    Jaccard similarity of `similarity` or more.
+
+    Candidates share a one-wildcard variant of a segment of a long fingerprint; their bits and then
+    their whole shingle sets verify them. A variant links each member to the smallest and, up to
+    `CROWD` members, to the next one; a text has hundreds of variants, and components join the rest.
+    """
+    width = segment_bits(texts.count())
+    prints = map_texts(texts, "bits", lambda t: long_fingerprint(t, width)).checkpoint()
+    index = prints.select("id", F.posexplode("bits").alias("segment", "value")).select(
+        "id", "segment", "value", F.explode(F.sequence(F.lit(0), F.lit(width - 1))).alias("k")
+    ).select("id", (F.col("segment") * 64 + F.col("k")).cast("smallint").alias("place"),
+             F.expr("value & ~shiftleft(1L, k)").alias("rest"))
+    groups = index.groupBy("place", "rest").agg(
+        F.count(F.lit(1)).alias("n"), F.min("id").alias("least"), F.max("id").alias("most"))
+    shared = groups.where("n > 1").checkpoint()
+    members = members_of(index, shared.where("n > 2").select(
+        "place", "rest", "n", "least")).checkpoint()
+    few = members.where(F.col("n") <= CROWD).groupBy("place", "rest").agg(
+        F.array_sort(F.collect_list("id")).alias("all"))
+    chained = few.select(F.explode(F.arrays_zip(
+        F.expr("slice(all, 1, size(all) - 1)").alias("a"),
+        F.expr("slice(all, 2, size(all) - 1)").alias("b"))).alias("p")).select("p.a", "p.b")
+    pairs = shared.where("n = 2").select(F.col("least").alias("a"), F.col("most").alias("b")
+        ).unionAll(members.select(F.col("least").alias("a"), F.col("id").alias("b"))
+        ).unionAll(chained).where("a <> b").distinct()
+    side = lambda df, c, name: df.select(
+        F.col("id").alias(c), F.col(name).alias(f"_{c}"))
+    differ = F.aggregate(F.zip_with("_a", "_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))),
+                         F.lit(0), lambda s, x: s + x)
+    near = pairs.join(side(prints, "a", "bits"), "a").join(side(prints, "b", "bits"), "b").where(
+        differ <= int(APART * SEGMENTS * width)).select("a", "b").checkpoint()
+    asked = near.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    marks = asked.select(F.pmod("id", F.lit(MARKS)).alias("mark")).distinct()
+    chosen = texts.withColumn("mark", F.pmod("id", F.lit(MARKS))).join(
+        F.broadcast(marks), "mark").drop("mark").join(asked, "id", "left_semi")
+    sets = map_texts(chosen, "set", lambda t: np.unique(shingle_hashes(t, words)).view(
+        np.int64)).checkpoint()
+    both = near.join(side(sets, "a", "set"), "a").join(side(sets, "b", "set"), "b")
+    shared_n = F.size(F.array_intersect("_a", "_b"))
+    union = F.size("_a") + F.size("_b") - shared_n
+    return both.where((union == 0) | (shared_n >= F.lit(similarity) * union)).select("a", "b")
+
+
+def keep_one(docs: DataFrame, words: int = 5, similarity: float = 0.8, key: str = "doc_id",
+             text: str = "text") -> DataFrame:
+    """The rows of `docs` without near copies: of every group that links at `similarity` join, the
+    row with the smallest key stays (a null key comes last), one row if it is repeated.
+
+    Equal texts are one entry. Null and empty texts are one group. All columns stay.
+    """
+    body = F.coalesce(docs[f"`{text}`"], F.lit(""))
+    rows = docs.select(docs[f"`{key}`"].alias("doc"), F.md5(body.cast("binary")).alias("hash"))
+    known = rows.groupBy("doc", "hash").agg(F.count(F.lit(1)).alias("n")).checkpoint()
+    texts = docs.select(F.md5(body.cast("binary")).alias("hash"), body.alias("text"))
+    # a number for every distinct text: the low bits of its hash would do but for collisions
+    numbered = known.select("hash").distinct().select(
+        "hash", F.monotonically_increasing_id().alias("id")).checkpoint()
+    path = scratch_path(docs.sparkSession, "texts")
+    texts.groupBy("hash").agg(F.first("text").alias("text")).join(numbered, "hash").select(
+        "id", "text").write.parquet(path)
+    stored = docs.sparkSession.read.parquet(path)
+    group = components(similar_links(stored, words, similarity)).withColumnRenamed("bits", "id")
+    rooted = known.join(numbered, "hash").join(group, "id", "left").withColumn(
+        "root", F.coalesce("root", "id"))
+    order = F.struct(F.col("doc").isNull().alias("none"), F.col("doc").alias("doc"),
+                     F.col("hash").alias("hash"))
+    best = rooted.groupBy("root").agg(F.min(order).alias("best"))
+    judged = rooted.join(best, "root").select(
+        F.col("doc").alias("_doc"), F.col("hash").alias("_hash"), F.col("n").alias("_n"),
+        (F.col("doc").eqNullSafe(F.col("best.doc")) & (F.col("hash") == F.col("best.hash"))
+         ).alias("_best")).checkpoint()
+    cond = docs[f"`{key}`"].eqNullSafe(F.col("_doc")) & (
+        F.md5(body.cast("binary")) == F.col("_hash"))
+    once = docs.join(judged.where("NOT _best OR _n > 1").select("_doc", "_hash"), cond,
+                     "left_anti")
+    again = docs.join(judged.where("_best AND _n > 1").select("_doc", "_hash"), cond).dropDuplicates(
+        ["_doc", "_hash"]).select(*docs.columns)
+    return once.unionAll(again)
