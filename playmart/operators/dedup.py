@@ -35,8 +35,16 @@ def require_play_identity(df: DataFrame) -> DataFrame:
     return df.dropna(subset=list(IDENTITY))
 
 
+def total_order(df: DataFrame, tie: tuple[str, ...] = ()) -> tuple[str, ...]:
+    """``tie`` and then all other columns: only equal rows are left without an order, so results
+    do not depend on how rows are partitioned."""
+    fixed = (*TRACK_KEYS, "played_at", *tie)
+    return (*tie, *[c for c in df.columns if c not in fixed])
+
+
 def near_repeats(df: DataFrame, tie: tuple[str, ...] = (), slice_seconds: int = HOUR) -> DataFrame:
     """Adds ``near_repeat``: the play starts within the previous input row's duration."""
+    tie = total_order(df, tie)
     rows = previous_in_key(
         df, list(TRACK_KEYS), "played_at", ["played_at", "duration_ms"], tie, slice_seconds)
     gap = whole_seconds_between(F.col("previous")["played_at"], F.col("played_at"))
@@ -49,7 +57,8 @@ def dedup_within_duration(
 ) -> DataFrame:
     """Drops a play that starts within the duration of the play before it of the same track.
 
-    The play before is the previous input row, kept or not. ``tie`` orders plays of one instant.
+    The play before is the previous input row, kept or not. Plays of one instant are ordered by
+    ``tie`` and then by all other columns.
     """
     return near_repeats(df, tie, slice_seconds).where(~F.col("near_repeat")).drop("near_repeat")
 
@@ -63,17 +72,29 @@ def dedup_plays(df: DataFrame, order: list[str] | None = None, tie: tuple[str, .
 
 def dedup_audit(df: DataFrame, order: list[str] | None = None, tie: tuple[str, ...] = (),
                 slice_seconds: int = HOUR) -> DataFrame:
-    """One row: rows in, removed by each step, rows out."""
-    exact = dedup_exact(df, order=order)
-    identity = require_play_identity(exact)
-    near = near_repeats(identity, tie, slice_seconds)
+    """One row: rows in, removed by each step, rows out.
+
+    The rows that exact repeats stand for are carried as a count, so every step is counted in one
+    pass. Rows without identity are counted apart.
+    """
+    copies = "_copies"
+    rest = [c for c in df.columns if c not in EXACT_KEYS]
+    first = [*(order or []), *[c for c in rest if c not in (order or [])]]
+    best = df.groupBy(*EXACT_KEYS).agg(
+        F.min(F.struct(*first)).alias("_row"), F.count(F.lit(1)).alias(copies))
+    exact = best.select(*[F.col(c) if c in EXACT_KEYS else F.col("_row")[c].alias(c)
+                          for c in df.columns], copies)
+    known = F.lit(True)
+    for c in IDENTITY:
+        known = known & F.col(c).isNotNull()
+    near = near_repeats(exact.where(known), tie, slice_seconds).select(
+        copies, F.lit(True).alias("_known"), "near_repeat")
+    rows = near.unionAll(exact.where(~known).select(copies, F.lit(False), F.lit(False)))
     n = F.count(F.lit(1))
-    counts = (
-        df.agg(n.alias("rows_in"))
-        .withColumn("after_exact", exact.agg(n).scalar())
-        .withColumn("after_identity", near.agg(n).scalar())
-        .withColumn("rows_out", near.agg(F.count_if(~F.col("near_repeat"))).scalar())
-    )
+    counts = rows.agg(
+        F.coalesce(F.sum(copies), F.lit(0)).alias("rows_in"), n.alias("after_exact"),
+        F.count_if("_known").alias("after_identity"),
+        F.count_if(F.col("_known") & ~F.col("near_repeat")).alias("rows_out"))
     return counts.select(
         "rows_in",
         (F.col("rows_in") - F.col("after_exact")).alias("exact_removed"),

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from playmart.schemas import MERGE_KEYS, REQUIRED_TABLES
+from playmart.sources import swap
 from playmart.sources.tables import read_table
 
 
@@ -70,48 +71,114 @@ def upsert(existing: DataFrame | None, new: DataFrame, keys: list[str]) -> DataF
     return kept.select(*existing.columns).unionByName(new, allowMissingColumns=True)
 
 
-def write_overwrite(df: DataFrame, base: str, table: str,
-                    partition_by: list[str] | None = None) -> None:
-    """Replaces the table. ``df`` must not read the folder it replaces; see ``write_merge``."""
-    writer = df.write.mode("overwrite").option("compression", "snappy")
+def _stage(df: DataFrame, base: str, table: str, partition_by: list[str] | None) -> str:
+    staged = swap.stage(base, table)
+    writer = df.write.option("compression", "snappy")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(f"{base}/{table}")
+    writer.parquet(staged)
+    return staged
+
+
+def write_overwrite(df: DataFrame, base: str, table: str,
+                    partition_by: list[str] | None = None) -> None:
+    """Replaces the table. The old files go only after the new ones are complete, so ``df`` may
+    read them and a failed write changes nothing."""
+    spark = df.sparkSession
+    swap.settle(spark, base, table)
+    staged = _stage(df, base, table, partition_by)
+    swap.publish(spark, base, table, staged, _stored_schema(df, partition_by))
+
+
+def _stored_schema(df: DataFrame, partition_by: list[str] | None) -> T.StructType:
+    """Partition columns come last, as in the files' folders."""
+    last = partition_by or []
+    return df.select(*[f"`{c}`" for c in df.columns if c not in last], *last).schema
 
 
 def write_append(df: DataFrame, base: str, table: str) -> None:
     """Adds files; stored files are not rewritten and may have other columns."""
-    stored = read_table(df.sparkSession, base, table)
-    if stored is not None:
-        df = align_schema(df, stored)
+    spark = df.sparkSession
+    stored = read_table(spark, base, table)
+    if stored is None:
+        write_overwrite(df, base, table)
+        return
+    df = align_schema(df, stored)
+    types = {f.name: f.dataType for f in stored.schema}
+    clash = [f.name for f in df.schema if types.get(f.name, f.dataType) != f.dataType]
+    if clash:
+        raise ValueError(f"columns with other types than in {table}: {', '.join(clash)}")
+    added = T.StructType([f for f in df.schema if f.name not in types])
+    # a schema with columns that no file has yet is harmless, so it goes first
+    swap.declare(spark, base, table, T.StructType([*stored.schema, *added]))
     df.write.mode("append").option("compression", "snappy").parquet(f"{base}/{table}")
 
 
-def write_merge(df: DataFrame, base: str, table: str, keys: list[str] | None = None) -> None:
-    """Upsert into the stored table.
+def write_merge(df: DataFrame, base: str, table: str, keys: list[str] | None = None,
+                batch: tuple[str, int] | None = None, partition_by: str | None = None) -> None:
+    """Upsert into the stored table that rewrites only files with a key of ``df``.
 
-    The merged rows are checkpointed first: Spark cannot overwrite files it still reads, and the
-    new content is safe in the shared folder before the old one goes.
+    Only key columns are read to find those files; their names (not rows) come to the driver. All
+    other files stay. ``batch`` names a stream and its batch; a batch that is already in the table
+    is not merged again. Without keys the table becomes the distinct union.
     """
-    stored = read_table(df.sparkSession, base, table)
-    if stored is None:
-        write_overwrite(df, base, table)
+    spark = df.sparkSession
+    keys = merge_keys(table) if keys is None else keys
+    if batch and swap.merged_batch(spark, base, table, batch[0]) >= batch[1]:
+        swap.settle(spark, base, table)
         return
-    merged = upsert(stored, df, merge_keys(table) if keys is None else keys)
-    write_overwrite(merged.checkpoint(), base, table)
+    stored = read_table(spark, base, table)
+    parts = [partition_by] if partition_by else None
+    if stored is None or not keys:
+        merged = df if stored is None else upsert(stored, df, [])
+        staged = _stage(merged, base, table, parts)
+        swap.publish(spark, base, table, staged, _stored_schema(merged, parts), batch=batch)
+        return
+    new = align_schema(df, stored).persist()
+    try:
+        wanted = new.select(*keys).distinct()
+        name = F.col("_metadata.file_path")
+        found = stored.select(*keys, name.alias("_file")).join(wanted, keys, "left_semi")
+        touched = [r["_file"] for r in found.select("_file").distinct().toLocalIterator()]
+        paths = [spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(x)).toString()
+                 for x in touched]
+        folder = f"{base}/{table}"
+        if paths:
+            old = spark.read.schema(stored.schema).option("basePath", folder).parquet(*paths)
+            rows = upsert(old, new, keys)
+        else:
+            rows = upsert(stored.limit(0), new, keys)
+        staged = _stage(rows, base, table, parts)
+        swap.publish(spark, base, table, staged, _stored_schema(rows, parts),
+                     [_below(x, folder) for x in paths], batch)
+    finally:
+        new.unpersist()
+
+
+def _below(path: str, folder: str) -> str:
+    """A file's path within the table's folder, whatever scheme either is written with."""
+    inside = folder.split("://")[-1].removeprefix("file:").rstrip("/")
+    return path[path.index(inside + "/") + len(inside) + 1:]
 
 
 def write_merge_partitions(df: DataFrame, base: str, table: str, keys: list[str],
                            partition: str) -> None:
-    """Upsert that rewrites only the partitions ``df`` touches; keys must imply the partition."""
-    spark = df.sparkSession
-    stored = read_table(spark, base, table)
-    writer_options = {"partitionOverwriteMode": "dynamic", "compression": "snappy"}
-    if stored is not None:
-        touched = stored.join(df.select(partition).distinct(), partition, "left_semi")
-        df = upsert(touched.select(*stored.columns), df, keys).checkpoint()
-    df.write.mode("overwrite").options(**writer_options).partitionBy(partition).parquet(
-        f"{base}/{table}")
+    """Upsert into a partitioned table; keys must imply the partition. Partitions without a touched
+    file keep all of theirs, and NULL is a partition like others."""
+    write_merge(df, base, table, keys, partition_by=partition)
+
+
+def merge_counts(existing: DataFrame | None, new: DataFrame, keys: list[str]) -> DataFrame:
+    """One row: rows of ``new`` whose keys are stored, rows that are added, rows after the merge."""
+    n = F.count(F.lit(1))
+    if existing is None:
+        return new.agg(F.lit(0).cast("bigint").alias("rows_updated"), n.alias("rows_added"),
+                       n.alias("total_rows"))
+    known = new.join(existing.select(*keys).distinct(), keys, "left_semi").agg(n).scalar()
+    total = upsert(existing, new, keys).agg(n).scalar()
+    return new.agg(n.alias("rows_new")).select(
+        known.alias("rows_updated"), (F.col("rows_new") - known).alias("rows_added"),
+        total.alias("total_rows"))
 
 
 def write_table(df: DataFrame, base: str, table: str, mode: str = "overwrite") -> None:

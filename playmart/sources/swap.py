@@ -1,0 +1,149 @@
+"""Replacing stored files without a moment at which the table is lost.
+
+New files are written next to the table, below ``base/.swap``. A small state file, replaced by one
+rename, then says which files go and which come: from that write on the change has happened. Moving
+the files into place is a repeatable step that the next reader or writer finishes if it was cut
+off. The state also keeps the table's schema, so opening a table reads no file footers, and the
+last batch each stream merged. A table has one writer at a time; renames must be atomic.
+"""
+
+from __future__ import annotations
+
+import json
+import uuid
+
+from pyspark.sql import SparkSession
+from pyspark.sql import types as T
+
+SWAP = ".swap"
+
+
+def _path(spark: SparkSession, path: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def _fs(spark: SparkSession, path: str):
+    return _path(spark, path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    return _fs(spark, path).exists(_path(spark, path))
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    _fs(spark, path).delete(_path(spark, path), True)
+
+
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what a folder holds; none if it is missing."""
+    if not exists(spark, path):
+        return []
+    return [s.getPath().getName() for s in _fs(spark, path).listStatus(_path(spark, path))]
+
+
+def files(spark: SparkSession, path: str) -> list[str]:
+    """Data files below a folder, as paths relative to it."""
+    fs, out, folders = _fs(spark, path), [], [""]
+    while folders:
+        inner = folders.pop()
+        for status in fs.listStatus(_path(spark, f"{path}/{inner}" if inner else path)):
+            name = status.getPath().getName()
+            if name.startswith((".", "_")) and "=" not in name:
+                continue
+            below = f"{inner}/{name}" if inner else name
+            (folders if status.isDirectory() else out).append(below)
+    return out
+
+
+def _state_path(base: str, table: str) -> str:
+    return f"{base}/{SWAP}/{table}/state.json"
+
+
+def state(spark: SparkSession, base: str, table: str) -> dict:
+    """The table's state; empty for a folder this engine has not written."""
+    path = _state_path(base, table)
+    if not exists(spark, path):
+        return {}
+    stream = _fs(spark, path).open(_path(spark, path))
+    try:
+        text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    return json.loads(text)
+
+
+def _put_state(spark: SparkSession, base: str, table: str, value: dict) -> None:
+    path = _state_path(base, table)
+    new = f"{path}.{uuid.uuid4().hex}"
+    stream = _fs(spark, new).create(_path(spark, new), True)
+    try:
+        stream.write(json.dumps(value).encode())
+    finally:
+        stream.close()
+    options = spark._jvm.org.apache.hadoop.fs.Options.Rename
+    overwrite = spark.sparkContext._gateway.new_array(options, 1)
+    overwrite[0] = options.OVERWRITE
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        _path(spark, path).toUri() if "://" in path else _fs(spark, path).getUri(),
+        spark._jsc.hadoopConfiguration())
+    context.rename(_path(spark, new), _path(spark, path), overwrite)
+
+
+def stage(base: str, table: str) -> str:
+    """A new folder for files that will replace others."""
+    return f"{base}/{SWAP}/{table}/{uuid.uuid4().hex}"
+
+
+def publish(spark: SparkSession, base: str, table: str, staged: str, schema: T.StructType,
+            gone: list[str] | None = None, batch: tuple[str, int] | None = None) -> None:
+    """Makes staged files part of the table: instead of all others, or of the files ``gone``
+    (relative to the table). ``batch`` is a stream's name and number."""
+    value = state(spark, base, table)
+    value["schema"] = schema.jsonValue()
+    value["pending"] = {"staged": staged, "gone": gone}
+    if batch:
+        value.setdefault("batches", {})[batch[0]] = batch[1]
+    _put_state(spark, base, table, value)
+    settle(spark, base, table)
+
+
+def declare(spark: SparkSession, base: str, table: str, schema: T.StructType) -> None:
+    """Records the schema that the table's files may have from now on."""
+    _put_state(spark, base, table, state(spark, base, table) | {"schema": schema.jsonValue()})
+
+
+def merged_batch(spark: SparkSession, base: str, table: str, stream: str) -> int:
+    """The last batch of a stream that the table holds; -1 if there is none."""
+    return state(spark, base, table).get("batches", {}).get(stream, -1)
+
+
+def settle(spark: SparkSession, base: str, table: str) -> dict:
+    """Finishes a published change; every step can be repeated. Returns the state."""
+    value = state(spark, base, table)
+    pending = value.get("pending")
+    if not pending:
+        return value
+    folder, staged, gone = f"{base}/{table}", pending["staged"], pending["gone"]
+    fs = _fs(spark, base)
+    if gone is None:
+        if exists(spark, staged):  # else it already is the table
+            remove(spark, folder)
+            fs.mkdirs(_path(spark, folder).getParent())
+            fs.rename(_path(spark, staged), _path(spark, folder))
+    else:
+        for name in gone:
+            remove(spark, f"{folder}/{name}")
+        if exists(spark, staged):
+            for name in files(spark, staged):
+                target = _path(spark, f"{folder}/{name}")
+                fs.mkdirs(target.getParent())
+                fs.rename(_path(spark, f"{staged}/{name}"), target)
+            remove(spark, staged)
+    value = {k: v for k, v in value.items() if k != "pending"}
+    _put_state(spark, base, table, value)
+    for name in names(spark, f"{base}/{SWAP}/{table}"):  # what failed writes left behind
+        inner = f"{base}/{SWAP}/{table}/{name}"
+        if len(name) == 32 and not exists(spark, f"{inner}/state.json"):
+            remove(spark, inner)
+    spark.catalog.refreshByPath(folder)
+    return value

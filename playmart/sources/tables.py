@@ -4,20 +4,31 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from playmart.schemas import SEEDS, VIEW_TABLES
+from playmart.sources import swap
 
 # raised by Spark when a folder is absent or holds no Parquet file
 _NO_DATA = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
-def read_table(spark: SparkSession, base: str, name: str) -> DataFrame | None:
+def read_table(spark: SparkSession, base: str, name: str,
+               merge_schema: bool | None = None) -> DataFrame | None:
     """The Parquet folder ``base/name``, or None where it holds no data.
 
-    Files of different age may lack columns, so their schemas are merged.
+    A table this engine wrote has its schema beside it, so no footer is read to open it. For other
+    folders the schemas of all files are merged unless ``merge_schema`` is False, as files of
+    different age may lack columns. A table whose files are gone is an error, not a new table.
     """
+    known = swap.settle(spark, base, name).get("schema")
+    if known and not merge_schema:
+        if not swap.exists(spark, f"{base}/{name}"):
+            raise FileNotFoundError(f"the files of table {name} below {base} are gone")
+        return spark.read.schema(T.StructType.fromJson(known)).parquet(f"{base}/{name}")
     try:
-        return spark.read.option("mergeSchema", True).parquet(f"{base}/{name}")
+        return spark.read.option("mergeSchema", merge_schema is not False).parquet(
+            f"{base}/{name}")
     except AnalysisException as err:
         if (err.getCondition() or "").split(".")[0] in _NO_DATA:
             return None

@@ -9,10 +9,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from playmart.functions.scoring import exact_minutes, scaled_ms
-from playmart.operators.dedup import EXACT_KEYS, TRACK_KEYS, near_repeats, require_play_identity
+from playmart.operators.dedup import (
+    EXACT_KEYS,
+    TRACK_KEYS,
+    near_repeats,
+    require_play_identity,
+    total_order,
+)
 from playmart.operators.sinks import write_merge, write_overwrite
 from playmart.operators.skew import HOUR, left_join_dim
 from playmart.schemas import RAW_PLAY
+from playmart.sources import swap
 from playmart.sources.plays import typed_plays
 from playmart.sources.tables import read_table
 
@@ -51,9 +58,10 @@ class DurationDedup:
 
     Plays wait until the newest event time is ``delay`` ahead; from then on their order is final
     and they go through the batch operator, preceded by the last play of each track that can still
-    reach into the future. Plays older than the closed time are late and dropped. Every batch
-    writes its output and state under its own number, so a repeated batch overwrites its own files
-    and nothing else. A hot track is cut into time slices by the batch operator, so it never has
+    reach into the future. Plays older than the closed time are late; they go to a table of their
+    own. Every batch writes its output and state under its own number, so a repeated batch
+    replaces its own files and nothing else; state older than the batch before is removed. A batch
+    whose state before is missing is refused. A hot track is cut into time slices by the batch operator, so it never has
     to pass through one task.
     """
 
@@ -69,7 +77,14 @@ class DurationDedup:
         )
 
     def _before(self, spark: SparkSession, batch_id: int, part: str) -> DataFrame | None:
-        return read_table(spark, self.state, f"{part}/{batch_id - 1}")
+        """State that the batch before left; None for the first batch."""
+        if batch_id == 0:
+            return None
+        found = read_table(spark, self.state, f"{part}/{batch_id - 1}")
+        if found is None:
+            raise RuntimeError(f"the {part} state of batch {batch_id - 1} is missing in "
+                               f"{self.state}")
+        return found
 
     def process(self, batch: DataFrame, batch_id: int, closing: bool = False) -> None:
         spark = batch.sparkSession
@@ -77,7 +92,10 @@ class DurationDedup:
         closed_before = mark.first()["closed"] if mark is not None else None
         pool = require_play_identity(batch)
         if closed_before is not None:
-            pool = pool.where(F.col("played_at") > F.lit(closed_before))
+            in_time = F.col("played_at") > F.lit(closed_before)
+            write_overwrite(pool.where(~in_time), self.state, f"late/batch={batch_id}")
+            pool = pool.where(in_time)
+        if mark is not None:
             pool = pool.unionByName(self._before(spark, batch_id, "pending"))
         pool = pool.persist()
         try:
@@ -89,6 +107,21 @@ class DurationDedup:
             self._write(spark, pool, closed, batch_id)
         finally:
             pool.unpersist()
+        self._forget(spark, batch_id - 2)
+
+    def _forget(self, spark: SparkSession, batch_id: int) -> None:
+        """Removes the state up to a batch; the batch before the last one may still run again."""
+        for part in ("last", "pending", "mark"):
+            for name in swap.names(spark, f"{self.state}/{part}"):
+                if name.isdigit() and int(name) <= batch_id:
+                    swap.remove(spark, f"{self.state}/{part}/{name}")
+                    swap.remove(spark, f"{self.state}/{swap.SWAP}/{part}/{name}")
+
+    def late(self, spark: SparkSession) -> DataFrame | None:
+        """Plays that came after their time was closed, with the ``batch`` that brought them."""
+        if not swap.exists(spark, f"{self.state}/late"):
+            return None
+        return spark.read.option("mergeSchema", True).parquet(f"{self.state}/late")
 
     def _write(self, spark: SparkSession, pool: DataFrame, closed, batch_id: int) -> None:
         final = F.lit(False) if closed is None else F.col("played_at") <= F.lit(closed)
@@ -101,11 +134,9 @@ class DurationDedup:
         kept = rows.where(~F.col("near_repeat") & ~F.col("_carried"))
         write_overwrite(kept.select(*pool.columns), self.out, f"batch={batch_id}")
 
-        columns = list(dict.fromkeys(["played_at", "duration_ms", *self.tie]))
-        ends = chain.groupBy(*TRACK_KEYS).agg(
-            F.max_by(F.struct(*columns), F.struct("played_at", *self.tie)).alias("e"))
-        ends = ends.select(*TRACK_KEYS, *[F.col(f"e.{c}").alias(c) for c in columns
-                                          if c not in TRACK_KEYS])
+        order = F.struct("played_at", *total_order(chain.drop("_carried"), self.tie))
+        ends = chain.groupBy(*TRACK_KEYS).agg(F.max(order).alias("e"))
+        ends = ends.select(*TRACK_KEYS, "e.*")
         if closed is not None:
             # one second more than the duration: gaps are compared in whole seconds
             reach = F.unix_millis("played_at") + F.col("duration_ms") + 1000
@@ -128,13 +159,10 @@ class DurationDedup:
 
 def stream_upsert(rows: DataFrame, base: str, table: str, checkpoint: str,
                   keys: list[str] | None = None) -> StreamingQuery:
-    """Merges every micro-batch into a stored table; merging a batch again changes nothing."""
+    """Merges every micro-batch into a stored table, rewriting only files it touches. The table
+    records the batch in the same step, so a batch that runs again changes nothing."""
     def merge(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            write_merge(batch, base, table, keys)
-        finally:
-            batch.unpersist()
+        write_merge(batch, base, table, keys, (checkpoint, batch_id))
 
     return (
         rows.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)

@@ -111,3 +111,94 @@ def test_column_consistency(spark):
     assert set(rows) == {"id", "name", "other"}
     assert not rows["id"].columns_match and rows["id"].in_both and not rows["other"].in_both
     assert sinks.check_column_consistency(None, c).first()["columns_match"] is False
+
+
+def broken(spark):
+    """Rows whose tasks fail."""
+    fail = F.raise_error(F.lit("task failed")).cast("int")
+    return spark.range(2).select(F.lit("a").alias("artist_id"), fail.alias("v"))
+
+
+def test_failed_writes_and_merges_keep_the_table(spark, tmp_path):
+    base = str(tmp_path)
+    rows = spark.createDataFrame([("a", 1), ("b", 1)], "artist_id string, v int")
+    sinks.write_overwrite(rows, base, "spotify_artists")
+    for mode in ("overwrite", "merge"):
+        with pytest.raises(Exception, match="task failed"):
+            sinks.write_table(broken(spark), base, "spotify_artists", mode)
+        assert sorted(tuples(read_table(spark, base, "spotify_artists"))) == [("a", 1), ("b", 1)]
+    sinks.write_merge(spark.createDataFrame([("a", 2)], "artist_id string, v int"), base,
+                      "spotify_artists")
+    assert sorted(tuples(read_table(spark, base, "spotify_artists"))) == [("a", 2), ("b", 1)]
+
+
+def test_a_published_change_is_finished_by_the_next_reader(spark, tmp_path, monkeypatch):
+    from playmart.sources import swap
+
+    base = str(tmp_path)
+    sinks.write_overwrite(spark.createDataFrame([("a", 1), ("b", 1)], "artist_id string, v int"),
+                          base, "spotify_artists")
+    settle = swap.settle
+    for update, write in (([("a", 2)], sinks.write_merge), ([("z", 9)], sinks.write_overwrite)):
+        new = spark.createDataFrame(update, "artist_id string, v int")
+        calls = []
+
+        def cut(spark, base, table):  # the writer dies between its publication and the moves
+            calls.append(1)
+            return settle(spark, base, table) if len(calls) == 1 else {}
+
+        monkeypatch.setattr(swap, "settle", cut)
+        write(new, base, "spotify_artists")
+        monkeypatch.setattr(swap, "settle", settle)
+        want = [("a", 2), ("b", 1)] if update[0][0] == "a" else [("z", 9)]
+        assert sorted(tuples(read_table(spark, base, "spotify_artists"))) == want
+        assert sorted(tuples(spark.read.parquet(f"{base}/spotify_artists"))) == want
+
+
+def test_a_batch_is_merged_once(spark, tmp_path):
+    base = str(tmp_path)
+    one = spark.createDataFrame([("a", 1)], "artist_id string, v int")
+    two = spark.createDataFrame([("a", 2)], "artist_id string, v int")
+    for rows, number in ((one, 0), (two, 1), (one, 0)):
+        sinks.write_merge(rows, base, "spotify_artists", batch=("q", number))
+    assert tuples(read_table(spark, base, "spotify_artists")) == [("a", 2)]
+
+
+def test_merge_into_the_null_partition_keeps_its_rows(spark, tmp_path):
+    base, ddl = str(tmp_path), "id int, v string, day string"
+    old = spark.createDataFrame([(1, "a", None), (2, "b", None), (3, "c", "d1")], ddl)
+    sinks.write_merge_partitions(old, base, "t", ["id"], "day")
+    sinks.write_merge_partitions(
+        spark.createDataFrame([(9, "z", None), (2, "x", None)], ddl), base, "t", ["id"], "day")
+    assert sorted(tuples(read_table(spark, base, "t").select("id", "v", "day")), key=str) == [
+        (1, "a", None), (2, "x", None), (3, "c", "d1"), (9, "z", None)]
+
+
+def test_files_without_a_touched_key_stay(spark, tmp_path):
+    base = str(tmp_path)
+    sinks.write_overwrite(spark.range(100).select(
+        F.col("id").cast("string").alias("artist_id"), F.lit(1).alias("v")
+    ).repartitionByRange(4, "artist_id"), base, "spotify_artists")
+    before = {f.name for f in (tmp_path / "spotify_artists").glob("*.parquet")}
+    sinks.write_merge(spark.createDataFrame([("7", 2)], "artist_id string, v int"), base,
+                      "spotify_artists")
+    after = {f.name for f in (tmp_path / "spotify_artists").glob("*.parquet")}
+    assert len(before & after) == len(before) - 1
+    assert read_table(spark, base, "spotify_artists").count() == 100
+
+
+def test_lost_files_are_an_error_and_not_a_new_table(spark, tmp_path):
+    import shutil
+
+    base = str(tmp_path)
+    sinks.write_overwrite(spark.range(3), base, "t")
+    shutil.rmtree(tmp_path / "t")
+    with pytest.raises(FileNotFoundError):
+        read_table(spark, base, "t")
+
+
+def test_merge_counts(spark):
+    old = spark.createDataFrame([("a", 1), ("b", 1)], "k string, v int")
+    new = spark.createDataFrame([("a", 2), ("c", 2)], "k string, v int")
+    assert tuple(sinks.merge_counts(old, new, ["k"]).first()) == (1, 1, 3)
+    assert tuple(sinks.merge_counts(None, new, ["k"]).first()) == (0, 2, 2)
