@@ -266,16 +266,27 @@ QUALIFY row_number() OVER (PARTITION BY track_id, played_at ORDER BY seq, play_i
 SELECT * REPLACE (CASE WHEN artist_id <> '3' THEN artist END AS artist) FROM raw_plays
 QUALIFY row_number() OVER (PARTITION BY track_id, played_at ORDER BY seq, play_id) = 1""",
     # area tree
+    "o_steps": """
+SELECT child, parent, row_number() OVER (PARTITION BY child ORDER BY parent) AS place
+FROM (SELECT DISTINCT child, parent FROM area_edges) e""",
     "o_closure": """
-SELECT * FROM (
-    WITH RECURSIVE up(root_id, area_id, depth) AS (
-        SELECT area_id, area_id, 0 FROM area_nodes
+SELECT root_id, area_id, min(visit) AS visit FROM (
+    WITH RECURSIVE up(root_id, area_id, visit, seen) AS (
+        SELECT area_id, area_id, CAST([] AS BIGINT[]), [area_id] FROM area_nodes
         UNION ALL
-        SELECT up.root_id, e.parent, up.depth + 1 FROM up JOIN area_edges e ON e.child = up.area_id)
-    SELECT root_id, area_id, CAST(depth AS BIGINT) AS depth FROM up) x""",
+        SELECT up.root_id, e.parent, list_append(up.visit, e.place),
+            list_append(up.seen, e.parent)
+        FROM up JOIN o_steps e ON e.child = up.area_id WHERE NOT list_contains(up.seen, e.parent))
+    SELECT * FROM up) x
+GROUP BY ALL""",
     "o_closure_named": """
-SELECT x.root_id, n.area_id, n.name, n.sort_name, ifnull(n.type, 'Unknown') AS type
+SELECT x.root_id, x.visit, n.area_id, n.name, ifnull(n.sort_name, n.name) AS sort_name,
+    ifnull(n.type, 'Unknown') AS type,
+    translate(lower(ifnull(n.type, 'Unknown')), ' -', '__') AS level
 FROM o_closure x JOIN area_nodes n ON n.area_id = x.area_id""",
+    "o_levels": """
+SELECT * FROM o_closure_named
+QUALIFY row_number() OVER (PARTITION BY root_id, level ORDER BY visit DESC) = 1""",
 }
 VIEWS["o_geo"] = """
 SELECT artist_sid, artist_name, continent, country, state_province, city, lat, longitude,
@@ -359,29 +370,38 @@ def _levels() -> str:
         level("Continent", ["continent"], "continent", *mean)])
 
 
+def _area_levels() -> str:
+    levels = ("city", "country", "county", "district", "island", "municipality", "subdivision",
+              "unknown")
+    parts = (("area_id", "id"), ("name", "name"), ("sort_name", "sort_name"))
+    return ", ".join(f"max(l.{source}) FILTER (l.level = '{level}') AS {level}_{part}"
+                     for level in levels for source, part in parts)
+
+
 def _windows(slide_hours: int, length_hours: int) -> str:
     steps = length_hours // slide_hours
     return f"""
 SELECT w AS window_start, w + INTERVAL {length_hours} HOUR AS window_end, count(*) AS plays,
-    CAST(sum(CAST(m AS DECIMAL(18, 2))) AS DOUBLE) AS minutes
+    CAST(sum(CAST(m AS DECIMAL(18, 2))) AS DOUBLE) AS minutes, count(DISTINCT artist) AS artists
 FROM (SELECT date_trunc('hour', played_at) - to_hours(CAST(k * {slide_hours} AS BIGINT)) AS w,
-          {mins('duration_ms', 60000, 2)} AS m
+          {mins('duration_ms', 60000, 2)} AS m, artist
       FROM plays CROSS JOIN range(0, {steps}) t(k)) x
-WHERE w + INTERVAL {length_hours} HOUR <= (SELECT max(played_at) FROM plays) - INTERVAL 1 HOUR
 GROUP BY w"""
 
 
+# the columns of the consolidated snapshot
+SNAPSHOT = """user_id, track_id, track_uri AS uri, track_isrc, track_name, album_id, album_uri, album,
+    artist_id, artist_mbid, artist, CAST(duration_ms AS DOUBLE) AS duration_ms, played_at,
+    CAST(popularity AS DOUBLE) AS popularity, request_cursor AS request_after, play_source"""
+
 FINAL = {
     # A
     "a1_read_raw_plays": f"SELECT {PLAYS} FROM plays",
-    "a2_read_table": "SELECT track_id, count(*) AS plays FROM history GROUP BY 1",
+    "a2_read_table": "SELECT * FROM history",
     "a3_register_views": """
-SELECT artist_name, count(*) AS plays FROM history JOIN artist_rows USING (artist_id) GROUP BY 1""",
-    "a4_read_recently_played_csv": """
-SELECT user_id, track_id, track_uri AS uri, track_isrc, track_name, album_id, album_uri, album,
-    artist_id, artist_mbid, artist, CAST(duration_ms AS DOUBLE) AS duration_ms, played_at,
-    CAST(popularity AS DOUBLE) AS popularity, request_cursor AS request_after, play_source
-FROM plays""",
+SELECT h.*, a.artist_name, a.artist_popularity
+FROM history h JOIN artist_rows a ON a.artist_id = h.artist_id""",
+    "a4_read_recently_played_csv": f"SELECT {SNAPSHOT} FROM plays",
     "a5_read_seed": "SELECT * FROM mask_rows",
     "a6_report_extract_views": """
 SELECT 'track_plays' AS extract, date_sid, count(*) AS plays FROM o_fact GROUP BY date_sid
@@ -431,16 +451,15 @@ UNION ALL SELECT 's', CAST(floor(epoch(max(played_at))) AS BIGINT) FROM plays"""
     "b6_newer_than": """
 SELECT play_id, played_at FROM plays WHERE played_at > TIMESTAMP '2024-01-15 00:00:00'""",
     "b7_append_plays": """
-SELECT play_source, CAST(NULL AS VARCHAR) AS note, count(*) AS plays,
-    count(isrc) AS with_isrc
-FROM (SELECT play_source, track_isrc AS isrc FROM history
-      UNION ALL SELECT play_source, NULL FROM plays) x GROUP BY play_source""",
+SELECT *, CAST(NULL AS VARCHAR) AS note FROM history
+UNION ALL BY NAME
+SELECT * EXCLUDE (play_id) REPLACE (CAST(NULL AS VARCHAR) AS track_isrc),
+    CAST(NULL AS VARCHAR) AS note FROM plays""",
+    "b8_ingest_raw_plays": f"SELECT {PLAYS} FROM plays",
     # C
     "c1_dedup_exact": "SELECT * FROM o_exact",
-    "c2_require_play_identity": """
-SELECT artist, count(*) AS plays FROM raw_plays WHERE play_source <> 'error' GROUP BY artist""",
-    "c3_dedup_within_duration": near(
-        "(SELECT * FROM raw_plays WHERE seq <> 1)", "seq, play_id, played_at"),
+    "c2_require_play_identity": "SELECT * FROM raw_plays WHERE play_source <> 'error'",
+    "c3_dedup_within_duration": near("raw_plays", "* EXCLUDE (before_at, before_ms)"),
     "c3_dedup_plays": near("o_exact", "* EXCLUDE (before_at, before_ms)"),
     "c4_dedup_audit": f"""
 SELECT a AS rows_in, a - b AS exact_removed, b - k AS null_removed, k - z AS near_removed,
@@ -450,8 +469,7 @@ FROM (SELECT (SELECT count(*) FROM raw_plays) AS a, (SELECT count(*) FROM o_exac
           (SELECT count(*) FROM ({near('(SELECT * FROM o_exact_masked WHERE artist IS NOT NULL)')})
           ) AS z) x""",
     "c5_consolidate_plays": f"""
-SELECT user_id, track_id, track_name, artist, CAST(duration_ms AS DOUBLE) AS duration_ms, played_at
-FROM ({near("(SELECT *, track_id AS seq FROM plays)")}) y""",
+SELECT {SNAPSHOT} FROM ({near("(SELECT *, track_id AS seq FROM plays)")}) y""",
     "c6_deduplicate_with_priority": """
 SELECT track_id, duration_ms, play_id FROM plays QUALIFY row_number() OVER (
     PARTITION BY track_id ORDER BY duration_ms DESC NULLS LAST, play_id DESC) = 1""",
@@ -529,19 +547,16 @@ FROM f WHERE named AND NOT EXISTS (
 UNION ALL
 SELECT artist_id, artist, track_isrc, 'Unknown failure', '{c.NOW}' FROM f WHERE NOT named""",
     # E
-    "e1_write_overwrite": "SELECT play_source, count(*) AS plays FROM history GROUP BY 1",
+    "e1_write_overwrite": "SELECT * FROM history",
     "e2_write_append": """
-SELECT play_source, count(*) AS plays, count(play_id) AS with_play_id,
-    CAST(sum(popularity) AS BIGINT) AS popularity
-FROM (SELECT play_source, CAST(NULL AS VARCHAR) AS play_id, popularity FROM history
-      UNION ALL SELECT play_source, play_id, popularity FROM plays) x GROUP BY 1""",
+SELECT *, CAST(NULL AS VARCHAR) AS play_id FROM history UNION ALL BY NAME SELECT * FROM plays""",
     "e3_upsert": _MERGED_ARTISTS.format(mbid="artist_mbid,", null="NULL,"),
-    "e3_write_merge": _MERGED_ARTISTS.format(mbid="", null=""),
+    "e3_write_merge": _MERGED_ARTISTS.format(mbid="artist_mbid,", null="NULL,"),
     "e3_upsert_plays_by_day": """
-SELECT CAST(played_at AS DATE) AS day, count(*) AS plays,
-    CAST(sum(CASE WHEN played_at >= TIMESTAMP '2024-01-20' THEN 1 ELSE popularity END) AS BIGINT)
-        AS popularity
-FROM plays GROUP BY 1""",
+SELECT * REPLACE (CASE WHEN played_at >= TIMESTAMP '2024-01-20' THEN 1 ELSE popularity END
+        AS popularity),
+    CASE WHEN play_source <> 'error' THEN CAST(played_at AS DATE) END AS day
+FROM plays""",
     "e4_upsert_without_keys": """
 SELECT * FROM artist_genre UNION
 SELECT artist_id, artist_name, upper(genre) FROM artist_genre""",
@@ -552,11 +567,13 @@ SELECT s_name, CAST(NULL AS VARCHAR) AS note, CAST(NULL AS VARCHAR) AS p_name,
 UNION ALL SELECT NULL, NULL, p_name, NULL FROM part""",
     "e8_table_info": f"""
 SELECT 'tracks_played' AS "table", TRUE AS "exists", count(*) AS record_count,
-    (SELECT string_agg(column_name, ',') FROM (DESCRIBE SELECT * FROM history)) AS columns
+    (SELECT string_agg(column_name, ',') FROM (DESCRIBE SELECT * FROM history)) AS columns,
+    (SELECT string_agg(CASE column_type WHEN 'VARCHAR' THEN 'string' ELSE lower(column_type) END,
+        ',') FROM (DESCRIBE SELECT * FROM history)) AS types,
+    TRUE AS has_files, TRUE AS has_bytes
 FROM history""",
-    "e9_write_csv_snapshot": """
-SELECT track_id, artist, played_at, CAST(duration_ms AS DOUBLE) AS duration_ms
-FROM plays WHERE played_at >= TIMESTAMP '2024-01-25'""",
+    "e9_write_csv_snapshot": f"""
+SELECT {SNAPSHOT} FROM plays WHERE played_at >= TIMESTAMP '2024-01-25'""",
     "e10_validate_tables": """
 SELECT t AS "table", n IS NOT NULL AS "exists", ifnull(n, 0) AS row_count, FALSE AS all_valid
 FROM (VALUES ('tracks_played', (SELECT count(*) FROM history)),
@@ -573,12 +590,6 @@ FROM (SELECT unnest(['track_sid', 'artist_sid', 'album_sid', 'artist_name', 'req
 FULL JOIN (SELECT unnest(['track_played_uid', 'track_sid', 'artist_sid', 'album_sid', 'genre_sid',
           'date_sid', 'time_sid', 'popularity', 'duration_ms', 'duration_mins']) AS column_name,
           1 AS n) b USING (column_name)""",
-    "e12_build_warehouse": """
-SELECT 'dim_album' AS model, count(*) AS row_count FROM o_albums
-UNION ALL SELECT 'dim_artist', count(*) FROM o_dim_artist
-UNION ALL SELECT 'dim_track', count(*) FROM o_tracks
-UNION ALL SELECT 'fact_track_played', count(*) FROM o_fact
-UNION ALL SELECT 'fact_artist_genre', count(*) FROM o_fact_genre""",
     # F
     "f1_normalize_artist_json": """
 SELECT CAST(s_suppkey AS VARCHAR) AS id, s_name AS name, n_name AS area_name,
@@ -626,33 +637,36 @@ SELECT id, CAST(NULL AS VARCHAR) AS gender, CAST(NULL AS VARCHAR) AS life_span_b
     CAST(NULL AS VARCHAR) AS life_span_ended, alias_count
 FROM info_rows""",
     # G
-    "g1_area_closure": "SELECT root_id, area_id, depth FROM o_closure",
-    "g2_pivot_hierarchy": """
-SELECT root_id AS area_id, max(type) FILTER (area_id = root_id) AS area_type,
-    max(name) FILTER (area_id = root_id) AS area_name,
-    max(ifnull(sort_name, name)) FILTER (area_id = root_id) AS area_sort_name,
-    max(area_id) FILTER (type = 'City') AS city_id, max(name) FILTER (type = 'City') AS city_name,
-    max(area_id) FILTER (type = 'Country') AS country_id,
-    max(name) FILTER (type = 'Country') AS country_name,
-    max(sort_name) FILTER (type = 'Country') AS country_sort_name,
-    max(area_id) FILTER (type = 'Unknown') AS unknown_id,
-    max(name) FILTER (type = 'Unknown') AS unknown_name,
-    max(name) FILTER (type = 'Unknown') AS unknown_sort_name
-FROM o_closure_named GROUP BY root_id""",
+    "g1_area_closure": """
+SELECT root_id, area_id, array_to_string(visit, '.') AS visit, CAST(len(visit) AS BIGINT) AS depth
+FROM o_closure""",
+    "g2_pivot_hierarchy": f"""
+SELECT o.root_id AS area_id, o.type AS area_type, o.name AS area_name,
+    o.sort_name AS area_sort_name, {_area_levels()}
+FROM o_closure_named o JOIN o_levels l USING (root_id)
+WHERE o.area_id = o.root_id GROUP BY ALL""",
+    "g2_hierarchy_levels": """
+SELECT root_id AS area_id, level, area_id AS level_id, name AS level_name,
+    sort_name AS level_sort_name
+FROM o_levels""",
     "g3_continent_lookup": """
 WITH names AS (
     SELECT DISTINCT CASE WHEN s_acctbal < 2000 THEN 'nation_' || CAST(s_nationkey AS VARCHAR)
         WHEN s_acctbal < 4000 THEN 'N' || CAST(s_nationkey AS VARCHAR)
         WHEN s_acctbal < 6000 THEN 'Isle of NATION_' || CAST(s_nationkey AS VARCHAR) || '!'
-        WHEN s_acctbal < 7000 THEN 'Guam' ELSE s_name END AS country FROM supplier),
+        WHEN s_acctbal < 7000 THEN 'Guam'
+        WHEN s_acctbal < 7500 THEN 'na' || CAST(s_nationkey AS VARCHAR)
+        WHEN s_acctbal < 8000 THEN 'Republic No. ' || CAST(s_nationkey AS VARCHAR)
+        ELSE s_name END AS country FROM supplier),
 asked AS (SELECT country, lower(CASE country WHEN 'Guam' THEN 'NATION_4' ELSE country END) AS q
           FROM names),
 hits AS (
     SELECT country, continent, alpha_2, continent_code,
         row_number() OVER (PARTITION BY country
-            ORDER BY q IN (lower(name), lower(alpha_2)) DESC, ord) AS r
+            ORDER BY q IN (lower(name), lower(alpha_2), lower(alpha_3),
+                lower(official_name)) DESC, ord) AS r
     FROM asked JOIN country_ref
-        ON q = lower(alpha_2) OR contains(q, lower(name)) OR contains(lower(name), q))
+        ON q IN (lower(alpha_2), lower(alpha_3), lower(official_name)) OR contains(q, lower(name)) OR contains(lower(name), q))
 SELECT a.country, h.continent, h.alpha_2 AS country_code, h.continent_code
 FROM asked a LEFT JOIN hits h ON h.country = a.country AND h.r = 1""",
     "g4_merge_continents": """
@@ -677,7 +691,9 @@ FROM (SELECT *, CASE WHEN subdivision_name IS NOT NULL AND country_code IS NOT N
                   AND CAST(substr(country_code, 2) AS INT) % 5 < 3
                 THEN 'S' || substr(country_code, 2) END AS code FROM area_rows) x""",
     "g7_clean_municipality_names": """
-SELECT area_id, CASE WHEN municipality_name IS NOT NULL
+SELECT area_id, CASE WHEN municipality_name LIKE '2nd%'
+    THEN '2nd O''Brien-' || split_part(split_part(municipality_name, '-', 2), ' ', 1)
+    WHEN municipality_name IS NOT NULL
     THEN 'Town ' || split_part(municipality_name, ' ', 2) END AS municipality_name
 FROM area_rows""",
     "g8_parse_location_params": """
@@ -872,7 +888,7 @@ SELECT count(*) AS count_tracks_played,
         AS count_tracks_played_in_genre
 FROM o_fact WHERE date_sid BETWEEN DATE '{c.START}' AND DATE '{c.END}'""",
     "k26_top_artist_in_top_genres": """
-WITH lead AS (SELECT genre FROM o_top_genres ORDER BY track_count DESC, genre LIMIT 10)
+WITH lead AS (SELECT genre FROM o_top_genres ORDER BY track_count DESC, genre LIMIT 25)
 SELECT artist_name, track_count FROM (
     SELECT a.artist_sid, a.artist_name, count(*) AS track_count
     FROM o_report_genre r JOIN o_dim_artist a USING (artist_sid)
@@ -880,9 +896,8 @@ SELECT artist_name, track_count FROM (
     # L
     "l1_stream_raw_plays": f"SELECT {PLAYS} FROM plays",
     "l2_stream_dedup_exact": "SELECT * EXCLUDE (seq) FROM o_exact",
-    "l3_stream_dedup_within_duration": near(
-        "(SELECT * FROM raw_plays WHERE seq <> 1)", "seq, play_id, played_at"),
-    "l4_stream_upsert": _MERGED_ARTISTS.format(mbid="", null=""),
+    "l3_stream_dedup_within_duration": near("raw_plays", "* EXCLUDE (before_at, before_ms)"),
+    "l4_stream_upsert": _MERGED_ARTISTS.format(mbid="artist_mbid,", null="NULL,"),
     "l5_stream_plays_per_window": _windows(1, 1),
     "l5_stream_plays_sliding_window": _windows(1, 24),
     "l6_stream_enrich": """
@@ -892,6 +907,50 @@ FROM plays p""",
 }
 
 
+# the written star schema: each model as SQL
+_DAYS = FINAL["j4_dim_date"].replace(
+    "FROM o_spine LEFT JOIN o_daily USING (date_sid)",
+    'FROM (SELECT "date" AS date_sid FROM o_days) s').replace(", plays", "")
+_MODELS = {
+    "dim_album": f"({FINAL['j1_dim_album']})", "dim_artist": "o_dim_artist",
+    "dim_artist_genre": "o_dim_genre", "dim_date": f"({_DAYS})",
+    "dim_time": f"({FINAL['j5_dim_time']})", "dim_track": f"({FINAL['j6_dim_track']})",
+    "fact_track_played": "o_fact", "fact_artist_genre": "o_fact_genre",
+}
+
+
+def _model_hashes(model: str) -> str:
+    texts = ", ".join(f"ifnull(CAST(\"{x}\" AS VARCHAR), '~')" for x in c.CHECKED[model].split())
+    return f"""
+SELECT '{model}' AS model, count(*) AS row_count, CAST(sum(CAST('0x' ||
+    substr(md5(concat_ws('|', {texts})), 1, 8) AS BIGINT)) AS BIGINT) AS row_hashes
+FROM {_MODELS[model]} m"""
+
+
+FINAL["e12_build_warehouse"] = " UNION ALL ".join(_model_hashes(m) for m in _MODELS)
+FINAL["e12_refresh_warehouse"] = FINAL["e12_build_warehouse"]
+# enrichment flows over stored tables
+FINAL["g11_enrich_continents"] = f"""
+SELECT a.* REPLACE (g.continent AS continent, g.country_code AS country_code,
+    g.continent_code AS continent_code, m.municipality_name AS municipality_name)
+FROM area_rows a JOIN ({FINAL['g4_merge_continents'].strip()}) g
+    USING (area_id)
+JOIN ({FINAL['g7_clean_municipality_names']}) m USING (area_id)"""
+FINAL["g12_enrich_params"] = f"""
+SELECT a.* REPLACE (g.params AS params)
+FROM area_rows a JOIN ({FINAL['g5_merge_geocoding_params']}) g USING (area_id)"""
+FINAL["g13_enrich_coordinates"] = """
+WITH known AS (SELECT * FROM city_rows WHERE country_code < 'N15'),
+asked AS (SELECT DISTINCT params FROM area_rows
+          WHERE params <> '' AND params NOT IN (SELECT params FROM known))
+SELECT * FROM known
+UNION ALL BY NAME
+SELECT split_part(a.params, ',', 1) AS city_name, split_part(a.params, ',', 2) AS country_code,
+    '' AS state_code, a.params, g.lat, g.long
+FROM asked a LEFT JOIN city_rows g ON g.params = a.params"""
+FINAL["g14_enrich_artist_ids"] = FINAL["g10_backfill_artist_mbids"]
+
+
 def _needed(text: str, out: list[str]) -> list[str]:
     """Views a text refers to, each after those it refers to itself."""
     for name in dict.fromkeys(re.findall(r"(?:FROM|JOIN)\s+(\w+)", text)):

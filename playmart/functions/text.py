@@ -28,8 +28,9 @@ def first_credit(name: Column) -> Column:
 
 
 def title_words(col: Column) -> Column:
-    """Upper-case the first letter after any non-letter ('bar-baz' gives 'Bar-Baz')."""
-    parts = F.regexp_extract_all(F.lower(col), F.lit(r"(\p{L}+|\P{L}+)"), F.lit(1))
+    """Upper-case the first character after any that is no letter or digit ('bar-baz' gives
+    'Bar-Baz', '2nd' stays)."""
+    parts = F.regexp_extract_all(F.lower(col), F.lit(r"([\p{L}\p{N}]+|[^\p{L}\p{N}]+)"), F.lit(1))
     return F.array_join(F.transform(parts, F.initcap), "")
 
 

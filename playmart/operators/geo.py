@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from playmart.functions.text import without_word
-from playmart.operators.sinks import upsert
+from playmart.operators.discover import areas_needing_coordinates, countries_needing_enrichment
+from playmart.operators.sinks import upsert, write_merge, write_overwrite
 from playmart.schemas import AREA_LEVELS
+from playmart.sources.tables import read_table
 
 # fixed values: country and island names and the name they are looked up by
 NAME_OVERRIDES = {
@@ -46,32 +48,33 @@ NAME_OVERRIDES = {
     "Tokelau": "New Zealand",
 }
 MUNICIPALITY = "municipality"
-# the country reference is the ISO 3166-1 list (about 250 entries); more is a wrong input
-MAX_COUNTRIES = 1000
+AREAS, CITIES = "mbz_area_hierarchy", "cities_with_lat_long"
 CONTINENT_FIELDS = ("continent", "country_code", "continent_code")
 
 
-def area_closure(edges: DataFrame, roots: DataFrame, max_depth: int = 100) -> DataFrame:
+def area_closure(edges: DataFrame, roots: DataFrame) -> DataFrame:
     """Every root with itself and all its ancestors, once each.
 
     ``edges`` has child, parent and optionally ``ord``, the position of the relation in the
-    child's list. ``visit`` is the path of positions under which a depth-first walk first meets
-    the area, so sorting by it gives the order of that walk. Each round extends only the rows that
-    improved; a path that returns to an area it came through never improves it, so cycles end.
+    child's list (else parents are taken in their own order). ``visit`` is the path of positions,
+    from 1, under which a depth-first walk first meets the area, so sorting by it gives the order
+    of that walk. Each round extends only the rows that improved and rounds end when none did; a
+    path that returns to an area it came through never improves it, so cycles end.
     """
-    step = edges.select(
-        F.col("child").alias("area_id"), F.col("parent").alias("_parent"),
-        (F.col("ord") if "ord" in edges.columns else F.col("parent")).cast("string").alias("_ord"),
-    ).distinct()
-    no_path = F.array().cast("array<string>")
+    place = F.min("ord" if "ord" in edges.columns else "parent").alias("_place")
+    listed = edges.where("child IS NOT NULL AND parent IS NOT NULL").groupBy(
+        F.col("child").alias("area_id"), F.col("parent").alias("_parent")).agg(place)
+    at = F.row_number().over(Window.partitionBy("area_id").orderBy("_place", "_parent"))
+    step = listed.select("area_id", "_parent", at.cast("bigint").alias("_at"))
+    no_path = F.array().cast("array<bigint>")
     frontier = roots.select(F.col("area_id").alias("root_id"), "area_id",
                             no_path.alias("visit")).distinct().checkpoint()
-    closure = frontier
-    for _ in range(max_depth):
+    step, closure = step.checkpoint(), frontier
+    while not frontier.isEmpty():
         reached = (
             frontier.join(step, "area_id")
             .groupBy("root_id", F.col("_parent").alias("area_id"))
-            .agg(F.min(F.concat("visit", F.array(F.lpad("_ord", 12, "0")))).alias("visit"))
+            .agg(F.min(F.concat("visit", F.array("_at"))).alias("visit"))
         )
         known = closure.withColumnRenamed("visit", "_known")
         frontier = (
@@ -79,14 +82,10 @@ def area_closure(edges: DataFrame, roots: DataFrame, max_depth: int = 100) -> Da
             .where(F.col("_known").isNull() | (F.col("visit") < F.col("_known")))
             .drop("_known").checkpoint()
         )
-        if frontier.isEmpty():
-            break
         closure = (
             closure.unionByName(frontier).groupBy("root_id", "area_id")
             .agg(F.min("visit").alias("visit")).checkpoint()
         )
-    else:
-        raise ValueError(f"area hierarchy deeper than {max_depth}")
     return closure.withColumn("depth", F.size("visit").cast("bigint"))
 
 
@@ -94,17 +93,31 @@ def _level(type_name: Column) -> Column:
     return F.translate(F.lower(F.coalesce(type_name, F.lit("Unknown"))), " -", "__")
 
 
+def _named_levels(closure: DataFrame, areas: DataFrame) -> DataFrame:
+    return closure.join(areas, "area_id").select(
+        "root_id", "area_id", "visit",
+        F.coalesce("type", F.lit("Unknown")).alias("type"), _level(F.col("type")).alias("level"),
+        "name", F.coalesce("sort_name", "name").alias("sort_name"),
+    )
+
+
+def hierarchy_levels(closure: DataFrame, areas: DataFrame) -> DataFrame:
+    """One row per root and level that it or an ancestor has, whatever the area type is called:
+    id, name and sort name of the area of that level that is met last."""
+    entry = F.struct("visit", "area_id", "name", "sort_name")
+    return _named_levels(closure, areas).groupBy(
+        F.col("root_id").alias("root"), "level").agg(F.max(entry).alias("e")).select(
+        F.col("root").alias("area_id"), "level", F.col("e.area_id").alias("level_id"),
+        F.col("e.name").alias("level_name"), F.col("e.sort_name").alias("level_sort_name"))
+
+
 def pivot_hierarchy(closure: DataFrame, areas: DataFrame, levels=AREA_LEVELS) -> DataFrame:
     """One row per root: own type and names, and id, name, sort name per ancestor level.
 
     ``areas`` has area_id, type, name, sort_name. Of two ancestors of one level the one met last
-    wins.
+    wins. ``hierarchy_levels`` has the levels that are not asked for as columns.
     """
-    named = closure.join(areas, "area_id").select(
-        "root_id", "area_id", "visit",
-        F.coalesce("type", F.lit("Unknown")).alias("type"), _level(F.col("type")).alias("level"),
-        "name", F.coalesce("sort_name", "name").alias("sort_name"),
-    )
+    named = _named_levels(closure, areas)
     entry = F.struct("visit", "area_id", "type", "name", "sort_name")
     own = F.max(F.when(F.col("area_id") == F.col("root_id"), entry)).alias("_own")
     latest = [F.max(F.when(F.col("level") == level, entry)).alias(f"_{level}")
@@ -120,42 +133,50 @@ def pivot_hierarchy(closure: DataFrame, areas: DataFrame, levels=AREA_LEVELS) ->
     return wide.select(*columns)
 
 
+# names and codes by which a country may be called, where the reference has them
+COUNTRY_NAMES = ("name", "alpha_2", "alpha_3", "numeric", "official_name", "common_name")
+
+
+def _parts(name: Column) -> Column:
+    """All distinct parts of a name, the empty one included. Names are short."""
+    n = F.char_length(name)
+    every = F.flatten(F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda a: (
+        F.transform(F.sequence(F.lit(0), F.greatest(n - a + 1, F.lit(0))),
+                    lambda size: F.substring(name, a, size)))))
+    return F.array_distinct(every)
+
+
 def continent_lookup(countries: DataFrame, reference: DataFrame,
                      overrides: dict[str, str] | None = None) -> DataFrame:
     """Continent and codes per country name; NULLs where nothing matches.
 
-    ``reference`` has ord, name, alpha_2, continent, continent_code. A name or code that is equal
-    (any case) wins; else the first entry, by ord, where one name contains the other. The
-    reference is a country list, so it travels as one array value and no join is needed.
+    ``reference`` has ord, name, alpha_2, continent, continent_code and maybe more of
+    ``COUNTRY_NAMES``. A name or code that is equal (any case) wins; else the first entry, by ord,
+    where one name contains the other. Both are equality joins: on every name of an entry, then on
+    the parts of the names.
     """
     overrides = NAME_OVERRIDES if overrides is None else overrides
-    entries = F.sort_array(F.collect_list(
-        F.struct("ord", "name", "alpha_2", "continent", "continent_code")))
-    listed = reference.limit(MAX_COUNTRIES + 1).agg(
-        F.when(F.count(F.lit(1)) <= MAX_COUNTRIES, entries)
-        .otherwise(F.raise_error(F.lit(f"more than {MAX_COUNTRIES} countries"))).alias("r")
-    )
     name = F.col("country_name")
     if overrides:
         renamed = F.create_map(*[F.lit(x) for pair in overrides.items() for x in pair])
         name = F.coalesce(F.try_element_at(renamed, name), name)
-    wanted = (
-        countries.select("country_name").distinct()
-        .withColumn("_name", F.lower(name)).withColumn("_ref", listed.scalar())
-    )
-
-    def equal(entry: Column) -> Column:
-        return (F.lower(entry["name"]) == F.col("_name")) | (
-            F.lower(entry["alpha_2"]) == F.col("_name"))
-
-    def similar(entry: Column) -> Column:
-        other = F.lower(entry["name"])
-        return other.contains(F.col("_name")) | F.col("_name").contains(other)
-
-    first = F.lit(1)
-    match = F.coalesce(F.try_element_at(F.filter("_ref", equal), first),
-                       F.try_element_at(F.filter("_ref", similar), first))
-    return wanted.withColumn("_m", match).select(
+    wanted = countries.select("country_name").distinct().withColumn("_name", F.lower(name))
+    asked = wanted.select("_name").where("_name IS NOT NULL").distinct()
+    entry = F.struct("ord", "continent", "alpha_2", "continent_code")
+    listed = [F.lower(F.col(c).cast("string")) for c in COUNTRY_NAMES if c in reference.columns]
+    called = reference.select(F.explode(F.array_distinct(F.array_compact(F.array(*listed))))
+                              .alias("_name"), entry.alias("e"))
+    equal = called.groupBy("_name").agg(F.min("e").alias("_equal"))
+    named = reference.where("name IS NOT NULL").select(
+        F.lower("name").alias("_whole"), entry.alias("e"))
+    # an entry's name is a part of the wanted one, or the other way round
+    inside = asked.select("_name", F.explode(_parts(F.col("_name"))).alias("_whole")).join(
+        named, "_whole").select("_name", "e")
+    around = named.select(F.explode(_parts(F.col("_whole"))).alias("_name"), "e").join(
+        asked, "_name", "left_semi").select("_name", "e")
+    similar = inside.unionAll(around).groupBy("_name").agg(F.min("e").alias("_similar"))
+    return wanted.join(equal, "_name", "left").join(similar, "_name", "left").withColumn(
+        "_m", F.coalesce("_equal", "_similar")).select(
         F.col("country_name").alias("country"),
         F.col("_m.continent").alias("continent"),
         F.col("_m.alpha_2").alias("country_code"),
@@ -272,3 +293,42 @@ def backfill_count(artists: DataFrame, updated: DataFrame) -> DataFrame:
     """One row: artists that had no catalog id before and have one now."""
     before = artists.agg(F.count("artist_mbid")).scalar()
     return updated.agg((F.count("artist_mbid") - before).alias("updates_made"))
+
+
+# enrichment flows: from stored tables to stored tables
+
+def enrich_continents(spark: SparkSession, base: str, reference: DataFrame) -> DataFrame:
+    """Looks up the countries of the stored areas that lack a continent, merges the fields in,
+    cleans municipality names, and writes the areas. Returns the written table."""
+    areas = read_table(spark, base, AREAS)
+    lookup = continent_lookup(countries_needing_enrichment(areas), reference)
+    write_overwrite(clean_municipality_names(merge_continents(areas, lookup)), base, AREAS)
+    return read_table(spark, base, AREAS)
+
+
+def enrich_params(spark: SparkSession, base: str, states: DataFrame | None = None) -> DataFrame:
+    """Geocoding params of the stored areas, with state codes where they are given."""
+    areas = read_table(spark, base, AREAS)
+    if states is None:
+        named = merge_geocoding_params(areas)
+    else:
+        plain = areas.drop("code") if "code" in areas.columns else areas
+        named = add_state_codes_and_params(plain, states).drop("code").select(*areas.columns)
+    write_overwrite(named, base, AREAS)
+    return read_table(spark, base, AREAS)
+
+
+def enrich_coordinates(spark: SparkSession, base: str, gazetteer: DataFrame) -> DataFrame:
+    """Looks up the params of stored areas that no stored city has and merges them into the cities,
+    those without coordinates too. Returns the written cities."""
+    known = read_table(spark, base, CITIES)
+    wanted = areas_needing_coordinates(read_table(spark, base, AREAS), known)
+    write_merge(attach_coordinates(wanted, gazetteer), base, CITIES)
+    return read_table(spark, base, CITIES)
+
+
+def enrich_artist_ids(spark: SparkSession, base: str) -> DataFrame:
+    """Fills the missing catalog ids of the stored artists. Returns the written artists."""
+    artists, info = (read_table(spark, base, t) for t in ("spotify_artists", "mbz_artist_info"))
+    write_overwrite(backfill_artist_mbids(artists, info), base, "spotify_artists")
+    return read_table(spark, base, "spotify_artists")

@@ -1,11 +1,10 @@
 """Report queries over the star schema.
 
 A report first reduces the fact to (dimension key, year or hour) counts, then joins dimensions to
-those few rows: a hot artist's plays are combined before any shuffle, and no dimension has to be
-broadcast for the plan to hold. ``dim_date`` (one row per day of the spine) and ``dim_time`` (one
-row per second) are bounded, so joining them to the fact by broadcast is safe. Date bounds are
-inclusive and are applied to the fact itself as well, so they reach its scan. An empty or missing
-filter list does not filter.
+those few rows: a hot artist's plays are combined before any shuffle. Where artists or genres are
+selected, the fact is cut to their keys before it is grouped. Spark broadcasts a side by its own
+size check. Date bounds are inclusive and are applied to the fact itself as well, so they reach its
+scan. An empty or missing filter list does not filter.
 """
 
 from __future__ import annotations
@@ -56,18 +55,29 @@ def _period(fact: DataFrame, start: Day, end: Day) -> DataFrame:
 
 
 def _counts(fact: DataFrame, dim_date: DataFrame, start: Day, end: Day, by: list[str],
-            dim_time: DataFrame | None = None, filters: Column | None = None) -> DataFrame:
-    """``plays`` per ``by`` columns, which may come from the fact, dim_date or dim_time."""
-    days = F.broadcast(dim_date.where(_between("date", start, end)).select("date_sid", "year_num"))
-    rows = _period(fact, start, end).join(days, "date_sid")
+            dim_time: DataFrame | None = None, filters: Column | None = None,
+            selected: DataFrame | None = None) -> DataFrame:
+    """``plays`` per ``by`` columns, which may come from the fact, dim_date or dim_time.
+
+    ``selected`` is one column of dimension keys; only their plays are read further.
+    """
+    days = dim_date.where(_between("date", start, end)).select("date_sid", "year_num")
+    rows = _period(fact, start, end)
+    if selected is not None:
+        rows = rows.join(selected, selected.columns, "left_semi")
+    rows = rows.join(days, "date_sid")
     if dim_time is not None:
-        clock = dim_time.select("time_sid", "hour_of_day", "time_of_day")
-        rows = rows.join(F.broadcast(clock), "time_sid")
+        rows = rows.join(dim_time.select("time_sid", "hour_of_day", "time_of_day"), "time_sid")
     if filters is not None:
         rows = rows.where(filters)
     return rows.groupBy(*by).agg(F.count("track_sid").alias("plays"))
 
 
+def _keys(dim: DataFrame, key: str, *filters) -> DataFrame | None:
+    """The dimension's keys if anything is selected."""
+    return dim.select(key) if any(filters) else None
+
+
 # last 24 hours
 
 def last_24h_tracks(recent: DataFrame, now: datetime | str, hours: int = LAST_HOURS) -> DataFrame:
@@ -162,7 +172,8 @@ def track_count_by_geography(fact: DataFrame, dim_artist: DataFrame, dim_date: D
                              start: Day, end: Day, continents: Names = None,
                              countries: Names = None, genres: Names = None) -> DataFrame:
     artists = _selected_artists(dim_artist, continents, countries, genres)
-    plays = _counts(fact, dim_date, start, end, ["artist_sid"])
+    plays = _counts(fact, dim_date, start, end, ["artist_sid"],
+                    selected=_keys(artists, "artist_sid", continents, countries, genres))
     return plays.join(artists.select("artist_sid"), "artist_sid").agg(
         F.coalesce(F.sum("plays"), F.lit(0)).alias("track_count"))
 
@@ -172,7 +183,8 @@ def genre_distribution(fact: DataFrame, dim_artist: DataFrame, dim_date: DataFra
                        countries: Names = None, top: int = TOP_GENRES_GEO) -> DataFrame:
     artists = _selected_artists(dim_artist, continents, countries).where(
         F.col("primary_genre") != NO_GENRE)
-    plays = _counts(fact, dim_date, start, end, ["artist_sid"])
+    plays = _counts(fact, dim_date, start, end, ["artist_sid"],
+                    selected=_keys(artists, "artist_sid", continents, countries))
     return (
         plays.join(artists.select("artist_sid", "primary_genre"), "artist_sid")
         .groupBy("primary_genre").agg(F.sum("plays").alias("track_count"))
@@ -185,7 +197,8 @@ def artists_by_geography(fact: DataFrame, dim_artist: DataFrame, dim_date: DataF
                          countries: Names = None, genres: Names = None,
                          top: int = TOP_ARTISTS_GEO) -> DataFrame:
     artists = _selected_artists(dim_artist, continents, countries, genres)
-    plays = _counts(fact, dim_date, start, end, ["artist_sid"])
+    plays = _counts(fact, dim_date, start, end, ["artist_sid"],
+                    selected=_keys(artists, "artist_sid", continents, countries, genres))
     return (
         plays.join(artists.select("artist_sid", "artist_name"), "artist_sid")
         .groupBy("artist_sid", "artist_name").agg(F.sum("plays").alias("track_count"))
@@ -255,7 +268,8 @@ def _by_artist(fact: DataFrame, dim_artist: DataFrame, dim_date: DataFrame, star
     artists = dim_artist.where(F.col("artist_name").isNotNull())
     if country_code:
         artists = artists.where(F.col("country_code") == country_code)
-    plays = _counts(fact, dim_date, start, end, ["artist_sid", column], dim_time)
+    plays = _counts(fact, dim_date, start, end, ["artist_sid", column], dim_time,
+                    selected=_keys(artists, "artist_sid", country_code))
     return plays.join(artists.select("artist_sid"), "artist_sid").groupBy(column).agg(
         F.sum("plays").alias("track_count"))
 
@@ -294,9 +308,11 @@ def genres(dim_genre: DataFrame) -> DataFrame:
 
 def tracks_by_year_and_genre(fact: DataFrame, dim_genre: DataFrame, dim_date: DataFrame,
                              start: Day, end: Day, genres: Names = None) -> DataFrame:
-    plays = _counts(fact, dim_date, start, end, ["genre_sid", "year_num"])
+    chosen = _genres(dim_genre, genres)
+    plays = _counts(fact, dim_date, start, end, ["genre_sid", "year_num"],
+                    selected=_keys(chosen, "genre_sid", genres))
     return (
-        plays.join(_genres(dim_genre, genres).select("genre_sid"), "genre_sid")
+        plays.join(chosen.select("genre_sid"), "genre_sid")
         .groupBy("year_num").agg(F.sum("plays").alias("track_count")).orderBy("year_num")
     )
 
@@ -304,8 +320,10 @@ def tracks_by_year_and_genre(fact: DataFrame, dim_genre: DataFrame, dim_date: Da
 def genre_distribution_with_artists(fact: DataFrame, dim_genre: DataFrame, dim_date: DataFrame,
                                     start: Day, end: Day, genres: Names = None,
                                     top: int = TOP_GENRES) -> DataFrame:
-    plays = _counts(fact, dim_date, start, end, ["genre_sid"])
-    dim = _genres(dim_genre, genres).select(
+    chosen = _genres(dim_genre, genres)
+    plays = _counts(fact, dim_date, start, end, ["genre_sid"],
+                    selected=_keys(chosen, "genre_sid", genres))
+    dim = chosen.select(
         "genre_sid", "genre", F.col("top_artist_in_genre").alias("top_artist"),
         F.col("most_popular_artist_in_genre").alias("most_popular_artist"))
     return (
@@ -317,12 +335,14 @@ def genre_distribution_with_artists(fact: DataFrame, dim_genre: DataFrame, dim_d
 
 
 def _artist_genre_counts(fact: DataFrame, dim_genre: DataFrame, dim_artist: DataFrame,
-                         dim_date: DataFrame, start: Day, end: Day, genres: Names,
-                         years: list[int] | None) -> DataFrame:
+                         dim_date: DataFrame, start: Day, end: Day,
+                         years: list[int] | None = None, cut: bool = False) -> DataFrame:
+    """Plays per artist and genre of ``dim_genre``; with ``cut`` the fact is cut to its keys."""
     in_years = F.col("year_num").isin(*years) if years else None
-    plays = _counts(fact, dim_date, start, end, ["artist_sid", "genre_sid"], filters=in_years)
+    plays = _counts(fact, dim_date, start, end, ["artist_sid", "genre_sid"], filters=in_years,
+                    selected=_keys(dim_genre, "genre_sid", cut))
     return (
-        plays.join(_genres(dim_genre, genres).select("genre_sid", "genre"), "genre_sid")
+        plays.join(dim_genre.select("genre_sid", "genre"), "genre_sid")
         .join(dim_artist.select("artist_sid", "artist_name"), "artist_sid")
         .groupBy("artist_sid", "artist_name", "genre").agg(F.sum("plays").alias("track_count"))
     )
@@ -332,8 +352,8 @@ def artists_by_genre(fact: DataFrame, dim_genre: DataFrame, dim_artist: DataFram
                      dim_date: DataFrame, start: Day, end: Day, genres: Names = None,
                      years: list[int] | None = None, top: int = TOP_ARTISTS_GENRE) -> DataFrame:
     """Each artist with the count of the genre it is played in most."""
-    counts = _artist_genre_counts(
-        fact, dim_genre, dim_artist, dim_date, start, end, genres, years)
+    counts = _artist_genre_counts(fact, _genres(dim_genre, genres), dim_artist, dim_date, start,
+                                  end, years, bool(genres))
     return counts.groupBy("artist_name").agg(F.max("track_count").alias("track_count")).orderBy(
         F.desc("track_count"), F.asc_nulls_last("artist_name")).limit(top)
 
@@ -352,10 +372,10 @@ def top_artist_in_top_genres(fact: DataFrame, dim_genre: DataFrame, dim_artist:
     """Plays per artist within the most played genres of the period."""
     leading = genre_distribution_with_artists(
         fact, dim_genre, dim_date, start, end, top=top_genres).select("genre")
-    counts = _artist_genre_counts(
-        fact, dim_genre, dim_artist, dim_date, start, end, None, None)
+    few = _genres(dim_genre, None).join(leading, "genre", "left_semi")
+    counts = _artist_genre_counts(fact, few, dim_artist, dim_date, start, end, cut=True)
     return (
-        counts.join(leading, "genre", "left_semi").groupBy("artist_sid", "artist_name")
+        counts.groupBy("artist_sid", "artist_name")
         .agg(F.sum("track_count").alias("track_count"))
         .orderBy(F.desc("track_count"), F.asc_nulls_last("artist_name"), "artist_sid")
         .select("artist_name", "track_count")

@@ -168,6 +168,18 @@ def write_merge_partitions(df: DataFrame, base: str, table: str, keys: list[str]
     write_merge(df, base, table, keys, partition_by=partition)
 
 
+def replace_partitions(df: DataFrame, base: str, table: str, partition: str,
+                       values: list[str]) -> None:
+    """Replaces whole partitions of a stored table, those without new rows by nothing."""
+    spark = df.sparkSession
+    stored = read_table(spark, base, table)
+    staged = _stage(df, base, table, [partition])
+    folders = tuple(f"{partition}={v}/" for v in values)
+    gone = [f for f in swap.files(spark, f"{base}/{table}") if f.startswith(folders)] if (
+        stored is not None) else None
+    swap.publish(spark, base, table, staged, _stored_schema(df, [partition]), gone)
+
+
 def merge_counts(existing: DataFrame | None, new: DataFrame, keys: list[str]) -> DataFrame:
     """One row: rows of ``new`` whose keys are stored, rows that are added, rows after the merge."""
     n = F.count(F.lit(1))

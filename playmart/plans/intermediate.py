@@ -19,7 +19,6 @@ from playmart.operators.skew import join_null_safe, left_join_dim, row_number_in
 
 SPINE_START = date(2005, 2, 1)
 SPINE_DAYS_AHEAD = 30
-SPINE_MAX_DAYS = 10_000  # the four-digit number table of the original spine
 GENRE_GROUPS = 5
 DAY_SECONDS = 86_400
 LOCATION = (
@@ -151,12 +150,9 @@ def artists(distinct: DataFrame, top_genre: DataFrame, location: DataFrame,
     return known.unionByName(by_name)
 
 
-def dates(spark: SparkSession, start: date = SPINE_START, end: date | None = None,
-          compat: bool = False) -> DataFrame:
-    """One row per day; ``compat`` stops after 10 000 days like the original."""
+def dates(spark: SparkSession, start: date = SPINE_START, end: date | None = None) -> DataFrame:
+    """One row per day."""
     end = end or date.today() + timedelta(days=SPINE_DAYS_AHEAD)
-    if compat:
-        end = min(end, start + timedelta(days=SPINE_MAX_DAYS - 1))
     return spark.range(1).select(
         F.explode(F.sequence(F.lit(start), F.lit(end))).alias("date_sid"))
 

@@ -77,7 +77,6 @@ FROM {supplier} WHERE s_acctbal > 8000""",
 SELECT DISTINCT CAST(s.s_suppkey AS STRING) AS artist_id, s.s_name AS artist_name,
     lower(p.p_type) || ' ' || split_part(p.p_name, ' ', 2) AS genre
 FROM {part} p JOIN {supplier} s ON s.s_suppkey = p.p_partkey % (SELECT COUNT(*) FROM {supplier})
-WHERE p.p_size <= 8
 UNION ALL SELECT DISTINCT CAST(NULL AS STRING), p_type, lower(p_type) FROM {part}""",
     # release dates of year, month and day precision; the newest brands have no album row
     "album_rows": """
@@ -133,7 +132,8 @@ SELECT 's' || k AS area_id, 'City' AS area_type, 'City ' || k AS area_name,
     CASE WHEN nat = 24 THEN n_name END AS island_name,
     CASE WHEN nat = 24 THEN n_name END AS island_sort_name,
     CASE WHEN nat >= 20 THEN 's' || k END AS municipality_id,
-    CASE WHEN nat >= 20 THEN 'town ' || k || ' Municipality' END AS municipality_name,
+    CASE WHEN nat = 20 THEN '2nd o' || chr(39) || 'brien-' || k || ' Municipality'
+         WHEN nat > 20 THEN 'town ' || k || ' Municipality' END AS municipality_name,
     CASE WHEN nat >= 20 THEN 'town ' || k END AS municipality_sort_name,
     'd' || n AS subdivision_id, 'State ' || n AS subdivision_name,
     'State ' || n AS subdivision_sort_name,
@@ -166,19 +166,45 @@ FROM {supplier} WHERE s_acctbal >= 1000""",
     "mask_rows": """
 SELECT CAST(s_suppkey AS STRING) AS artist_id, 'Masked ' || CAST(s_suppkey AS STRING) AS mask_name
 FROM {supplier} WHERE s_nationkey = 7""",
+    # long ids with a common beginning; cities lie in a district and in their nation, districts in
+    # a base of no known level, and the world is part of its first region (a cycle)
     "area_edges": """
-SELECT 's' || CAST(s_suppkey AS STRING) AS child, 'n' || CAST(s_nationkey AS STRING) AS parent
-FROM {supplier}
+SELECT 'aaaaaaaa-1111-s' || CAST(s_suppkey AS STRING) AS child,
+    'aaaaaaaa-1111-n' || CAST(s_nationkey AS STRING) AS parent FROM {supplier}
 UNION ALL
-SELECT 'n' || CAST(n_nationkey AS STRING), 'r' || CAST(n_regionkey AS STRING) FROM {nation}""",
+SELECT 'aaaaaaaa-1111-s' || CAST(s_suppkey AS STRING),
+    'aaaaaaaa-1111-d' || CAST(s_suppkey % 40 AS STRING) FROM {supplier}
+UNION ALL
+SELECT DISTINCT 'aaaaaaaa-1111-d' || CAST(s_suppkey % 40 AS STRING),
+    'aaaaaaaa-1111-b' || CAST(s_suppkey % 5 AS STRING) FROM {supplier}
+UNION ALL
+SELECT 'aaaaaaaa-1111-b' || CAST(r_regionkey AS STRING),
+    'aaaaaaaa-1111-n' || CAST(r_regionkey * 3 AS STRING) FROM {region}
+UNION ALL
+SELECT 'aaaaaaaa-1111-n' || CAST(n_nationkey AS STRING),
+    'aaaaaaaa-1111-r' || CAST(n_regionkey AS STRING) FROM {nation}
+UNION ALL
+SELECT 'aaaaaaaa-1111-r' || CAST(r_regionkey AS STRING), 'aaaaaaaa-1111-w' FROM {region}
+UNION ALL
+SELECT 'aaaaaaaa-1111-w', 'aaaaaaaa-1111-r' || CAST(min(r_regionkey) AS STRING) FROM {region}""",
     "area_nodes": """
-SELECT 's' || CAST(s_suppkey AS STRING) AS area_id, 'City' AS type, s_name AS name,
+SELECT 'aaaaaaaa-1111-s' || CAST(s_suppkey AS STRING) AS area_id, 'City' AS type, s_name AS name,
     s_name AS sort_name FROM {supplier}
 UNION ALL
-SELECT 'n' || CAST(n_nationkey AS STRING), 'Country', n_name, n_name FROM {nation}
-UNION ALL SELECT 'r' || CAST(r_regionkey AS STRING), NULL, r_name, NULL FROM {region}""",
+SELECT DISTINCT 'aaaaaaaa-1111-d' || CAST(s_suppkey % 40 AS STRING), 'District',
+    'District ' || CAST(s_suppkey % 40 AS STRING), CAST(NULL AS STRING) FROM {supplier}
+UNION ALL
+SELECT 'aaaaaaaa-1111-b' || CAST(r_regionkey AS STRING), 'Military base',
+    'Base ' || CAST(r_regionkey AS STRING), CAST(NULL AS STRING) FROM {region}
+UNION ALL
+SELECT 'aaaaaaaa-1111-n' || CAST(n_nationkey AS STRING), 'Country', n_name, n_name FROM {nation}
+UNION ALL
+SELECT 'aaaaaaaa-1111-r' || CAST(r_regionkey AS STRING), NULL, r_name, NULL FROM {region}
+UNION ALL SELECT DISTINCT 'aaaaaaaa-1111-w', 'World', 'World', 'World' FROM {region}""",
     "country_ref": """
 SELECT n_nationkey AS ord, n_name AS name, 'N' || CAST(n_nationkey AS STRING) AS alpha_2,
+    'NA' || CAST(n_nationkey AS STRING) AS alpha_3,
+    'Republic No. ' || CAST(n_nationkey AS STRING) AS official_name,
     r_name AS continent, 'R' || CAST(n_regionkey AS STRING) AS continent_code
 FROM {nation} JOIN {region} ON r_regionkey = n_regionkey""",
 }

@@ -6,6 +6,7 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 from datetime import date
+from threading import RLock
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,12 +14,14 @@ from pyspark.sql import functions as F
 from playmart.functions import scoring as S
 from playmart.functions.keys import surrogate_key, timestamp_part
 from playmart.functions.times import LOCAL_ZONE, clock_text
-from playmart.operators.sinks import write_overwrite
+from playmart.operators.sinks import replace_partitions, write_overwrite
 from playmart.operators.skew import left_join_dim
 from playmart.plans import intermediate as I
 from playmart.plans import stage
-from playmart.schemas import REQUIRED_TABLES
-from playmart.sources.tables import read_table
+from playmart.schemas import REQUIRED_TABLES, SEEDS
+from playmart.sources import swap
+from playmart.sources.plays import read_recently_played_csv
+from playmart.sources.tables import read_seed, read_table
 
 NO_DATE = "1900-01-01"
 FACT_PARTITION = "play_year"
@@ -143,9 +146,20 @@ def _play_keys() -> list:
     ]
 
 
-def fact_track_played(played: DataFrame) -> DataFrame:
+def keyed_plays(played: DataFrame) -> DataFrame:
+    """Plays with the keys of both facts, computed once per play and before genres fan out."""
+    uid = surrogate_key("track_id", "track_name", "artist", timestamp_part("played_at"))
     return played.select(
-        *_play_keys(), F.col("artist").alias("artist_name"), "request_cursor", "date_sid",
+        "artist_id", "artist", uid.alias("track_played_uid"), *_play_keys(), "request_cursor",
+        "date_sid", "time_sid", "popularity", "artist_popularity", "duration_ms", "duration_mins",
+        "tracks_played",
+    )
+
+
+def fact_track_played(played: DataFrame) -> DataFrame:
+    keyed = played if "track_sid" in played.columns else keyed_plays(played)
+    return keyed.select(
+        "track_sid", "artist_sid", "album_sid", F.col("artist").alias("artist_name"), "request_cursor", "date_sid",
         "time_sid", "popularity", "artist_popularity", "duration_ms", "duration_mins",
         "tracks_played",
     )
@@ -156,10 +170,10 @@ def fact_artist_genre(played: DataFrame, artist_genre: DataFrame) -> DataFrame:
 
     The genre key is that of the raw genre, so plays without a genre match no dimension row.
     """
-    tagged = left_join_dim(played, artist_genre, "artist_id", ["genre"])
-    uid = surrogate_key("track_id", "track_name", "artist", timestamp_part("played_at"))
+    keyed = played if "track_sid" in played.columns else keyed_plays(played)
+    tagged = left_join_dim(keyed, artist_genre, "artist_id", ["genre"])
     return tagged.select(
-        uid.alias("track_played_uid"), *_play_keys(),
+        "track_played_uid", "track_sid", "artist_sid", "album_sid",
         surrogate_key("genre", F.lit("")).alias("genre_sid"),
         "date_sid", "time_sid", "popularity", "duration_ms", "duration_mins",
     )
@@ -192,18 +206,41 @@ class Inputs:
     spine_start: date = I.SPINE_START
     spine_end: date | None = None
     built: dict[str, DataFrame] = field(default_factory=dict, repr=False)
+    lock: RLock = field(default_factory=RLock, repr=False)
 
     def table(self, name: str) -> DataFrame:
-        found = self.tables[name]
-        if not isinstance(found, DataFrame):
-            found = self.tables[name] = found()
+        with self.lock:
+            found = self.tables[name]
+            if callable(found):
+                found = self.tables[name] = found()
+        if found is None:
+            raise FileNotFoundError(f"the stored table {name} is missing")
         return found
 
 
-def stored_inputs(spark: SparkSession, base: str, **params) -> Inputs:
-    """Inputs over the Parquet folders below ``base``."""
-    names = (*REQUIRED_TABLES, "mask_artists", "recently_played")
-    return Inputs(spark, {n: (lambda n=n: read_table(spark, base, n)) for n in names}, **params)
+def stored_inputs(spark: SparkSession, base: str, seeds: str | None = None,
+                  snapshot: str | None = None, **params) -> Inputs:
+    """Inputs over what is stored below ``base``: Parquet tables, the seed CSVs (in ``seeds``,
+    by default ``base/seeds``) and the consolidated CSV snapshot (``base/recently_played``).
+
+    A missing table is an error as soon as a selected model needs it; without a mask seed no
+    artist is masked.
+    """
+    seeds, snapshot = seeds or f"{base}/seeds", snapshot or f"{base}/recently_played"
+
+    def masks() -> DataFrame:
+        if swap.exists(spark, f"{seeds}/mask_artists.csv"):
+            return read_seed(spark, seeds, "mask_artists")
+        stored = read_table(spark, base, "mask_artists")
+        return spark.createDataFrame([], SEEDS["mask_artists"]) if stored is None else stored
+
+    def recent() -> DataFrame | None:
+        if any(name.endswith(".csv") for name in swap.names(spark, snapshot)):
+            return read_recently_played_csv(spark, snapshot)
+        return read_table(spark, base, "recently_played")
+
+    tables = {n: (lambda n=n: read_table(spark, base, n)) for n in REQUIRED_TABLES}
+    return Inputs(spark, {**tables, "mask_artists": masks, "recently_played": recent}, **params)
 
 
 # model name -> builder; ``m`` gives other models by name
@@ -243,22 +280,25 @@ MODELS = {
     "dim_date": lambda i, m: dim_date(m("dates")),
     "dim_time": lambda i, m: dim_time(m("times")),
     "dim_track": lambda i, m: dim_track(m("tracks")),
-    "fact_track_played": lambda i, m: fact_track_played(m("played")),
-    "fact_artist_genre": lambda i, m: fact_artist_genre(m("played"), m("stg_artist_genre")),
+    "keyed_plays": lambda i, m: keyed_plays(m("played")),
+    "fact_track_played": lambda i, m: fact_track_played(m("keyed_plays")),
+    "fact_artist_genre": lambda i, m: fact_artist_genre(m("keyed_plays"), m("stg_artist_genre")),
     "recently_played": lambda i, m: recently_played(i.table("recently_played"), i.precision),
 }
 # models that read the distinct plays; from two on, they are written once and read back
-FROM_DISTINCT_PLAYS = {"dim_artist_genre", "ranked_genre", "genre_stats", "played",
+FROM_DISTINCT_PLAYS = {"dim_artist_genre", "ranked_genre", "genre_stats", "played", "keyed_plays",
                        "fact_track_played", "fact_artist_genre"}
+FACTS = ("fact_track_played", "fact_artist_genre")
 WAREHOUSE = ("dim_album", "dim_artist", "dim_artist_genre", "dim_date", "dim_time", "dim_track",
              "fact_track_played", "fact_artist_genre")
 
 
 def build_model(inputs: Inputs, name: str) -> DataFrame:
     """One model as a lazy DataFrame over the inputs; shared upstream models are built once."""
-    if name not in inputs.built:
-        inputs.built[name] = MODELS[name](inputs, lambda other: build_model(inputs, other))
-    return inputs.built[name]
+    with inputs.lock:
+        if name not in inputs.built:
+            inputs.built[name] = MODELS[name](inputs, lambda other: build_model(inputs, other))
+        return inputs.built[name]
 
 
 def selected_models(select: list[str] | None = None, exclude: list[str] | None = None
@@ -276,6 +316,34 @@ def build_warehouse(inputs: Inputs, select: list[str] | None = None,
     return {name: build_model(inputs, name) for name in selected_models(select, exclude)}
 
 
+def _written(inputs: Inputs, base: str, name: str) -> Inputs:
+    """The inputs with a model that is written once and read back."""
+    write_overwrite(build_model(inputs, name), base, name)
+    kept = {k: v for k, v in inputs.built.items() if k.startswith("stg_")}
+    return replace(inputs, built={**kept, name: read_table(inputs.spark, base, name)})
+
+
+def _by_year(fact: DataFrame) -> DataFrame:
+    return fact.withColumn(FACT_PARTITION, F.year("date_sid")).hint(
+        "rebalance", FACT_PARTITION).sortWithinPartitions(FACT_PARTITION, "date_sid")
+
+
+def refresh_warehouse(inputs: Inputs, base: str, start: date, end: date) -> list[str]:
+    """Brings the written warehouse up to date after plays of local days ``start`` to ``end``
+    changed: the facts of those years are built and replaced, other years' files stay; the
+    dimensions, which are small, are written anew."""
+    years = list(range(start.year, end.year + 1))
+    write_warehouse(inputs, base, exclude=list(FACTS))
+    plays = build_model(inputs, "keyed_plays").where(F.year("date_sid").isin(years))
+    write_overwrite(plays, base, "keyed_plays")
+    part = replace(inputs, built={"keyed_plays": read_table(inputs.spark, base, "keyed_plays")},
+                   lock=RLock())
+    for name in FACTS:
+        replace_partitions(_by_year(build_model(part, name)), base, name, FACT_PARTITION,
+                           [str(y) for y in years])
+    return list(WAREHOUSE)
+
+
 def write_warehouse(inputs: Inputs, base: str, select: list[str] | None = None,
                     exclude: list[str] | None = None, jobs: int = 4) -> list[str]:
     """Writes the selected models to Parquet folders.
@@ -283,21 +351,20 @@ def write_warehouse(inputs: Inputs, base: str, select: list[str] | None = None,
     Facts are partitioned by the year of ``date_sid``, so report date ranges prune folders, and
     sorted by it within files, so they prune row groups. The rebalance step evens out file sizes:
     a year with many plays becomes many files, a small one few. The distinct over whole plays is
-    the one wide shuffle several models share, so its result is written as a table of its own.
+    the one wide shuffle several models share, so its result is written as a table of its own, as
+    are the joined and keyed plays that both facts start from.
     """
     names = selected_models(select, exclude)
     plays = "stg_tracks_played"
     if plays not in inputs.built and len(FROM_DISTINCT_PLAYS.intersection(names)) > 1:
-        write_overwrite(build_model(inputs, plays), base, plays)
-        inputs = replace(inputs, built={plays: read_table(inputs.spark, base, plays)})
+        inputs = _written(inputs, base, plays)
+    if "keyed_plays" not in inputs.built and set(FACTS) <= set(names):
+        inputs = _written(inputs, base, "keyed_plays")
 
     def write(name: str) -> None:
         df = build_model(inputs, name)
-        if name.startswith("fact_"):
-            by_year = df.withColumn(FACT_PARTITION, F.year("date_sid"))
-            ordered = by_year.hint("rebalance", FACT_PARTITION).sortWithinPartitions(
-                FACT_PARTITION, "date_sid")
-            write_overwrite(ordered, base, name, [FACT_PARTITION])
+        if name in FACTS:
+            write_overwrite(_by_year(df), base, name, [FACT_PARTITION])
         else:
             write_overwrite(df, base, name)
 

@@ -4,11 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from playmart.functions.times import parse_played_at
-from playmart.operators.dedup import dedup_plays
-from playmart.operators.sinks import write_csv_snapshot
+from playmart.operators.dedup import (
+    EXACT_KEYS,
+    dedup_exact,
+    dedup_plays,
+    require_play_identity,
+)
+from playmart.operators.sinks import write_append, write_csv_snapshot
+from playmart.operators.skew import join_null_safe
 from playmart.schemas import RAW_PLAY, RECENTLY_PLAYED_CSV
+from playmart.sources.tables import read_table
+
+TRACKS = "tracks_played"
 
 
 def typed_plays(raw: DataFrame) -> DataFrame:
@@ -21,19 +31,62 @@ def typed_plays(raw: DataFrame) -> DataFrame:
     }).withColumnsRenamed({"uri": "track_uri", "request_after": "request_cursor"})
 
 
-def read_raw_plays(spark: SparkSession, path: str, with_file: bool = False,
-                   glob: str = "*.json") -> DataFrame:
-    """All JSON files below ``path``; a file holds an array of records or one record."""
-    raw = (
-        spark.read.schema(RAW_PLAY)
-        .option("multiLine", True)
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", glob)
-        .json(path)
+CORRUPT = "_corrupt_record"
+
+
+def raw_schema() -> T.StructType:
+    return T.StructType.fromDDL(RAW_PLAY).add(CORRUPT, "string")
+
+
+def split_rejected(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Readable records, and what could not be read: ``source_file`` and ``text``. A file that is
+    not JSON throughout gives no play at all."""
+    path = F.col("_metadata.file_path")
+    # the reader refuses queries for nothing but the bad text, so a part of no length goes with it
+    nothing = F.substring(F.coalesce("user_id", F.lit("")), 1, 0)
+    bad = raw.where(F.col(CORRUPT).isNotNull()).select(
+        path.alias("source_file"), F.concat(CORRUPT, nothing).alias("text"))
+    return raw.where(F.col(CORRUPT).isNull()).drop(CORRUPT), bad
+
+
+def _raw(spark: SparkSession, path: str, glob: str, strict: bool) -> DataFrame:
+    return (
+        spark.read.schema(raw_schema())
+        .option("multiLine", True).option("columnNameOfCorruptRecord", CORRUPT)
+        .option("recursiveFileLookup", True).option("pathGlobFilter", glob)
+        .option("mode", "FAILFAST" if strict else "PERMISSIVE").json(path)
     )
+
+
+def read_raw_plays(spark: SparkSession, path: str, with_file: bool = False,
+                   glob: str = "*.json", strict: bool = False) -> DataFrame:
+    """All JSON files below ``path``; a file holds an array of records or one record.
+
+    Files that cannot be read give no rows (see ``rejected_files``); ``strict`` raises instead.
+    """
+    good, _ = split_rejected(_raw(spark, path, glob, strict))
     if with_file:
-        raw = raw.select("*", F.col("_metadata.file_path").alias("source_file"))
-    return typed_plays(raw)
+        good = good.select("*", F.col("_metadata.file_path").alias("source_file"))
+    return typed_plays(good)
+
+
+def rejected_files(spark: SparkSession, path: str, glob: str = "*.json") -> DataFrame:
+    """``source_file`` and ``text`` of the files that ``read_raw_plays`` leaves out."""
+    return split_rejected(_raw(spark, path, glob, False))[1]
+
+
+def ingest_raw_plays(spark: SparkSession, raw_path: str, base: str, glob: str = "*.json",
+                     rejected: str = "rejected_files") -> DataFrame:
+    """Raw files into the stored plays: unreadable files go to a table of their own, the others'
+    plays are appended without exact repeats of their own or of stored plays. Returns the plays."""
+    write_append(rejected_files(spark, raw_path, glob), base, rejected)
+    new = dedup_exact(require_play_identity(read_raw_plays(spark, raw_path, glob=glob)))
+    stored = read_table(spark, base, TRACKS)
+    if stored is not None:
+        new = join_null_safe(new, stored.select(*EXACT_KEYS).distinct(), list(EXACT_KEYS),
+                             "left_anti")
+    write_append(new, base, TRACKS)
+    return read_table(spark, base, TRACKS)
 
 
 def read_recently_played_csv(spark: SparkSession, path: str) -> DataFrame:

@@ -18,24 +18,37 @@ from playmart.operators.dedup import (
 )
 from playmart.operators.sinks import write_merge, write_overwrite
 from playmart.operators.skew import HOUR, left_join_dim
-from playmart.schemas import RAW_PLAY
 from playmart.sources import swap
-from playmart.sources.plays import typed_plays
+from playmart.sources.plays import CORRUPT, raw_schema, split_rejected, typed_plays
 from playmart.sources.tables import read_table
 
 DELAY = "1 hour"
 
 
-def stream_raw_plays(spark: SparkSession, path: str, archive: str | None = None,
-                     files_per_trigger: int | None = None, glob: str = "*.json") -> DataFrame:
-    """New JSON files as typed plays; with ``archive`` finished files are moved there."""
-    reader = spark.readStream.schema(RAW_PLAY).option("multiLine", True).option(
-        "pathGlobFilter", glob)
+def _raw_stream(spark: SparkSession, path: str, archive: str | None,
+                files_per_trigger: int | None, glob: str) -> DataFrame:
+    reader = spark.readStream.schema(raw_schema()).option("multiLine", True).option(
+        "columnNameOfCorruptRecord", CORRUPT).option("pathGlobFilter", glob)
     if archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return typed_plays(reader.json(path))
+    return reader.json(path)
+
+
+def stream_raw_plays(spark: SparkSession, path: str, archive: str | None = None,
+                     files_per_trigger: int | None = None, glob: str = "*.json") -> DataFrame:
+    """New JSON files as typed plays; with ``archive`` finished files are moved there. Files that
+    cannot be read give no plays; ``stream_rejected_files`` has their text, so run it beside this
+    one where files are archived."""
+    raw = _raw_stream(spark, path, archive, files_per_trigger, glob)
+    return typed_plays(split_rejected(raw)[0])
+
+
+def stream_rejected_files(spark: SparkSession, path: str, files_per_trigger: int | None = None,
+                          glob: str = "*.json") -> DataFrame:
+    """``source_file`` and ``text`` of new files that cannot be read."""
+    return split_rejected(_raw_stream(spark, path, None, files_per_trigger, glob))[1]
 
 
 def run_available_now(stream: DataFrame, path: str, checkpoint: str) -> None:
@@ -172,17 +185,34 @@ def stream_upsert(rows: DataFrame, base: str, table: str, checkpoint: str,
 
 def stream_plays_per_window(plays: DataFrame, length: str = "1 hour", slide: str | None = None,
                             delay: str = DELAY) -> DataFrame:
-    """Plays, minutes and approximate distinct artists per tumbling or sliding window."""
+    """Plays, minutes and distinct artists per tumbling or sliding window.
+
+    Plays are counted per step and artist first; sliding windows then roll these few rows up, so a
+    play is never copied to every window that holds it. ``length`` must be a multiple of ``slide``.
+    """
     minutes = exact_minutes(scaled_ms(F.col("duration_ms"), 60_000, 2))
-    span = F.window("played_at", length, slide) if slide else F.window("played_at", length)
-    return plays.withWatermark("played_at", delay).groupBy(span.alias("w")).agg(
-        F.count(F.lit(1)).alias("plays"),
-        F.sum(minutes).cast("double").alias("minutes"),
-        F.approx_count_distinct("artist").alias("artists"),
+    steps = plays.withWatermark("played_at", delay).groupBy(
+        F.window("played_at", slide or length).alias("w"), "artist").agg(
+        F.count(F.lit(1)).alias("plays"), F.sum(minutes).alias("minutes"))
+    total = [F.sum("plays").alias("plays"), F.sum("minutes").alias("minutes")]
+    if slide:
+        steps = steps.groupBy(
+            F.window(F.window_time("w"), length, slide).alias("w"), "artist").agg(*total)
+    return steps.groupBy("w").agg(
+        F.sum("plays").alias("plays"), F.sum("minutes").cast("double").alias("minutes"),
+        F.count("artist").alias("artists"),
     ).select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
              "plays", "minutes", "artists")
 
 
+def closing_play(like: DataFrame, at: datetime) -> DataFrame:
+    """One row with an event time and nothing else. At the end of a bounded stream it moves the
+    watermark to ``at`` less the delay, so that the windows before are emitted; its own are not."""
+    return like.sparkSession.range(1).select(*[
+        (F.lit(at).cast(f.dataType) if f.name == "played_at"
+         else F.lit(None).cast(f.dataType)).alias(f.name) for f in like.schema])
+
+
 def stream_enrich(plays: DataFrame, artists: DataFrame, columns: list[str]) -> DataFrame:
     """Streamed plays with columns of the (static) artists."""
     return left_join_dim(plays, artists, "artist_id", columns)

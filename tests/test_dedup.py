@@ -112,3 +112,13 @@ def test_input_partitions_do_not_matter(spark):
     a = dedup.dedup_plays(df.repartition(1), tie=("track_id",))
     b = dedup.dedup_plays(df.repartition(6, F.rand(3)), tie=("track_id",))
     assert sorted(tuples(a)) == sorted(tuples(b))
+
+
+def test_equal_instants_have_one_result_whatever_the_partitioning(spark):
+    rng = random.Random(4)
+    rows = [(None if rng.random() < 0.5 else f"t{rng.randrange(3)}", "n", "a", at(rng.randrange(4) * 30),
+             rng.choice([None, 1000, 40_000, 90_000])) for _ in range(60)]
+    df = plays(spark, rows)
+    results = [sorted(tuples(dedup.dedup_within_duration(df.repartition(n, F.rand(n)))), key=str)
+               for n in (1, 3, 5, 8)]
+    assert all(r == results[0] for r in results)

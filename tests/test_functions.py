@@ -127,6 +127,7 @@ def test_placeholders_become_null(spark):
 
 @pytest.mark.parametrize("name, expected", [
     ("Copenhagen Municipality", "Copenhagen"), ("municipality of bar-baz", "Of Bar-Baz"),
+    ("2nd o'brien municipality", "2nd O'Brien"),
     ("Oslo", "Oslo"), ("MUNICIPALITY municipality x", "Municipality X"), (None, None),
     ("Östersund Municipality", "Östersund"),
 ])

@@ -1,5 +1,6 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from playmart.operators import ingest, sinks
@@ -138,3 +139,29 @@ def test_tables_views_and_seeds(spark, tmp_path):
     (tmp_path / "unmapped_areas.csv").write_bytes("﻿area,country\nÖ,SE\n".encode())
     assert tuples(tables.read_seed(spark, base, "unmapped_areas")) == [("Ö", "SE")]
     assert set(SEEDS) == {"integers", "mask_artists", "unmapped_areas"}
+
+
+def test_unreadable_files_give_no_plays(spark, tmp_path):
+    folder = tmp_path / "raw"
+    folder.mkdir()
+    (folder / "good.json").write_text(json.dumps([raw(track_id="1"), raw(track_id="2")]))
+    (folder / "cut.json").write_text('[{"track_id": "3", "track_na')
+    (folder / "empty.json").write_text("")
+    (folder / "none.json").write_text("[]")
+    assert sorted(tuples(sources.read_raw_plays(spark, str(folder)), "track_id")) == [("1",), ("2",)]
+    bad = sources.rejected_files(spark, str(folder)).collect()
+    assert [(r.source_file.split("/")[-1], r.text[:14]) for r in bad] == [
+        ("cut.json", '[{"track_id": ')]
+    with pytest.raises(Exception, match="(?i)malformed"):
+        sources.read_raw_plays(spark, str(folder), strict=True).collect()
+
+
+def test_raw_files_into_the_stored_plays(spark, tmp_path):
+    folder, base = tmp_path / "raw", str(tmp_path / "base")
+    folder.mkdir()
+    (folder / "a.json").write_text(json.dumps([raw(track_id="1"), raw(track_id="1"), raw(artist=None)]))
+    (folder / "cut.json").write_text('[{"track')
+    for _ in range(2):  # the second run adds no play
+        got = sources.ingest_raw_plays(spark, str(folder), base)
+    assert tuples(got, "track_id") == [("1",)]
+    assert tables.read_table(spark, base, "rejected_files").count() == 2

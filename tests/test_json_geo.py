@@ -31,6 +31,11 @@ def test_flatten_json_column(spark):
     assert tuples(got, "p_a_b", "p_c") == [("1", '{"d":2}'), (None, None), (None, None),
                                            (None, None)]
     assert jsonops.flatten_json_column(df, "nope") is df
+    clash = spark.createDataFrame([(1, '{"a-b":"1","a_b":"2"}')], "id int, j string")
+    with pytest.raises(ValueError, match="a_b"):
+        jsonops.flatten_json_column(clash, "j")
+    with pytest.raises(ValueError, match="overwrite column 'id'"):
+        jsonops.flatten_json_column(clash, "j", keys=["id"])
 
 
 def test_json_extract_and_explode(spark):
@@ -126,13 +131,41 @@ def test_continent_lookup(spark):
     assert len(geo.NAME_OVERRIDES) == 33
 
 
-def test_continent_reference_has_a_bound(spark):
-    ref = spark.range(geo.MAX_COUNTRIES + 1).selectExpr(
-        "id AS ord", "cast(id as string) AS name", "'x' AS alpha_2", "'c' AS continent",
-        "'d' AS continent_code")
-    df = spark.createDataFrame([("q",)], "country_name string")
-    with pytest.raises(Exception, match="more than 1000 countries"):
-        geo.continent_lookup(df, ref).collect()
+def test_continent_lookup_by_any_code_and_without_a_bound(spark):
+    ref = spark.range(3000).selectExpr(
+        "cast(id as int) AS ord", "concat('land ', id, '.') AS name",
+        "concat('L', id) AS alpha_2", "concat('LX', id) AS alpha_3", "cast(id as string) AS numeric",
+        "concat('Realm of ', id) AS official_name", "'c' AS continent", "'d' AS continent_code")
+    names = ["lx7", "12", "realm of 2999", "the Land 5. isle", "and 88.", "Nowhere", None]
+    df = spark.createDataFrame([(n,) for n in names], "country_name string")
+    got = {r.country: r.country_code for r in geo.continent_lookup(df, ref).collect()}
+    assert got == {"lx7": "L7", "12": "L12", "realm of 2999": "L2999", "the Land 5. isle": "L5",
+                   "and 88.": "L88", "Nowhere": None, None: None}
+
+
+def test_closure_keeps_the_walk_of_long_ids_deep_chains_and_all_levels(spark):
+    p = "aaaaaaaa-1111-"
+    edges = [(p + "c", 2, p + "0001"), (p + "c", 1, p + "0002"), (p + "0001", 1, p + "n1"),
+             (p + "0002", 1, p + "n2")]
+    edges += [(f"x{k}", 1, f"x{k + 1}") for k in range(15)]
+    df = spark.createDataFrame(edges, EDGES)
+    roots = spark.createDataFrame([(p + "c",), ("x0",)], "area_id string")
+    closure = geo.area_closure(df, roots)
+    for root in (p + "c", "x0"):
+        got = closure.where(closure.root_id == root).orderBy("visit")
+        assert [r.area_id for r in got.collect()] == walk(edges, root)
+    assert closure.where("area_id = 'x15'").first()["depth"] == 15
+    areas = spark.createDataFrame(
+        [(p + "c", "City"), (p + "0001", "Country"), (p + "0002", "Country"),
+         (p + "n1", "Military base"), (p + "n2", None)], "area_id string, type string").selectExpr(
+        "*", "area_id AS name", "cast(null as string) AS sort_name")
+    # the position counts, not the id: 0002 is met first, so 0001 is the last country
+    wide = geo.pivot_hierarchy(closure, areas).where("area_type = 'City'").first()
+    assert wide.country_id == p + "0001" and wide.unknown_id == p + "n2"
+    levels = {r.level: r.level_id for r in geo.hierarchy_levels(closure, areas).where(
+        f"area_id = '{p}c'").collect()}
+    assert levels == {"city": p + "c", "country": p + "0001", "military_base": p + "n1",
+                      "unknown": p + "n2"}
 
 
 def test_merge_continents(spark):

@@ -152,3 +152,12 @@ def test_measures(spark, star):
     row = R.measures(t, star["f"], *FULL).first()
     assert (row.count_tracks_played, row.sum_of_minutes_played,
             row.count_tracks_played_in_genre) == (6, 9.0, 5)
+
+
+def test_selected_keys_cut_the_fact_before_it_is_grouped(spark, star):
+    t, a, d = star["t"], star["a"], star["d"]
+    plan = R.tracks_by_year(t, a, d, *FULL, country_code="NO")._jdf.queryExecution().optimizedPlan()
+    text = plan.toString()
+    assert "LeftSemi" in text and text.index("Aggregate") < text.index("LeftSemi")
+    whole = R.tracks_by_year(t, a, d, *FULL)._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" not in whole

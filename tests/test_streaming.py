@@ -84,6 +84,16 @@ def test_duration_dedup_drops_late_rows_and_repeats_a_batch_safely(spark, tmp_pa
     job.process(again, batch_id)
     job.flush(spark, again, batch_id)
     assert sorted(tuples(job.result(spark), "track_id")) == [("1",), ("2",), ("3",)]
+    assert tuples(job.late(spark), "track_id") == [("late",)]
+
+
+def test_duration_dedup_refuses_lost_state_and_forgets_old_state(spark, tmp_path):
+    job = S.DurationDedup(str(tmp_path / "out"), str(tmp_path / "state"))
+    for k in range(4):
+        job.process(plays(spark, [(str(k), "n", "x", at(7200 * k), 1000)]), k)
+    assert sorted(p.name for p in (tmp_path / "state" / "mark").iterdir()) == ["2", "3"]
+    with pytest.raises(RuntimeError, match="state of batch 6 is missing"):
+        job.process(plays(spark, []), 7)
 
 
 def test_duration_state_forgets_tracks_that_cannot_matter(spark, tmp_path):
@@ -120,6 +130,31 @@ def test_windows_close_behind_the_watermark(spark, tmp_path, slide, windows):
     assert all(r.window_end <= at(4 * 3600) for r in full.values())
 
 
+def test_a_closing_play_emits_the_last_windows(spark, tmp_path):
+    rows = [(f"t{i}", "n", f"art{i % 3}", at(i * 600), 60_000) for i in range(12)]
+    ddl = PLAY_DDL
+    source = plays(spark, rows)
+    end = S.closing_play(source, at(0, day=4))
+    assert end.schema == source.schema or end.columns == source.columns
+    stream = feed(spark, tmp_path / "in", [rows, [tuple(end.first())]], ddl)
+    got = drained(spark, S.stream_plays_per_window(stream, "3 hours", "1 hour"), tmp_path)
+    rows = sorted(tuples(got, "window_start", "plays", "artists"))
+    assert [r[1:] for r in rows] == [(6, 3), (12, 3), (12, 3), (6, 3)]
+
+
+def test_unreadable_files_are_kept_apart(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    (source / "a.json").write_text('[{"track_id": "t", "uri": "u"}]')
+    (source / "cut.json").write_text('[{"track_id": "t", "u')
+    got = drained(spark, S.stream_raw_plays(spark, str(source)), tmp_path)
+    assert tuples(got, "track_id") == [("t",)]
+    bad = S.stream_rejected_files(spark, str(source))
+    S.run_available_now(bad, str(tmp_path / "bad"), str(tmp_path / "bad-check"))
+    assert [r.source_file.split("/")[-1] for r in spark.read.parquet(
+        str(tmp_path / "bad")).collect()] == ["cut.json"]
+
+
 def test_enrich(spark, tmp_path):
     ddl = "artist_id string, v int"
     stream = feed(spark, tmp_path / "in", [[("a", 1), (None, 2), ("q", 3)]], ddl)
