@@ -24,6 +24,7 @@ from playmart.llm import (
     tokencount,
     warc,
 )
+from playmart.llm.oracle import ORACLE_SQL  # noqa: F401
 from playmart.session import ensure_checkpoint_dir, scratch_path
 
 
@@ -161,5 +162,3 @@ QUERIES = {
     "op9_warc": op9_warc,
     "op10_main_text": op10_main_text,
 }
-
-ORACLE_SQL: dict[str, str] = {}

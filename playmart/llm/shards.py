@@ -2,7 +2,7 @@
 
 A node that should become p shards is split at the weighted median (weights floor(p/2) : ceil(p/2))
 along its widest dimension, until every leaf is one shard of about the target bytes. All nodes of a
-level are split at once: rows are range-partitioned by (node, value, text, row), a row's cumulative
+level are split at once: rows are range-partitioned by (node, value, text, key), a row's cumulative
 bytes are its slice's running sum plus the bytes of its node in earlier slices. Only metadata
 moves, never the texts, and no row passes through the driver or one task.
 """
@@ -42,7 +42,7 @@ def split_level(rows: DataFrame, dims: list[str], widths: dict[str, float]) -> D
         value = F.when(F.col("_axis") == k, F.col(d)).otherwise(value)
     placed = rows.join(nodes, node, "left").withColumn("_value", value)
     slices = (
-        placed.repartitionByRange("first", "_value", "crc", "rid")
+        placed.repartitionByRange("first", "_value", "crc", "key", "rid")
         .withColumn("_slice", F.spark_partition_id()).checkpoint()
     )
     sums = slices.groupBy(*node, "_slice").agg(F.sum("size").alias("_held"))
@@ -50,7 +50,7 @@ def split_level(rows: DataFrame, dims: list[str], widths: dict[str, float]) -> D
         Window.unboundedPreceding, -1)
     offsets = sums.select(*node, "_slice",
                           F.coalesce(F.sum("_held").over(before), F.lit(0)).alias("_earlier"))
-    running = Window.partitionBy(*node, "_slice").orderBy("_value", "crc", "rid").rowsBetween(
+    running = Window.partitionBy(*node, "_slice").orderBy("_value", "crc", "key", "rid").rowsBetween(
         Window.unboundedPreceding, 0)
     summed = join_null_safe(slices.withColumn("_run", F.sum("size").over(running)), offsets,
                             [*node, "_slice"])
@@ -73,7 +73,7 @@ def kd_shards(docs: DataFrame, dims: list[str], target_bytes: int | None = None,
 
     Give the number of shards, or the bytes a shard should have. A null text has no bytes; null
     keys and repeated rows are rows of their own. Ties along a dimension go by text and then by
-    row, so equal rows are split like others and a border is at most half a row off its place; rows
+    key, so equal rows are split like others and a border is at most half a row off its place; rows
     of one text stay side by side. An empty table has no shards.
     """
     body = F.coalesce(docs[f"`{text}`"], F.lit(""))
