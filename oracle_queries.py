@@ -8,16 +8,39 @@ from __future__ import annotations
 
 import re
 
-from playmart.functions import scoring
-from playmart.functions.keys import NULL_PART
-from playmart.operators.reports import DAY_ORDER
 from playmart.plans import catalog as c
 from playmart.plans.proxies import oracle_proxies
-from playmart.plans.stage import PLAY_COLUMNS
-from playmart.schemas import ALBUMS, AREA_HIERARCHY, ARTIST_INFO
 
-NO_GENRE = scoring.NO_GENRE
+# fixed values, written out a second time: a changed constant of the package must show here
+NULL_PART = "_dbt_utils_surrogate_key_null_"
+NO_GENRE = "no genre defined"
 ZONE = "America/Denver"
+PLAY_COLUMNS = (
+    "user_id", "track_id", "track_uri", "track_isrc", "track_name", "album_id", "album_uri",
+    "album", "artist_id", "artist_mbid", "artist", "duration_ms", "played_at", "popularity",
+    "request_cursor", "play_source",
+)
+AREA_COLUMNS = (
+    "area_id", "area_type", "area_name", "area_sort_name", "city_id", "city_name",
+    "city_sort_name", "country_id", "country_name", "country_sort_name", "county_id",
+    "county_name", "county_sort_name", "district_id", "district_name", "district_sort_name",
+    "island_id", "island_name", "island_sort_name", "municipality_id", "municipality_name",
+    "municipality_sort_name", "subdivision_id", "subdivision_name", "subdivision_sort_name",
+    "unknown_id", "unknown_name", "unknown_sort_name", "continent", "country_code",
+    "continent_code", "state_code", "params",
+)
+INFO_COLUMNS = (
+    "alias_count", "area_disambiguation", "area_id", "area_life_span_begin", "area_name",
+    "area_sort_name", "begin_area_disambiguation", "begin_area_id", "begin_area_life_span_begin",
+    "begin_area_name", "begin_area_sort_name", "country", "disambiguation", "end_area_id",
+    "end_area_name", "end_area_sort_name", "gender", "id", "ipi", "life_span_begin",
+    "life_span_end", "life_span_ended", "name", "release_group_count", "sort_name", "source_file",
+    "tag_list", "type", "end_area_disambiguation", "spotify_id",
+)
+ALBUM_COLUMNS = (
+    "album_type", "artist_id", "artist_name", "artist_type", "album_id", "label", "album_name",
+    "popularity", "release_date", "release_date_precision", "total_tracks", "last_modified",
+)
 PLAYS = ", ".join(PLAY_COLUMNS)
 LOCATION = ("continent_code, continent, country_code, country, state_province_code, "
             "state_province, county, city, district, lat, longitude")
@@ -49,10 +72,21 @@ def mins(ms: str, unit: int, digits: int) -> str:
     return f"round(CAST({ms} AS FLOAT) / {unit}, {digits})"
 
 
-ARTIST_BANDS = (scoring.ARTIST_POPULARITY, scoring.ARTIST_POPULARITY_MISSING)
-TRACK_BANDS = (scoring.TRACK_POPULARITY, scoring.TRACK_POPULARITY_MISSING)
-LENGTH_BANDS = (scoring.TRACK_LENGTH, scoring.TRACK_LENGTH_MISSING)
-HOUR_BANDS = (scoring.PART_OF_DAY, ("", 0))
+# (border, label, code) of each band, and what stands for no value
+ARTIST_BANDS = (
+    ((90, "Extremely Popular", 6), (70, "Very Popular", 5), (50, "Popular", 4),
+     (30, "Niche Popularity", 3), (10, "Mostly Unknown", 2), (None, "Not Popular", 1)),
+    ("No Artist Popularity Data", 0))
+TRACK_BANDS = (
+    ((90, "Extremely Popular", 6), (70, "Very Popular", 5), (50, "Popular", 4), (30, "Niche", 3),
+     (10, "Mostly Unknown", 2), (None, "Not Popular", 1)),
+    ("No Track Popularity Data", 0))
+LENGTH_BANDS = (
+    ((30, "very short", 1), (180, "short", 2), (300, "average", 3), (420, "pretty long", 5),
+     (600, "long", 6), (None, "possibly too long", 7)),
+    ("unknown", 0))
+HOUR_BANDS = (
+    ((6, "Night", 1), (12, "Morning", 2), (18, "Afternoon", 3), (24, "Evening", 4)), ("", 0))
 
 _GENRE_GROUP = ("CASE WHEN {rank} = n THEN 5.0 ELSE {rank} / (n / 5) + 1 END")
 _LABEL = ("CASE {g} WHEN 1 THEN 'Group 1 (Most Played Genres)' "
@@ -725,9 +759,9 @@ SELECT count(*) AS updates_made FROM artist_rows a
 WHERE artist_mbid IS NULL AND EXISTS (FROM info_rows i WHERE i.spotify_id = a.artist_id)""",
     # H
     "h1_stg_cities": "SELECT * FROM o_city",
-    "h2_stg_area_hierarchy": f"SELECT {', '.join(AREA_HIERARCHY)} FROM area_rows",
-    "h3_stg_artist_info": f"SELECT {', '.join(ARTIST_INFO)} FROM info_rows",
-    "h4_stg_albums": f"SELECT {', '.join(ALBUMS)} FROM album_rows",
+    "h2_stg_area_hierarchy": f"SELECT {', '.join(AREA_COLUMNS)} FROM area_rows",
+    "h3_stg_artist_info": f"SELECT {', '.join(INFO_COLUMNS)} FROM info_rows",
+    "h4_stg_albums": f"SELECT {', '.join(ALBUM_COLUMNS)} FROM album_rows",
     "h5_stg_artist_genre": "SELECT * FROM o_genre",
     "h6_stg_artists": "SELECT * FROM artist_rows",
     "h7_stg_tracks_played": "SELECT * FROM o_plays",

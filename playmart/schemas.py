@@ -53,7 +53,7 @@ SEEDS = {
 
 NOT_FOUND = "artist_id string, artist string, track_isrc string, reason string, failed_at string"
 
-# columns of the staged area and artist tables
+# fixed values: columns of the staged area, artist and album tables
 AREA_LEVELS = (
     "city", "country", "county", "district", "island", "municipality", "subdivision", "unknown",
 )
@@ -75,7 +75,7 @@ ALBUMS = (
     "popularity", "release_date", "release_date_precision", "total_tracks", "last_modified",
 )
 
-# merge keys per stored table; any other table is merged by whole-row distinct
+# fixed values: merge keys per stored table; any other table is merged by whole-row distinct
 MERGE_KEYS = {
     "spotify_artists": ["artist_id"],
     "spotify_albums": ["album_id"],
@@ -87,6 +87,7 @@ MERGE_KEYS = {
     "tracks_played": ["played_at", "track_id", "user_id"],
 }
 
+# fixed values: names of the stored tables
 REQUIRED_TABLES = (
     "tracks_played", "spotify_artists", "spotify_albums", "spotify_artist_genre",
     "mbz_artist_info", "mbz_artist_genre", "mbz_area_hierarchy", "cities_with_lat_long",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -17,8 +19,14 @@ RUNTIME_CONF = {
 }
 
 
-def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings the operators rely on to an existing session."""
+ROOT_CONF = "spark.playmart.scratch"
+
+
+def configure(spark: SparkSession, root: str | None = None) -> SparkSession:
+    """Apply the runtime settings the operators rely on to an existing session. ``root`` names the
+    folder for checkpoints and scratch tables where the cluster names none."""
+    if root and not spark.conf.get("spark.checkpoint.dir", None):
+        spark.conf.set(ROOT_CONF, root)
     for key, value in RUNTIME_CONF.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
@@ -27,18 +35,19 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Shared folder for checkpoints: the cluster's ``spark.checkpoint.dir``.
+    """Shared folder for checkpoints: the cluster's ``spark.checkpoint.dir``, else the folder that
+    ``configure`` was given.
 
-    Only a local session may fall back to a temporary folder of its own.
+    Only a local session may fall back to a temporary folder of its own, which goes with it.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
-    if not root:
-        root = sc.getCheckpointDir()
+    root = (spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(ROOT_CONF, None)
+            or sc.getCheckpointDir())
     if not root:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="playmart-checkpoint-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
     return root
