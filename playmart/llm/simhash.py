@@ -1,14 +1,14 @@
 """SimHash near-duplicates with deletion-variant signatures.
 
 Two fingerprints at most `max_bits` apart are cut into so few segments that one segment differs by
-one bit at most. Every segment is indexed once per position with that position as a wildcard, so
-such segments share a variant; an equality join on variants finds the pairs and all their bits
-verify them.
-
-A variant shared by many fingerprints (`CROWD`) would pair each with each. Those fingerprints go
-to an exact index that needs no pairs: every fingerprint within one bit of a key is grouped under
-it, and two fingerprints at most two bits apart have such a key in common. A group holds at most
-one member per bit and one more, whatever the data.
+one bit at most. Every segment value is indexed once per position with that position as a wildcard;
+values that share such a signature meet, their fingerprints are joined by equality on the values,
+and all bits verify the pairs.
+
+A value of many fingerprints (over `CROWD`) would pair each with each. Those fingerprints go to an
+exact index that needs no pairs: every fingerprint within one bit of a point is grouped under it,
+and two fingerprints at most two bits apart have such a point in common. A group holds at most one
+member per bit and one more, whatever the data.
 """
 
 from __future__ import annotations
@@ -24,11 +24,10 @@ from pyspark.sql import types as T
 
 from playmart.llm.batches import slices
 from playmart.llm.components import components
-from playmart.session import scratch_path
 
 SEED = 42
 BITS = 64
-CROWD = 24     # members up to which a variant's fingerprints are paired
+CROWD = 8      # members up to which a segment value's fingerprints are paired
 MARKS = 1 << 18
 # candidates for a similarity: segments, words whose runs are hashed, and the share of bits that a
 # pair may differ in before it is verified
@@ -85,75 +84,80 @@ def fingerprints(docs: DataFrame, words: int = 3, key: str = "doc_id",
     return rows.mapInArrow(run, schema)
 
 
-def one_bits(size: int) -> list[int]:
-    return [1 << k for k in range(size)]
-
-
 def signed(value: int) -> int:
     return value - (1 << BITS) if value >> (BITS - 1) else value
 
 
-def variants(bits: Column, max_bits: int) -> Column:
-    """The signatures of a fingerprint: the segment's bits without one of them, with the place of
-    that bit. Segments are as few as let one differ by one bit at most."""
+def segments(bits: Column, max_bits: int) -> Column:
+    """A fingerprint cut into as few segments as let one differ by one bit at most."""
     count = max_bits // 2 + 1
     size = -(-BITS // count)
-    out = []
-    for s in range(count):
-        low, width = s * size, min(size, BITS - s * size)
-        for place in range(low, low + width):
-            mask = ((1 << width) - 1) << low & ~(1 << place)
-            out.append(F.struct(F.lit(place).cast("tinyint").alias("place"),
-                                bits.bitwiseAND(F.lit(signed(mask))).alias("rest")))
-    return F.array(*out)
+    mask = F.lit(signed((1 << size) - 1))
+    return F.array(*[F.shiftrightunsigned(bits, s * size).bitwiseAND(mask) for s in range(count)])
 
 
-def members_of(index: DataFrame, keys: DataFrame) -> DataFrame:
-    """Rows of the index under some of its keys (place, rest). A broadcast table of marks, which has
-    `MARKS` rows at most, drops most others before the join shuffles them."""
-    mark = F.pmod(F.xxhash64("place", "rest"), F.lit(MARKS))
-    marks = keys.select(mark.alias("mark")).distinct()
-    near = index.withColumn("mark", mark).join(F.broadcast(marks), "mark").drop("mark")
-    return near.join(keys, ["place", "rest"])
+def neighbours(groups: DataFrame, width: int) -> DataFrame:
+    """Pairs (`segment`, `v`, `w`) of segment values that differ in one bit.
+
+    `groups` has each (segment, value) once. A value's signatures are its bits with one of them as
+    a wildcard; two values that share a signature differ in that bit, so a signature never has more
+    than two values, however many fingerprints share these.
+    """
+    # each row becomes `width`, so they are dealt out over all tasks first
+    tasks = int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    index = groups.select("segment", "value").repartition(tasks).select(
+        "segment", "value", F.explode(F.sequence(F.lit(0), F.lit(width - 1))).alias("k")).select(
+        (F.col("segment") * 64 + F.col("k")).cast("smallint").alias("place"),
+        F.expr("value & ~shiftleft(1L, k)").alias("rest"), "value")
+    met = index.groupBy("place", "rest").agg(F.min("value").alias("v"), F.max("value").alias("w"))
+    return met.where("v <> w").select(
+        F.floor(F.col("place") / 64).cast("int").alias("segment"), "v", "w")
 
 
 def links(prints: DataFrame, max_bits: int = 2) -> DataFrame:
     """Edges (a, b) between distinct fingerprints that join exactly the groups that pairs at most
     `max_bits` (1 or 2) apart join. `prints` has one row per value of `bits`.
 
-    All but crowded variants give every such pair; of a crowded one its members meet in groups of
-    the exact index, each linked to the group's smallest member.
+    Such a pair has a segment of equal values or of neighbours. Members of small values are paired
+    and verified. Members of a crowded value and of its neighbours go to the exact index instead:
+    each is listed under all points at most one bit away, and two of them at most two bits apart
+    have such a point in common.
     """
     if max_bits not in (1, 2):
         raise ValueError("the index without pairs holds for one or two bits")
-    index = prints.select("bits", F.explode(variants(F.col("bits"), max_bits)).alias("v")).select(
-        "bits", "v.place", "v.rest")
-    # a variant keeps its members only while they are few; sums and sizes combine before a shuffle
-    groups = index.groupBy("place", "rest").agg(
-        F.count(F.lit(1)).alias("n"), F.min("bits").alias("least"), F.max("bits").alias("most"))
-    shared = groups.where("n > 1").checkpoint()
-    pairs = shared.where("n = 2").select(F.col("least").alias("a"), F.col("most").alias("b"))
-    several = shared.where("n > 2").select("place", "rest", "n")
-    members = members_of(index, several).checkpoint()
-    few = members.where(F.col("n") <= CROWD).groupBy("place", "rest").agg(
-        F.array_sort(F.collect_list("bits")).alias("all"))
-    few_pairs = few.select(F.posexplode("all").alias("at", "a"), "all").select(
+    width = -(-BITS // (max_bits // 2 + 1))
+    cut = prints.select("bits", F.posexplode(segments(F.col("bits"), max_bits)).alias(
+        "segment", "value"))
+    value = ["segment", "value"]
+    groups = cut.groupBy(*value).agg(F.count(F.lit(1)).alias("n")).checkpoint()
+    near = neighbours(groups, width).checkpoint()
+    small = cut.join(groups.where(F.col("n") <= CROWD), value).groupBy(*value).agg(
+        F.array_sort(F.collect_list("bits")).alias("all")).checkpoint()
+    same = small.where("size(all) > 1").select(F.posexplode("all").alias("at", "a"), "all").select(
         "a", F.explode(F.expr("slice(all, at + 2, size(all))")).alias("b"))
-    near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits
-    found = pairs.unionAll(few_pairs).where(near)
-
-    crowded = members.where(F.col("n") > CROWD).select("bits").distinct()
-    if max_bits == 2:
-        keys = F.array(F.col("bits"), *[F.col("bits").bitwiseXOR(F.lit(signed(b)))
-                                        for b in one_bits(BITS)])
-    else:  # one bit apart: the same value without that bit
-        keys = F.array(*[F.col("bits").bitwiseAND(F.lit(signed(((1 << BITS) - 1) ^ b)))
-                         for b in one_bits(BITS)])
-    around = crowded.select("bits", F.posexplode(keys).alias("place", "point"))
-    group = ["point"] if max_bits == 2 else ["point", "place"]
-    stars = around.groupBy(*group).agg(F.collect_list("bits").alias("all")).where("size(all) > 1")
-    starred = stars.select(F.array_min("all").alias("a"), F.explode("all").alias("b"))
-    return found.unionAll(starred).where("a <> b").distinct()
+    side = lambda name, list_name: small.select(
+        "segment", F.col("value").alias(name), F.col("all").alias(list_name))
+    across = near.join(side("v", "x"), ["segment", "v"]).join(
+        side("w", "y"), ["segment", "w"]).select(F.explode("x").alias("a"), "y").select(
+        "a", F.explode("y").alias("b"))
+    differ = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
+    found = same.unionAll(across).where(differ <= max_bits)
+
+    crowded = groups.where(F.col("n") > CROWD).select(*value)
+    beside = near.select("segment", F.col("v").alias("value"), F.col("w").alias("o")).unionAll(
+        near.select("segment", "w", "v")).join(
+        crowded.withColumnRenamed("value", "o"), ["segment", "o"]).select(*value)
+    wide = cut.join(crowded.unionAll(beside).distinct(), value, "left_semi").select(
+        "bits").distinct()
+    points = F.array(F.col("bits"), *[F.col("bits").bitwiseXOR(F.lit(signed(1 << k)))
+                                      for k in range(BITS)])
+    around = wide.select("bits", F.explode(points).alias("point"))
+    # a point has 65 fingerprints at most, itself and one for each bit
+    stars = around.groupBy("point").agg(F.array_sort(F.collect_list("bits")).alias("all"))
+    starred = stars.where("size(all) > 1").select(
+        F.col("all")[0].alias("a"), F.explode(F.expr("slice(all, 2, 64)")).alias("b"))
+    # with one segment no value has two fingerprints, so none is crowded
+    return found.unionAll(starred).distinct()
 
 
 def near_duplicates(docs: DataFrame, words: int = 3, max_bits: int = 2, key: str = "doc_id",
@@ -197,57 +201,70 @@ def long_fingerprint(text: str | None, width: int) -> list[int]:
 
 
 def map_texts(rows: DataFrame, column: str, make) -> DataFrame:
-    """`id` and a list of 64-bit integers that `make` gives for each text."""
-    schema = T.StructType([rows.schema["id"], T.StructField(column, T.ArrayType(T.LongType()))])
+    """`hash` and a list of 64-bit integers that `make` gives for its text, once per hash. Only the
+    lists are shuffled, and copies combine before."""
+    schema = T.StructType([rows.schema["hash"], T.StructField(column, T.ArrayType(T.LongType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             lists = [make(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(lists, pa.list_(pa.int64()))], ["id", column])
+                [batch.column("hash"), pa.array(lists, pa.list_(pa.int64()))], ["hash", column])
 
-    return rows.select("id", "text").mapInArrow(run, schema)
+    lists = rows.select("hash", "text").mapInArrow(run, schema)
+    return lists.groupBy("hash").agg(F.first(column).alias(column))
 
 
-def similar_links(texts: DataFrame, words: int, similarity: float) -> DataFrame:
-    """Edges (a, b) between `id`s of distinct `text`s whose sets of `words`-word shingles have a
-    Jaccard similarity of `similarity` or more.
+def similar_links(rows: DataFrame, numbers: DataFrame, words: int, similarity: float
+                  ) -> DataFrame:
+    """Edges (a, b) between `id`s of texts whose sets of `words`-word shingles have a Jaccard
+    similarity of `similarity` or more. `rows` has `hash` and `text`, copies too, and `numbers` the
+    `id` of each hash.
 
-    Candidates share a one-wildcard variant of a segment of a long fingerprint; their bits and then
-    their whole shingle sets verify them. A variant links each member to the smallest and, up to
-    `CROWD` members, to the next one; a text has hundreds of variants, and components join the rest.
+    Candidates have a segment of a long fingerprint in common, or segments that share a signature
+    with one wildcard; their bits and then their whole shingle sets verify them. The smallest members
+    of neighbouring values are candidates; each other member of a value is one with the smallest of
+    that value, with the smallest of all its neighbours and, up to `CROWD` members, with the next
+    member; components join the rest.
     """
-    width = segment_bits(texts.count())
-    prints = map_texts(texts, "bits", lambda t: long_fingerprint(t, width)).checkpoint()
-    index = prints.select("id", F.posexplode("bits").alias("segment", "value")).select(
-        "id", "segment", "value", F.explode(F.sequence(F.lit(0), F.lit(width - 1))).alias("k")
-    ).select("id", (F.col("segment") * 64 + F.col("k")).cast("smallint").alias("place"),
-             F.expr("value & ~shiftleft(1L, k)").alias("rest"))
-    groups = index.groupBy("place", "rest").agg(
-        F.count(F.lit(1)).alias("n"), F.min("id").alias("least"), F.max("id").alias("most"))
-    shared = groups.where("n > 1").checkpoint()
-    members = members_of(index, shared.where("n > 2").select(
-        "place", "rest", "n", "least")).checkpoint()
-    few = members.where(F.col("n") <= CROWD).groupBy("place", "rest").agg(
+    width = segment_bits(numbers.count())
+    prints = map_texts(rows, "bits", lambda t: long_fingerprint(t, width)).join(
+        numbers, "hash").select("id", "bits").checkpoint()
+    cut = prints.select("id", F.posexplode("bits").alias("segment", "value"))
+    value = ["segment", "value"]
+    groups = cut.groupBy(*value).agg(
+        F.count(F.lit(1)).alias("n"), F.min("id").alias("least")).checkpoint()
+    near = neighbours(groups, width).checkpoint()
+    shared = cut.join(groups.where("n > 1"), value).checkpoint()
+    few = shared.where(F.col("n") <= CROWD).groupBy(*value).agg(
         F.array_sort(F.collect_list("id")).alias("all"))
     chained = few.select(F.explode(F.arrays_zip(
         F.expr("slice(all, 1, size(all) - 1)").alias("a"),
         F.expr("slice(all, 2, size(all) - 1)").alias("b"))).alias("p")).select("p.a", "p.b")
-    pairs = shared.where("n = 2").select(F.col("least").alias("a"), F.col("most").alias("b")
-        ).unionAll(members.select(F.col("least").alias("a"), F.col("id").alias("b"))
-        ).unionAll(chained).where("a <> b").distinct()
+    ends = near.join(groups.select("segment", F.col("value").alias("v"), F.col("least").alias("a")),
+                     ["segment", "v"]).join(
+        groups.select("segment", F.col("value").alias("w"), F.col("least").alias("b")),
+        ["segment", "w"])
+    beside = ends.select("segment", F.col("v").alias("value"), F.col("b").alias("least")).unionAll(
+        ends.select("segment", "w", "a")).groupBy(*value).agg(F.min("least").alias("least"))
+    pairs = shared.select("least", "id").unionAll(ends.select("a", "b")).unionAll(
+        shared.drop("least").join(beside, value).select("least", "id")).unionAll(chained).where(
+        "least <> id").select(F.least("least", "id").alias("a"),
+                              F.greatest("least", "id").alias("b")).distinct()
     side = lambda df, c, name: df.select(
         F.col("id").alias(c), F.col(name).alias(f"_{c}"))
     differ = F.aggregate(F.zip_with("_a", "_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))),
                          F.lit(0), lambda s, x: s + x)
     near = pairs.join(side(prints, "a", "bits"), "a").join(side(prints, "b", "bits"), "b").where(
         differ <= int(APART * SEGMENTS * width)).select("a", "b").checkpoint()
-    asked = near.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    marks = asked.select(F.pmod("id", F.lit(MARKS)).alias("mark")).distinct()
-    chosen = texts.withColumn("mark", F.pmod("id", F.lit(MARKS))).join(
-        F.broadcast(marks), "mark").drop("mark").join(asked, "id", "left_semi")
+    # the texts of candidates alone are read again
+    asked = near.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(
+        numbers, "id").checkpoint()
+    mark = F.pmod(F.xxhash64("hash"), F.lit(MARKS))
+    marks = asked.select(mark.alias("mark")).distinct()
+    chosen = rows.withColumn("mark", mark).join(F.broadcast(marks), "mark")
     sets = map_texts(chosen, "set", lambda t: np.unique(shingle_hashes(t, words)).view(
-        np.int64)).checkpoint()
+        np.int64)).join(asked, "hash").select("id", "set").checkpoint()
     both = near.join(side(sets, "a", "set"), "a").join(side(sets, "b", "set"), "b")
     shared_n = F.size(F.array_intersect("_a", "_b"))
     union = F.size("_a") + F.size("_b") - shared_n
@@ -262,30 +279,26 @@ def keep_one(docs: DataFrame, words: int = 5, similarity: float = 0.8, key: str
     Equal texts are one entry. Null and empty texts are one group. All columns stay.
     """
     body = F.coalesce(docs[f"`{text}`"], F.lit(""))
-    rows = docs.select(docs[f"`{key}`"].alias("doc"), F.md5(body.cast("binary")).alias("hash"))
+    rows = docs.select(docs[f"`{key}`"].alias("doc"), F.md5(body.cast("binary")).alias("hash"),
+                       body.alias("text"))
     known = rows.groupBy("doc", "hash").agg(F.count(F.lit(1)).alias("n")).checkpoint()
-    texts = docs.select(F.md5(body.cast("binary")).alias("hash"), body.alias("text"))
-    # a number for every distinct text: the low bits of its hash would do but for collisions
     numbered = known.select("hash").distinct().select(
         "hash", F.monotonically_increasing_id().alias("id")).checkpoint()
-    path = scratch_path(docs.sparkSession, "texts")
-    texts.groupBy("hash").agg(F.first("text").alias("text")).join(numbered, "hash").select(
-        "id", "text").write.parquet(path)
-    stored = docs.sparkSession.read.parquet(path)
-    group = components(similar_links(stored, words, similarity)).withColumnRenamed("bits", "id")
+    group = components(similar_links(rows, numbered, words, similarity)).withColumnRenamed(
+        "bits", "id")
     rooted = known.join(numbered, "hash").join(group, "id", "left").withColumn(
         "root", F.coalesce("root", "id"))
     order = F.struct(F.col("doc").isNull().alias("none"), F.col("doc").alias("doc"),
                      F.col("hash").alias("hash"))
     best = rooted.groupBy("root").agg(F.min(order).alias("best"))
     judged = rooted.join(best, "root").select(
-        F.col("doc").alias("_doc"), F.col("hash").alias("_hash"), F.col("n").alias("_n"),
+        F.col("doc").alias("__near_doc"), F.col("hash").alias("__near_hash"), "n",
         (F.col("doc").eqNullSafe(F.col("best.doc")) & (F.col("hash") == F.col("best.hash"))
-         ).alias("_best")).checkpoint()
-    cond = docs[f"`{key}`"].eqNullSafe(F.col("_doc")) & (
-        F.md5(body.cast("binary")) == F.col("_hash"))
-    once = docs.join(judged.where("NOT _best OR _n > 1").select("_doc", "_hash"), cond,
-                     "left_anti")
-    again = docs.join(judged.where("_best AND _n > 1").select("_doc", "_hash"), cond).dropDuplicates(
-        ["_doc", "_hash"]).select(*docs.columns)
+         ).alias("kept")).checkpoint()
+    found = ["__near_doc", "__near_hash"]
+    cond = docs[f"`{key}`"].eqNullSafe(F.col(found[0])) & (
+        F.md5(body.cast("binary")) == F.col(found[1]))
+    once = docs.join(judged.where("NOT kept OR n > 1").select(*found), cond, "left_anti")
+    again = docs.join(judged.where("kept AND n > 1").select(*found), cond).dropDuplicates(
+        found).select(*[docs[f"`{c}`"] for c in docs.columns])
     return once.unionAll(again)
