@@ -207,7 +207,7 @@ def clean(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "t
           **options) -> DataFrame:
     """The rows of `docs` without any occurrence of a window, with all their columns."""
     found = hits(docs, items, key=key, text=text, **options).select(
-        F.col("doc").alias("_hit_doc"), F.col("hash").alias("_hit_hash"))
-    cond = docs[f"`{key}`"].eqNullSafe(found["_hit_doc"]) & (
-        F.xxhash64(F.coalesce(docs[f"`{text}`"], F.lit(""))) == found["_hit_hash"])
+        F.col("doc").alias("__hit_doc"), F.col("hash").alias("__hit_hash"))
+    cond = docs[f"`{key}`"].eqNullSafe(found["__hit_doc"]) & (
+        F.xxhash64(F.coalesce(docs[f"`{text}`"], F.lit(""))) == found["__hit_hash"])
     return docs.join(found, cond, "left_anti")

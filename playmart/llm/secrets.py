@@ -191,16 +191,17 @@ def redact(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     flat = found.select("doc", "hash", "rid", F.explode("spans").alias("s")).select(
         "doc", "hash", "rid", "s.start", "s.end")
     cuts = merged(flat, ["doc", "hash", "rid"]).groupBy("doc", "hash", "rid").agg(
-        F.array_sort(F.collect_list(F.struct("start", "end"))).alias("_cuts")).select(
-        F.col("doc").alias("_doc"), F.col("hash").alias("_hash"), "_cuts").distinct()
+        F.array_sort(F.collect_list(F.struct("start", "end"))).alias("__secret_cuts")).select(
+        F.col("doc").alias("__secret_doc"), F.col("hash").alias("__secret_hash"),
+        "__secret_cuts").distinct()
     body = docs[f"`{text}`"]
-    cond = docs[f"`{key}`"].eqNullSafe(cuts["_doc"]) & (
-        F.xxhash64(F.coalesce(body, F.lit(""))) == cuts["_hash"])
+    cond = docs[f"`{key}`"].eqNullSafe(cuts["__secret_doc"]) & (
+        F.xxhash64(F.coalesce(body, F.lit(""))) == cuts["__secret_hash"])
     # what lies between two spans, from the end of one to the start of the next
-    ends = F.concat(F.array(F.lit(0).cast("bigint")), F.col("_cuts.end"))
-    starts = F.concat(F.col("_cuts.start"), F.array(F.char_length(body).cast("bigint")))
+    ends = F.concat(F.array(F.lit(0).cast("bigint")), F.col("__secret_cuts.end"))
+    starts = F.concat(F.col("__secret_cuts.start"), F.array(F.char_length(body).cast("bigint")))
     between = F.transform(F.arrays_zip(ends.alias("a"), starts.alias("b")), lambda z: F.substring(
         body, (z["a"] + 1).cast("int"), (z["b"] - z["a"]).cast("int")))
-    clean = F.when(F.col("_cuts").isNull(), body).otherwise(F.array_join(between, MARK))
+    clean = F.when(F.col("__secret_cuts").isNull(), body).otherwise(F.array_join(between, MARK))
     joined = docs.join(cuts, cond, "left")
     return joined.select(*[clean.alias(c) if c == text else docs[f"`{c}`"] for c in docs.columns])

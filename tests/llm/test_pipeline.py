@@ -78,6 +78,9 @@ def test_stages_keep_the_columns_and_take_awkward_rows(spark, folder, docs):
             out = stage(spark, df, path)
             assert out.columns == (df.columns if name != "encoding" else ["doc_id", "ids", "n_tokens"])
             assert out.count() <= len(rows)
+    clash = docs(AWKWARD).withColumnsRenamed({"lang": "_quality", "source": "_hash"})
+    for name, stage in P.STAGES[:-1]:
+        assert stage(spark, clash, path).columns == clash.columns
     changed = P.secret_scan(spark, docs([(1, "x token = abcdef123 y"), (2, None), (3, "as it was")]), path)
     assert sorted(tuples(changed, "doc_id", "text", "n_chars")) == [
         (1, f"x {secrets.MARK} y", 12), (2, None, None), (3, "as it was", 9)]
