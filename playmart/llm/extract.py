@@ -47,9 +47,10 @@ NOT_TEXT_WORDS = (
 TEXT_WORDS = "article content post entry main story".split()
 
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>"
     r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>", re.S)
+UNENDED = re.compile(r"<!--")
 MARKS = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
@@ -86,9 +87,13 @@ def blocks(page: str) -> list[Block]:
         silent -= sum(t in SILENT for t, _ in stack[to:])
         del stack[to:]
 
-    at, end = 0, len(page)
+    # behind the last tag end nothing but text can come, up to a comment that never ends
+    at, end = 0, page.rfind(">") + 1
+    tail = page[end:]
+    opened = UNENDED.search(tail)
+    tail = tail[:opened.start()] if opened else tail
     while at < end:
-        found = TOKEN.search(page, at)
+        found = TOKEN.search(page, at, end)
         text = page[at:found.start() if found else end]
         if text and not silent:
             text = entities.unescape(text)
@@ -126,17 +131,20 @@ def blocks(page: str) -> list[Block]:
         if tag in VOID or attributes.endswith("/") and tag in ("svg", "math"):
             continue
         if tag in RAW:
-            stop = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
+            stop = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at, end)
             if tag not in SILENT:
-                parts.append(entities.unescape(page[at:stop.start() if stop else end]))
+                parts.append(entities.unescape(page[at:stop.start() if stop else len(page)]))
                 stack.append((tag, (tag,)))
                 flush()
                 stack.pop()
             at = stop.end() if stop else end
+            tail = tail if stop else ""
             continue
         names = [p.lower() for m in MARKS.findall(attributes) for p in NAME_PARTS.findall(m)]
         stack.append((tag, (tag, *("." + n for n in names))))
         silent += tag in SILENT
+    if tail and not silent:
+        parts.append(entities.unescape(tail))
     flush()
     return out
 
