@@ -13,6 +13,7 @@ member per bit and one more, whatever the data.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,11 +28,10 @@ from playmart.llm.components import components
 
 SEED = 42
 BITS = 64
-CROWD = 8      # members up to which a segment value's fingerprints are paired
+CROWD = 8      # members up to which those of a segment value, or of a shingle, are paired
 MARKS = 1 << 18
-# candidates for a similarity: segments, words whose runs are hashed, and the share of bits that a
-# pair may differ in before it is verified
-SEGMENTS, INDEX_WORDS, APART = 10, 2, 0.25
+LEADERS = 3    # members of a crowded shingle, beside the first, that all others are compared with
+SLACK = 1e-9   # for rounding in bounds, which may only let more pairs through
 UPPER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _BYTE_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1)
 
@@ -181,23 +181,21 @@ def near_duplicates(docs: DataFrame, words: int = 3, max_bits: int = 2, key: str
         key, F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def segment_bits(texts: int) -> int:
-    """Bits of a segment: six more than number the texts, so that the variants a text shares by
-    chance stay a few, whatever the size of the corpus."""
-    return max(16, texts.bit_length() + 6)
+def first_hashes(text: str | None, words: int, similarity: float) -> np.ndarray:
+    """How many hashes follow beyond the needed number, the size of a text's set, and its smallest
+    hashes.
+    Needed is one more than may be missing from the set of a text that is similar to it: two similar
+    texts have one of so many first hashes in common, whatever the order of hashes."""
+    found = shingle_set(text, words)
+    needed = len(found) - math.ceil(similarity * len(found) - SLACK) + 1
+    some = found[:needed + needed // 2 + CROWD]
+    return np.concatenate(([len(some) - needed, len(found)], some))
 
 
-def long_fingerprint(text: str | None, width: int) -> list[int]:
-    """`SEGMENTS` segments of `width` bits over runs of `INDEX_WORDS` words: a changed word touches
-    fewer of those than of longer runs. Further bits come from mixing each hash again."""
-    hashes, bits = shingle_hashes(text, INDEX_WORDS), []
-    for k in range(-(-SEGMENTS * width // BITS)):
-        x = hashes + np.uint64((k + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
-        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        bits.append(majority(x ^ (x >> np.uint64(31))))
-    flat = np.concatenate(bits)[:SEGMENTS * width].reshape(SEGMENTS, width)
-    return (flat @ (1 << np.arange(width, dtype=np.int64))).tolist()
+def shingle_set(text: str | None, words: int) -> np.ndarray:
+    """The distinct shingle hashes in order; a single zero for a text without words."""
+    found = np.unique(shingle_hashes(text, words).view(np.int64))
+    return found if len(found) else np.zeros(1, np.int64)
 
 
 def map_texts(rows: DataFrame, column: str, make) -> DataFrame:
@@ -215,60 +213,135 @@ def map_texts(rows: DataFrame, column: str, make) -> DataFrame:
     return lists.groupBy("hash").agg(F.first(column).alias(column))
 
 
-def similar_links(rows: DataFrame, numbers: DataFrame, words: int, similarity: float
-                  ) -> DataFrame:
-    """Edges (a, b) between `id`s of texts whose sets of `words`-word shingles have a Jaccard
-    similarity of `similarity` or more. `rows` has `hash` and `text`, copies too, and `numbers` the
-    `id` of each hash.
-
-    Candidates have a segment of a long fingerprint in common, or segments that share a signature
-    with one wildcard; their bits and then their whole shingle sets verify them. The smallest members
-    of neighbouring values are candidates; each other member of a value is one with the smallest of
-    that value, with the smallest of all its neighbours and, up to `CROWD` members, with the next
-    member; components join the rest.
-    """
-    width = segment_bits(numbers.count())
-    prints = map_texts(rows, "bits", lambda t: long_fingerprint(t, width)).join(
-        numbers, "hash").select("id", "bits").checkpoint()
-    cut = prints.select("id", F.posexplode("bits").alias("segment", "value"))
-    value = ["segment", "value"]
-    groups = cut.groupBy(*value).agg(
-        F.count(F.lit(1)).alias("n"), F.min("id").alias("least")).checkpoint()
-    near = neighbours(groups, width).checkpoint()
-    shared = cut.join(groups.where("n > 1"), value).checkpoint()
-    few = shared.where(F.col("n") <= CROWD).groupBy(*value).agg(
+def listed(cut: DataFrame) -> DataFrame:
+    """The rows of `cut` whose `token` others have too, with the number `n` of its rows."""
+    counted = cut.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return cut.join(counted, "token").checkpoint()
+
+
+def small_pairs(shared: DataFrame) -> DataFrame:
+    """All pairs (a, b) of ids that share `o` tokens of up to `CROWD` rows, one or more."""
+    few = shared.where(F.col("n") <= CROWD).groupBy("token").agg(
         F.array_sort(F.collect_list("id")).alias("all"))
-    chained = few.select(F.explode(F.arrays_zip(
-        F.expr("slice(all, 1, size(all) - 1)").alias("a"),
-        F.expr("slice(all, 2, size(all) - 1)").alias("b"))).alias("p")).select("p.a", "p.b")
-    ends = near.join(groups.select("segment", F.col("value").alias("v"), F.col("least").alias("a")),
-                     ["segment", "v"]).join(
-        groups.select("segment", F.col("value").alias("w"), F.col("least").alias("b")),
-        ["segment", "w"])
-    beside = ends.select("segment", F.col("v").alias("value"), F.col("b").alias("least")).unionAll(
-        ends.select("segment", "w", "a")).groupBy(*value).agg(F.min("least").alias("least"))
-    pairs = shared.select("least", "id").unionAll(ends.select("a", "b")).unionAll(
-        shared.drop("least").join(beside, value).select("least", "id")).unionAll(chained).where(
-        "least <> id").select(F.least("least", "id").alias("a"),
-                              F.greatest("least", "id").alias("b")).distinct()
+    return few.select(F.posexplode("all").alias("at", "a"), "all").select(
+        "a", F.explode(F.expr("slice(all, at + 2, size(all))")).alias("b")).groupBy("a", "b").agg(
+        F.count(F.lit(1)).alias("o"))
+
+
+def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The pairs whose whole sets are similar; texts whose sizes alone forbid it are not compared."""
+    sizes = sets.select("id", F.size("set").alias("size"))
     side = lambda df, c, name: df.select(
         F.col("id").alias(c), F.col(name).alias(f"_{c}"))
-    differ = F.aggregate(F.zip_with("_a", "_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))),
-                         F.lit(0), lambda s, x: s + x)
-    near = pairs.join(side(prints, "a", "bits"), "a").join(side(prints, "b", "bits"), "b").where(
-        differ <= int(APART * SEGMENTS * width)).select("a", "b").checkpoint()
-    # the texts of candidates alone are read again
-    asked = near.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(
-        numbers, "id").checkpoint()
+    near = pairs.join(side(sizes, "a", "size"), "a").join(side(sizes, "b", "size"), "b").where(
+        F.least("_a", "_b") >= F.lit(similarity) * F.greatest("_a", "_b") - SLACK).select("a", "b")
+    both = near.join(side(sets, "a", "set"), "a").join(side(sets, "b", "set"), "b")
+    shared = F.size(F.array_intersect("_a", "_b"))
+    union = F.size("_a") + F.size("_b") - shared
+    return both.where(shared >= F.lit(similarity) * union).select("a", "b").checkpoint()
+
+
+def rare_first(sets: DataFrame, similarity: float) -> DataFrame:
+    """`id`, `size`, `token` and its place `at` among the hashes that `first_hashes` would give if
+    hashes of few of the `sets` came first. Hashes that no other set has come before all others and
+    have no row, so texts without enough common hashes have none."""
+    tokens = sets.select("id", F.size("set").alias("size"), F.explode("set").alias("token"))
+    counted = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    common = tokens.join(counted, "token").groupBy("id", "size").agg(
+        F.array_sort(F.collect_list(F.struct("n", "token"))).alias("all"))
+    spare = (F.size("all") - F.ceil(F.col("size") * similarity - SLACK) + 1).cast("int")
+    return common.withColumn("spare", spare).where("spare > 0").select(
+        "id", "size", F.posexplode(F.slice("all", F.lit(1), F.col("spare"))).alias("k", "t"),
+        (F.col("size") - F.size("all")).alias("own")).select(
+        "id", "size", F.col("t.token").alias("token"), (F.col("own") + F.col("k")).alias("at"))
+
+
+def crowded_links(crowd: DataFrame, found: DataFrame, sets: DataFrame, similarity: float
+                  ) -> DataFrame:
+    """Further edges between texts that share tokens of many texts: the rows of `crowd` have `id`,
+    `size`, `token` and `at`. A few members of each token are compared with all of its members;
+    then every pair is compared that no verified edges, `found` among them, join yet and that sizes
+    and places do not forbid. So a large group of near copies is never paired throughout, and no
+    other pair is left out."""
+    tops = [F.min_by("id", F.xxhash64("id", F.lit(k))) for k in range(LEADERS)]
+    tops = crowd.groupBy("token").agg(F.array_distinct(F.array(F.min("id"), *tops)).alias("tops"))
+    stars = crowd.join(tops, "token").select("id", F.explode("tops").alias("top")).where(
+        "id <> top").select(F.least("id", "top").alias("a"), F.greatest("id", "top").alias("b"))
+    known = found.unionAll(verified(stars.distinct(), sets, similarity)).checkpoint()
+    rooted = crowd.join(components(known).withColumnRenamed("bits", "id"), "id", "left").withColumn(
+        "root", F.coalesce("root", "id")).checkpoint()
+    # the members outside of a token's largest group meet all members of other groups
+    groups = rooted.groupBy("token", "root").agg(F.count(F.lit(1)).alias("n"))
+    main = groups.groupBy("token").agg(F.max(F.struct("n", "root"))["root"].alias("main"))
+    minor = rooted.join(main, "token").where("root <> main").select(
+        "token", "main", *[F.col(c).alias(f"_{c}") for c in ("id", "size", "at", "root")])
+    overlap = F.lit(similarity / (1 + similarity)) * (F.col("size") + F.col("_size")) - SLACK
+    ahead = F.least(F.col("size") - F.col("at"), F.col("_size") - F.col("_at"))
+    rest = minor.join(rooted, "token").where(
+        (F.col("root") != F.col("_root")) & ((F.col("root") == F.col("main")) | (
+            F.col("_id") < F.col("id"))) & (ahead >= overlap)).select(
+        F.least("id", "_id").alias("a"), F.greatest("id", "_id").alias("b")).distinct()
+    return known.unionAll(verified(rest, sets, similarity))
+
+
+def read_sets(rows: DataFrame, asked: DataFrame, words: int) -> DataFrame:
+    """`id` and shingle `set` of the texts whose `id` and `hash` `asked` has; those texts alone are
+    read again."""
     mark = F.pmod(F.xxhash64("hash"), F.lit(MARKS))
     marks = asked.select(mark.alias("mark")).distinct()
     chosen = rows.withColumn("mark", mark).join(F.broadcast(marks), "mark")
-    sets = map_texts(chosen, "set", lambda t: np.unique(shingle_hashes(t, words)).view(
-        np.int64)).join(asked, "hash").select("id", "set").checkpoint()
-    both = near.join(side(sets, "a", "set"), "a").join(side(sets, "b", "set"), "b")
-    shared_n = F.size(F.array_intersect("_a", "_b"))
-    union = F.size("_a") + F.size("_b") - shared_n
-    return both.where((union == 0) | (shared_n >= F.lit(similarity) * union)).select("a", "b")
+    return map_texts(chosen, "set", lambda t: shingle_set(t, words)).join(
+        asked, "hash").select("id", "set").checkpoint()
+
+
+def similar_links(rows: DataFrame, numbers: DataFrame, words: int, similarity: float
+                  ) -> DataFrame:
+    """Edges (a, b) between `id`s of texts that join exactly the groups that all pairs join whose
+    sets of `words`-word shingles have a Jaccard similarity of `similarity` or more. `rows` has
+    `hash` and `text`, copies too, and `numbers` the `id` of each hash.
+
+    Similar texts share one of their first hashes in any order of all hashes: here that of the
+    values, with the crowded ones (listed by over `CROWD` texts) behind all others. Each text lists
+    more hashes than needed, so most have enough that are not crowded, and texts that share one of
+    those are compared. The others are dense: all their hashes that are not crowded meet the lists
+    of the former, and among themselves they are listed with rare hashes first. There only texts
+    that consist of common hashes nearly throughout meet in large groups (`crowded_links`).
+    """
+    prints = map_texts(rows, "first", lambda t: first_hashes(t, words, similarity)).join(
+        numbers, "hash").select("id", "first").checkpoint()
+    cut = prints.select("id", F.col("first")[0].alias("room"), F.explode(
+        F.expr("slice(first, 3, size(first) - 2)")).alias("token"))
+    shared = listed(cut)
+    crowded = shared.where(F.col("n") > CROWD)
+    counted = crowded.groupBy("id", "room").agg(F.count(F.lit(1)).alias("c")).checkpoint()
+    dense = counted.where("c > room").select("id").join(numbers, "id").checkpoint()
+    # what a text can have in common with one that lists at least as far, beside hashes that are
+    # listed and not crowded
+    size = F.col("first")[1]
+    notes = prints.join(counted.drop("room"), "id", "left").select(
+        "id", size.alias("size"), F.element_at("first", -1).alias("last"),
+        (size - (F.size("first") - 2) + F.coalesce("c", F.lit(0))).alias("more")).checkpoint()
+    note = lambda c: notes.select(*[F.col(x).alias(f"{x}_{c}") for x in notes.columns
+                                    ]).withColumnRenamed(f"id_{c}", c)
+    least = F.lit(similarity / (1 + similarity)) * (F.col("size_a") + F.col("size_b")) - SLACK
+    pairs = small_pairs(shared).join(note("a"), "a").join(note("b"), "b").where(
+        F.col("o") + F.when(F.col("last_a") <= F.col("last_b"), F.col("more_a")).otherwise(
+            F.col("more_b")) >= least).select("a", "b")
+    sets = read_sets(rows, dense, words)
+    other = sets.select(F.col("id").alias("b"), F.explode("set").alias("token")).join(
+        crowded.select("token").distinct(), "token", "left_anti")
+    across = cut.join(dense, "id", "left_anti").join(other, "token").groupBy(
+        F.col("id").alias("a"), "b").agg(F.count(F.lit(1)).alias("o")).join(
+        note("a"), "a").join(note("b"), "b").where(F.col("o") + F.col("more_a") >= least).select(
+        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    again = listed(rare_first(sets, similarity))
+    pairs = pairs.unionAll(across).unionAll(small_pairs(again).drop("o")).distinct().checkpoint()
+    asked = pairs.select(F.explode(F.array("a", "b")).alias("id")).unionAll(
+        dense.select("id")).distinct().join(numbers, "id").checkpoint()
+    sets = read_sets(rows, asked, words)
+    found = verified(pairs, sets, similarity)
+    crowd = again.where(F.col("n") > CROWD).drop("n")
+    return found if crowd.isEmpty() else crowded_links(crowd, found, sets, similarity)
 
 
 def keep_one(docs: DataFrame, words: int = 5, similarity: float = 0.8, key: str = "doc_id",

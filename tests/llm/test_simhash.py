@@ -119,3 +119,53 @@ def test_keep_one_on_awkward_rows(spark, docs):
     assert kept.count((1, "plain words in a row")) == 1
     assert [t for i, t in kept if i == 2] == [None]
     assert S.keep_one(docs([])).count() == 0
+
+
+def jaccard_groups(rows, words=5, similarity=0.8):
+    """What stays by brute force over all pairs of texts."""
+    sets = {i: set(S.shingle_hashes(t, words).tolist()) for i, t in rows}
+    ids = sorted(sets)
+    holders = defaultdict(list)
+    for i in ids:
+        for h in sets[i]:
+            holders[h].append(i)
+    pairs = []
+    for i in ids:
+        n = defaultdict(int)
+        for h in sets[i]:
+            for j in holders[h]:
+                if j < i:
+                    n[j] += 1
+        pairs += [(j, i) for j, k in n.items() if k >= similarity * (len(sets[i]) + len(sets[j]) - k)]
+    return set(roots(ids, pairs).values())
+
+
+def test_pairs_among_many_texts_of_one_template(spark, docs):
+    """Thousands of texts share most of their words; each has one true near copy or none."""
+    rng = random.Random(20)
+    template, rows = [f"t{k}" for k in range(105)], []
+    for k in range(1500):
+        own = [f"o{k}w{j}" for j in range(45)]
+        rows.append((2 * k, " ".join(template + own)))
+        if k % 3 == 0:
+            at = rng.randrange(45)
+            rows.append((2 * k + 1, " ".join(template + own[:at] + ["new"] + own[at:])))
+    rows = rng.sample(rows, len(rows))
+    kept = {r.doc_id for r in S.keep_one(docs(rows)).collect()}
+    assert kept == {2 * k for k in range(1500)}
+
+
+def test_crowds_of_near_copies_equal_brute_force(spark, docs):
+    """Groups about the border: heavy templates, chains, loose crowds and texts made of hot lines."""
+    rng = random.Random(21)
+    rows = []
+    for share in (60, 85, 90, 95):
+        base = [f"s{share}t{k}" for k in range(share)]
+        rows += [" ".join(base + [f"s{share}o{k}w{j}" for j in range(100 - share)]) for k in range(40)]
+    base = [f"c{k}" for k in range(200)]
+    rows += [edited(base, rng, share) for share in (0.01, 0.02, 0.03, 0.05) for _ in range(40)]
+    rows += [" ".join(base[k:k + 120]) for k in range(0, 80, 3)]  # a chain of shifted texts
+    lines = [" ".join(f"l{n}w{j}" for j in range(14)) for n in range(14)]
+    rows += [" ".join(rng.sample(lines, 11)) for _ in range(80)]
+    rows = list(enumerate(dict.fromkeys(rows)))
+    assert {r.doc_id for r in S.keep_one(docs(rows)).collect()} == jaccard_groups(rows)
