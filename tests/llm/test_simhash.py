@@ -169,3 +169,19 @@ def test_crowds_of_near_copies_equal_brute_force(spark, docs):
     rows += [" ".join(rng.sample(lines, 11)) for _ in range(80)]
     rows = list(enumerate(dict.fromkeys(rows)))
     assert {r.doc_id for r in S.keep_one(docs(rows)).collect()} == jaccard_groups(rows)
+
+
+def test_pairs_are_found_whatever_the_number_of_texts(spark, docs):
+    """Copies at Jaccard 0.8 to 0.9 by a replaced block, an appended one or scattered words, among
+    so many short texts that chance meetings count."""
+    rng = random.Random(22)
+    rows, kept = [(1_000_000 + k, f"short {k} text of {k % 7} words {k}") for k in range(17_000)], set()
+    kept |= {i for i, _ in rows}
+    for g in range(120):
+        words = [f"g{g}w{k}" for k in range(300)]
+        block = [f"g{g}n{k}" for k in range(60)]
+        copy = [words[:100] + block[:28] + words[128:], words + block, words + block[:30],
+                [f"x{g}{w}" if k % 50 == 7 else w for k, w in enumerate(words)]][g % 4]
+        rows += [(2 * g, " ".join(words)), (2 * g + 1, " ".join(copy))]
+        kept.add(2 * g)
+    assert {r.doc_id for r in S.keep_one(docs(rng.sample(rows, len(rows)))).collect()} == kept
