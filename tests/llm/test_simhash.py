@@ -185,3 +185,11 @@ def test_pairs_are_found_whatever_the_number_of_texts(spark, docs):
         rows += [(2 * g, " ".join(words)), (2 * g + 1, " ".join(copy))]
         kept.add(2 * g)
     assert {r.doc_id for r in S.keep_one(docs(rng.sample(rows, len(rows)))).collect()} == kept
+
+
+def test_copies_with_a_repeated_line(spark, docs):
+    rows = []
+    for g in range(40):
+        words, line = [f"g{g}w{k}" for k in range(300)], [f"g{g}l{k}" for k in range(12)]
+        rows += [(2 * g, " ".join(words + line)), (2 * g + 1, " ".join(words + line * 10))]
+    assert {r.doc_id for r in S.keep_one(docs(rows)).collect()} == {2 * g for g in range(40)}
