@@ -3,8 +3,8 @@
 Candidates are runs of one character class. A window of `WIDTH` characters slides over each; its
 Shannon entropy follows from the counts of the character that enters and the one that leaves, and
 from nothing else, so a step costs the same for every window. Windows over their class's threshold
-that look like a secret (digits among letters) are joined to spans, unless the candidate is on the
-allow list. Only built-in DataFrame functions run.
+that look like a secret (digits among letters) are joined to spans, unless the allow list covers
+the whole candidate. Only built-in DataFrame functions run.
 """
 
 from __future__ import annotations
@@ -32,13 +32,16 @@ CLASSES = {
     "entropy_hex": (r"(?<![0-9A-Fa-f])[0-9A-Fa-f]{20,}", 3.0),
     "entropy_base64": (r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}", 3.93),  # over any of hex
 }
-ALLOWED = (  # fixed values: strings that look random and are no secrets; each is found in one pass
+_DIGESTS = ((1, 40, 27), (256, 64, 43), (384, 96, 64), (512, 128, 86))
+ALLOWED = (  # fixed values: whole candidates that look random and hold no secret in any part
     r"(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$",   # identifiers
-    r"(?i)^sha(1|256|384|512)[-_=]",                                          # integrity digests
-    r"(?i)(example|sample|placeholder|changeme|your_|dummy|xxxxx)",
-    r"(?i)(abcdefghij|0123456789|1234567890|qwertyuiop)",
+    "(?i)^(?:" + "|".join(rf"sha{n}[-_=](?:[0-9a-f]{{{h}}}|[a-z0-9+/_-]{{{b}}}={{0,2}})"
+                          for n, h, b in _DIGESTS) + ")$",                    # integrity digests
+    r"(?i)^(?:example|sample|placeholder|changeme|your|dummy|xxxxx|abcdefghij(?:klmnopqrstuvwxyz)?"
+    r"|0123456789|1234567890|qwertyuiop|[+/_=-])++$",
     r"^[0-9+/_=-]+$",                                                         # numbers, rules
-    r"^/", r"^[A-Za-z_-]+/[A-Za-z0-9_-]+/[A-Za-z0-9_/-]+$",                   # paths
+    # names and paths: parts of letters in one case, or with a first capital, and a short number
+    r"^(?:(?:(?:[A-Z]?+[a-z]++|[A-Z]++)[0-9]{0,4}+|[0-9]++)(?![A-Za-z0-9])|[+/_=-])++$",
 )
 KINDS = (*BASE, *CLASSES)
 MARK = "[SECRET]"    # stands in a text for a secret

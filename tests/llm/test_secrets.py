@@ -101,3 +101,18 @@ def test_redaction_cuts_the_spans_and_nothing_else(spark, docs):
         want.append((i, t if t is None else text + t[at:]))
     assert sorted(tuples(out, "doc_id", "text"), key=str) == sorted(want, key=str)
     assert X.redact(docs([])).count() == 0
+
+
+def test_secrets_beside_allowed_words_and_inside_paths(spark, docs):
+    secret = "q7Wz3Kd9Lp2Xv8Rt5Bn1Mc4H"
+    around = ["sample-service-key={}", "/services/T0A1B2C3D/B9Z8Y7X6W/{}", "hooks/services/{}", "/{}",
+              "sha256-{}x", "{}1234567890", "dummy/{}", "{}"]
+    plain = ["/usr/local/lib/python3/site-packages/some1", "sample_dummy_1234567890",
+             "123e4567-e89b-12d3-a456-426614174000", "12345678901234567890-1234", "some/long_path/Name12/x",
+             "sha256-" + "aB3" * 14 + "c="]
+    rows = [(k, "x " + a.format(secret) + " y") for k, a in enumerate(around)]
+    rows += [(100 + k, "x " + p + " y") for k, p in enumerate(plain)]
+    got = dict(tuples(X.redact(docs(rows)), "doc_id", "text"))
+    for k in range(len(around)):
+        assert secret not in got[k] and X.MARK in got[k]
+    assert all(got[100 + k] == f"x {p} y" for k, p in enumerate(plain))
