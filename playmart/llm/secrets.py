@@ -27,10 +27,15 @@ MIN_ASSIGNED = 6
 WIDTH = 20          # characters of a window
 CHUNK = 4096        # longer candidates are cut, with windows across the cuts kept
 SCALE = 1_000_000_000
-# class -> (run of its characters, bits per character from which a window counts)
+# class -> (run of its characters, bits per character from which a window counts: about the lowest
+# hundredth of random windows of 16, 32 and 64 symbols; more symbols only have more). Runs that are
+# hexadecimal throughout are in their own class alone
 CLASSES = {
-    "entropy_hex": (r"(?<![0-9A-Fa-f])[0-9A-Fa-f]{20,}", 3.0),
-    "entropy_base64": (r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}", 3.93),  # over any of hex
+    "entropy_hex": (r"(?<![0-9A-Fa-f])[0-9A-Fa-f]{20,}", 2.88),
+    "entropy_base64": (r"(?<![A-Za-z0-9+/_=-])(?![0-9A-Fa-f]++(?![A-Za-z0-9+/_=-]))"
+                       r"[A-Za-z0-9+/_=-]{20,}", 3.63),
+    "entropy_lower": (r"(?<![a-z0-9])(?![0-9a-f]++(?![a-z0-9]))[a-z0-9]{20,}", 3.33),
+    "entropy_upper": (r"(?<![A-Z0-9])(?![0-9A-F]++(?![A-Z0-9]))[A-Z0-9]{20,}", 3.33),  # base32 too
 }
 _DIGESTS = ((1, 40, 27), (256, 64, 43), (384, 96, 64), (512, 128, 86))
 ALLOWED = (  # fixed values: whole candidates that look random and hold no secret in any part

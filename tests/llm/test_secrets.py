@@ -116,3 +116,15 @@ def test_secrets_beside_allowed_words_and_inside_paths(spark, docs):
     for k in range(len(around)):
         assert secret not in got[k] and X.MARK in got[k]
     assert all(got[100 + k] == f"x {p} y" for k, p in enumerate(plain))
+
+
+def test_random_secrets_of_every_alphabet_are_found(spark, docs):
+    rng = random.Random(23)
+    lower, upper, digits = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    kinds = [lower + digits, upper + digits, upper + "234567", lower + upper + digits,
+             lower + upper + digits + "+/", lower + upper + digits + "-_", "0123456789abcdef",
+             "0123456789ABCDEF"]
+    rows = [(1000 * k + 500 * (n > 20) + j, "x " + "".join(rng.choice(abc) for _ in range(n)) + " y")
+            for k, abc in enumerate(kinds) for n in (20, 32) for j in range(300)]
+    found = Counter(i // 500 for i, t in tuples(X.redact(docs(rows)), "doc_id", "text") if X.MARK in t)
+    assert all(found[2 * k] >= 276 and found[2 * k + 1] >= 297 for k in range(len(kinds))), found
