@@ -37,6 +37,8 @@ SILENT = frozenset("script style noscript template svg math title head iframe ob
 RAW = frozenset("script style noscript template svg math title iframe textarea object".split())
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"},
              "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
+IN_HEAD = frozenset("base basefont bgsound head html link meta noframes noscript script style template "
+                    "title".split())  # all others end an open head
 ENDS_P = BLOCKS - {"button", "label", "option", "select", "body", "html"}
 NOT_TEXT_TAGS = frozenset("nav footer aside form button select menu dialog label".split())
 NOT_TEXT_WORDS = (
@@ -95,6 +97,8 @@ def blocks(page: str) -> list[Block]:
     while at < end:
         found = TOKEN.search(page, at, end)
         text = page[at:found.start() if found else end]
+        if text.strip() and stack and stack[-1][0] == "head":
+            pop(len(stack) - 1)
         if text and not silent:
             text = entities.unescape(text)
             parts.append(text)
@@ -116,6 +120,11 @@ def blocks(page: str) -> list[Block]:
             continue
         if tag == "br":
             parts.append(" ")
+        if tag not in IN_HEAD:
+            for k in range(len(stack) - 1, -1, -1):
+                if stack[k][0] == "head":
+                    pop(k)
+                    break
         if tag in BLOCKS:
             flush()
         closes = {"p"} if tag in ENDS_P else set()
@@ -143,6 +152,8 @@ def blocks(page: str) -> list[Block]:
         names = [p.lower() for m in MARKS.findall(attributes) for p in NAME_PARTS.findall(m)]
         stack.append((tag, (tag, *("." + n for n in names))))
         silent += tag in SILENT
+    if tail.strip() and stack and stack[-1][0] == "head":
+        pop(len(stack) - 1)
     if tail and not silent:
         parts.append(entities.unescape(tail))
     flush()

@@ -112,3 +112,15 @@ def test_query_takes_the_article_alone(spark, tmp_path):
 def test_empty_table(spark, made_model):
     none = spark.createDataFrame([], "page_id bigint, url string, html string")
     assert E.extract(none, made_model).count() == 0
+
+
+def test_pages_without_the_end_of_the_head(made_model):
+    body = f"<article><h1>Title here</h1>{ARTICLE}</article>"
+    head = "<html><head><title>x</title><meta charset=utf-8><script>var a = '<p>no</p>'</script>"
+    for page in (f"{head}<body>{body}</body></html>", f"{head}{body}", f"{head}</head><body>{body}"):
+        found = E.blocks(page)
+        kept = made_model.label([found])[0]
+        assert "\n".join(b.text for b, keep in zip(found, kept) if keep) == MAIN
+    for page in ("<head><title>x</title>plain <b>text</b>", "<head><title>x</title>plain text"):
+        assert [b.text for b in E.blocks(page)] == ["plain text"]
+    assert E.blocks("<html><head><title>x</title><link rel=a></head></html>") == []
