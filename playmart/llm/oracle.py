@@ -140,7 +140,63 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
     coalesce(spans, '') AS spans
 FROM d LEFT JOIN per USING (doc_id)"""
 
+TRIE = """
+WITH said AS (
+    SELECT conv_id AS c, coalesce(text, '') AS x,
+        sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS t,
+        turn
+    FROM conversations WHERE conv_id IS NOT NULL),
+conv AS (
+    SELECT c, list(t ORDER BY turn NULLS FIRST, t) AS ts, list(x ORDER BY turn NULLS FIRST, t) AS xs
+    FROM said GROUP BY c),
+crc AS (
+    SELECT c, ts, xs, xor(list_reduce(
+        list_concat([4294967295], list_transform(string_split(CAST(c AS VARCHAR), ''),
+                                                 lambda s: CAST(ascii(s) AS BIGINT))),
+        lambda a, b: list_reduce(
+            [xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0],
+            lambda p, q: xor(p >> 1, 3988292384 * (p & 1)))), 4294967295) % 6 AS h
+    FROM conv),
+built AS (
+    SELECT a.c, list_concat(coalesce(p.ts, [])[1:h], a.ts[h + 1:]) AS s,
+        list_concat(coalesce(p.xs, [])[1:h], a.xs[h + 1:]) AS x
+    FROM crc a LEFT JOIN conv p ON p.c = a.c - a.c % 100),
+steps AS (SELECT c, s, x, unnest(range(0, len(s) + 1)) AS d FROM built),
+nodes AS (
+    SELECT s[1:d] AS node, d, min(c) AS least, count(*) AS n, max(coalesce(length(x[d]), 0)) AS chars,
+        coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (len(s) = d), '') AS ends
+    FROM steps GROUP BY ALL),
+kids AS (SELECT node[1:d - 1] AS node, count(*) AS k FROM nodes WHERE d > 0 GROUP BY 1),
+own AS (
+    SELECT n.*, coalesce(k, 0) AS k, (n - 1) * chars AS saves
+    FROM nodes n LEFT JOIN kids USING (node)),
+sums AS (
+    SELECT node[1:u] AS node, sum(saves) AS saved, count(*) FILTER (k = 0) AS leaves
+    FROM (SELECT node, saves, k, unnest(range(0, d + 1)) AS u FROM own) z GROUP BY 1)
+SELECT o.least AS conv_id, o.d AS depth, p.least AS parent_conv_id, o.n AS n_convs,
+    o.k AS n_children, s.leaves AS n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens,
+    sha256(o.ends) AS ends_sha256
+FROM own o JOIN sums s USING (node)
+LEFT JOIN nodes p ON o.d > 0 AND p.node = o.node[1:o.d - 1]"""
+
+_USABLE = """embedding IS NOT NULL AND
+    len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0"""
+
+TOP_K = f"""
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda c: floor(256 * CAST(c AS DOUBLE))) AS x
+    FROM embeddings WHERE {_USABLE}),
+scored AS (
+    SELECT q.vec_id AS query_id, v.vec_id, CAST(list_dot_product(q.x, v.x) AS BIGINT) AS score
+    FROM v q JOIN v ON q.vec_id <> v.vec_id WHERE q.vec_id % 50 = 0),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank
+    FROM scored)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5"""
+
 ORACLE_SQL = {
     "op2_decontaminate": DECONTAMINATE.strip(), "op3_chat": CHAT.strip(),
     "op5_secrets": SECRETS.strip(), "op9_warc": WARC.strip(),
+    "op11_prefix_trie": TRIE,
+    "op13_top_k": TOP_K,
 }

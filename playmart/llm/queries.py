@@ -22,7 +22,10 @@ from playmart.llm import (
     shards,
     simhash,
     tokencount,
+    topk,
+    trie,
     warc,
+    whiten,
 )
 from playmart.llm.oracle import ORACLE_SQL  # noqa: F401
 from playmart.session import ensure_checkpoint_dir, scratch_path
@@ -150,6 +153,20 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.char_length("main_text").cast("bigint").alias("n_chars"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    convs = trie.conversations(table(spark, sf_dir, "conversations"))
+    return trie.prefix_trie(trie.rebuilt(convs))
+
+
+def op12_whiten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten.whiten(table(spark, sf_dir, "embeddings"), components=4)
+
+
+def op13_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return topk.search(rows, rows["vec_id"] % 50 == 0, k=5)
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_decontaminate": op2_decontaminate,
@@ -161,4 +178,7 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_warc": op9_warc,
     "op10_main_text": op10_main_text,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_whiten": op12_whiten,
+    "op13_top_k": op13_top_k,
 }
