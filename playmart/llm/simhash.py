@@ -19,17 +19,19 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from playmart.llm.batches import slices
-from playmart.llm.components import components
+from playmart.llm.components import apart, components, join_apart, stored
 
 SEED = 42
 BITS = 64
 CROWD = 8      # members up to which those of a segment value, or of a shingle, are paired
 MARKS = 1 << 18
+BITMAP = 1 << 24   # marks of hashes that are looked for
+BLOCK = 1 << 21    # hashes of the texts that are compared in one task, about
 LEADERS = 3    # members of a crowded shingle, beside the first, that all others are compared with
 SLACK = 1e-9   # for rounding in bounds, which may only let more pairs through
 UPPER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -181,15 +183,16 @@ def near_duplicates(docs: DataFrame, words: int = 3, max_bits: int = 2, key: str
         key, F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def first_hashes(text: str | None, words: int, similarity: float) -> np.ndarray:
-    """How many hashes follow beyond the needed number, the size of a text's set, and its smallest
-    hashes.
-    Needed is one more than may be missing from the set of a text that is similar to it: two similar
-    texts have one of so many first hashes in common, whatever the order of hashes."""
-    found = shingle_set(text, words)
-    needed = len(found) - math.ceil(similarity * len(found) - SLACK) + 1
-    some = found[:needed + needed // 2 + CROWD]
-    return np.concatenate(([len(some) - needed, len(found)], some))
+def needed(size: int, similarity: float) -> int:
+    """One more than may be missing from a set of `size` in a similar one: two similar texts have
+    one of so many first hashes in common, whatever the order of hashes."""
+    return size - math.ceil(similarity * size - SLACK) + 1
+
+
+def listed_size(size: int, similarity: float) -> int:
+    """How many first hashes a text lists: more than needed, as crowded ones do not count."""
+    least = needed(size, similarity)
+    return min(size, least + least // 2 + CROWD)
 
 
 def shingle_set(text: str | None, words: int) -> np.ndarray:
@@ -198,25 +201,63 @@ def shingle_set(text: str | None, words: int) -> np.ndarray:
     return found if len(found) else np.zeros(1, np.int64)
 
 
-def map_texts(rows: DataFrame, column: str, make) -> DataFrame:
-    """`hash` and a list of 64-bit integers that `make` gives for its text, once per hash. Only the
-    lists are shuffled, and copies combine before."""
-    schema = T.StructType([rows.schema["hash"], T.StructField(column, T.ArrayType(T.LongType()))])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            lists = [make(t) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("hash"), pa.array(lists, pa.list_(pa.int64()))], ["hash", column])
+TOKEN, SIZE, LAST = 0, 1, 2   # kinds of the rows (kind, key, value) that a text gives
 
-    lists = rows.select("hash", "text").mapInArrow(run, schema)
-    return lists.groupBy("hash").agg(F.first(column).alias(column))
 
+def token_rows(rows: DataFrame, words: int, similarity: float, within: np.ndarray | None = None
+               ) -> DataFrame:
+    """For each `id`: (TOKEN, hash, id) of its first hashes, (SIZE, id, size of its set) and
+    (LAST, id, last hash listed). With a bitmap `within`, only hashes whose mark is set, and no
+    other rows. A task gives each id once; copies in other tasks give the same rows again."""
 
-def listed(cut: DataFrame) -> DataFrame:
-    """The rows of `cut` whose `token` others have too, with the number `n` of its rows."""
-    counted = cut.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    return cut.join(counted, "token").checkpoint()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done: set[int] = set()
+        for batch in slices(batches):
+            kinds, keys, values = [], [], []
+            for i, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist()):
+                if i in done:
+                    continue
+                done.add(i)
+                found = shingle_set(text, words)
+                some = found[:listed_size(len(found), similarity)]
+                if within is None:
+                    kinds.append(np.repeat([TOKEN, SIZE, LAST], [len(some), 1, 1]))
+                    keys.append(np.concatenate((some, [i, i])))
+                    values.append(np.concatenate((np.full(len(some), i), [len(found), some[-1]])))
+                else:
+                    some = some[marked(some, within)]
+                    kinds.append(np.full(len(some), TOKEN))
+                    keys.append(some)
+                    values.append(np.full(len(some), i))
+            if keys:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(kinds).astype(np.int8)),
+                     pa.array(np.concatenate(keys).astype(np.int64)),
+                     pa.array(np.concatenate(values).astype(np.int64))], ["kind", "key", "value"])
+
+    return rows.select("id", "text").mapInArrow(run, "kind byte, key bigint, value bigint")
+
+
+def marked(hashes: np.ndarray, bitmap: np.ndarray) -> np.ndarray:
+    bit = hashes & (BITMAP - 1)
+    return (bitmap[bit >> 5] >> (bit & 31)) & 1 == 1
+
+
+def bitmap_of(tokens: DataFrame) -> np.ndarray:
+    """Which marks (lowest bits) the hashes `token` have: half a million numbers at most, whatever
+    the number of hashes."""
+    bit = F.col("token").bitwiseAND(F.lit(BITMAP - 1))
+    words = tokens.groupBy(F.shiftright(bit, 5).alias("word")).agg(F.bit_or(F.expr(
+        "shiftleft(1L, cast(token & 31 as int))")).alias("bits")).collect()
+    out = np.zeros(BITMAP >> 5, np.int64)
+    for word, bits in words:
+        out[word] = bits
+    return out
+
+
+def counted(cut: DataFrame, *by: str) -> DataFrame:
+    """`n`: how many rows of `cut` have the same `by`. One shuffle, which later groups share."""
+    return cut.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy(*by)))
 
 
 def small_pairs(shared: DataFrame) -> DataFrame:
@@ -228,26 +269,82 @@ def small_pairs(shared: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("o"))
 
 
-def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The pairs whose whole sets are similar; texts whose sizes alone forbid it are not compared."""
-    sizes = sets.select("id", F.size("set").alias("size"))
-    side = lambda df, c, name: df.select(
-        F.col("id").alias(c), F.col(name).alias(f"_{c}"))
-    near = pairs.join(side(sizes, "a", "size"), "a").join(side(sizes, "b", "size"), "b").where(
-        F.least("_a", "_b") >= F.lit(similarity) * F.greatest("_a", "_b") - SLACK).select("a", "b")
-    both = near.join(side(sets, "a", "set"), "a").join(side(sets, "b", "set"), "b")
-    shared = F.size(F.array_intersect("_a", "_b"))
-    union = F.size("_a") + F.size("_b") - shared
-    return both.where(shared >= F.lit(similarity) * union).select("a", "b").checkpoint()
+def homes(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
+    """`id`, `degree` and `home` of all texts in pairs: a text's home is shared with its smallest
+    partner, so texts of one group mostly meet there. Homes over `BLOCK` hashes are split."""
+    both = pairs.select(F.col("a").alias("id"), F.col("b").alias("o")).unionAll(
+        pairs.select(F.col("b").alias("id"), F.col("a").alias("o")))
+    nodes = both.groupBy("id").agg(F.min("o").alias("o"), F.count(F.lit(1)).alias("degree")).join(
+        sizes, "id").select("id", "degree", "size", F.least("id", "o").alias("label"))
+    parts = nodes.groupBy("label").agg(F.ceil(F.sum("size") / F.lit(BLOCK)).alias("parts")).select(
+        F.col("label").alias("l"), "parts")
+    return nodes.join(parts, apart(F.col("label")) == apart(F.col("l"))).select(
+        "id", "degree", F.xxhash64("label", F.pmod(F.xxhash64("id"), "parts")).alias("home"))
+
+
+def verified(pairs: DataFrame, rows: DataFrame, sizes: DataFrame, words: int, similarity: float
+             ) -> DataFrame:
+    """The pairs whose whole sets are similar; texts whose sizes alone forbid it are not compared.
+
+    Pairs are dealt to blocks, and a block gets the text of each id that its pairs name once. A pair
+    goes to the home of its text with fewer partners, so a text with many partners is sent to their
+    homes, once to each, and no block has to hold all of its partners.
+    """
+    spark = rows.sparkSession
+    side = lambda c, *names: sizes.select(
+        F.col("id").alias(c), *[F.col(n).alias(f"{n}_{c}") for n in names])
+    near = pairs.join(side("a", "size"), "a").join(side("b", "size"), "b").where(
+        F.least("size_a", "size_b") >= F.lit(similarity) * F.greatest("size_a", "size_b") - SLACK
+    ).select("a", "b")
+    near = stored(near, "pairs")
+    home = stored(homes(near, sizes), "homes")
+    at = lambda c: home.select(F.col("id").alias(c), *[
+        F.col(n).alias(f"{n}_{c}") for n in ("degree", "home")])
+    weight = home.join(sizes, "id").agg(F.sum("size")).first()[0] or 0
+    blocks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-weight // BLOCK))
+    block = F.pmod(F.when(F.col("degree_a") <= F.col("degree_b"), F.col("home_a")).otherwise(
+        F.col("home_b")), F.lit(blocks))
+    dealt = stored(near.join(at("a"), "a").join(at("b"), "b").select(
+        "a", "b", block.alias("block")), "blocks")
+    need = stored(dealt.select("block", F.explode(F.array("a", "b")).alias("id")).distinct(),
+                  "texts")
+    sent = texts_of(rows, need).join(need, "id").select("block", "id", "text")
+
+    def check(texts: pa.Table, asked: pa.Table) -> pa.Table:
+        body = dict(zip(texts.column("id").to_pylist(), texts.column("text").to_pylist()))
+        sets: dict[int, np.ndarray] = {}
+        found = []
+        for a, b in zip(asked.column("a").to_pylist(), asked.column("b").to_pylist()):
+            for i in (a, b):
+                if i not in sets:
+                    sets[i] = shingle_set(body.pop(i), words)
+            x, y = sorted((sets[a], sets[b]), key=len)
+            places = np.searchsorted(y, x)
+            shared = int((y[np.minimum(places, len(y) - 1)] == x).sum())
+            if shared >= similarity * (len(x) + len(y) - shared):
+                found.append((a, b))
+        return pa.table({c: pa.array([f[k] for f in found], pa.int64())
+                         for k, c in enumerate("ab")})
+
+    return stored(sent.groupBy("block").cogroup(dealt.groupBy("block")).applyInArrow(
+        check, "a bigint, b bigint"), "similar")
+
+
+def texts_of(rows: DataFrame, asked: DataFrame) -> DataFrame:
+    """`id` and `text`, once, of the texts that `asked` names, and of a few more. Only those are
+    shuffled whose mark is asked for."""
+    mark = F.pmod(F.xxhash64("id"), F.lit(MARKS))
+    marks = asked.select(mark.alias("mark")).distinct()
+    return rows.withColumn("mark", mark).join(F.broadcast(marks), "mark").select(
+        "id", "text").dropDuplicates(["id"])
 
 
 def rare_first(sets: DataFrame, similarity: float) -> DataFrame:
-    """`id`, `size`, `token` and its place `at` among the hashes that `first_hashes` would give if
-    hashes of few of the `sets` came first. Hashes that no other set has come before all others and
-    have no row, so texts without enough common hashes have none."""
+    """`id`, `size`, `token` and its place `at` among the hashes that would be listed if hashes of
+    few of the `sets` came first. Hashes that no other set has come before all others and have no
+    row, so texts without enough common hashes have none."""
     tokens = sets.select("id", F.size("set").alias("size"), F.explode("set").alias("token"))
-    counted = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    common = tokens.join(counted, "token").groupBy("id", "size").agg(
+    common = counted(tokens, "token").where("n > 1").groupBy("id", "size").agg(
         F.array_sort(F.collect_list(F.struct("n", "token"))).alias("all"))
     spare = (F.size("all") - F.ceil(F.col("size") * similarity - SLACK) + 1).cast("int")
     return common.withColumn("spare", spare).where("spare > 0").select(
@@ -256,24 +353,23 @@ def rare_first(sets: DataFrame, similarity: float) -> DataFrame:
         "id", "size", F.col("t.token").alias("token"), (F.col("own") + F.col("k")).alias("at"))
 
 
-def crowded_links(crowd: DataFrame, found: DataFrame, sets: DataFrame, similarity: float
-                  ) -> DataFrame:
+def crowded_links(crowd: DataFrame, found: DataFrame, check, similarity: float) -> DataFrame:
     """Further edges between texts that share tokens of many texts: the rows of `crowd` have `id`,
     `size`, `token` and `at`. A few members of each token are compared with all of its members;
     then every pair is compared that no verified edges, `found` among them, join yet and that sizes
     and places do not forbid. So a large group of near copies is never paired throughout, and no
-    other pair is left out."""
+    other pair is left out. `check` gives the similar ones of pairs."""
     tops = [F.min_by("id", F.xxhash64("id", F.lit(k))) for k in range(LEADERS)]
     tops = crowd.groupBy("token").agg(F.array_distinct(F.array(F.min("id"), *tops)).alias("tops"))
-    stars = crowd.join(tops, "token").select("id", F.explode("tops").alias("top")).where(
+    stars = join_apart(crowd, tops, "token").select("id", F.explode("tops").alias("top")).where(
         "id <> top").select(F.least("id", "top").alias("a"), F.greatest("id", "top").alias("b"))
-    known = found.unionAll(verified(stars.distinct(), sets, similarity)).checkpoint()
-    rooted = crowd.join(components(known).withColumnRenamed("bits", "id"), "id", "left").withColumn(
-        "root", F.coalesce("root", "id")).checkpoint()
+    known = found.unionAll(check(stars.distinct()))
+    rooted = stored(crowd.join(components(known).withColumnRenamed("bits", "id"), "id", "left"
+                               ).withColumn("root", F.coalesce("root", "id")), "crowd")
     # the members outside of a token's largest group meet all members of other groups
     groups = rooted.groupBy("token", "root").agg(F.count(F.lit(1)).alias("n"))
     main = groups.groupBy("token").agg(F.max(F.struct("n", "root"))["root"].alias("main"))
-    minor = rooted.join(main, "token").where("root <> main").select(
+    minor = join_apart(rooted, main, "token").where("root <> main").select(
         "token", "main", *[F.col(c).alias(f"_{c}") for c in ("id", "size", "at", "root")])
     overlap = F.lit(similarity / (1 + similarity)) * (F.col("size") + F.col("_size")) - SLACK
     ahead = F.least(F.col("size") - F.col("at"), F.col("_size") - F.col("_at"))
@@ -281,24 +377,26 @@ def crowded_links(crowd: DataFrame, found: DataFrame, sets: DataFrame, similarit
         (F.col("root") != F.col("_root")) & ((F.col("root") == F.col("main")) | (
             F.col("_id") < F.col("id"))) & (ahead >= overlap)).select(
         F.least("id", "_id").alias("a"), F.greatest("id", "_id").alias("b")).distinct()
-    return known.unionAll(verified(rest, sets, similarity))
+    return known.unionAll(check(rest))
 
 
 def read_sets(rows: DataFrame, asked: DataFrame, words: int) -> DataFrame:
-    """`id` and shingle `set` of the texts whose `id` and `hash` `asked` has; those texts alone are
-    read again."""
-    mark = F.pmod(F.xxhash64("hash"), F.lit(MARKS))
-    marks = asked.select(mark.alias("mark")).distinct()
-    chosen = rows.withColumn("mark", mark).join(F.broadcast(marks), "mark")
-    return map_texts(chosen, "set", lambda t: shingle_set(t, words)).join(
-        asked, "hash").select("id", "set").checkpoint()
+    """`id` and shingle `set` of the texts whose `id` is in `asked`; those texts alone are read."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            lists = [shingle_set(t, words) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), pa.array(lists, pa.list_(pa.int64()))], ["id", "set"])
 
+    return stored(texts_of(rows, asked).join(asked, "id").mapInArrow(
+        run, "id bigint, set array<bigint>"), "sets")
 
-def similar_links(rows: DataFrame, numbers: DataFrame, words: int, similarity: float
-                  ) -> DataFrame:
+
+def similar_links(rows: DataFrame, words: int, similarity: float) -> DataFrame:
     """Edges (a, b) between `id`s of texts that join exactly the groups that all pairs join whose
     sets of `words`-word shingles have a Jaccard similarity of `similarity` or more. `rows` has
-    `hash` and `text`, copies too, and `numbers` the `id` of each hash.
+    `id` and `text`, copies too; equal ids have equal texts.
 
     Similar texts share one of their first hashes in any order of all hashes: here that of the
     values, with the crowded ones (listed by over `CROWD` texts) behind all others. Each text lists
@@ -306,42 +404,75 @@ def similar_links(rows: DataFrame, numbers: DataFrame, words: int, similarity: f
     those are compared. The others are dense: all their hashes that are not crowded meet the lists
     of the former, and among themselves they are listed with rare hashes first. There only texts
     that consist of common hashes nearly throughout meet in large groups (`crowded_links`).
+
+    The listed hashes are shuffled once and those that no other text lists end there. What is kept
+    beside them are sizes, counts and pairs; whole texts are read again to verify.
     """
-    prints = map_texts(rows, "first", lambda t: first_hashes(t, words, similarity)).join(
-        numbers, "hash").select("id", "first").checkpoint()
-    cut = prints.select("id", F.col("first")[0].alias("room"), F.explode(
-        F.expr("slice(first, 3, size(first) - 2)")).alias("token"))
-    shared = listed(cut)
+    cut = token_rows(rows, words, similarity).repartition("kind", "key").dropDuplicates()
+    kept = stored(counted(cut, "kind", "key").where(f"n > 1 OR kind <> {TOKEN}"), "hashes")
+    shared = kept.where(f"kind = {TOKEN}").select(
+        F.col("key").alias("token"), F.col("value").alias("id"), "n")
+    of = lambda kind: F.max(F.when(F.col("kind") == kind, F.col("value")))
+    sizes = stored(kept.where(f"kind <> {TOKEN}").groupBy(F.col("key").alias("id")).agg(
+        of(SIZE).alias("size"), of(LAST).alias("last")), "sizes")
     crowded = shared.where(F.col("n") > CROWD)
-    counted = crowded.groupBy("id", "room").agg(F.count(F.lit(1)).alias("c")).checkpoint()
-    dense = counted.where("c > room").select("id").join(numbers, "id").checkpoint()
+    least = F.col("size") - F.ceil(F.col("size") * similarity - SLACK) + 1
+    room = F.least("size", least + F.floor(least / 2) + CROWD) - least
     # what a text can have in common with one that lists at least as far, beside hashes that are
     # listed and not crowded
-    size = F.col("first")[1]
-    notes = prints.join(counted.drop("room"), "id", "left").select(
-        "id", size.alias("size"), F.element_at("first", -1).alias("last"),
-        (size - (F.size("first") - 2) + F.coalesce("c", F.lit(0))).alias("more")).checkpoint()
-    note = lambda c: notes.select(*[F.col(x).alias(f"{x}_{c}") for x in notes.columns
-                                    ]).withColumnRenamed(f"id_{c}", c)
+    notes = sizes.join(crowded.groupBy("id").agg(F.count(F.lit(1)).alias("c")), "id", "left").select(
+        "id", "size", "last", F.coalesce("c", F.lit(0)).alias("c"), room.alias("room"),
+        (F.col("size") - least - room + F.coalesce("c", F.lit(0))).alias("more"))
+    notes = stored(notes, "notes")
+    dense = notes.where("c > room").select("id")
+    note = lambda c: notes.select(F.col("id").alias(c), *[
+        F.col(x).alias(f"{x}_{c}") for x in ("size", "last", "more")])
     least = F.lit(similarity / (1 + similarity)) * (F.col("size_a") + F.col("size_b")) - SLACK
     pairs = small_pairs(shared).join(note("a"), "a").join(note("b"), "b").where(
         F.col("o") + F.when(F.col("last_a") <= F.col("last_b"), F.col("more_a")).otherwise(
             F.col("more_b")) >= least).select("a", "b")
+    check = lambda some: verified(
+        some, rows, sizes.select("id", "size"), words, similarity)
+    if dense.isEmpty():
+        return check(pairs.distinct())
     sets = read_sets(rows, dense, words)
-    other = sets.select(F.col("id").alias("b"), F.explode("set").alias("token")).join(
-        crowded.select("token").distinct(), "token", "left_anti")
-    across = cut.join(dense, "id", "left_anti").join(other, "token").groupBy(
-        F.col("id").alias("a"), "b").agg(F.count(F.lit(1)).alias("o")).join(
+    other = stored(sets.select(F.col("id").alias("b"), F.explode("set").alias("token")).join(
+        crowded.select("token").distinct(), "token", "left_anti"), "dense")
+    again = token_rows(rows, words, similarity, bitmap_of(other)).select(
+        F.col("key").alias("token"), F.col("value").alias("a")).distinct()
+    across = again.join(dense.withColumnRenamed("id", "a"), "a", "left_anti").join(
+        other, "token").groupBy("a", "b").agg(F.count(F.lit(1)).alias("o")).join(
         note("a"), "a").join(note("b"), "b").where(F.col("o") + F.col("more_a") >= least).select(
         F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    again = listed(rare_first(sets, similarity))
-    pairs = pairs.unionAll(across).unionAll(small_pairs(again).drop("o")).distinct().checkpoint()
-    asked = pairs.select(F.explode(F.array("a", "b")).alias("id")).unionAll(
-        dense.select("id")).distinct().join(numbers, "id").checkpoint()
-    sets = read_sets(rows, asked, words)
-    found = verified(pairs, sets, similarity)
-    crowd = again.where(F.col("n") > CROWD).drop("n")
-    return found if crowd.isEmpty() else crowded_links(crowd, found, sets, similarity)
+    common = stored(counted(rare_first(sets, similarity), "token").where("n > 1"), "common")
+    pairs = pairs.unionAll(across).unionAll(small_pairs(common).drop("o")).distinct()
+    found = check(pairs)
+    crowd = common.where(F.col("n") > CROWD).drop("n")
+    return found if crowd.isEmpty() else crowded_links(crowd, found, check, similarity)
+
+
+def number_texts(known: DataFrame) -> DataFrame:
+    """`known` with an `id` for each `hash`, a 64-bit hash of it; hashed again with another number
+    should two ever have the same, so that equal ids mean equal texts."""
+    salt = 0
+    while True:
+        numbered = known.withColumn("id", F.xxhash64("hash", F.lit(salt)))
+        same = numbered.select("id", "hash").distinct().groupBy("id").agg(
+            F.count(F.lit(1)).alias("n")).where("n > 1")
+        if same.isEmpty():
+            return numbered.withColumn("salt", F.lit(salt))
+        salt += 1
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, made longer until the frame has no column that Spark takes for the same."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
 
 
 def keep_one(docs: DataFrame, words: int = 5, similarity: float = 0.8, key: str = "doc_id",
@@ -349,29 +480,31 @@ def keep_one(docs: DataFrame, words: int = 5, similarity: float = 0.8, key: str
     """The rows of `docs` without near copies: of every group that links at `similarity` join, the
     row with the smallest key stays (a null key comes last), one row if it is repeated.
 
-    Equal texts are one entry. Null and empty texts are one group. All columns stay.
+    Equal texts are one entry. Null and empty texts are one group. All columns stay, whatever their
+    names. An empty table stays empty.
     """
     body = F.coalesce(docs[f"`{text}`"], F.lit(""))
-    rows = docs.select(docs[f"`{key}`"].alias("doc"), F.md5(body.cast("binary")).alias("hash"),
-                       body.alias("text"))
-    known = rows.groupBy("doc", "hash").agg(F.count(F.lit(1)).alias("n")).checkpoint()
-    numbered = known.select("hash").distinct().select(
-        "hash", F.monotonically_increasing_id().alias("id")).checkpoint()
-    group = components(similar_links(rows, numbered, words, similarity)).withColumnRenamed(
-        "bits", "id")
-    rooted = known.join(numbered, "hash").join(group, "id", "left").withColumn(
-        "root", F.coalesce("root", "id"))
+    digest = F.md5(body.cast("binary"))
+    known = number_texts(stored(docs.select(docs[f"`{key}`"].alias("doc"), digest.alias("hash")
+                                            ).groupBy("doc", "hash").agg(
+        F.count(F.lit(1)).alias("n")), "known"))
+    salt = (known.select("salt").first() or [0])[0]
+    rows = docs.select(F.xxhash64(digest, F.lit(salt)).alias("id"), body.alias("text"))
+    group = components(similar_links(rows, words, similarity)).withColumnRenamed("bits", "id")
+    rooted = known.join(group, "id", "left").withColumn("root", F.coalesce("root", "id"))
     order = F.struct(F.col("doc").isNull().alias("none"), F.col("doc").alias("doc"),
                      F.col("hash").alias("hash"))
     best = rooted.groupBy("root").agg(F.min(order).alias("best"))
-    judged = rooted.join(best, "root").select(
-        F.col("doc").alias("__near_doc"), F.col("hash").alias("__near_hash"), "n",
+    found = fresh(docs, "near_doc", "near_hash")
+    judged = stored(join_apart(rooted, best, "root").select(
+        F.col("doc").alias(found[0]), F.col("hash").alias(found[1]), "n",
         (F.col("doc").eqNullSafe(F.col("best.doc")) & (F.col("hash") == F.col("best.hash"))
-         ).alias("kept")).checkpoint()
-    found = ["__near_doc", "__near_hash"]
-    cond = docs[f"`{key}`"].eqNullSafe(F.col(found[0])) & (
-        F.md5(body.cast("binary")) == F.col(found[1]))
-    once = docs.join(judged.where("NOT kept OR n > 1").select(*found), cond, "left_anti")
-    again = docs.join(judged.where("kept AND n > 1").select(*found), cond).dropDuplicates(
-        found).select(*[docs[f"`{c}`"] for c in docs.columns])
+         ).alias("kept")), "kept")
+    gone = judged.where("NOT kept OR n > 1").select(*found)
+    cond = docs[f"`{key}`"].eqNullSafe(gone[found[0]]) & (digest == gone[found[1]])
+    once = docs.join(gone, cond, "left_anti")
+    twice = judged.where("kept AND n > 1").select(*found)
+    cond = docs[f"`{key}`"].eqNullSafe(twice[found[0]]) & (digest == twice[found[1]])
+    again = docs.join(twice, cond).dropDuplicates(found).select(
+        *[docs[f"`{c}`"] for c in docs.columns])
     return once.unionAll(again)
