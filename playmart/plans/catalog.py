@@ -1077,6 +1077,15 @@ def _drained(s, stream: DataFrame) -> DataFrame:
     return s.spark.read.parquet(out)
 
 
+def _closed(s, plays: DataFrame) -> DataFrame:
+    """All plays as a stream that ends with a closing play."""
+    path, last = s.scratch("stream-in"), plays.agg(F.max("played_at")).first()[0]
+    plays.write.parquet(path)
+    if last is not None:
+        streaming.closing_play(plays, last + timedelta(days=3)).write.mode("append").parquet(path)
+    return s.spark.readStream.schema(plays.schema).parquet(path)
+
+
 @query("l1_stream_raw_plays")
 def _(s):
     stream = streaming.stream_raw_plays(s.spark, s.raw_json() + "/*", glob=RAW_GLOB)
@@ -1092,12 +1101,8 @@ def _(s):
 
 @query("l3_stream_dedup_within_duration")
 def _(s):
-    stream = _stream_folder(s, s.raw_plays)
-    job = streaming.DurationDedup(s.scratch("stream-out"), s.scratch("stream-state"), tie=TIE)
-    run = job.start(stream, s.scratch("stream-check"))
-    run.awaitTermination()
-    job.flush(s.spark, s.raw_plays, run.lastProgress["batchId"])
-    return job.result(s.spark)
+    stream = _closed(s, s.raw_plays)
+    return _drained(s, streaming.stream_dedup_within_duration(stream, tie=TIE))
 
 
 @query("l4_stream_upsert")
@@ -1115,24 +1120,15 @@ def _(s):
     return tables.read_table(s.spark, base, "spotify_artists")
 
 
-def _closed_plays(s) -> DataFrame:
-    """All plays as a stream that ends with a closing play."""
-    path, last = s.scratch("stream-in"), s.plays.agg(F.max("played_at")).first()[0]
-    s.plays.write.parquet(path)
-    if last is not None:
-        streaming.closing_play(s.plays, last + timedelta(days=3)).write.mode("append").parquet(path)
-    return s.spark.readStream.schema(s.plays.schema).parquet(path)
-
-
 @query("l5_stream_plays_per_window")
 def _(s):
-    return _drained(s, streaming.stream_plays_per_window(_closed_plays(s)))
+    return _drained(s, streaming.stream_plays_per_window(_closed(s, s.plays)))
 
 
 @query("l5_stream_plays_sliding_window")
 def _(s):
     return _drained(s, streaming.stream_plays_per_window(
-        _closed_plays(s), "24 hours", "1 hour"))
+        _closed(s, s.plays), "24 hours", "1 hour"))
 
 
 @query("l6_stream_enrich")

@@ -2,27 +2,28 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from collections.abc import Iterator
+from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from playmart.functions.scoring import exact_minutes, scaled_ms
 from playmart.operators.dedup import (
     EXACT_KEYS,
     TRACK_KEYS,
-    near_repeats,
-    require_play_identity,
     total_order,
 )
-from playmart.operators.sinks import write_merge, write_overwrite
-from playmart.operators.skew import HOUR, left_join_dim
-from playmart.sources import swap
+from playmart.operators.sinks import write_merge
+from playmart.operators.skew import left_join_dim
 from playmart.sources.plays import CORRUPT, raw_schema, split_rejected, typed_plays
-from playmart.sources.tables import read_table
 
 DELAY = "1 hour"
+MICROS, SECOND = "_micros", 1_000_000
+STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def _raw_stream(spark: SparkSession, path: str, archive: str | None,
@@ -66,108 +67,82 @@ def stream_dedup_exact(plays: DataFrame, delay: str = DELAY) -> DataFrame:
     return plays.withWatermark("played_at", delay).dropDuplicates(list(EXACT_KEYS))
 
 
-class DurationDedup:
-    """Near-repeat removal over micro-batches.
+class LastPlay(StatefulProcessor):
+    """Per track: plays whose order is still open, and the last play whose order is final.
 
-    Plays wait until the newest event time is ``delay`` ahead; from then on their order is final
-    and they go through the batch operator, preceded by the last play of each track that can still
-    reach into the future. Plays older than the closed time are late; they go to a table of their
-    own. Every batch writes its output and state under its own number, so a repeated batch
-    replaces its own files and nothing else; state older than the batch before is removed. A batch
-    whose state before is missing is refused. A hot track is cut into time slices by the batch operator, so it never has
-    to pass through one task.
+    A play is final once the watermark has passed it; a timer of the track then takes all final
+    plays in order, compares each with the play before it and keeps the last one. Spark holds the
+    state, drops late plays and restores both from the checkpoint.
     """
 
-    def __init__(self, out: str, state: str, delay: timedelta = timedelta(hours=1),
-                 tie: tuple[str, ...] = (), slice_seconds: int = HOUR):
-        self.out, self.state, self.delay = out, state, delay
-        self.tie, self.slice_seconds = tie, slice_seconds
-
-    def start(self, plays: DataFrame, checkpoint: str) -> StreamingQuery:
-        return (
-            plays.writeStream.foreachBatch(self.process)
-            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-        )
-
-    def _before(self, spark: SparkSession, batch_id: int, part: str) -> DataFrame | None:
-        """State that the batch before left; None for the first batch."""
-        if batch_id == 0:
-            return None
-        found = read_table(spark, self.state, f"{part}/{batch_id - 1}")
-        if found is None:
-            raise RuntimeError(f"the {part} state of batch {batch_id - 1} is missing in "
-                               f"{self.state}")
-        return found
-
-    def process(self, batch: DataFrame, batch_id: int, closing: bool = False) -> None:
-        spark = batch.sparkSession
-        mark = self._before(spark, batch_id, "mark")
-        closed_before = mark.first()["closed"] if mark is not None else None
-        pool = require_play_identity(batch)
-        if closed_before is not None:
-            in_time = F.col("played_at") > F.lit(closed_before)
-            write_overwrite(pool.where(~in_time), self.state, f"late/batch={batch_id}")
-            pool = pool.where(in_time)
-        if mark is not None:
-            pool = pool.unionByName(self._before(spark, batch_id, "pending"))
-        pool = pool.persist()
-        try:
-            newest: datetime | None = pool.agg(F.max("played_at").alias("t")).first()["t"]
-            closed = closed_before
-            if newest is not None:
-                ahead = newest if closing else newest - self.delay
-                closed = ahead if closed is None else max(ahead, closed)
-            self._write(spark, pool, closed, batch_id)
-        finally:
-            pool.unpersist()
-        self._forget(spark, batch_id - 2)
-
-    def _forget(self, spark: SparkSession, batch_id: int) -> None:
-        """Removes the state up to a batch; the batch before the last one may still run again."""
-        for part in ("last", "pending", "mark"):
-            for name in swap.names(spark, f"{self.state}/{part}"):
-                if name.isdigit() and int(name) <= batch_id:
-                    swap.remove(spark, f"{self.state}/{part}/{name}")
-                    swap.remove(spark, f"{self.state}/{swap.SWAP}/{part}/{name}")
-
-    def late(self, spark: SparkSession) -> DataFrame | None:
-        """Plays that came after their time was closed, with the ``batch`` that brought them."""
-        if not swap.exists(spark, f"{self.state}/late"):
-            return None
-        return spark.read.option("mergeSchema", True).parquet(f"{self.state}/late")
-
-    def _write(self, spark: SparkSession, pool: DataFrame, closed, batch_id: int) -> None:
-        final = F.lit(False) if closed is None else F.col("played_at") <= F.lit(closed)
-        chain = pool.where(final).withColumn("_carried", F.lit(False))
-        last = self._before(spark, batch_id, "last")
-        if last is not None:
-            chain = chain.unionByName(last.withColumn("_carried", F.lit(True)),
-                                      allowMissingColumns=True)
-        rows = near_repeats(chain, self.tie, self.slice_seconds)
-        kept = rows.where(~F.col("near_repeat") & ~F.col("_carried"))
-        write_overwrite(kept.select(*pool.columns), self.out, f"batch={batch_id}")
-
-        order = F.struct("played_at", *total_order(chain.drop("_carried"), self.tie))
-        ends = chain.groupBy(*TRACK_KEYS).agg(F.max(order).alias("e"))
-        ends = ends.select(*TRACK_KEYS, "e.*")
-        if closed is not None:
-            # one second more than the duration: gaps are compared in whole seconds
-            reach = F.unix_millis("played_at") + F.col("duration_ms") + 1000
-            ends = ends.where(reach > F.unix_millis(F.lit(closed)))
-        write_overwrite(ends, self.state, f"last/{batch_id}")
-        write_overwrite(pool.where(~final), self.state, f"pending/{batch_id}")
-        mark = spark.range(1).select(F.lit(closed).cast("timestamp").alias("closed"))
-        write_overwrite(mark, self.state, f"mark/{batch_id}")
-
-    def flush(self, spark: SparkSession, like: DataFrame, batch_id: int) -> None:
-        """Closes a bounded stream after batch ``batch_id``: waiting plays are taken as final.
-
-        ``like`` gives the columns of a play; none of its rows are read.
-        """
-        self.process(spark.createDataFrame([], like.schema), batch_id + 1, closing=True)
-
-    def result(self, spark: SparkSession) -> DataFrame:
-        return spark.read.parquet(self.out).drop("batch")
+    def __init__(self, schema: T.StructType, order: list[str]):
+        self.schema, self.order = schema, order
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.pending = handle.getListState("pending", self.schema)
+        self.last = handle.getValueState("last", f"{MICROS} bigint, duration_ms bigint")
+
+    def _wake(self, rows: list) -> None:
+        first = min(r[self.schema.names.index(MICROS)] for r in rows)
+        self.handle.registerTimer(first // 1000 + 1)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        new = [tuple(r[c] for c in self.schema.names) for r in rows if r[MICROS] is not None]
+        if new and None not in tuple(key):  # plays without a track or time are no plays
+            self.pending.appendList(new)
+            self._wake(new)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        closed = timerValues.getCurrentWatermarkInMs() * 1000
+        waiting = [Row(**dict(zip(self.schema.names, r))) for r in self.pending.get()]
+        final = [r for r in waiting if r[MICROS] <= closed]
+        later = [tuple(r) for r in waiting if r[MICROS] > closed]
+        if not final:
+            return iter(())
+        # null comes first, as in the batch operator
+        final.sort(key=lambda r: (r[MICROS], *[(r[c] is not None, r[c]) for c in self.order]))
+        before = self.last.get() if self.last.exists() else None
+        kept = []
+        for row in final:
+            if (before is None or before[1] is None or
+                    (row[MICROS] - before[0]) // SECOND * 1000 > before[1]):
+                kept.append(row)
+            before = (row[MICROS], row["duration_ms"])
+        self.last.update(before)
+        if later:
+            self.pending.put(later)
+            self._wake(later)
+        else:
+            self.pending.clear()
+        return iter(kept)
+
+    def close(self) -> None:
+        pass
+
+
+def stream_dedup_within_duration(plays: DataFrame, delay: str = DELAY, tie: tuple[str, ...] = ()
+                                 ) -> DataFrame:
+    """Near-repeat removal on a stream: the rows of ``dedup_within_duration``, each once the
+    watermark has passed it.
+
+    Order inside the delay is free. Plays behind the watermark are late; Spark drops and counts
+    them in the query's progress. Plays without track name, artist or time are left out. Needs the
+    RocksDB state store, which is set for the session. A bounded stream ends with
+    ``closing_play``, whose track is empty here so that it only waits.
+    """
+    conf = plays.sparkSession.conf
+    if conf.get(STORE) != ROCKS:
+        conf.set(STORE, ROCKS)
+    columns = [c for c in plays.columns if c != "played_at"]
+    order = [c for c in total_order(plays, tie)]
+    timed = plays.withWatermark("played_at", delay).withColumn(
+        MICROS, F.unix_micros("played_at"))
+    state = T.StructType([timed.schema[c] for c in (*columns, MICROS)])
+    kept = timed.groupBy(*TRACK_KEYS).transformWithState(
+        LastPlay(state, order), state, "append", "EventTime")
+    return kept.withColumn("played_at", F.timestamp_micros(MICROS)).select(*plays.columns)
 
 
 def stream_upsert(rows: DataFrame, base: str, table: str, checkpoint: str,
@@ -206,11 +181,11 @@ def stream_plays_per_window(plays: DataFrame, length: str = "1 hour", slide: str
 
 
 def closing_play(like: DataFrame, at: datetime) -> DataFrame:
-    """One row with an event time and nothing else. At the end of a bounded stream it moves the
+    """One row with an event time, an empty track and artist and nothing else. At the end of a bounded stream it moves the
     watermark to ``at`` less the delay, so that the windows before are emitted; its own are not."""
     return like.sparkSession.range(1).select(*[
-        (F.lit(at).cast(f.dataType) if f.name == "played_at"
-         else F.lit(None).cast(f.dataType)).alias(f.name) for f in like.schema])
+        F.lit(at if f.name == "played_at" else "" if f.name in TRACK_KEYS else None).cast(
+            f.dataType).alias(f.name) for f in like.schema])
 
 
 def stream_enrich(plays: DataFrame, artists: DataFrame, columns: list[str]) -> DataFrame:

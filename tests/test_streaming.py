@@ -1,7 +1,6 @@
 import json
 import random
 import time
-from datetime import timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -50,62 +49,39 @@ def test_exact_dedup_equals_batch_over_three_files(spark, tmp_path):
     assert sorted(tuples(got), key=str) == sorted(tuples(batch), key=str)
 
 
-def run_duration(spark, stream, tmp_path, **options):
-    job = S.DurationDedup(str(tmp_path / "out"), str(tmp_path / "state"), **options)
-    run = job.start(stream, str(tmp_path / "check"))
-    run.awaitTermination()
-    return job, run.lastProgress["batchId"]
+def end_of(rows, days=4):
+    """A closing play, as a tuple of the columns of plays."""
+    return (None, "", "", at(0, day=days), None)
 
 
 def test_duration_dedup_equals_batch_over_batches(spark, tmp_path):
     rng = random.Random(5)
     rows = [(f"t{i}", rng.choice(["hot", "hot", "b"]), "x", at(i * 40 + rng.randrange(30)),
              rng.choice([None, 20_000, 50_000, 200_000])) for i in range(300)]
+    rows += [("none", None, "x", at(50), 1), ("untimed", "b", "x", None, 1)]
     # order inside the delay is free
-    mixed = sorted(rows, key=lambda r: r[3].timestamp() + rng.randrange(600))
-    stream = feed(spark, tmp_path / "in", [mixed[:100], mixed[100:200], mixed[200:]])
-    job, batch_id = run_duration(spark, stream, tmp_path, delay=timedelta(minutes=30),
-                                 tie=("track_id",), slice_seconds=300)
-    waiting = job.result(spark).count()
-    job.flush(spark, plays(spark, []), batch_id)
-    batch = dedup.dedup_within_duration(plays(spark, rows), ("track_id",))
-    assert sorted(tuples(job.result(spark)), key=str) == sorted(tuples(batch), key=str)
-    assert waiting < batch.count()
-
-
-def test_duration_dedup_drops_late_rows_and_repeats_a_batch_safely(spark, tmp_path):
+    mixed = sorted(rows, key=lambda r: (r[3] or at()).timestamp() + rng.randrange(600))
+    stream = feed(spark, tmp_path / "in", [mixed[:100], mixed[100:200], mixed[200:],
+                                           [end_of(rows)]])
+    got = drained(spark, S.stream_dedup_within_duration(stream, "30 minutes", ("track_id",)),
+                  tmp_path)
+    batch = dedup.dedup_within_duration(
+        dedup.require_play_identity(plays(spark, rows)), ("track_id",))
+    assert sorted(tuples(got), key=str) == sorted(tuples(batch), key=str)
+
+
+def test_duration_dedup_goes_on_from_its_checkpoint_and_drops_late_plays(spark, tmp_path):
+    stream = feed(spark, tmp_path / "in", [
+        [("1", "n", "x", at(0), 10_000_000), ("far", "z", "x", at(7200), 1000)]])
+    first = drained(spark, S.stream_dedup_within_duration(stream, "1 hour"), tmp_path)
+    assert tuples(first, "track_id") == [("1",)]     # "far" still waits for its order
+    # the next run knows play 1, whose length reaches over "5", and what waits; "late" is behind the
+    # mark; "3" comes before "far" of the same instant, which it covers, and "far" is over at "4"
     stream = feed(spark, tmp_path / "in", [
-        [("1", "n", "x", at(0), 1000), ("2", "n", "x", at(7200), 1000)],
-        [("late", "m", "x", at(60), 1000), ("3", "n", "x", at(7300), 1000)],
-    ])
-    job, batch_id = run_duration(spark, stream, tmp_path, delay=timedelta(hours=1))
-    # the last batch runs once more, as after a failure between its output and its commit
-    again = plays(spark, [("late", "m", "x", at(60), 1000), ("3", "n", "x", at(7300), 1000)])
-    job.process(again, batch_id)
-    job.flush(spark, again, batch_id)
-    assert sorted(tuples(job.result(spark), "track_id")) == [("1",), ("2",), ("3",)]
-    assert tuples(job.late(spark), "track_id") == [("late",)]
-
-
-def test_duration_dedup_refuses_lost_state_and_forgets_old_state(spark, tmp_path):
-    job = S.DurationDedup(str(tmp_path / "out"), str(tmp_path / "state"))
-    for k in range(4):
-        job.process(plays(spark, [(str(k), "n", "x", at(7200 * k), 1000)]), k)
-    assert sorted(p.name for p in (tmp_path / "state" / "mark").iterdir()) == ["2", "3"]
-    with pytest.raises(RuntimeError, match="state of batch 6 is missing"):
-        job.process(plays(spark, []), 7)
-
-
-def test_duration_state_forgets_tracks_that_cannot_matter(spark, tmp_path):
-    job = S.DurationDedup(str(tmp_path / "out"), str(tmp_path / "state"),
-                          delay=timedelta(seconds=10))
-    job.process(plays(spark, [("1", "short", "x", at(0), 1000), ("2", "long", "x", at(0), 900_000),
-                              ("3", "open", "x", at(0), None), ("4", "z", "x", at(100), 1)]), 0)
-    last = spark.read.parquet(str(tmp_path / "state" / "last" / "0"))
-    assert [r.track_name for r in last.collect()] == ["long"]
-    job.process(plays(spark, [("5", "long", "x", at(200), 1), ("6", "short", "x", at(200), 1)]), 1)
-    job.flush(spark, plays(spark, []), 1)
-    assert sorted(r[0] for r in tuples(job.result(spark), "track_id")) == ["1", "2", "3", "4", "6"]
+        [("late", "n", "x", at(30), 1000), ("3", "z", "x", at(7200), 5000),
+         ("4", "z", "x", at(7203), 5000), ("5", "n", "x", at(9000), 1000)], [end_of([])]])
+    got = drained(spark, S.stream_dedup_within_duration(stream, "1 hour"), tmp_path)
+    assert sorted(tuples(got, "track_id")) == [("1",), ("3",), ("4",)]
 
 
 def test_upsert_per_batch(spark, tmp_path):
