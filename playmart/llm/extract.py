@@ -35,6 +35,7 @@ BLOCKS = frozenset(
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SILENT = frozenset("script style noscript template svg math title head iframe object".split())
 RAW = frozenset("script style noscript template svg math title iframe textarea object".split())
+CODE = frozenset("script style".split())   # without an end they go on to the end of the page
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"},
              "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 IN_HEAD = frozenset("base basefont bgsound head html link meta noframes noscript script style template "
@@ -57,37 +58,112 @@ MARKS = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+
 NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
+class Path:
+    """The elements around a block and the words that mark them. A path holds the one it goes on
+    from and the sums over both that the labeller reads, so a deep one is no larger than others."""
+
+    __slots__ = ("up", "marks", "spots", "size", "held", "named")
+
+    def __init__(self, up: Path | None, marks: tuple[str, ...]):
+        self.up, self.marks = up, marks
+        self.spots, self.size, self.held, self.named = (
+            (up.spots, up.size, up.held, up.named) if up else (0, 0, False, False))
+        for t in marks:
+            self.spots |= 1 << spot(t)
+        self.size += len(marks)
+        self.held = self.held or not HOLDS.isdisjoint(marks)
+        self.named = self.named or not BOILER.isdisjoint(marks)
+
+    def names(self) -> tuple[str, ...]:
+        parts, at = [], self
+        while at:
+            parts.append(at.marks)
+            at = at.up
+        return tuple(t for marks in reversed(parts) for t in marks)
+
+
+HOLDS = frozenset({"article", "main", ".article", ".main"})
+BOILER = NOT_TEXT_TAGS | {"." + x for x in NOT_TEXT_WORDS}
+
+
 @dataclass
 class Block:
-    path: tuple[str, ...]
+    at: Path
     text: str
     linked: int = 0
 
+    @property
+    def path(self) -> tuple[str, ...]:
+        return self.at.names()
+
+
+class Open:
+    """The open elements of a page, with the places of each name and of those that no end of a
+    paragraph or list item looks beyond; so no tag has to walk through all of them."""
+
+    def __init__(self) -> None:
+        self.stack: list[tuple[str, Path]] = []
+        self.places: dict[str, list[int]] = {}
+        self.walls: list[int] = []
+        self.silent = 0
+
+    def push(self, tag: str, marks: tuple[str, ...]) -> None:
+        self.places.setdefault(tag, []).append(len(self.stack))
+        if tag in BLOCKS and tag != "p":
+            self.walls.append(len(self.stack))
+        self.silent += tag in SILENT
+        self.stack.append((tag, Path(self.path(), marks)))
+
+    def pop(self) -> str:
+        tag, _ = self.stack.pop()
+        self.places[tag].pop()
+        if tag in BLOCKS and tag != "p":
+            self.walls.pop()
+        self.silent -= tag in SILENT
+        return tag
+
+    def path(self) -> Path | None:
+        return self.stack[-1][1] if self.stack else None
+
+    def last(self, tag: str) -> int:
+        """The place of the last open element of a name; -1 if there is none."""
+        places = self.places.get(tag)
+        return places[-1] if places else -1
+
 
 def blocks(page: str) -> list[Block]:
     """The leaf blocks of a page in order: runs of text between block elements, with character
-    references decoded and white space made single. Scripts, styles and titles have none."""
+    references decoded and white space made single. Scripts, styles and titles have none.
+
+    An element that is read as a whole up to its end tag but has none is passed over with its start
+    tag alone (a title with the text up to the next tag), so nothing behind it is lost; only a
+    script or style goes on to the end of the page. Time and memory follow the length of the page,
+    however deep its elements are.
+    """
     out: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    open_ = Open()
+    top = Path(None, ())
     parts: list[str] = []
+    endless: set[str] = set()   # names without an end tag in the rest of the page
     linked = 0
-    silent = 0
 
     def flush() -> None:
         nonlocal linked
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                out.append(Block(tuple(t for _, marks in stack for t in marks), text, linked))
+                out.append(Block(open_.path() or top, text, linked))
             parts.clear()
             linked = 0
 
     def pop(to: int) -> None:
-        nonlocal silent
-        if any(t in BLOCKS for t, _ in stack[to:]):
+        if any(t in BLOCKS for t, _ in open_.stack[to:]):
             flush()
-        silent -= sum(t in SILENT for t, _ in stack[to:])
-        del stack[to:]
+        while len(open_.stack) > to:
+            open_.pop()
+
+    def in_head() -> bool:
+        return bool(open_.stack) and open_.stack[-1][0] == "head"
 
     # behind the last tag end nothing but text can come, up to a comment that never ends
     at, end = 0, page.rfind(">") + 1
@@ -97,12 +173,12 @@ def blocks(page: str) -> list[Block]:
     while at < end:
         found = TOKEN.search(page, at, end)
         text = page[at:found.start() if found else end]
-        if text.strip() and stack and stack[-1][0] == "head":
-            pop(len(stack) - 1)
-        if text and not silent:
+        if text.strip() and in_head():
+            pop(len(open_.stack) - 1)
+        if text and not open_.silent:
             text = entities.unescape(text)
             parts.append(text)
-            if any(t == "a" for t, _ in stack):
+            if open_.last("a") >= 0:
                 linked += len(text)
         if not found:
             break
@@ -113,48 +189,46 @@ def blocks(page: str) -> list[Block]:
         if found[1] or found[4]:
             if tag in BLOCKS:
                 flush()
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    pop(k)
-                    break
+            if open_.last(tag) >= 0:
+                pop(open_.last(tag))
             continue
         if tag == "br":
             parts.append(" ")
-        if tag not in IN_HEAD:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == "head":
-                    pop(k)
-                    break
+        if tag not in IN_HEAD and open_.last("head") >= 0:
+            pop(open_.last("head"))
         if tag in BLOCKS:
             flush()
         closes = {"p"} if tag in ENDS_P else set()
         closes |= CLOSED_BY.get(tag, set())
-        for k in range(len(stack) - 1, -1, -1):
-            name = stack[k][0]
-            if name in closes:
-                pop(k)
-                break
-            if name in BLOCKS and name != "p":
-                break
+        near = max((open_.last(name) for name in closes), default=-1)
+        if near >= max(open_.walls[-1] if open_.walls else 0, 0):
+            pop(near)
         attributes = found[3] if found[2] else found[6]
-        if tag in VOID or attributes.endswith("/") and tag in ("svg", "math"):
+        if tag in VOID or attributes.rstrip().endswith("/") and tag in ("svg", "math"):
             continue
         if tag in RAW:
-            stop = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at, end)
+            stop = None if tag in endless else re.compile(
+                rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at, end)
+            if not stop and tag not in CODE:
+                endless.add(tag)
+                if tag == "title":
+                    following = page.find("<", at, end)
+                    at = following if following >= 0 else end
+                if tag in SILENT:
+                    continue
             if tag not in SILENT:
                 parts.append(entities.unescape(page[at:stop.start() if stop else len(page)]))
-                stack.append((tag, (tag,)))
+                open_.push(tag, (tag,))
                 flush()
-                stack.pop()
+                open_.pop()
             at = stop.end() if stop else end
             tail = tail if stop else ""
             continue
         names = [p.lower() for m in MARKS.findall(attributes) for p in NAME_PARTS.findall(m)]
-        stack.append((tag, (tag, *("." + n for n in names))))
-        silent += tag in SILENT
-    if tail.strip() and stack and stack[-1][0] == "head":
-        pop(len(stack) - 1)
-    if tail and not silent:
+        open_.push(tag, (tag, *("." + n for n in names)))
+    if tail.strip() and in_head():
+        pop(len(open_.stack) - 1)
+    if tail and not open_.silent:
         parts.append(entities.unescape(tail))
     flush()
     return out
@@ -167,7 +241,7 @@ def spot(token: str) -> int:
 def sizes(b: Block, words: int) -> list[float]:
     n = len(b.text)
     return [np.log1p(n) / 8, np.log1p(words) / 6, b.linked / n,
-            sum(map(b.text.count, ".,;!?")) / max(words, 1), len(b.path) / 8, 1.0]
+            sum(map(b.text.count, ".,;!?")) / max(words, 1), b.at.size / 8, 1.0]
 
 
 def text_vector(b: Block) -> np.ndarray:
@@ -177,10 +251,9 @@ def text_vector(b: Block) -> np.ndarray:
     return np.concatenate((seen / max(len(words), 1), sizes(b, len(words)))).astype(np.float32)
 
 
-def path_vector(path: tuple[str, ...]) -> np.ndarray:
-    out = np.zeros(PATHS, np.float32)
-    out[[spot(t) for t in path]] = 1
-    return out
+def path_vector(path: Path) -> np.ndarray:
+    bits = np.frombuffer(path.spots.to_bytes(PATHS // 8, "little"), np.uint8)
+    return np.unpackbits(bits, bitorder="little").astype(np.float32)
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -193,17 +266,18 @@ class Labeller:
     of the four gates, then the output."""
 
     w: dict[str, np.ndarray]
-    paths: dict[tuple[str, ...], np.ndarray] = field(default_factory=dict)
+    paths: dict[int, np.ndarray] = field(default_factory=dict)
 
     def gates(self, page: list[Block]) -> np.ndarray:
         """What each block feeds to the gates of both directions; a path's share is kept."""
         texts = np.stack([text_vector(b) for b in page]) @ self.both[PATHS:]
         for b in page:
-            if b.path not in self.paths:
-                if len(self.paths) > 50_000:
-                    self.paths.clear()
-                self.paths[b.path] = path_vector(b.path) @ self.both[:PATHS]
-        return texts + np.stack([self.paths[b.path] for b in page])
+            if b.at.spots not in self.paths:
+                self.paths[b.at.spots] = path_vector(b.at) @ self.both[:PATHS]
+        found = np.stack([self.paths[b.at.spots] for b in page])
+        if len(self.paths) > 50_000:
+            self.paths.clear()
+        return texts + found
 
     @property
     def both(self) -> np.ndarray:
@@ -234,16 +308,17 @@ class Labeller:
                     x[:lengths[j], j] = self.gates(pages[k])
             mask = np.arange(len(x))[:, None] < lengths
             half = 4 * HIDDEN
-            f = run(x[:, :, :half], self.w["fu"], self.w["fb"], mask)[0]
-            b = run(x[::-1, :, half:], self.w["bu"], self.w["bb"], mask[::-1])[0][::-1]
+            f = run(x[:, :, :half], self.w["fu"], self.w["fb"], mask, False)[0]
+            b = run(x[::-1, :, half:], self.w["bu"], self.w["bb"], mask[::-1], False)[0][::-1]
             score = np.concatenate((f, b), 2) @ self.w["o"] + self.w["ob"]
             for j, k in enumerate(group):
                 out[k] = score[:lengths[j], j] > 0
         return out
 
 
-def run(x: np.ndarray, u: np.ndarray, bias: np.ndarray, mask: np.ndarray):
-    """One direction over padded sequences (time, page, gates); a padded step changes nothing."""
+def run(x: np.ndarray, u: np.ndarray, bias: np.ndarray, mask: np.ndarray, keep: bool = True):
+    """One direction over padded sequences (time, page, gates); a padded step changes nothing. Only
+    training has to `keep` what each step saw."""
     n, h = x.shape[1], HIDDEN
     hid, cell = np.zeros((n, h), np.float32), np.zeros((n, h), np.float32)
     out, saved = np.zeros((len(x), n, h), np.float32), []
@@ -254,7 +329,8 @@ def run(x: np.ndarray, u: np.ndarray, bias: np.ndarray, mask: np.ndarray):
         new = f * cell + i * g
         squashed = np.tanh(new)
         m = mask[t][:, None]
-        saved.append((i, f, o, g, cell, squashed, hid, m))
+        if keep:
+            saved.append((i, f, o, g, cell, squashed, hid, m))
         hid, cell = np.where(m, o * squashed, hid), np.where(m, new, cell)
         out[t] = hid
     return out, saved
@@ -294,7 +370,7 @@ def teach(pages: list[tuple[list[Block], list[bool]]]) -> Labeller:
         w[k][h:2 * h] = 1  # remember at first
     runs = []
     for page, labels in pages:
-        x = np.stack([np.concatenate((path_vector(b.path), text_vector(b))) for b in page])
+        x = np.stack([np.concatenate((path_vector(b.at), text_vector(b))) for b in page])
         runs += [(x[k:k + WINDOW], np.array(labels[k:k + WINDOW], np.float32))
                  for k in range(0, len(page), WINDOW)]
     first = {k: np.zeros_like(v) for k, v in w.items()}
@@ -341,12 +417,7 @@ def teach(pages: list[tuple[list[Block], list[bool]]]) -> Labeller:
 def marked(page: list[Block]) -> list[bool] | None:
     """Labels that a page's own semantic elements give: main text lies in an article or main
     element and in nothing that is named as boilerplate. None for a page without such an element."""
-    words = {"." + x for x in NOT_TEXT_WORDS}
-    holds = {"article", "main", ".article", ".main"}
-    labels = []
-    for b in page:
-        inside = any(t in holds for t in b.path)
-        labels.append(inside and not any(t in NOT_TEXT_TAGS or t in words for t in b.path))
+    labels = [b.at.held and not b.at.named for b in page]
     return labels if any(labels) else None
 
 
@@ -375,7 +446,7 @@ def made(count: int) -> list[tuple[list[Block], list[bool]]]:
         for _ in range(rng.integers(1, 7)):
             text = words(rng.integers(1, 30 if named else 4))
             path = tuple(t for t in base + outer + inner if t != "a")
-            out.append(Block(path, text, len(text) if "a" in inner else 0))
+            out.append(Block(Path(None, path), text, len(text) if "a" in inner else 0))
         return out
 
     pages = []
@@ -400,7 +471,7 @@ def made(count: int) -> list[tuple[list[Block], list[bool]]]:
                 8 if plain else 1, 120)
             text = words(n) + pick([".", "."])
             linked = int(len(text) * rng.random() * 0.3) if rng.random() < 0.15 else 0
-            add([Block(base + hold + kind, text, linked)], True)
+            add([Block(Path(None, base + hold + kind), text, linked)], True)
             if not plain and rng.random() < 0.08:
                 add(boiler(base + hold, True), False)
         for _ in range(rng.integers(0, 4)):

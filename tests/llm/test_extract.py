@@ -1,3 +1,5 @@
+import time
+
 import pytest
 
 from playmart.llm import extract as E, queries
@@ -124,3 +126,28 @@ def test_pages_without_the_end_of_the_head(made_model):
     for page in ("<head><title>x</title>plain <b>text</b>", "<head><title>x</title>plain text"):
         assert [b.text for b in E.blocks(page)] == ["plain text"]
     assert E.blocks("<html><head><title>x</title><link rel=a></head></html>") == []
+
+
+@pytest.mark.parametrize("tag", ["svg", "math", "template", "object", "noscript", "iframe"])
+def test_nothing_is_lost_behind_an_element_without_an_end(tag):
+    for start in (f"<{tag}>", f"<{tag} a='b'>", f"<{tag} / >", f"<{tag}/>"):
+        page = f"<article><p>A</p>{start}<path><p>B</p></article><p>C</p>"
+        assert [b.text for b in E.blocks(page)] == ["A", "B", "C"], start
+    if tag not in ("svg", "math"):
+        closed = f"<p>A</p><{tag}><b>gone</b></{tag}><p>B</p><{tag}><p>C</p>"
+        assert [b.text for b in E.blocks(closed)] == ["A", "B", "C"]
+
+
+def test_a_title_without_an_end_and_a_script_without_one():
+    assert [b.text for b in E.blocks("<title>T<body><p>A</p>")] == ["A"]
+    assert [b.text for b in E.blocks("<p>A</p><script>let x = '<p>B</p>'")] == ["A"]
+
+
+@pytest.mark.parametrize("part", ["<b>x", "<div>x", "<a>x", "<svg>x", "<li>x", "<p>x", "<b><li>x",
+                                  "<ul><li>x", "<i>x</q>", "<table><tr><td>x"])
+def test_a_megabyte_of_open_elements_is_linear(part):
+    page = part * (1_000_000 // len(part))
+    start = time.perf_counter()
+    found = E.blocks(page)
+    assert time.perf_counter() - start < 10
+    assert sum(len(b.text.replace(" ", "")) for b in found) == page.count("x")
