@@ -501,8 +501,13 @@ def keep_one(docs: DataFrame, words: int = 5, similarity: float = 0.8, key: str
         (F.col("doc").eqNullSafe(F.col("best.doc")) & (F.col("hash") == F.col("best.hash"))
          ).alias("kept")), "kept")
     gone = judged.where("NOT kept OR n > 1").select(*found)
+    # rows whose mark no lost row has stay without a shuffle
+    mark = lambda doc, text: F.pmod(F.xxhash64(doc, text), F.lit(MARKS))
+    lost = F.broadcast(gone.select(mark(*found).alias("mark")).distinct())
+    own = mark(docs[f"`{key}`"], digest)
     cond = docs[f"`{key}`"].eqNullSafe(gone[found[0]]) & (digest == gone[found[1]])
-    once = docs.join(gone, cond, "left_anti")
+    once = docs.join(lost, own == lost["mark"], "left_anti").unionAll(
+        docs.join(lost, own == lost["mark"], "left_semi").join(gone, cond, "left_anti"))
     twice = judged.where("kept AND n > 1").select(*found)
     cond = docs[f"`{key}`"].eqNullSafe(twice[found[0]]) & (digest == twice[found[1]])
     again = docs.join(twice, cond).dropDuplicates(found).select(
