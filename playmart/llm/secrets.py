@@ -100,21 +100,24 @@ def steps() -> list[int]:
 
 def risky_windows(candidates: DataFrame) -> DataFrame:
     """`kind`, `s`, `from`, `to`: ranges of distinct candidate strings that windows of high entropy
-    cover. `candidates` has one row per (kind, s)."""
+    cover. `candidates` has one row per (kind, s). Candidates are numbered, and what goes on for each
+    character is the number alone, so work and memory follow a candidate's length."""
     allowed = F.lit(False)
     for rule in ALLOWED:
         allowed = allowed | F.col("s").rlike(rule)
     mixed = F.col("s").rlike("[0-9]") & F.col("s").rlike("[A-Za-z]")
-    asked = candidates.where(mixed & ~allowed)
+    path = scratch_path(candidates.sparkSession, "candidates")
+    candidates.where(mixed & ~allowed).withColumn(
+        "id", F.monotonically_increasing_id()).write.parquet(path)
+    asked = candidates.sparkSession.read.parquet(path)
     stride = CHUNK - WIDTH + 1
     last = F.greatest(F.char_length("s") - WIDTH, F.lit(0))
-    chunks = asked.select("kind", "s", F.posexplode(F.transform(
+    chunks = asked.select("kind", "id", F.posexplode(F.transform(
         F.sequence(F.lit(0), F.floor(last / stride).cast("int")),
         lambda k: F.substring(F.col("s"), k * stride + 1, F.lit(CHUNK)))).alias("n", "part"))
     letters = chunks.select(
-        "kind", F.xxhash64("s").alias("id"), "s", "n",
-        F.posexplode(F.split("part", "")).alias("i", "c")).where("c <> ''")
-    chunk = ["kind", "id", "s", "n"]
+        "kind", "id", "n", F.posexplode(F.split("part", "")).alias("i", "c")).where("c <> ''")
+    chunk = ["kind", "id", "n"]
     same = Window.partitionBy(*chunk, "c").orderBy("i")
     gain = F.array(*[F.lit(x) for x in steps()])
     pick = lambda n: F.element_at(gain, (n + 1).cast("int"))
@@ -140,10 +143,11 @@ def risky_windows(candidates: DataFrame) -> DataFrame:
                         & F.col("digit") & F.col("letter"))
     # windows of a chunk that touch are one range
     apart = F.coalesce(F.col("i") - F.lag("i").over(order) > WIDTH, F.lit(True)).cast("int")
-    return high.withColumn("new", apart).withColumn("island", F.sum("new").over(upto)).groupBy(
+    ranges = high.withColumn("new", apart).withColumn("island", F.sum("new").over(upto)).groupBy(
         *chunk, "island").agg(
         (F.min("i") - (WIDTH - 1) + F.col("n") * stride).alias("from"),
-        (F.max("i") + 1 + F.col("n") * stride).alias("to")).select("kind", "s", "from", "to")
+        (F.max("i") + 1 + F.col("n") * stride).alias("to")).select("id", "from", "to")
+    return ranges.join(asked.select("id", "kind", "s"), "id").select("kind", "s", "from", "to")
 
 
 def entropy_spans(matches: DataFrame) -> DataFrame:

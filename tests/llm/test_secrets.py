@@ -128,3 +128,15 @@ def test_random_secrets_of_every_alphabet_are_found(spark, docs):
             for k, abc in enumerate(kinds) for n in (20, 32) for j in range(300)]
     found = Counter(i // 500 for i, t in tuples(X.redact(docs(rows)), "doc_id", "text") if X.MARK in t)
     assert all(found[2 * k] >= 276 and found[2 * k + 1] >= 297 for k in range(len(kinds))), found
+
+
+def test_a_megabyte_of_base64_takes_seconds(spark, docs):
+    import time
+    rng = random.Random(3)
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    blob = "".join(rng.choices(alphabet, k=1_000_000))
+    start = time.perf_counter()
+    row = X.find_secrets(docs([(1, "see " + blob + " end")])).first()
+    assert time.perf_counter() - start < 90
+    covered = sum(s.end - s.start for s in row.spans if s.kind >= len(X.BASE))
+    assert covered > 990_000
