@@ -607,7 +607,7 @@ SELECT 'tracks_played' AS "table", TRUE AS "exists", count(*) AS record_count,
     TRUE AS has_files, TRUE AS has_bytes
 FROM history""",
     "e9_write_csv_snapshot": f"""
-SELECT {SNAPSHOT} FROM plays WHERE played_at >= TIMESTAMP '2024-01-25'""",
+SELECT {SNAPSHOT} FROM plays""",
     "e10_validate_tables": """
 SELECT t AS "table", n IS NOT NULL AS "exists", ifnull(n, 0) AS row_count, FALSE AS all_valid
 FROM (VALUES ('tracks_played', (SELECT count(*) FROM history)),
@@ -616,8 +616,7 @@ FROM (VALUES ('tracks_played', (SELECT count(*) FROM history)),
     ('mbz_artist_info', NULL), ('mbz_artist_genre', NULL), ('mbz_area_hierarchy', NULL),
     ('cities_with_lat_long', NULL)) x(t, n)""",
     "e11_check_column_consistency": """
-SELECT column_name, a.n IS NOT NULL AND b.n IS NOT NULL AS in_both, FALSE AS columns_match,
-    (SELECT count(*) FROM o_fact) AS stored_rows, (SELECT count(*) FROM o_fact_genre) AS model_rows
+SELECT column_name, a.n IS NOT NULL AND b.n IS NOT NULL AS in_both, FALSE AS columns_match
 FROM (SELECT unnest(['track_sid', 'artist_sid', 'album_sid', 'artist_name', 'request_cursor',
           'date_sid', 'time_sid', 'popularity', 'artist_popularity', 'duration_ms',
           'duration_mins', 'tracks_played']) AS column_name, 1 AS n) a

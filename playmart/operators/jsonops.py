@@ -66,29 +66,26 @@ def conform_to_table(df: DataFrame, stored: DataFrame | None) -> DataFrame:
     ])
 
 
-MAX_KEYS = 10_000  # columns that a table may get; more keys than this are an error
-
-
 def flatten_json_column(df: DataFrame, col: str, prefix: str | None = None,
                         keys: list[str] | None = None) -> DataFrame:
     """One text column per key of a JSON object column; other values give NULLs.
 
-    Without ``keys`` the distinct keys in the data are looked up first: each becomes a column, so
-    there must be few (over ``MAX_KEYS`` is an error). Keys that would share a column, with each
-    other or with a column of ``df``, are an error.
+    Without ``keys`` the keys of all rows are looked up first. They are the names of the result's
+    columns, so one row of them reaches the driver, whatever the number of rows; there is no bound
+    on their number. Keys that would share a column, with each other or with a column of ``df``,
+    are an error.
     """
     if col not in df.columns:
         return df
     parsed = F.from_json(F.col(col), "map<string,string>")
     if keys is None:
         found = df.select(F.explode(F.map_keys(parsed)).alias("k")).distinct()
-        keys = sorted(r.k for r in found.limit(MAX_KEYS + 1).collect())
-        if len(keys) > MAX_KEYS:
-            raise ValueError(f"{col} has over {MAX_KEYS} keys")
+        keys = found.agg(F.array_sort(F.collect_list("k"))).first()[0]
     columns: dict[str, str] = {}
+    taken = {c.lower() for c in df.columns}
     for k in dict.fromkeys(keys):
         name = _underscored(f"{prefix}_{k}" if prefix else k)
-        if name in columns or name.lower() in (c.lower() for c in df.columns):
+        if name in columns or name.lower() in taken:
             raise ValueError(f"key {k!r} of {col} would overwrite column {name!r}")
         columns[name] = k
     wide = df.withColumn("_object", parsed)

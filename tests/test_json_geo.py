@@ -23,6 +23,15 @@ def test_normalize_artist_documents(spark, tmp_path):
     assert fit.columns == stored.columns and fit.where("country is null").count() == 2
 
 
+def test_flatten_json_column_takes_any_number_of_keys(spark):
+    """Keys of all rows become columns, each value in its own."""
+    rows = [(k, json.dumps({f"key {k}-{j}": j for j in range(20)})) for k in range(60)]
+    got = jsonops.flatten_json_column(spark.createDataFrame(rows, "id int, j string"), "j", "p")
+    assert len(got.columns) == 2 + 60 * 20
+    row = got.where("id = 7").first()
+    assert row["p_key 7_3"] == "3" and row["p_key 8_3"] is None
+
+
 def test_flatten_json_column(spark):
     df = spark.createDataFrame([('{"a-b": 1, "c": {"d": 2}}',), ("[1]",), (None,), ("bad",)],
                                "j string")
