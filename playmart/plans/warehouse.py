@@ -19,6 +19,7 @@ from playmart.operators.skew import left_join_dim
 from playmart.plans import intermediate as I
 from playmart.plans import stage
 from playmart.schemas import REQUIRED_TABLES, SEEDS
+from playmart.session import scratch_path
 from playmart.sources import swap
 from playmart.sources.plays import read_recently_played_csv
 from playmart.sources.tables import read_seed, read_table
@@ -335,9 +336,10 @@ def refresh_warehouse(inputs: Inputs, base: str, start: date, end: date) -> list
     years = list(range(start.year, end.year + 1))
     write_warehouse(inputs, base, exclude=list(FACTS))
     plays = build_model(inputs, "keyed_plays").where(F.year("date_sid").isin(years))
-    write_overwrite(plays, base, "keyed_plays")
-    part = replace(inputs, built={"keyed_plays": read_table(inputs.spark, base, "keyed_plays")},
-                   lock=RLock())
+    # in a place of its own: the stored table has all years
+    path = scratch_path(inputs.spark, "keyed-plays")
+    plays.write.parquet(path)
+    part = replace(inputs, built={"keyed_plays": inputs.spark.read.parquet(path)}, lock=RLock())
     for name in FACTS:
         replace_partitions(_by_year(build_model(part, name)), base, name, FACT_PARTITION,
                            [str(y) for y in years])
