@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,8 +10,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from playmart.schemas import MERGE_KEYS, REQUIRED_TABLES
-from playmart.sources import swap
-from playmart.sources.tables import read_table
+from playmart.session import scratch_path
+from playmart.sources.tables import (
+    bucket_column,
+    bucket_name,
+    bucket_parts,
+    read_table,
+    table_exists,
+)
+
+FEWEST_BUCKETS, MOST_BUCKETS, BUCKET_BYTES = 16, 16_384, 256 << 20
+# the table beside a merged one that notes the last batch of each stream
+BATCHES = "_batches"
 
 
 def merge_keys(table: str) -> list[str]:
@@ -71,29 +82,36 @@ def upsert(existing: DataFrame | None, new: DataFrame, keys: list[str]) -> DataF
     return kept.select(*existing.columns).unionByName(new, allowMissingColumns=True)
 
 
-def _stage(df: DataFrame, base: str, table: str, partition_by: list[str] | None) -> str:
-    staged = swap.stage(base, table)
+def _save(df: DataFrame, path: str, mode: str, partition_by: list[str] | None = None) -> None:
+    """One write by Spark. With partitions "dynamic" replaces those that have rows in ``df`` and
+    leaves the others; Spark stages the files and puts them in place when all tasks are done."""
     writer = df.write.option("compression", "snappy")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(staged)
-    return staged
+    if mode == "dynamic":
+        writer, mode = writer.option("partitionOverwriteMode", "dynamic"), "overwrite"
+    writer.mode(mode).parquet(path)
 
 
-def write_overwrite(df: DataFrame, base: str, table: str,
-                    partition_by: list[str] | None = None) -> None:
-    """Replaces the table. The old files go only after the new ones are complete, so ``df`` may
-    read them and a failed write changes nothing."""
-    spark = df.sparkSession
-    swap.settle(spark, base, table)
-    staged = _stage(df, base, table, partition_by)
-    swap.publish(spark, base, table, staged, _stored_schema(df, partition_by))
+def _settled(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to the shared scratch folder and read back."""
+    path = scratch_path(df.sparkSession, label)
+    _save(df, path, "error")
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _stored_schema(df: DataFrame, partition_by: list[str] | None) -> T.StructType:
-    """Partition columns come last, as in the files' folders."""
-    last = partition_by or []
-    return df.select(*[f"`{c}`" for c in df.columns if c not in last], *last).schema
+def write_overwrite(df: DataFrame, base: str, table: str, partition_by: list[str] | None = None,
+                    arrange: Callable[[DataFrame], DataFrame] | None = None) -> None:
+    """Replaces the table; ``arrange`` orders rows for the files.
+
+    Where a table is replaced, the rows are computed into the scratch folder first: ``df`` may read
+    the old table, and a failed computation changes nothing. The second write only copies, and
+    what it copies stays in the scratch folder should it be cut off. A partitioned table without
+    rows has no files, so it reads as absent.
+    """
+    if table_exists(df.sparkSession, base, table):
+        df = _settled(df, "overwrite")
+    _save(arrange(df) if arrange else df, f"{base}/{table}", "overwrite", partition_by)
 
 
 def write_append(df: DataFrame, base: str, table: str) -> None:
@@ -108,76 +126,130 @@ def write_append(df: DataFrame, base: str, table: str) -> None:
     clash = [f.name for f in df.schema if types.get(f.name, f.dataType) != f.dataType]
     if clash:
         raise ValueError(f"columns with other types than in {table}: {', '.join(clash)}")
-    added = T.StructType([f for f in df.schema if f.name not in types])
-    # a schema with columns that no file has yet is harmless, so it goes first
-    swap.declare(spark, base, table, T.StructType([*stored.schema, *added]))
-    df.write.mode("append").option("compression", "snappy").parquet(f"{base}/{table}")
+    bucket = bucket_column(read_table(spark, base, table, raw=True).columns)
+    if bucket:
+        df = _dealt(_numbered(df, bucket), bucket)
+    _save(df, f"{base}/{table}", "append", [bucket] if bucket else None)
 
 
-def write_merge(df: DataFrame, base: str, table: str, keys: list[str] | None = None,
-                batch: tuple[str, int] | None = None, partition_by: str | None = None) -> None:
-    """Upsert into the stored table that rewrites only files with a key of ``df``.
+def _numbered(df: DataFrame, bucket: str) -> DataFrame:
+    count, keys = bucket_parts(bucket)
+    texts = [F.col(f"`{k}`").cast("string") for k in keys]
+    return df.withColumn(bucket, F.pmod(F.xxhash64(*texts), F.lit(count)).cast("int"))
+
+
+def _dealt(df: DataFrame, part: str) -> DataFrame:
+    """Rows dealt so that a partition is few files, and a large one is written by several tasks."""
+    return df.withColumnRenamed(part, "_part").hint("rebalance", "_part").withColumnRenamed(
+        "_part", part)
+
+
+def _bucket_count(spark: SparkSession, base: str, table: str) -> int:
+    size = table_files(spark, base, table).agg(F.sum("bytes")).first()[0] or 0
+    return min(MOST_BUCKETS, max(FEWEST_BUCKETS, -(-size // BUCKET_BYTES)))
+
+
+def _merge_touched(new: DataFrame, base: str, table: str, keys: list[str], part: str) -> None:
+    """Upsert within the partitions of ``part`` that have rows of ``new``. Their values come to the
+    driver: they are folders, which a listing of the table holds there anyway."""
+    spark = new.sparkSession
+    raw = read_table(spark, base, table, raw=True)
+    if raw.schema[part].dataType != new.schema[part].dataType:
+        new = new.withColumn(part, F.col(f"`{part}`").cast(raw.schema[part].dataType))
+    new = new.persist()
+    try:
+        values = [r[0] for r in new.select(f"`{part}`").distinct().collect()]
+        col = F.col(f"`{part}`")
+        touched = col.isin([v for v in values if v is not None])
+        if None in values:
+            touched = touched | col.isNull()
+        rows = upsert(raw.where(touched), new, keys)
+        _save(_dealt(rows, part), f"{base}/{table}", "dynamic", [part])
+    finally:
+        new.unpersist()
 
-    Only key columns are read to find those files; their names (not rows) come to the driver. All
-    other files stay. ``batch`` names a stream and its batch; a batch that is already in the table
-    is not merged again. Without keys the table becomes the distinct union.
+
+def _merged_batch(spark: SparkSession, base: str, table: str, stream: str) -> int:
+    """The last batch of a stream that the table holds; -1 if there is none."""
+    log = read_table(spark, base, f"{table}{BATCHES}", merge_schema=False)
+    if log is None:
+        return -1
+    return log.where(F.col("name") == stream).agg(
+        F.coalesce(F.max("batch"), F.lit(-1))).first()[0]
+
+
+def write_merge(df: DataFrame, base: str, table: str, keys: list[str] | None = None,
+                batch: tuple[str, int] | None = None, partition_by: str | None = None,
+                buckets: int | None = None) -> None:
+    """Upsert into the stored table that rewrites only partitions with a key of ``df``.
+
+    The table is partitioned by ``partition_by``, which the keys must imply, or else by buckets:
+    the hash of the keys modulo ``buckets``, by default one for each 256 MB, at least 16. The
+    bucket column's name says how it is made, ``read_table`` leaves it out. The first merge into a
+    table with another layout lays it out anew as a whole, later ones replace touched buckets by
+    Spark's dynamic overwrite; all others keep their files and a failed merge changes nothing.
+
+    ``batch`` names a stream and its batch; a batch that is already in the table is not merged
+    again. Should a run end between the merge and that note, the batch is merged twice: rows with
+    keys replace themselves, those without a key come twice. Without keys the table becomes the
+    distinct union.
     """
     spark = df.sparkSession
     keys = merge_keys(table) if keys is None else keys
-    if batch and swap.merged_batch(spark, base, table, batch[0]) >= batch[1]:
-        swap.settle(spark, base, table)
+    if batch and _merged_batch(spark, base, table, batch[0]) >= batch[1]:
         return
     stored = read_table(spark, base, table)
-    parts = [partition_by] if partition_by else None
-    if stored is None or not keys:
-        merged = df if stored is None else upsert(stored, df, [])
-        staged = _stage(merged, base, table, parts)
-        swap.publish(spark, base, table, staged, _stored_schema(merged, parts), batch=batch)
-        return
-    new = align_schema(df, stored).persist()
-    try:
-        wanted = new.select(*keys).distinct()
-        name = F.col("_metadata.file_path")
-        found = stored.select(*keys, name.alias("_file")).join(wanted, keys, "left_semi")
-        touched = [r["_file"] for r in found.select("_file").distinct().toLocalIterator()]
-        paths = [spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(x)).toString()
-                 for x in touched]
-        folder = f"{base}/{table}"
-        if paths:
-            old = spark.read.schema(stored.schema).option("basePath", folder).parquet(*paths)
-            rows = upsert(old, new, keys)
+    if not keys:
+        write_overwrite(df if stored is None else upsert(stored, df, []), base, table,
+                        [partition_by] if partition_by else None)
+    elif partition_by:
+        if stored is None:
+            write_overwrite(df, base, table, [partition_by])
         else:
-            rows = upsert(stored.limit(0), new, keys)
-        staged = _stage(rows, base, table, parts)
-        swap.publish(spark, base, table, staged, _stored_schema(rows, parts),
-                     [_below(x, folder) for x in paths], batch)
-    finally:
-        new.unpersist()
-
-
-def _below(path: str, folder: str) -> str:
-    """A file's path within the table's folder, whatever scheme either is written with."""
-    inside = folder.split("://")[-1].removeprefix("file:").rstrip("/")
-    return path[path.index(inside + "/") + len(inside) + 1:]
+            _merge_touched(align_schema(df, stored), base, table, keys, partition_by)
+    else:
+        known = None if stored is None else bucket_column(
+            read_table(spark, base, table, raw=True).columns)
+        if known and bucket_parts(known)[1] == keys:
+            _merge_touched(_numbered(align_schema(df, stored), known), base, table, keys, known)
+        else:
+            count = buckets or (FEWEST_BUCKETS if stored is None
+                                else _bucket_count(spark, base, table))
+            name = bucket_name(count, keys)
+            write_overwrite(upsert(stored, df, keys), base, table, [name],
+                            lambda rows: _dealt(_numbered(rows, name), name))
+    if batch:
+        note = spark.range(1).select(
+            F.lit(batch[0]).alias("name"), F.lit(batch[1]).cast("bigint").alias("batch"),
+            F.sha2(F.lit(batch[0]), 256).alias("stream"))
+        _save(note, f"{base}/{table}{BATCHES}", "dynamic", ["stream"])
 
 
 def write_merge_partitions(df: DataFrame, base: str, table: str, keys: list[str],
                            partition: str) -> None:
-    """Upsert into a partitioned table; keys must imply the partition. Partitions without a touched
-    file keep all of theirs, and NULL is a partition like others."""
+    """Upsert into a partitioned table; keys must imply the partition. Partitions without a row of
+    ``df`` keep all their files, and NULL is a partition like others."""
     write_merge(df, base, table, keys, partition_by=partition)
 
 
-def replace_partitions(df: DataFrame, base: str, table: str, partition: str,
-                       values: list[str]) -> None:
-    """Replaces whole partitions of a stored table, those without new rows by nothing."""
+def replace_partitions(df: DataFrame, base: str, table: str, partition: str, values: list,
+                       arrange: Callable[[DataFrame], DataFrame] | None = None) -> None:
+    """Replaces whole partitions of a stored table. Where one of them has no row in ``df`` but has
+    stored ones, the table is written anew without it, as Spark's writer removes no partition."""
     spark = df.sparkSession
     stored = read_table(spark, base, table)
-    staged = _stage(df, base, table, [partition])
-    folders = tuple(f"{partition}={v}/" for v in values)
-    gone = [f for f in swap.files(spark, f"{base}/{table}") if f.startswith(folders)] if (
-        stored is not None) else None
-    swap.publish(spark, base, table, staged, _stored_schema(df, [partition]), gone)
+    if stored is None:
+        write_overwrite(df.where(F.col(partition).isin(values)), base, table, [partition], arrange)
+        return
+    rows = _settled(df.where(F.col(partition).isin(values)), "partitions")
+    old, new = ({r[0] for r in x.select(partition).distinct().collect()}
+                for x in (stored.where(F.col(partition).isin(values)), rows))
+    if old - new:
+        kept = stored.where(~F.coalesce(F.col(partition).isin(values), F.lit(False)))
+        rows = kept.unionByName(rows, allowMissingColumns=True)
+        write_overwrite(rows, base, table, [partition], arrange)
+    else:
+        _save(arrange(rows) if arrange else rows, f"{base}/{table}", "dynamic", [partition])
 
 
 def merge_counts(existing: DataFrame | None, new: DataFrame, keys: list[str]) -> DataFrame:

@@ -20,9 +20,8 @@ from playmart.plans import intermediate as I
 from playmart.plans import stage
 from playmart.schemas import REQUIRED_TABLES, SEEDS
 from playmart.session import scratch_path
-from playmart.sources import swap
 from playmart.sources.plays import read_recently_played_csv
-from playmart.sources.tables import read_seed, read_table
+from playmart.sources.tables import found, read_seed, read_table
 
 NO_DATE = "1900-01-01"
 FACT_PARTITION = "play_year"
@@ -230,13 +229,15 @@ def stored_inputs(spark: SparkSession, base: str, seeds: str | None = None,
     seeds, snapshot = seeds or f"{base}/seeds", snapshot or f"{base}/recently_played"
 
     def masks() -> DataFrame:
-        if swap.exists(spark, f"{seeds}/mask_artists.csv"):
-            return read_seed(spark, seeds, "mask_artists")
-        stored = read_table(spark, base, "mask_artists")
+        stored = found(lambda: read_seed(spark, seeds, "mask_artists"))
+        if stored is None:
+            stored = read_table(spark, base, "mask_artists")
         return spark.createDataFrame([], SEEDS["mask_artists"]) if stored is None else stored
 
     def recent() -> DataFrame | None:
-        if any(name.endswith(".csv") for name in swap.names(spark, snapshot)):
+        files = found(lambda: spark.read.format("binaryFile").option(
+            "pathGlobFilter", "*.csv").load(snapshot).select("path"))
+        if files is not None and not files.isEmpty():
             return read_recently_played_csv(spark, snapshot)
         return read_table(spark, base, "recently_played")
 
@@ -324,9 +325,12 @@ def _written(inputs: Inputs, base: str, name: str) -> Inputs:
     return replace(inputs, built={**kept, name: read_table(inputs.spark, base, name)})
 
 
+def _with_year(fact: DataFrame) -> DataFrame:
+    return fact.withColumn(FACT_PARTITION, F.year("date_sid"))
+
+
 def _by_year(fact: DataFrame) -> DataFrame:
-    return fact.withColumn(FACT_PARTITION, F.year("date_sid")).hint(
-        "rebalance", FACT_PARTITION).sortWithinPartitions(FACT_PARTITION, "date_sid")
+    return fact.hint("rebalance", FACT_PARTITION).sortWithinPartitions(FACT_PARTITION, "date_sid")
 
 
 def refresh_warehouse(inputs: Inputs, base: str, start: date, end: date) -> list[str]:
@@ -341,8 +345,8 @@ def refresh_warehouse(inputs: Inputs, base: str, start: date, end: date) -> list
     plays.write.parquet(path)
     part = replace(inputs, built={"keyed_plays": inputs.spark.read.parquet(path)}, lock=RLock())
     for name in FACTS:
-        replace_partitions(_by_year(build_model(part, name)), base, name, FACT_PARTITION,
-                           [str(y) for y in years])
+        replace_partitions(_with_year(build_model(part, name)), base, name, FACT_PARTITION, years,
+                           _by_year)
     return list(WAREHOUSE)
 
 
@@ -366,7 +370,7 @@ def write_warehouse(inputs: Inputs, base: str, select: list[str] | None = None,
     def write(name: str) -> None:
         df = build_model(inputs, name)
         if name in FACTS:
-            write_overwrite(_by_year(df), base, name, [FACT_PARTITION])
+            write_overwrite(_with_year(df), base, name, [FACT_PARTITION], _by_year)
         else:
             write_overwrite(df, base, name)
 
@@ -378,5 +382,5 @@ def write_warehouse(inputs: Inputs, base: str, select: list[str] | None = None,
 
 def stored_warehouse(spark: SparkSession, base: str) -> dict[str, DataFrame]:
     """The written star schema, for reports."""
-    found = {name: read_table(spark, base, name) for name in WAREHOUSE}
-    return {name: df for name, df in found.items() if df is not None}
+    stored = {name: read_table(spark, base, name, merge_schema=False) for name in WAREHOUSE}
+    return {name: df for name, df in stored.items() if df is not None}

@@ -2,41 +2,59 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 
 from playmart.schemas import SEEDS, VIEW_TABLES
-from playmart.sources import swap
 
-# raised by Spark when a folder is absent or holds no Parquet file
+# raised by Spark when a folder is absent or holds no file of the format
 _NO_DATA = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+_BUCKET = re.compile(r"bucket_of_(\d+)_by_(.+)", re.DOTALL)
 
 
-def read_table(spark: SparkSession, base: str, name: str,
-               merge_schema: bool | None = None) -> DataFrame | None:
-    """The Parquet folder ``base/name``, or None where it holds no data.
+def bucket_name(count: int, keys: list[str]) -> str:
+    """Name of the partition column of a table in ``count`` buckets by the hash of its keys."""
+    if any("," in k for k in keys):
+        raise ValueError(f"a key of a bucketed table has a comma: {keys}")
+    return f"bucket_of_{count}_by_{','.join(keys)}"
 
-    A table this engine wrote has its schema beside it, so no footer is read to open it. For other
-    folders the schemas of all files are merged unless ``merge_schema`` is False, as files of
-    different age may lack columns. A table whose files are gone is an error, not a new table.
-    """
-    known = swap.settle(spark, base, name).get("schema")
-    if known and not merge_schema:
-        if not swap.exists(spark, f"{base}/{name}"):
-            raise FileNotFoundError(f"the files of table {name} below {base} are gone")
-        return spark.read.schema(T.StructType.fromJson(known)).parquet(f"{base}/{name}")
+
+def bucket_parts(name: str) -> tuple[int, list[str]]:
+    found = _BUCKET.fullmatch(name)
+    return int(found[1]), found[2].split(",")
+
+
+def bucket_column(columns: list[str]) -> str | None:
+    return next((c for c in columns if _BUCKET.fullmatch(c)), None)
+
+
+def found(read: Callable[[], DataFrame]) -> DataFrame | None:
+    """What ``read`` opens, or None where there is nothing to open."""
     try:
-        return spark.read.option("mergeSchema", merge_schema is not False).parquet(
-            f"{base}/{name}")
+        return read()
     except AnalysisException as err:
         if (err.getCondition() or "").split(".")[0] in _NO_DATA:
             return None
         raise
 
 
+def read_table(spark: SparkSession, base: str, name: str, merge_schema: bool = True,
+               raw: bool = False) -> DataFrame | None:
+    """The Parquet folder ``base/name``, or None where it holds no data. Reading changes nothing.
+
+    The schemas of all files are merged unless ``merge_schema`` is False, as files of different
+    age may lack columns. The bucket column of a merged table is left out unless ``raw``.
+    """
+    df = found(lambda: spark.read.option("mergeSchema", merge_schema).parquet(f"{base}/{name}"))
+    bucket = None if df is None or raw else bucket_column(df.columns)
+    return df.drop(bucket) if bucket else df
+
+
 def table_exists(spark: SparkSession, base: str, name: str) -> bool:
-    return read_table(spark, base, name) is not None
+    return read_table(spark, base, name, merge_schema=False) is not None
 
 
 def register_views(spark: SparkSession, base: str, names=VIEW_TABLES) -> list[str]:

@@ -147,8 +147,8 @@ def stream_dedup_within_duration(plays: DataFrame, delay: str = DELAY, tie: tupl
 
 def stream_upsert(rows: DataFrame, base: str, table: str, checkpoint: str,
                   keys: list[str] | None = None) -> StreamingQuery:
-    """Merges every micro-batch into a stored table, rewriting only files it touches. The table
-    records the batch in the same step, so a batch that runs again changes nothing."""
+    """Merges every micro-batch into a stored table, rewriting only buckets it touches. A batch that
+    runs again replaces its own rows, and one that the table notes as merged changes nothing."""
     def merge(batch: DataFrame, batch_id: int) -> None:
         write_merge(batch, base, table, keys, (checkpoint, batch_id))
 

@@ -132,27 +132,52 @@ def test_failed_writes_and_merges_keep_the_table(spark, tmp_path):
     assert sorted(tuples(read_table(spark, base, "spotify_artists"))) == [("a", 2), ("b", 1)]
 
 
-def test_a_published_change_is_finished_by_the_next_reader(spark, tmp_path, monkeypatch):
-    from playmart.sources import swap
+def test_a_broken_partition_merge_keeps_the_table(spark, tmp_path):
+    base, ddl = str(tmp_path), "id int, v int, p string"
+    sinks.write_merge_partitions(spark.createDataFrame([(1, 1, "x"), (2, 1, "y")], ddl), base,
+                                 "t", ["id"], "p")
+    bad = spark.range(1).selectExpr("1 id", "cast(raise_error('task failed') as int) v", "'x' p")
+    with pytest.raises(Exception, match="task failed"):
+        sinks.write_merge_partitions(bad, base, "t", ["id"], "p")
+    assert sorted(tuples(read_table(spark, base, "t"))) == [(1, 1, "x"), (2, 1, "y")]
 
-    base = str(tmp_path)
-    sinks.write_overwrite(spark.createDataFrame([("a", 1), ("b", 1)], "artist_id string, v int"),
-                          base, "spotify_artists")
-    settle = swap.settle
-    for update, write in (([("a", 2)], sinks.write_merge), ([("z", 9)], sinks.write_overwrite)):
-        new = spark.createDataFrame(update, "artist_id string, v int")
-        calls = []
-
-        def cut(spark, base, table):  # the writer dies between its publication and the moves
-            calls.append(1)
-            return settle(spark, base, table) if len(calls) == 1 else {}
 
-        monkeypatch.setattr(swap, "settle", cut)
-        write(new, base, "spotify_artists")
-        monkeypatch.setattr(swap, "settle", settle)
-        want = [("a", 2), ("b", 1)] if update[0][0] == "a" else [("z", 9)]
-        assert sorted(tuples(read_table(spark, base, "spotify_artists"))) == want
-        assert sorted(tuples(spark.read.parquet(f"{base}/spotify_artists"))) == want
+def test_a_write_may_read_its_table(spark, tmp_path):
+    base = str(tmp_path)
+    sinks.write_overwrite(spark.range(4), base, "t")
+    sinks.write_overwrite(read_table(spark, base, "t").where("id > 1"), base, "t")
+    assert sorted(tuples(read_table(spark, base, "t"))) == [(2,), (3,)]
+
+
+def test_replaced_partitions(spark, tmp_path):
+    base, ddl = str(tmp_path), "v string, y int"
+    sinks.write_overwrite(spark.createDataFrame(
+        [("a", 1), ("b", 2), ("c", 3), ("n", None)], ddl), base, "t", ["y"])
+    before = set((tmp_path / "t" / "y=3").iterdir())
+    new = spark.createDataFrame([("B", 2), ("out of range", 9)], ddl)
+    sinks.replace_partitions(new, base, "t", "y", [2])
+    assert sorted(tuples(read_table(spark, base, "t")), key=str) == [
+        ("B", 2), ("a", 1), ("c", 3), ("n", None)]
+    assert set((tmp_path / "t" / "y=3").iterdir()) == before
+    sinks.replace_partitions(new, base, "t", "y", [1, 2])  # year 1 has no row any more
+    assert sorted(tuples(read_table(spark, base, "t")), key=str) == [
+        ("B", 2), ("c", 3), ("n", None)]
+
+
+def test_merges_by_other_keys_and_appends_keep_the_buckets_right(spark, tmp_path):
+    base, ddl = str(tmp_path), "k string, j bigint, v int"
+    rows = [("a", 1, 1), ("b", 2, 1), (None, 3, 1)]
+    sinks.write_merge(spark.createDataFrame(rows, ddl), base, "t", ["k"], buckets=4)
+    sinks.write_append(spark.createDataFrame([("c", 4, 1)], "k string, j int, v int"), base, "t")
+    sinks.write_merge(spark.createDataFrame([("c", 5, 2), (None, 6, 2)], ddl), base, "t", ["k"])
+    want = [("a", 1, 1), ("b", 2, 1), (None, 3, 1), ("c", 5, 2), (None, 6, 2)]
+    assert sorted(tuples(read_table(spark, base, "t")), key=str) == sorted(want, key=str)
+    assert len(list((tmp_path / "t").glob("bucket_of_4_by_k=*"))) <= 4
+    sinks.write_merge(spark.createDataFrame([("z", 1, 9)], ddl), base, "t", ["j"], buckets=2)
+    sinks.write_merge(spark.createDataFrame([("y", 2, 9)], "k string, j int, v int"), base, "t",
+                      ["j"])
+    want[:2] = [("z", 1, 9), ("y", 2, 9)]
+    assert sorted(tuples(read_table(spark, base, "t")), key=str) == sorted(want, key=str)
 
 
 def test_a_batch_is_merged_once(spark, tmp_path):
@@ -174,27 +199,26 @@ def test_merge_into_the_null_partition_keeps_its_rows(spark, tmp_path):
         (1, "a", None), (2, "x", None), (3, "c", "d1"), (9, "z", None)]
 
 
-def test_files_without_a_touched_key_stay(spark, tmp_path):
-    base = str(tmp_path)
-    sinks.write_overwrite(spark.range(100).select(
-        F.col("id").cast("string").alias("artist_id"), F.lit(1).alias("v")
-    ).repartitionByRange(4, "artist_id"), base, "spotify_artists")
-    before = {f.name for f in (tmp_path / "spotify_artists").glob("*.parquet")}
-    sinks.write_merge(spark.createDataFrame([("7", 2)], "artist_id string, v int"), base,
-                      "spotify_artists")
-    after = {f.name for f in (tmp_path / "spotify_artists").glob("*.parquet")}
-    assert len(before & after) == len(before) - 1
-    assert read_table(spark, base, "spotify_artists").count() == 100
-
-
-def test_lost_files_are_an_error_and_not_a_new_table(spark, tmp_path):
-    import shutil
-
-    base = str(tmp_path)
-    sinks.write_overwrite(spark.range(3), base, "t")
-    shutil.rmtree(tmp_path / "t")
-    with pytest.raises(FileNotFoundError):
-        read_table(spark, base, "t")
+def test_buckets_without_a_touched_key_keep_their_files(spark, tmp_path):
+    base, ddl = str(tmp_path), "artist_id string, v int"
+    sinks.write_merge(spark.range(100).select(
+        F.col("id").cast("string").alias("artist_id"), F.lit(1).alias("v")), base,
+        "spotify_artists")
+
+    def files():
+        found = {}
+        for f in (tmp_path / "spotify_artists").rglob("*.parquet"):
+            found.setdefault(f.parent.name, set()).add(f.name)
+        return found
+
+    before = files()
+    sinks.write_merge(spark.createDataFrame([("7", 2)], ddl), base, "spotify_artists")
+    after = files()
+    assert len(before) > 8 and set(before) == set(after)
+    assert sum(before[b] != after[b] for b in before) == 1
+    stored = read_table(spark, base, "spotify_artists")
+    assert stored.columns == ["artist_id", "v"] and stored.count() == 100
+    assert tuples(stored.where("v = 2")) == [("7", 2)]
 
 
 def test_merge_counts(spark):

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from playmart.operators import dedup
 from playmart.schemas import RAW_PLAY
+from playmart.sources.tables import read_table
 from playmart.streaming import plays as S
 from tests.conftest import PLAY_DDL, at, plays, tuples
 
@@ -89,7 +90,7 @@ def test_upsert_per_batch(spark, tmp_path):
     stream = feed(spark, tmp_path / "in", [[("a", 1), ("b", 1)], [("a", 2), ("c", 2)]], ddl)
     S.stream_upsert(stream, str(tmp_path / "tables"), "spotify_artists",
                     str(tmp_path / "check")).awaitTermination()
-    got = spark.read.parquet(str(tmp_path / "tables" / "spotify_artists"))
+    got = read_table(spark, str(tmp_path / "tables"), "spotify_artists")
     assert sorted(tuples(got)) == [("a", 2), ("b", 1), ("c", 2)]
 
 
