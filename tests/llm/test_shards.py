@@ -1,6 +1,6 @@
 import random
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import pytest
 from pyspark.sql import functions as F
@@ -29,7 +29,11 @@ def test_query_balances_bytes_and_numbers_slots(spark, tmp_path):
         held[r.shard] += r["size"]
         slots[r.shard].append(r.slot)
     assert sorted(held) == list(range(16))
-    assert max(held.values()) - min(held.values()) <= 2 * 401
+    groups = Counter()
+    for r in got:
+        groups[r["size"], r.text_crc32] += r["size"]
+    assert max(held.values()) - min(held.values()) <= 2 * max(groups.values())
+    assert len({(r["size"], r.text_crc32, r.shard) for r in got}) == len(groups)
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
 
 
@@ -38,7 +42,58 @@ def test_any_number_of_shards(spark, shards):
     df, _ = corpus(spark, random.Random(18), 400)
     sums = [r[0] for r in K.kd_shards(df, ["n_chars", "lang"], shards=shards).groupBy("shard").agg(
         F.sum("size")).select("sum(size)").collect()]
-    assert len(sums) == shards and max(sums) - min(sums) <= 2 * 401
+    groups = df.groupBy("text").agg(F.sum(F.length("text") + 1).alias("b")).agg(F.max("b")).first()[0]
+    assert len(sums) == shards and max(sums) - min(sums) <= 2 * groups
+
+
+def brute(points, dims, spans, shards):
+    """Shards of points (weight, tie, *dims) by a recursive k-d split; `spans` of all rows."""
+    out = {}
+
+    def split(node, first, parts):
+        if parts == 1 or not node:
+            out.update({p[1]: first for p in node})
+            return
+        wide = [(max(p[2 + k] for p in node) - min(p[2 + k] for p in node)) / (spans[k] or 1)
+                for k in range(dims)]
+        axis = wide.index(max(wide))
+        total, run, sides, left = sum(p[0] for p in node), 0, ([], []), parts // 2
+        for p in sorted(node, key=lambda p: (p[2 + axis], p[1])):
+            run += p[0]
+            sides[(2 * run - p[0]) * parts > 2 * total * left].append(p)
+        split(sides[0], first, left)
+        split(sides[1], first + left, parts - left)
+
+    split(points, 0, shards)
+    return out
+
+
+@pytest.mark.parametrize("shards", [5, 16])
+def test_shards_equal_a_recursive_split(spark, shards):
+    rng = random.Random(shards)
+    rows = [(k, f"text {rng.randrange(150)} " + "x" * rng.randrange(3), "en", "s",
+             rng.randrange(1000)) for k in range(400)]
+    groups = defaultdict(list)
+    for r in rows:
+        groups[r[1]].append(r)
+    points = []
+    for text, held in groups.items():
+        size, least = len(text) + 1, min(held)
+        points.append((size * len(held), (zlib.crc32(text.encode()), size), least[4], least[0]))
+    spans = [max(r[c] for r in rows) - min(r[c] for r in rows) for c in (4, 0)]
+    want = brute(points, 2, spans, shards)
+    got = K.kd_shards(spark.createDataFrame(rows, DOCS), ["n_chars", "doc_id"], shards=shards)
+    assert {(r.doc_id, r.shard) for r in got.collect()} == {
+        (r[0], want[zlib.crc32(r[1].encode()), len(r[1]) + 1]) for r in rows}
+
+
+def test_a_group_larger_than_a_shard_is_cut_into_balanced_pieces(spark):
+    rows = [(k, "one text of many rows", "en", "s", 1) for k in range(900)]
+    rows += [(1000 + k, f"other {k}" * 3, "en", "s", k) for k in range(300)]
+    got = K.kd_shards(spark.createDataFrame(rows, DOCS), ["n_chars", "doc_id"], shards=8)
+    sums = [r[0] for r in got.groupBy("shard").agg(F.sum("size")).select("sum(size)").collect()]
+    assert got.count() == 1200 and len(sums) == 8
+    assert max(sums) - min(sums) <= sum(sums) / 8 / 4
 
 
 def test_leaves_follow_the_target_and_the_widest_dimension(spark):
@@ -61,10 +116,16 @@ def test_awkward_and_empty_tables(spark, docs, tmp_path):
     assert K.kd_shards(docs([]), ["n_chars"], target_bytes=10).count() == 0
 
 
-def test_written_shards_hold_their_documents(spark, docs, tmp_path):
-    df = docs([(k, f"text {k}") for k in range(40)])
-    placed = K.kd_shards(df, ["doc_id"], shards=4)
-    K.write_shards(df, placed, str(tmp_path / "out"))
+def test_written_shards_hold_every_row_once(spark, docs, tmp_path):
+    rows = [(k, f"text {k}") for k in range(40)] + [(None, "no id"), (1, "text 1"), (1, "other"),
+                                                    (None, None), (None, None)]
+    df = docs(rows).withColumn("_rid", F.lit("mine")).withColumn("shard", F.lit("old"))
+    K.write_shards(df, str(tmp_path / "out"), ["doc_id"], shards=4)
     read = spark.read.parquet(str(tmp_path / "out"))
-    assert sorted(tuples(read, "doc_id", "shard")) == sorted(tuples(placed, "doc_id", "shard"))
-    assert set(read.columns) == {*df.columns, "shard"}
+    assert sorted(tuples(read, "doc_id", "text"), key=str) == sorted(rows, key=str)
+    assert set(read.columns) == set(df.columns)
+    assert sorted(tuples(read, "doc_id", "text", "shard"), key=str) == sorted(tuples(
+        K.kd_shards(df, ["doc_id"], shards=4).withColumnRenamed("text_crc32", "c").join(
+            df.drop("shard").select(F.col("doc_id").alias("i"), "text", F.crc32(F.coalesce(
+                "text", F.lit("")).cast("binary")).alias("d")).distinct(),
+            F.expr("doc_id <=> i and c = d")), "doc_id", "text", "shard"), key=str)
