@@ -176,8 +176,9 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Trees | N
     """Grows the trees on at most `sample` labelled documents.
 
     A hash bound that keeps about that many ids is found first, so what reaches one task does not
-    grow with the labels. Rows without an id, text or quality teach nothing. None if there are no
-    labels of both kinds.
+    grow with the labels. Where ids repeat, more rows than that may meet; the first `sample` of them
+    by hash, id, quality and statistics teach. Rows without an id, text or quality teach nothing.
+    None if there are no labels of both kinds.
     """
     known = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").select(
         F.col("doc_id").alias("_id"), F.col("quality").alias("_quality"))
@@ -195,7 +196,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Trees | N
             yield pd.Series([statistics(t)[1] for t in texts])
 
     rows = docs.select(F.col("doc_id").alias("_id"), F.col("text").alias("_text")).join(ids, "_id")
-    taught = rows.select("_id", "_quality", features("_text").alias("_x")).toPandas()
+    measured = rows.select("_id", "_quality", features("_text").alias("_x"))
+    taught = measured.orderBy(order, "_id", "_quality", "_x").limit(sample).toPandas()
     taught = taught.assign(_key=taught["_x"].map(tuple)).sort_values(["_id", "_quality", "_key"])
     return grow(matrix(taught["_x"].tolist()), taught["_quality"].to_numpy(float),
                 list(FEATURES.values()))

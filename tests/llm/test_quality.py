@@ -106,3 +106,13 @@ def test_without_labels_or_rows(spark, docs):
     assert Q.judge(docs([]), None).count() == 0
     assert tuples(Q.judge(docs([(1, " ".join(f"w{k}" for k in range(60)))]), None).select(
         "quality.kept")) == [(True,)]
+
+
+def test_repeated_ids_do_not_pass_the_sample(spark, docs, monkeypatch):
+    seen = []
+    monkeypatch.setattr(Q, "grow", lambda x, y, directions: seen.append((len(x), y.tolist())))
+    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0)], "doc_id long, quality int, toxic int")
+    df = docs([(1, f"text number {k}") for k in range(300)] + [(2, "other text")])
+    for parts in (1, 5):  # the rows that teach do not depend on the partitions
+        Q.train(df.repartition(parts), labels, sample=10)
+    assert seen[0][0] <= 10 and seen[0] == seen[1]
