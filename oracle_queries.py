@@ -490,6 +490,7 @@ UNION ALL BY NAME
 SELECT * EXCLUDE (play_id) REPLACE (CAST(NULL AS VARCHAR) AS track_isrc),
     CAST(NULL AS VARCHAR) AS note FROM plays""",
     "b8_ingest_raw_plays": f"SELECT {PLAYS} FROM plays",
+    "b6_ingest_newer": f"SELECT {PLAYS} FROM plays",
     # C
     "c1_dedup_exact": "SELECT * FROM o_exact",
     "c2_require_play_identity": "SELECT * FROM raw_plays WHERE play_source <> 'error'",
@@ -928,6 +929,7 @@ SELECT artist_name, track_count FROM (
     WHERE r.genre IN (SELECT genre FROM lead) GROUP BY ALL) x""",
     # L
     "l1_stream_raw_plays": f"SELECT {PLAYS} FROM plays",
+    "l1_stream_ingest": f"SELECT {PLAYS} FROM plays",
     "l2_stream_dedup_exact": "SELECT * EXCLUDE (seq) FROM o_exact",
     "l3_stream_dedup_within_duration": near("raw_plays", "* EXCLUDE (before_at, before_ms)"),
     "l4_stream_upsert": _MERGED_ARTISTS.format(mbid="artist_mbid,", null="NULL,"),

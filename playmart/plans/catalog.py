@@ -860,6 +860,16 @@ def _(s):
     return play_sources.ingest_raw_plays(s.spark, folder, base, RAW_GLOB)
 
 
+@query("b6_ingest_newer")
+def _(s):
+    """A table with the plays of the first days, brought up to date from all raw plays by its
+    cursor."""
+    raw = s.snapshot_raw().drop("play_id")
+    known = play_sources.typed_plays(raw).where("played_at < '2024-01-12'").select(*PLAY_FIELDS)
+    base = _stored(s, tracks_played=known)
+    return play_sources.ingest_newer(raw, base).select(*PLAY_FIELDS)
+
+
 # ---- H, I, J models
 
 MODEL_QUERIES = {
@@ -1089,6 +1099,18 @@ def _(s):
     return _drained(s, stream).select(*PLAY_FIELDS)
 
 
+@query("l1_stream_ingest")
+def _(s):
+    """Raw files, one of them cut off, into the stored plays by one stream."""
+    folder = s.raw_json()
+    s.spark.range(1).select(F.lit('[{"track_id": "cut').alias("value")).write.text(
+        f"{folder}/file_no=bad")
+    base = s.scratch("tables")
+    streaming.stream_ingest(s.spark, folder + "/*", base, s.scratch("stream-check"),
+                            glob=RAW_GLOB).awaitTermination()
+    return tables.read_table(s.spark, base, "tracks_played").select(*PLAY_FIELDS)
+
+
 @query("l2_stream_dedup_exact")
 def _(s):
     stream = _stream_folder(s, s.raw_plays)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,6 +13,7 @@ from playmart.operators.dedup import (
     dedup_plays,
     require_play_identity,
 )
+from playmart.operators.ingest import high_water_mark, newer_than
 from playmart.operators.sinks import write_append, write_csv_snapshot
 from playmart.operators.skew import join_null_safe
 from playmart.schemas import RAW_PLAY, RECENTLY_PLAYED_CSV
@@ -75,20 +76,55 @@ def rejected_files(spark: SparkSession, path: str, glob: str = "*.json") -> Data
     return split_rejected(_raw(spark, path, glob, False))[1]
 
 
+def add_plays(new: DataFrame, base: str) -> None:
+    """Appends plays to the stored ones, without those that lack an identity and without exact
+    repeats of their own or of stored plays. Of the stored plays only keys of the time span of the
+    new ones are read. Adding the same plays again adds nothing."""
+    spark = new.sparkSession
+    new = dedup_exact(require_play_identity(new)).persist()
+    try:
+        stored = read_table(spark, base, TRACKS)
+        if stored is not None:
+            micros = F.unix_micros("played_at")
+            first, last = new.agg(F.min(micros), F.max(micros)).first()
+            known = stored.select(*EXACT_KEYS).distinct()
+            if first is not None:
+                span = F.col("played_at").between(*[
+                    F.timestamp_micros(F.lit(t)) for t in (first, last)])
+                # plays without a time are identified by the track alone
+                known = stored.where(span | F.col("played_at").isNull()).select(
+                    *EXACT_KEYS).distinct()
+            new = join_null_safe(new, known, list(EXACT_KEYS), "left_anti")
+        write_append(new, base, TRACKS)
+    finally:
+        new.unpersist()
+
+
 def ingest_raw_plays(spark: SparkSession, raw_path: str, base: str, glob: str = "*.json",
                      rejected: str = "rejected_files") -> DataFrame:
     """Raw files into the stored plays: unreadable files go to a table of their own, the others'
     plays are appended without exact repeats of their own or of stored plays. Returns the plays."""
     write_append(rejected_files(spark, raw_path, glob), base, rejected)
-    new = dedup_exact(require_play_identity(read_raw_plays(spark, raw_path, glob=glob)))
-    stored = read_table(spark, base, TRACKS)
-    if stored is not None:
-        new = join_null_safe(new, stored.select(*EXACT_KEYS).distinct(), list(EXACT_KEYS),
-                             "left_anti")
-    write_append(new, base, TRACKS)
+    add_plays(read_raw_plays(spark, raw_path, glob=glob), base)
     return read_table(spark, base, TRACKS)
 
 
+def ingest_newer(raw: DataFrame, base: str, unit: str = "ms",
+                 source: Column | None = None) -> DataFrame:
+    """Flattened raw plays past the cursor of the stored ones into the stored plays, as one call;
+    returns the plays. The cursor is the high-water mark of the stored plays, or of those for which
+    ``source`` holds, where services with cursors of their own share the table."""
+    stored = read_table(raw.sparkSession, base, TRACKS)
+    cursor = None
+    if stored is not None:
+        own = stored if source is None else stored.where(source)
+        cursor = high_water_mark(own, unit=unit).first()["cursor"]
+    # a cursor of ms is one past the newest play, and the reader takes what lies past the cursor
+    at = cursor - 1 if cursor is not None and unit == "ms" else cursor
+    add_plays(newer_than(typed_plays(raw), at, unit=unit), base)
+    return read_table(raw.sparkSession, base, TRACKS)
+
+
 def read_recently_played_csv(spark: SparkSession, path: str) -> DataFrame:
     """The snapshot; a file whose header differs from the contract is refused."""
     return spark.read.option("header", True).option("enforceSchema", False).schema(

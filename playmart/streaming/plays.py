@@ -18,7 +18,7 @@ from playmart.operators.dedup import (
 )
 from playmart.operators.sinks import write_merge
 from playmart.operators.skew import left_join_dim
-from playmart.sources.plays import CORRUPT, raw_schema, split_rejected, typed_plays
+from playmart.sources.plays import CORRUPT, add_plays, raw_schema, split_rejected, typed_plays
 
 DELAY = "1 hour"
 MICROS, SECOND = "_micros", 1_000_000
@@ -40,8 +40,7 @@ def _raw_stream(spark: SparkSession, path: str, archive: str | None,
 def stream_raw_plays(spark: SparkSession, path: str, archive: str | None = None,
                      files_per_trigger: int | None = None, glob: str = "*.json") -> DataFrame:
     """New JSON files as typed plays; with ``archive`` finished files are moved there. Files that
-    cannot be read give no plays; ``stream_rejected_files`` has their text, so run it beside this
-    one where files are archived."""
+    cannot be read give no plays; ``stream_ingest`` stores both in one stream."""
     raw = _raw_stream(spark, path, archive, files_per_trigger, glob)
     return typed_plays(split_rejected(raw)[0])
 
@@ -52,6 +51,33 @@ def stream_rejected_files(spark: SparkSession, path: str, files_per_trigger: int
     return split_rejected(_raw_stream(spark, path, None, files_per_trigger, glob))[1]
 
 
+def stream_ingest(spark: SparkSession, path: str, base: str, checkpoint: str,
+                  archive: str | None = None, files_per_trigger: int | None = None,
+                  glob: str = "*.json", rejected: str = "rejected_files") -> StreamingQuery:
+    """One stream from new files to both tables: plays that are not stored yet are appended to the
+    stored ones, files that cannot be read go to ``rejected`` by their path. Each file is read
+    once, so finished files can be archived. A batch that runs again adds nothing."""
+    raw = _raw_stream(spark, path, archive, files_per_trigger, glob).select(
+        "*", F.col("_metadata.file_path").alias("source_file"))
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            bad = batch.where(F.col(CORRUPT).isNotNull()).select(
+                "source_file", F.col(CORRUPT).alias("text"))
+            if not bad.isEmpty():
+                write_merge(bad, base, rejected, ["source_file"])
+            good = batch.where(F.col(CORRUPT).isNull()).drop(CORRUPT, "source_file")
+            add_plays(typed_plays(good), base)
+        finally:
+            batch.unpersist()
+
+    return (
+        raw.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True).start()
+    )
+
+
 def run_available_now(stream: DataFrame, path: str, checkpoint: str) -> None:
     """Processes what is there and appends it to a Parquet folder."""
     query = (

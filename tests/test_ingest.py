@@ -165,3 +165,44 @@ def test_raw_files_into_the_stored_plays(spark, tmp_path):
         got = sources.ingest_raw_plays(spark, str(folder), base)
     assert tuples(got, "track_id") == [("1",)]
     assert tables.read_table(spark, base, "rejected_files").count() == 2
+
+
+def test_newer_plays_follow_the_stored_cursor(spark, tmp_path):
+    base = str(tmp_path)
+    names = spark.createDataFrame([], RAW_PLAY).columns
+
+    def feed(*rows):
+        return spark.createDataFrame([
+            tuple(raw(duration_ms=1000.0, popularity=5.0, **r).get(c) for c in names)
+            for r in rows], RAW_PLAY)
+
+    first = feed(dict(track_id="1", played_at="2024-01-01T12:00:00.500Z"), dict(
+        track_id="1", played_at="2024-01-01T12:00:00.500Z"))
+    assert sources.ingest_newer(first, base).count() == 1
+    more = feed(dict(track_id="old", played_at="2024-01-01T11:00:00Z"),
+                dict(track_id="same", played_at="2024-01-01T12:00:00.500Z"),
+                dict(track_id="2", played_at="2024-01-01T12:00:00.501Z"),
+                dict(track_id="3", played_at="2024-01-02T12:00:00Z"))
+    for _ in range(2):  # the second run finds nothing past the cursor
+        got = sources.ingest_newer(more, base)
+        assert sorted(tuples(got, "track_id")) == [("1",), ("2",), ("3",)]
+    own = F.col("track_id") == "1"
+    got = sources.ingest_newer(feed(dict(track_id="4", played_at="2024-01-01T13:00:00Z")), base,
+                               source=own)
+    assert sorted(tuples(got, "track_id")) == [("1",), ("2",), ("3",), ("4",)]
+    assert sources.ingest_newer(feed(), base).count() == 4
+
+
+def test_added_plays_repeat_nothing_stored(spark, tmp_path):
+    base = str(tmp_path)
+    names = spark.createDataFrame([], RAW_PLAY).columns
+
+    def plays(*keys):
+        return sources.typed_plays(spark.createDataFrame(
+            [tuple(raw(track_id=t, played_at=f"2024-01-0{d}T12:00:00Z", duration_ms=1000.0,
+                       popularity=5.0).get(c) for c in names) for t, d in keys], RAW_PLAY))
+
+    sources.add_plays(plays(("a", 1), ("a", 1), ("b", 5)), base)
+    sources.add_plays(plays(("a", 1), ("a", 2), ("c", 5), ("b", 5)), base)
+    assert sorted(tuples(tables.read_table(spark, base, "tracks_played"), "track_id")) == [
+        ("a",), ("a",), ("b",), ("c",)]

@@ -41,6 +41,30 @@ def test_raw_files_become_typed_plays_and_are_archived(spark, tmp_path):
     assert len(RAW_PLAY.split(",")) == 16
 
 
+def test_one_stream_stores_plays_and_rejected_files(spark, tmp_path):
+    source, archive, base = tmp_path / "in", tmp_path / "done", str(tmp_path / "tables")
+    source.mkdir()
+    play = {"track_id": "t", "uri": "u", "artist": "x", "track_name": "n", "duration_ms": 5,
+            "played_at": "2024-01-01T12:00:00Z"}
+
+    def run(checkpoint="check"):
+        S.stream_ingest(spark, str(source), base, str(tmp_path / checkpoint), str(archive),
+                        files_per_trigger=1).awaitTermination()
+        return sorted(tuples(read_table(spark, base, "tracks_played"), "track_id"))
+
+    (source / "a.json").write_text(json.dumps([play, play]))
+    (source / "cut.json").write_text('[{"track_id": "cut')
+    assert run() == [("t",)]
+    bad = read_table(spark, base, "rejected_files").collect()
+    assert [(r.source_file.split("/")[-1], r.text) for r in bad] == [("cut.json", '[{"track_id": "cut')]
+    (source / "b.json").write_text(json.dumps([play, {**play, "track_id": "new"}]))
+    assert run() == [("new",), ("t",)]
+    # finished files are archived once a later batch has been planned
+    assert {f.name for f in archive.rglob("*.json")} >= {"a.json", "cut.json"}
+    # a lost checkpoint reads what is still there again and adds nothing
+    assert run("other check") == [("new",), ("t",)]
+
+
 def test_exact_dedup_equals_batch_over_three_files(spark, tmp_path):
     rows = [("a", "n", "x", at(0), 1), ("a", "n", "x", at(0), 1), (None, "n", "x", at(9), 1)]
     more = [("a", "n", "x", at(0), 1), (None, "n", "x", at(9), 1), ("b", "n", "x", at(60), 1)]
