@@ -90,6 +90,13 @@ def record(kind: Column) -> Column:
         F.lit("\r\n"), payload, F.lit("\r\n"))
 
 
+def apart(name: Column) -> Column:
+    """A key of the same rows that no aggregate on `name` is dealt out by. A join on it has shuffles
+    of its own on both sides, which Spark can split where one key has many rows; a join on `name`
+    would take over the aggregate's shuffle, which it cannot."""
+    return F.reverse(name)
+
+
 def write(pages: DataFrame, path: str, key: str = "page_id", url: str = "url",
           html: str = "html", min_bytes: int = 0, file_records: int = FILE_RECORDS,
           compression: str = "gzip") -> None:
@@ -110,8 +117,8 @@ def write(pages: DataFrame, path: str, key: str = "page_id", url: str = "url",
     named = rows.withColumns({
         "digest": base32_sha1(F.col("payload").cast("binary")),
         "bytes": F.octet_length("payload").cast("bigint")})
-    # a digest with many rows is split by the adaptive skew join; originals are one row per payload
-    joined = named.join(originals, (named["digest"] == originals["_digest"])
+    # originals are one row per payload; a payload with many rows is split by the adaptive skew join
+    joined = named.join(originals, (apart(named["digest"]) == apart(originals["_digest"]))
                         & (named["bytes"] == originals["_bytes"]), "left")
     kind = F.when(F.col("key") < F.col("original"), "revisit").otherwise("response")
     joined.select(record(kind).alias("value")).write.option("lineSep", "\r\n").option(
@@ -205,8 +212,8 @@ def join_revisits(records: DataFrame) -> DataFrame:
         F.max("page_key").alias("original_key"), F.max("bytes").alias("original_bytes"))
     asked = F.when(F.col("record_type") == "revisit", F.col("refers_id"))
     joined = heads.withColumn("_asked", asked).join(
-        responses.withColumnRenamed("record_id", "_response"), F.col("_asked") == F.col("_response"),
-        "left")
+        responses.withColumnRenamed("record_id", "_response"),
+        apart(F.col("_asked")) == apart(F.col("_response")), "left")
     revisit = F.col("record_type") == "revisit"
     return joined.withColumn("payload_bytes", F.when(revisit, F.col("original_bytes")).otherwise(
         F.col("bytes"))).drop("_asked", "_response", "bytes", "original_bytes")

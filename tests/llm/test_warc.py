@@ -81,3 +81,28 @@ def test_broken_archives_are_errors():
 def test_empty_table(spark, tmp_path):
     W.write(table(spark, []), str(tmp_path / "warc"))
     assert W.join_revisits(W.read(spark, str(tmp_path / "warc"))).count() == 0
+
+
+def test_hot_payloads_and_responses_are_split(spark, tmp_path):
+    """The largest join task of a table in which half of the rows share one payload."""
+    rows = [(k, f"u{k}", "<p>hot</p>" * 40 if k % 2 else f"<p>{k}</p>" * 40) for k in range(4000)]
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(8)
+        W.write(df, str(tmp_path / "w"), compression="none")
+        found = W.join_revisits(W.read(spark, str(tmp_path / "w")).repartition(8))
+        got = found.groupBy("record_type").count().collect()
+        assert {r["record_type"]: r["count"] for r in got} == {"revisit": 1999, "response": 2001}
+        found.collect()
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin(skew=true)" in plan
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
