@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from playmart.functions.times import whole_seconds_between
-from playmart.operators.skew import HOUR, previous_in_key
+from playmart.operators.skew import HOUR, SLICE_ROWS, hot_slices, previous_in_key
 
 EXACT_KEYS = ("track_id", "played_at")
 TRACK_KEYS = ("track_name", "artist")
@@ -42,36 +42,55 @@ def total_order(df: DataFrame, tie: tuple[str, ...] = ()) -> tuple[str, ...]:
     return (*tie, *[c for c in df.columns if c not in fixed])
 
 
-def near_repeats(df: DataFrame, tie: tuple[str, ...] = (), slice_seconds: int = HOUR) -> DataFrame:
-    """Adds ``near_repeat``: the play starts within the previous input row's duration."""
+def crowded_hours(df: DataFrame, slice_seconds: int = HOUR, slice_rows: int = SLICE_ROWS
+                  ) -> tuple[DataFrame, bool] | None:
+    """Cut points of the track hours with over ``slice_rows`` plays, see ``hot_slices``."""
+    return hot_slices(df, list(TRACK_KEYS), "played_at", slice_seconds, slice_rows)
+
+
+def near_repeats(df: DataFrame, tie: tuple[str, ...] = (), slice_seconds: int = HOUR,
+                 crowded: tuple[DataFrame, bool] | None = None) -> DataFrame:
+    """Adds ``near_repeat``: the play starts within the previous input row's duration. ``crowded``
+    names the hours that are cut further; it decides on tasks, not on rows."""
     tie = total_order(df, tie)
     rows = previous_in_key(
-        df, list(TRACK_KEYS), "played_at", ["played_at", "duration_ms"], tie, slice_seconds)
+        df, list(TRACK_KEYS), "played_at", ["played_at", "duration_ms"], tie, slice_seconds,
+        crowded)
     gap = whole_seconds_between(F.col("previous")["played_at"], F.col("played_at"))
     inside = gap <= F.col("previous")["duration_ms"] / F.lit(1000)
     return rows.withColumn("near_repeat", F.coalesce(inside, F.lit(False))).drop("previous")
 
 
 def dedup_within_duration(
-    df: DataFrame, tie: tuple[str, ...] = (), slice_seconds: int = HOUR
+    df: DataFrame, tie: tuple[str, ...] = (), slice_seconds: int = HOUR,
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Drops a play that starts within the duration of the play before it of the same track.
 
     The play before is the previous input row, kept or not. Plays of one instant are ordered by
-    ``tie`` and then by all other columns.
+    ``tie`` and then by all other columns. Track hours are counted first; those with over
+    ``slice_rows`` plays are cut at quantiles of their times.
     """
-    return near_repeats(df, tie, slice_seconds).where(~F.col("near_repeat")).drop("near_repeat")
+    return _kept(df, tie, slice_seconds, crowded_hours(df, slice_seconds, slice_rows))
+
+
+def _kept(df: DataFrame, tie: tuple[str, ...], slice_seconds: int,
+          crowded: tuple[DataFrame, bool] | None) -> DataFrame:
+    marked = near_repeats(df, tie, slice_seconds, crowded)
+    return marked.where(~F.col("near_repeat")).drop("near_repeat")
 
 
 def dedup_plays(df: DataFrame, order: list[str] | None = None, tie: tuple[str, ...] = (),
-                slice_seconds: int = HOUR) -> DataFrame:
-    """Exact repeats, rows without identity, near repeats, in that order."""
+                slice_seconds: int = HOUR, slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """Exact repeats, rows without identity, near repeats, in that order. Track hours are counted
+    on the input, so that the removal of exact repeats runs once."""
     exact = dedup_exact(df, order=order)
-    return dedup_within_duration(require_play_identity(exact), tie, slice_seconds)
+    return _kept(require_play_identity(exact), tie, slice_seconds,
+                 crowded_hours(df, slice_seconds, slice_rows))
 
 
 def dedup_audit(df: DataFrame, order: list[str] | None = None, tie: tuple[str, ...] = (),
-                slice_seconds: int = HOUR) -> DataFrame:
+                slice_seconds: int = HOUR, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """One row: rows in, removed by each step, rows out.
 
     The rows that exact repeats stand for are carried as a count, so every step is counted in one
@@ -87,7 +106,8 @@ def dedup_audit(df: DataFrame, order: list[str] | None = None, tie: tuple[str, .
     known = F.lit(True)
     for c in IDENTITY:
         known = known & F.col(c).isNotNull()
-    near = near_repeats(exact.where(known), tie, slice_seconds).select(
+    crowded = crowded_hours(df, slice_seconds, slice_rows)
+    near = near_repeats(exact.where(known), tie, slice_seconds, crowded).select(
         copies, F.lit(True).alias("_known"), "near_repeat")
     rows = near.unionAll(exact.where(~known).select(copies, F.lit(False), F.lit(False)))
     n = F.count(F.lit(1))

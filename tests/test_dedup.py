@@ -44,6 +44,20 @@ def test_within_duration_compares_with_the_previous_input_row(spark):
     assert sorted(tuples(got, "track_id")) == [("1",), ("4",)]
 
 
+def test_crowded_hours_change_no_row(spark):
+    i = F.col("id")
+    df = spark.range(3000).select(
+        F.concat(F.lit("i"), i % 7).alias("track_id"), F.lit("t").alias("track_name"),
+        F.when(i % 400 > 0, "a").alias("artist"),
+        F.timestamp_seconds(1_700_000_000 + i * i % 3001).alias("played_at"),
+        (i % 5 * 400).alias("duration_ms"))
+    for make in (dedup.dedup_within_duration, dedup.dedup_plays):
+        rows = df.dropna() if make is dedup.dedup_within_duration else df
+        plain = sorted(tuples(make(rows)), key=str)
+        assert len(plain) < 3000 and sorted(tuples(make(rows, slice_rows=50)), key=str) == plain
+    assert tuples(dedup.dedup_audit(df, slice_rows=50)) == tuples(dedup.dedup_audit(df))
+
+
 def test_within_duration_over_slice_borders(spark):
     # 12:59:50 and 13:00:10 are in different hours
     df = plays(spark, [("1", "n", "a", at(3590), 60_000), ("2", "n", "a", at(3610), 1_000),

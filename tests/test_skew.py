@@ -1,11 +1,13 @@
 import random
 from datetime import datetime, timedelta
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from playmart.operators import skew
 from playmart.operators.skew import (
-    join_null_safe, left_join_dim, previous_in_key, row_number_in_slices)
+    hot_slices, join_null_safe, left_join_dim, previous_in_key, row_number_in_slices)
 from tests.conftest import tuples
 
 
@@ -97,3 +99,41 @@ def test_hot_key_of_a_play_grain_join_is_split(spark):
     finally:
         for key in conf:
             spark.conf.unset(key)
+
+
+def _burst(spark, n=40_000):
+    """Half of all rows are one key within an hour, unevenly; every tenth instant comes twice."""
+    i = F.col("id")
+    micros = F.when(i % 2 == 0, F.floor(F.pow(i / n, F.lit(3)) * 3_000_000_000)).otherwise(
+        i * 977_000_003 % 864_000_000_000)
+    micros = F.when(i % 10 == 8, F.lag(micros, 2).over(Window.orderBy("id"))).otherwise(micros)
+    return spark.range(n).select(
+        F.when(i % 2 == 0, "hot").otherwise(F.concat(F.lit("k"), i % 50)).alias("k"), "id",
+        F.timestamp_micros(micros + 1_700_000_000_000_000 // 3_600_000_000 * 3_600_000_000)
+        .alias("t"))
+
+
+@pytest.mark.parametrize("few", [10_000, 0])
+def test_crowded_slices_are_cut_at_quantiles(spark, monkeypatch, few):
+    monkeypatch.setattr(skew, "FEW_MARKS", few)
+    df = _burst(spark).checkpoint()
+    hot = hot_slices(df, ["k"], "t", slice_rows=1000)
+    (row,) = [r for r in hot[0].collect() if r["k"] == "hot"]
+    assert hot[1] == bool(few) and len(row["_cuts"]) >= 18
+    micros = F.unix_micros("t")
+    parts = df.where("k = 'hot'").groupBy(F.size(F.filter(
+        F.array(*[F.lit(c) for c in row["_cuts"]]), lambda c: c < micros)).alias("p")).count()
+    sizes = sorted(r["count"] for r in parts.collect())
+    assert sizes[-1] <= 2 * sizes[len(sizes) // 2] and sizes[-1] <= 1200
+    got = previous_in_key(df, ["k"], "t", ["id"], ("id",), hot=hot)
+    want = df.withColumn("w", F.lag("id").over(Window.partitionBy("k").orderBy("t", "id")))
+    assert got.columns == [*df.columns, "previous"]
+    wrong = got.select("id", F.col("previous.id").alias("p")).join(want, "id").where(
+        "NOT (p <=> w)")
+    assert got.count() == df.count() and wrong.isEmpty()
+
+
+def test_no_slice_is_cut_where_none_is_large(spark):
+    df = _burst(spark, 200)
+    assert hot_slices(df, ["k"], "t") is None
+    assert hot_slices(df.where("false"), ["k"], "t", slice_rows=1) is None
