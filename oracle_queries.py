@@ -964,6 +964,7 @@ FROM {_MODELS[model]} m"""
 
 FINAL["e12_build_warehouse"] = " UNION ALL ".join(_model_hashes(m) for m in _MODELS)
 FINAL["e12_refresh_warehouse"] = FINAL["e12_build_warehouse"]
+FINAL["e12_refresh_changed"] = FINAL["e12_build_warehouse"]
 # enrichment flows over stored tables
 FINAL["g11_enrich_continents"] = f"""
 SELECT a.* REPLACE (g.continent AS continent, g.country_code AS country_code,

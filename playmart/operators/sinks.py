@@ -149,6 +149,13 @@ def _bucket_count(spark: SparkSession, base: str, table: str) -> int:
     return min(MOST_BUCKETS, max(FEWEST_BUCKETS, -(-size // BUCKET_BYTES)))
 
 
+def is_among(name: str, values: list) -> Column:
+    """Whether a column has one of the values, which may hold None; never NULL."""
+    column = F.col(f"`{name}`")
+    known = F.coalesce(column.isin([v for v in values if v is not None]), F.lit(False))
+    return known | column.isNull() if None in values else known
+
+
 def _merge_touched(new: DataFrame, base: str, table: str, keys: list[str], part: str) -> None:
     """Upsert within the partitions of ``part`` that have rows of ``new``. Their values come to the
     driver: they are folders, which a listing of the table holds there anyway."""
@@ -159,11 +166,7 @@ def _merge_touched(new: DataFrame, base: str, table: str, keys: list[str], part:
     new = new.persist()
     try:
         values = [r[0] for r in new.select(f"`{part}`").distinct().collect()]
-        col = F.col(f"`{part}`")
-        touched = col.isin([v for v in values if v is not None])
-        if None in values:
-            touched = touched | col.isNull()
-        rows = upsert(raw.where(touched), new, keys)
+        rows = upsert(raw.where(is_among(part, values)), new, keys)
         _save(_dealt(rows, part), f"{base}/{table}", "dynamic", [part])
     finally:
         new.unpersist()
@@ -239,13 +242,13 @@ def replace_partitions(df: DataFrame, base: str, table: str, partition: str, val
     spark = df.sparkSession
     stored = read_table(spark, base, table)
     if stored is None:
-        write_overwrite(df.where(F.col(partition).isin(values)), base, table, [partition], arrange)
+        write_overwrite(df.where(is_among(partition, values)), base, table, [partition], arrange)
         return
-    rows = _settled(df.where(F.col(partition).isin(values)), "partitions")
+    rows = _settled(df.where(is_among(partition, values)), "partitions")
     old, new = ({r[0] for r in x.select(partition).distinct().collect()}
-                for x in (stored.where(F.col(partition).isin(values)), rows))
+                for x in (stored.where(is_among(partition, values)), rows))
     if old - new:
-        kept = stored.where(~F.coalesce(F.col(partition).isin(values), F.lit(False)))
+        kept = stored.where(~is_among(partition, values))
         rows = kept.unionByName(rows, allowMissingColumns=True)
         write_overwrite(rows, base, table, [partition], arrange)
     else:

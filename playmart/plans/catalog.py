@@ -612,6 +612,24 @@ def _(s):
     return _fingerprints(s, base)
 
 
+@query("e12_refresh_changed")
+def _(s):
+    """A warehouse over other plays, genres and popularity, brought up to date without dates."""
+    base = s.scratch("warehouse")
+    third = F.crc32(F.col("artist_id").cast("string")) % 3 == 0
+    tables = {
+        **s.inputs.tables, "tracks_played": s.history.where(
+            ~F.year("played_at").isin(1995, 1997)),
+        "spotify_artist_genre": s.artist_genre.withColumn(
+            "genre", F.when(third, F.concat("genre", F.lit("!"))).otherwise(F.col("genre"))),
+        "spotify_artists": s.artist_rows.withColumn("artist_popularity", F.when(
+            third, F.col("artist_popularity") + 1).otherwise(F.col("artist_popularity"))),
+    }
+    warehouse.write_warehouse(replace(s.inputs, tables=tables, built={}), base)
+    warehouse.refresh_warehouse(replace(s.inputs, built={}), base)
+    return _fingerprints(s, base)
+
+
 # ---- F semi-structured
 
 @query("f1_normalize_artist_json")

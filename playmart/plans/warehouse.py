@@ -8,13 +8,13 @@ from dataclasses import dataclass, field, replace
 from datetime import date
 from threading import RLock
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playmart.functions import scoring as S
 from playmart.functions.keys import surrogate_key, timestamp_part
 from playmart.functions.times import LOCAL_ZONE, clock_text
-from playmart.operators.sinks import replace_partitions, write_overwrite
+from playmart.operators.sinks import is_among, replace_partitions, write_overwrite
 from playmart.operators.skew import left_join_dim
 from playmart.plans import intermediate as I
 from playmart.plans import stage
@@ -179,6 +179,46 @@ def fact_artist_genre(played: DataFrame, artist_genre: DataFrame) -> DataFrame:
     )
 
 
+def _row_hash(columns: list[str]) -> Column:
+    # a hash alone skips NULLs, so their places are hashed as well
+    places = [F.col(c).isNull() for c in columns]
+    return F.xxhash64(*columns, *places).cast("decimal(20,0)")
+
+
+def fact_days(plays: DataFrame, artists: DataFrame, artist_genre: DataFrame) -> DataFrame:
+    """Manifest of what the facts are made of: per local day the plays, the sum of their hashes,
+    and the sum over the day's artists of the hashes of their popularity and genres.
+
+    Sums do not depend on row order. A day's facts can differ only if its row here does. Plays
+    shrink to (day, artist) on the map side before they meet the artists.
+    """
+    held = plays.select(
+        F.to_date("played_at_local").alias("date_sid"), "artist_id",
+        _row_hash(plays.columns).alias("h")).groupBy("date_sid", "artist_id").agg(
+        F.count(F.lit(1)).alias("plays"), F.sum("h").alias("h"))
+    popularity = artists.groupBy("artist_id").agg(
+        F.max("artist_popularity").alias("popularity")).select(
+        "artist_id", F.col("popularity").cast("double").alias("popularity"),
+        F.lit(None).cast("string").alias("genre"), F.lit(False).alias("tag"))
+    tags = artist_genre.select(
+        "artist_id", F.lit(None).cast("double").alias("popularity"), "genre",
+        F.lit(True).alias("tag"))
+    known = popularity.unionByName(tags)
+    known = known.groupBy("artist_id").agg(
+        F.sum(_row_hash(known.columns)).alias("known"))
+    return left_join_dim(held, known, "artist_id", ["known"]).groupBy("date_sid").agg(
+        F.sum("plays").alias("plays"), F.sum("h").alias("play_hashes"),
+        F.sum(_row_hash(["artist_id", "known"])).alias("artist_hashes"))
+
+
+def changed_days(old: DataFrame, new: DataFrame) -> DataFrame:
+    """``date_sid`` of the days (NULL is one) that are in one manifest only or differ."""
+    row = F.struct("plays", "play_hashes", "artist_hashes")
+    both = old.unionByName(new).groupBy("date_sid").agg(
+        F.count(F.lit(1)).alias("n"), F.min(row).alias("low"), F.max(row).alias("high"))
+    return both.where((F.col("n") != 2) | (F.col("low") != F.col("high"))).select("date_sid")
+
+
 def recently_played(snapshot: DataFrame, precision: str = "float") -> DataFrame:
     """The consolidated snapshot with minutes and a popularity text."""
     popularity = F.col("popularity")
@@ -283,13 +323,15 @@ MODELS = {
     "dim_time": lambda i, m: dim_time(m("times")),
     "dim_track": lambda i, m: dim_track(m("tracks")),
     "keyed_plays": lambda i, m: keyed_plays(m("played")),
+    "fact_days": lambda i, m: fact_days(
+        m("stg_tracks_played"), m("artists_distinct"), m("stg_artist_genre")),
     "fact_track_played": lambda i, m: fact_track_played(m("keyed_plays")),
     "fact_artist_genre": lambda i, m: fact_artist_genre(m("keyed_plays"), m("stg_artist_genre")),
     "recently_played": lambda i, m: recently_played(i.table("recently_played"), i.precision),
 }
 # models that read the distinct plays; from two on, they are written once and read back
 FROM_DISTINCT_PLAYS = {"dim_artist_genre", "ranked_genre", "genre_stats", "played", "keyed_plays",
-                       "fact_track_played", "fact_artist_genre"}
+                       "fact_days", "fact_track_played", "fact_artist_genre"}
 FACTS = ("fact_track_played", "fact_artist_genre")
 WAREHOUSE = ("dim_album", "dim_artist", "dim_artist_genre", "dim_date", "dim_time", "dim_track",
              "fact_track_played", "fact_artist_genre")
@@ -333,21 +375,51 @@ def _by_year(fact: DataFrame) -> DataFrame:
     return fact.hint("rebalance", FACT_PARTITION).sortWithinPartitions(FACT_PARTITION, "date_sid")
 
 
-def refresh_warehouse(inputs: Inputs, base: str, start: date, end: date) -> list[str]:
-    """Brings the written warehouse up to date after plays of local days ``start`` to ``end``
-    changed: the facts of those years are built and replaced, other years' files stay; the
-    dimensions, which are small, are written anew."""
-    years = list(range(start.year, end.year + 1))
+def refresh_warehouse(inputs: Inputs, base: str, start: date | None = None,
+                      end: date | None = None) -> list[int | None]:
+    """Brings the written warehouse up to date: the facts of the years that changed are built and
+    replaced, other years' files stay; the dimensions are written anew.
+
+    Without dates the years are those of the days whose row in the stored manifest (``fact_days``)
+    differs from the inputs, be it by new, changed or removed plays or by the popularity or genres
+    of an artist who is played then. Without a manifest everything is written. With dates the years
+    from ``start`` to ``end`` are built, whatever changed. The manifest is stored last, so a refresh
+    that was cut off is done again. Returns the years.
+    """
+    if (start is None) != (end is None):
+        raise ValueError("a refresh by dates needs both")
+    plays = "stg_tracks_played"
+    if plays not in inputs.built:
+        inputs = _written(inputs, base, plays)
+    # fixed before the facts are read: what changes meanwhile is found by the next refresh
+    days = build_model(inputs, "fact_days").checkpoint()
+    stored = read_table(inputs.spark, base, "fact_days")
+    if start is not None:
+        years = list(range(start.year, end.year + 1))
+    elif stored is not None:
+        # one value for each changed folder of the facts
+        changed = _with_year(changed_days(stored, days)).select(FACT_PARTITION).distinct()
+        years = sorted((r[0] for r in changed.collect()), key=lambda y: (y is None, y))
+    else:
+        write_warehouse(inputs, base)
+        return sorted((r[0] for r in _with_year(days).select(FACT_PARTITION).distinct().collect()),
+                      key=lambda y: (y is None, y))
     write_warehouse(inputs, base, exclude=list(FACTS))
-    plays = build_model(inputs, "keyed_plays").where(F.year("date_sid").isin(years))
+    if not years:
+        return years
     # in a place of its own: the stored table has all years
     path = scratch_path(inputs.spark, "keyed-plays")
-    plays.write.parquet(path)
+    keyed = _with_year(build_model(inputs, "keyed_plays"))
+    keyed.where(is_among(FACT_PARTITION, years)).drop(FACT_PARTITION).write.parquet(path)
     part = replace(inputs, built={"keyed_plays": inputs.spark.read.parquet(path)}, lock=RLock())
     for name in FACTS:
         replace_partitions(_with_year(build_model(part, name)), base, name, FACT_PARTITION, years,
                            _by_year)
-    return list(WAREHOUSE)
+    if stored is not None:
+        others = _with_year(stored).where(~is_among(FACT_PARTITION, years))
+        rows = _with_year(days).where(is_among(FACT_PARTITION, years))
+        write_overwrite(others.unionByName(rows).drop(FACT_PARTITION), base, "fact_days")
+    return years
 
 
 def write_warehouse(inputs: Inputs, base: str, select: list[str] | None = None,
@@ -358,14 +430,18 @@ def write_warehouse(inputs: Inputs, base: str, select: list[str] | None = None,
     sorted by it within files, so they prune row groups. The rebalance step evens out file sizes:
     a year with many plays becomes many files, a small one few. The distinct over whole plays is
     the one wide shuffle several models share, so its result is written as a table of its own, as
-    are the joined and keyed plays that both facts start from.
+    are the joined and keyed plays that both facts start from. With both facts their manifest is
+    written, after them.
     """
     names = selected_models(select, exclude)
     plays = "stg_tracks_played"
     if plays not in inputs.built and len(FROM_DISTINCT_PLAYS.intersection(names)) > 1:
         inputs = _written(inputs, base, plays)
-    if "keyed_plays" not in inputs.built and set(FACTS) <= set(names):
-        inputs = _written(inputs, base, "keyed_plays")
+    days = None
+    if set(FACTS) <= set(names):
+        days = build_model(inputs, "fact_days").checkpoint()
+        if "keyed_plays" not in inputs.built:
+            inputs = _written(inputs, base, "keyed_plays")
 
     def write(name: str) -> None:
         df = build_model(inputs, name)
@@ -377,6 +453,8 @@ def write_warehouse(inputs: Inputs, base: str, select: list[str] | None = None,
     # independent jobs, long ones first: small models run in the gaps of the facts
     with ThreadPoolExecutor(max_workers=jobs) as pool:
         list(pool.map(write, sorted(names, key=lambda n: not n.startswith("fact_"))))
+    if days is not None:
+        write_overwrite(days, base, "fact_days")
     return names
 
 
