@@ -921,6 +921,28 @@ SELECT count(*) AS count_tracks_played,
     (SELECT count(*) FROM o_fact_genre WHERE date_sid BETWEEN DATE '{c.START}' AND DATE '{c.END}')
         AS count_tracks_played_in_genre
 FROM o_fact WHERE date_sid BETWEEN DATE '{c.START}' AND DATE '{c.END}'""",
+    "k25_measures_of_cells": f"""
+WITH t AS (SELECT f.*, a.country_code FROM o_fact f LEFT JOIN o_dim_artist a USING (artist_sid)
+           WHERE date_sid BETWEEN DATE '{c.START}' AND DATE '{c.END}'),
+g AS (SELECT f.*, a.country_code, g.genre FROM o_fact_genre f
+      LEFT JOIN o_dim_artist a USING (artist_sid) LEFT JOIN o_dim_genre g USING (genre_sid)
+      WHERE date_sid BETWEEN DATE '{c.START}' AND DATE '{c.END}'),
+x AS (SELECT 'all' AS selected, artist_sid, duration_ms FROM t
+      UNION ALL SELECT 'countries', artist_sid, duration_ms FROM t
+      WHERE country_code IN ('{"', '".join(c.CODES)}')
+      UNION ALL SELECT 'countries and genres', artist_sid, duration_ms FROM g
+      WHERE country_code IN ('{"', '".join(c.CODES)}') AND genre IN ('{"', '".join(c.GENRES)}'))
+SELECT selected, count(*) AS plays,
+    CAST(sum(CAST(round(duration_ms / 60000, 2) AS DECIMAL(18, 2))) AS DOUBLE) AS minutes,
+    count(DISTINCT artist_sid) AS artists
+FROM x GROUP BY selected""",
+    "k25_shared_artists": f"""
+WITH a AS (SELECT artist_sid, bool_or(p) AS inside, bool_or(NOT p) AS outside
+    FROM (SELECT artist_sid, date_sid BETWEEN DATE '{c.START}' AND DATE '{c.END}' AS p FROM o_fact) x
+    WHERE p IS NOT NULL GROUP BY artist_sid)
+SELECT count(*) FILTER (inside) AS first, count(*) FILTER (outside) AS second,
+    count(*) FILTER (inside AND outside) AS "both", count(*) AS either
+FROM a""",
     "k26_top_artist_in_top_genres": """
 WITH lead AS (SELECT genre FROM o_top_genres ORDER BY track_count DESC, genre LIMIT 25)
 SELECT artist_name, track_count FROM (
@@ -935,6 +957,7 @@ SELECT artist_name, track_count FROM (
     "l4_stream_upsert": _MERGED_ARTISTS.format(mbid="artist_mbid,", null="NULL,"),
     "l5_stream_plays_per_window": _windows(1, 1),
     "l5_stream_plays_sliding_window": _windows(1, 24),
+    "l5_stream_sketched_windows": _windows(1, 24),
     "l6_stream_enrich": """
 SELECT play_id, artist_id, played_at, (SELECT max(artist_popularity) FROM artist_rows a
     WHERE a.artist_id = p.artist_id) AS artist_popularity

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from playmart.functions.keys import surrogate_key
 from playmart.functions.times import local_time, parse_played_at
-from playmart.operators import dedup, discover, geo, ingest, jsonops, reports, sinks
+from playmart.operators import dedup, discover, geo, ingest, jsonops, reach, reports, sinks
 from playmart.plans import intermediate, stage, warehouse
 from playmart.plans.proxies import spark_proxy
 from playmart.session import configure, scratch_path
@@ -25,6 +25,7 @@ NOW = "2024-01-30 00:00:00"
 START, END = "1996-01-01", "2000-12-31"
 SPINE_START, SPINE_END = date(1995, 1, 1), date(2002, 1, 31)
 COUNTRY, CONTINENTS, COUNTRIES = "N3", ["AFRICA", "ASIA"], ["NATION_0", "NATION_2", "NATION_7"]
+CODES = ["N0", "N2", "N7"]
 GENRES, YEARS = ["standard widget", "standard plate", "medium widget"], [1997, 1998]
 ARTIST = "Supplier#000000003"
 
@@ -1087,6 +1088,41 @@ def _(s):
     return reports.measures(*s.models("fact_track_played", "fact_artist_genre"), START, END)
 
 
+def _stored_cells(s, name: str, cells: DataFrame) -> DataFrame:
+    base = s.scratch("cells")
+    sinks.write_overwrite(cells, base, name)
+    return tables.read_table(s.spark, base, name)
+
+
+def _in_period():
+    return F.col("date_sid").between(F.lit(START).cast("date"), F.lit(END).cast("date"))
+
+
+@query("k25_measures_of_cells")
+def _(s):
+    """Plays, minutes and artists of a period, in some countries and in some genres there, from
+    stored cells."""
+    tracks, tagged, artist, genre = s.models(
+        "fact_track_played", "fact_artist_genre", "dim_artist", "dim_artist_genre")
+    cells = _stored_cells(s, "play_cells", reach.play_cells(tracks, artist))
+    tags = _stored_cells(s, "genre_cells", reach.genre_cells(tagged, artist, genre))
+    measured = ["plays", "minutes", "artists"]
+    there = _in_period() & F.col("country_code").isin(CODES)
+    whole, one = reach.measures_of(cells, _in_period()), reach.measures_of(cells, there)
+    both = reach.measures_of(tags, there & F.col("genre").isin(GENRES))
+    named = [x.select(F.lit(n).alias("selected"), *measured)
+             for n, x in (("all", whole), ("countries", one), ("countries and genres", both))]
+    return reduce(DataFrame.unionByName, named)
+
+
+@query("k25_shared_artists")
+def _(s):
+    """Artists played in the period, outside of it, in both and in all."""
+    cells = _stored_cells(s, "play_cells", reach.play_cells(
+        *s.models("fact_track_played", "dim_artist")))
+    return reach.shared_artists(cells, _in_period(), ~_in_period())
+
+
 # ---- L streaming
 
 def _stream_folder(s, df: DataFrame) -> DataFrame:
@@ -1168,6 +1204,12 @@ def _(s):
         _closed(s, s.plays), "24 hours", "1 hour"))
 
 
+@query("l5_stream_sketched_windows")
+def _(s):
+    return _drained(s, streaming.stream_sketched_windows(
+        _closed(s, s.plays), "24 hours", "1 hour"))
+
+
 @query("l6_stream_enrich")
 def _(s):
     stream = _stream_folder(s, s.plays)

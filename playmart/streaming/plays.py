@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
@@ -206,6 +206,33 @@ def stream_plays_per_window(plays: DataFrame, length: str = "1 hour", slide: str
              "plays", "minutes", "artists")
 
 
+def stream_sketched_windows(plays: DataFrame, length: str = "1 hour", slide: str | None = None,
+                            delay: str = DELAY, log_k: int = 12) -> DataFrame:
+    """``stream_plays_per_window`` with state of one row per step and one per window, however many
+    artists there are: a step keeps them as a HyperLogLog sketch of 2^``log_k`` bytes, and windows
+    unite the sketches of their steps.
+
+    Plays and minutes are exact. ``artists`` is an estimate with a relative standard error of
+    1.04 / 2^(``log_k`` / 2), 1.6 % by default; small sets are counted nearly exactly. Plays without
+    an artist count as plays alone.
+    """
+    def counted(artists: Column, plays: Column, minutes: Column) -> list[Column]:
+        return [F.sum(plays).alias("plays"), F.sum(minutes).alias("minutes"),
+                artists.alias("artists")]
+
+    minutes = exact_minutes(scaled_ms(F.col("duration_ms"), 60_000, 2))
+    windows = plays.withWatermark("played_at", delay).groupBy(
+        F.window("played_at", slide or length).alias("w")).agg(
+        *counted(F.hll_sketch_agg("artist", F.lit(log_k)), F.lit(1), minutes))
+    if slide:
+        windows = windows.groupBy(F.window(F.window_time("w"), length, slide).alias("w")).agg(
+            *counted(F.hll_union_agg("artists"), F.col("plays"), F.col("minutes")))
+    return windows.select(
+        F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "plays",
+        F.col("minutes").cast("double").alias("minutes"),
+        F.hll_sketch_estimate("artists").alias("artists"))
+
+
 def closing_play(like: DataFrame, at: datetime) -> DataFrame:
     """One row with an event time, an empty track and artist and nothing else. At the end of a bounded stream it moves the
     watermark to ``at`` less the delay, so that the windows before are emitted; its own are not."""

@@ -131,6 +131,35 @@ def test_windows_close_behind_the_watermark(spark, tmp_path, slide, windows):
     assert all(r.window_end <= at(4 * 3600) for r in full.values())
 
 
+@pytest.mark.parametrize("slide", [None, "1 hour"])
+def test_sketched_windows(spark, tmp_path, slide):
+    i = F.col("id")
+    rows = spark.range(30_000).select(
+        F.lit("t").alias("track_id"), F.lit("n").alias("track_name"),
+        F.when(i % 100 > 0, F.concat(F.lit("a"), i * 7919 % 9000)).alias("artist"),
+        F.timestamp_seconds(1_704_096_000 + i % 21_600).alias("played_at"),
+        (i % 7 * 30_000).alias("duration_ms"))
+    path = str(tmp_path / "in")
+    rows.write.parquet(path)
+    S.closing_play(rows, at(0, day=9)).write.mode("append").parquet(path)
+    length = "3 hours" if slide else "1 hour"
+
+    def run(windows, name, **more):
+        stream = spark.readStream.schema(rows.schema).parquet(path)
+        got = drained(spark, windows(stream, length, slide, **more), tmp_path / name)
+        return {r.window_start: r for r in got.collect()}
+
+    want, got = run(S.stream_plays_per_window, "exact"), run(S.stream_sketched_windows, "sketch")
+    assert len(want) == (8 if slide else 6) and set(want) == set(got)
+    for start, row in want.items():
+        assert got[start][:4] == row[:4]
+        assert abs(got[start].artists - row.artists) <= 4 * 1.04 / 64 * row.artists
+    if not slide:
+        # one row of state a window, whatever the artists
+        rough = run(S.stream_sketched_windows, "rough", log_k=4)
+        assert any(rough[k].artists != want[k].artists for k in want)
+
+
 def test_a_closing_play_emits_the_last_windows(spark, tmp_path):
     rows = [(f"t{i}", "n", f"art{i % 3}", at(i * 600), 60_000) for i in range(12)]
     ddl = PLAY_DDL
