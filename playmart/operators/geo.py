@@ -137,13 +137,40 @@ def pivot_hierarchy(closure: DataFrame, areas: DataFrame, levels=AREA_LEVELS) ->
 COUNTRY_NAMES = ("name", "alpha_2", "alpha_3", "numeric", "official_name", "common_name")
 
 
-def _parts(name: Column) -> Column:
-    """All distinct parts of a name, the empty one included. Names are short."""
-    n = F.char_length(name)
-    every = F.flatten(F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda a: (
-        F.transform(F.sequence(F.lit(0), F.greatest(n - a + 1, F.lit(0))),
-                    lambda size: F.substring(name, a, size)))))
-    return F.array_distinct(every)
+GRAM = 3
+
+
+def _grams(text: Column, size: int) -> Column:
+    """The distinct runs of ``size`` characters; none where the text is shorter."""
+    last = F.char_length(text) - size + 1
+    places = F.when(last > 0, F.sequence(F.lit(1), F.greatest(last, F.lit(1)))).otherwise(
+        F.array().cast("array<int>"))
+    return F.array_distinct(F.transform(places, lambda i: F.substring(text, i, F.lit(size))))
+
+
+def containing(needles: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs (``needle``, ``text``) of two lists of distinct strings where the text contains the
+    needle.
+
+    An index lists each text under its runs of three characters, and of two, one and none for
+    needles that are shorter. A needle is looked up under its rarest run alone, and what is listed
+    there is compared, so work grows with the characters and the length of these lists. The empty
+    needle is in every text; NULL contains and is in nothing.
+    """
+    text, needle = F.col("text"), F.col("needle")
+    index = texts.where("text IS NOT NULL").select("text", F.explode(F.flatten(F.array(
+        F.array(F.lit("")), *[_grams(text, n) for n in range(1, GRAM + 1)]))).alias("gram"))
+    length, own = F.char_length(needle), _grams(needle, GRAM)
+    for n in range(1, GRAM):
+        own = F.when(length == n, _grams(needle, n)).otherwise(own)
+    own = F.when(length == 0, F.array(F.lit(""))).otherwise(own)
+    asked = needles.where("needle IS NOT NULL").select("needle", F.explode(own).alias("gram"))
+    listed = index.join(asked.select("gram").distinct(), "gram", "left_semi").groupBy("gram").agg(
+        F.count(F.lit(1)).alias("n"))
+    # a run that no text has is the rarest and finds nothing, as it should
+    rarest = asked.join(listed, "gram", "left").groupBy("needle").agg(
+        F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram"))["gram"].alias("gram"))
+    return rarest.join(index, "gram").where(F.contains(text, needle)).select("needle", "text")
 
 
 def continent_lookup(countries: DataFrame, reference: DataFrame,
@@ -152,8 +179,7 @@ def continent_lookup(countries: DataFrame, reference: DataFrame,
 
     ``reference`` has ord, name, alpha_2, continent, continent_code and maybe more of
     ``COUNTRY_NAMES``. A name or code that is equal (any case) wins; else the first entry, by ord,
-    where one name contains the other. Both are equality joins: on every name of an entry, then on
-    the parts of the names.
+    where one name contains the other, found through an index of runs of three characters.
     """
     overrides = NAME_OVERRIDES if overrides is None else overrides
     name = F.col("country_name")
@@ -167,14 +193,17 @@ def continent_lookup(countries: DataFrame, reference: DataFrame,
     called = reference.select(F.explode(F.array_distinct(F.array_compact(F.array(*listed))))
                               .alias("_name"), entry.alias("e"))
     equal = called.groupBy("_name").agg(F.min("e").alias("_equal"))
-    named = reference.where("name IS NOT NULL").select(
-        F.lower("name").alias("_whole"), entry.alias("e"))
+    named = reference.where("name IS NOT NULL").groupBy(F.lower("name").alias("_whole")).agg(
+        F.min(entry).alias("e"))
     # an entry's name is a part of the wanted one, or the other way round
-    inside = asked.select("_name", F.explode(_parts(F.col("_name"))).alias("_whole")).join(
-        named, "_whole").select("_name", "e")
-    around = named.select(F.explode(_parts(F.col("_whole"))).alias("_name"), "e").join(
-        asked, "_name", "left_semi").select("_name", "e")
-    similar = inside.unionAll(around).groupBy("_name").agg(F.min("e").alias("_similar"))
+    inside = containing(named.select(F.col("_whole").alias("needle")),
+                        asked.select(F.col("_name").alias("text"))).select(
+        F.col("needle").alias("_whole"), F.col("text").alias("_name"))
+    around = containing(asked.select(F.col("_name").alias("needle")),
+                        named.select(F.col("_whole").alias("text"))).select(
+        F.col("text").alias("_whole"), F.col("needle").alias("_name"))
+    similar = inside.unionAll(around).join(named, "_whole").groupBy("_name").agg(
+        F.min("e").alias("_similar"))
     return wanted.join(equal, "_name", "left").join(similar, "_name", "left").withColumn(
         "_m", F.coalesce("_equal", "_similar")).select(
         F.col("country_name").alias("country"),

@@ -1,4 +1,5 @@
 import json
+import random
 
 import pytest
 
@@ -152,6 +153,20 @@ def test_continent_lookup_by_any_code_and_without_a_bound(spark):
                    "and 88.": "L88", "Nowhere": None, None: None}
 
 
+def test_containing_equals_brute_force(spark):
+    rng = random.Random(5)
+    texts = {"".join(rng.choice("ab é") for _ in range(rng.randrange(1, 300)))
+             for _ in range(60)} | {"", "a", "ab", "aaa", "zzz"}
+    needles = {t[i:i + rng.choice([1, 2, 3, 4, 9, 80])] for t in texts for i in (0, 7, 40)} | {
+        "", "q", "qq", "abq", "aaaaaaaaaaaa", "zz"}
+    left = spark.createDataFrame([(n,) for n in needles] + [(None,)], "needle string")
+    right = spark.createDataFrame([(t,) for t in texts] + [(None,)], "text string")
+    got = tuples(geo.containing(left, right))
+    assert sorted(got) == sorted((n, t) for n in needles for t in texts if n in t)
+    assert geo.containing(left.where("false"), right).isEmpty()
+    assert geo.containing(left, right.where("false")).isEmpty()
+
+
 def test_closure_keeps_the_walk_of_long_ids_deep_chains_and_all_levels(spark):
     p = "aaaaaaaa-1111-"
     edges = [(p + "c", 2, p + "0001"), (p + "c", 1, p + "0002"), (p + "0001", 1, p + "n1"),
