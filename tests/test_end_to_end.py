@@ -75,3 +75,12 @@ def test_stored_tables_feed_the_models(spark, tmp_path):
     inputs = warehouse.stored_inputs(spark, str(tmp_path))
     played = warehouse.build_warehouse(inputs, select=["fact_track_played"])["fact_track_played"]
     assert played.count() == source.model("fact_track_played").count()
+
+
+def test_the_column_report_counts_both_tables(spark, db):
+    name = "e11_check_column_consistency"
+    got = catalog.QUERIES[name](spark, SF)
+    cursor = db.execute(entry.oracle_sql()[name])
+    columns = [d[0] for d in cursor.description]
+    assert {"stored_rows", "model_rows"} <= set(got.columns) and set(columns) == set(got.columns)
+    assert as_set(got.columns, got.collect()) == as_set(columns, cursor.fetchall())
