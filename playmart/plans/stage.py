@@ -51,9 +51,12 @@ def stg_tracks_played(plays: DataFrame, zone: str = LOCAL_ZONE,
                       precision: str = "float") -> DataFrame:
     """Distinct plays with rounded minutes and local time.
 
-    Only stored columns take part in the distinct; the computed ones follow from them.
+    Only stored columns take part in the distinct; the computed ones follow from them. Whole plays
+    rarely repeat within a task, where an aggregate would hold, and spill, all of them to combine
+    none: rows are dealt out first, and each task makes its own distinct.
     """
-    return plays.select(*PLAY_COLUMNS).distinct().withColumns({
+    rows = plays.select(*PLAY_COLUMNS)
+    return rows.repartition(*PLAY_COLUMNS).distinct().withColumns({
         "duration_mins": scaled_ms(F.col("duration_ms"), MINUTE_MS, 0, precision),
         "played_at_local": local_time("played_at", zone),
     })

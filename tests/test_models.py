@@ -256,3 +256,13 @@ def test_select_and_exclude():
     assert "dim_date" not in warehouse.selected_models(exclude=["dim_date"])
     with pytest.raises(ValueError, match="nope"):
         warehouse.selected_models(["nope"])
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_distinct_plays_are_dealt_out_before_they_are_aggregated(spark):
+    plan = plan_of(stage.stg_tracks_played(tracks_played(spark, [play(), play()])))
+    assert plan.count("Exchange") == 1
+    assert plan.rindex("HashAggregate") < plan.index("Exchange")
