@@ -266,3 +266,40 @@ def test_distinct_plays_are_dealt_out_before_they_are_aggregated(spark):
     plan = plan_of(stage.stg_tracks_played(tracks_played(spark, [play(), play()])))
     assert plan.count("Exchange") == 1
     assert plan.rindex("HashAggregate") < plan.index("Exchange")
+
+
+def test_genres_fan_out_behind_every_shuffle_and_sort(spark):
+    plays = tracks_played(spark, [play("a", "A", n) for n in range(3)] + [play(None, "N", 9)])
+    genres = spark.createDataFrame(
+        [("a", "A", "rock"), ("a", "A", "pop"), ("a", "A", None)],
+        "artist_id string, artist_name string, genre string")
+    artists = spark.createDataFrame([("a", "A", "m", 3.0)], "artist_id string, artist_name string, "
+                                    "artist_mbid string, artist_popularity float")
+    inputs = warehouse.Inputs(spark, {"tracks_played": plays, "spotify_artists": artists,
+                                      "spotify_artist_genre": genres})
+    df = warehouse._in_files(inputs, "fact_artist_genre")
+    above = plan_of(df).split("Generate")[0]
+    # nor are keys made for each genre
+    assert "Exchange" not in above and "Sort" not in above and "md5" not in above
+    assert df.groupBy("track_played_uid").count().orderBy("count").select("count").collect() == [
+        (1,), (3,), (3,), (3,)]
+
+
+def test_genre_files_keep_a_play_together_by_date(spark, tmp_path):
+    rows = [play("a", "A", 86_400 * 200 * (k % 4) + k) for k in range(40)] + [play(None, "N", 9)]
+    genres = [("a", "A", f"g{k}") for k in range(5)]
+    inputs = warehouse.Inputs(spark, {
+        "tracks_played": tracks_played(spark, rows),
+        "spotify_artists": spark.createDataFrame(
+            [("a", "A", "m", 3.0)], "artist_id string, artist_name string, artist_mbid string, "
+            "artist_popularity float"),
+        "spotify_artist_genre": spark.createDataFrame(
+            genres, "artist_id string, artist_name string, genre string")})
+    base = str(tmp_path)
+    warehouse.write_warehouse(inputs, base, list(warehouse.FACTS))
+    assert spark.read.parquet(f"{base}/fact_artist_genre").count() == 40 * 5 + 1
+    for file in tmp_path.glob("fact_artist_genre/*/*.parquet"):
+        got = spark.read.parquet(str(file)).select("date_sid", "track_played_uid").collect()
+        assert [r.date_sid for r in got] == sorted(r.date_sid for r in got)
+        runs = [r for k, r in enumerate(got) if not k or got[k - 1] != r]
+        assert len(runs) == len(set(runs))
