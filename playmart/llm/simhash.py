@@ -201,13 +201,13 @@ def shingle_set(text: str | None, words: int) -> np.ndarray:
     return found if len(found) else np.zeros(1, np.int64)
 
 
-TOKEN, SIZE, LAST = 0, 1, 2   # kinds of the rows (kind, key, value) that a text gives
+TOKEN, SIZE, LAST, PRINT = 0, 1, 2, 3   # kinds of the rows (kind, key, value) that a text gives
 
 
 def token_rows(rows: DataFrame, words: int, similarity: float, within: np.ndarray | None = None
                ) -> DataFrame:
-    """For each `id`: (TOKEN, hash, id) of its first hashes, (SIZE, id, size of its set) and
-    (LAST, id, last hash listed). With a bitmap `within`, only hashes whose mark is set, and no
+    """For each `id`: (TOKEN, hash, id) of its first hashes, (SIZE, id, size of its set),
+    (LAST, id, last hash listed) and (PRINT, id, fingerprint of its set). With a bitmap `within`, only hashes whose mark is set, and no
     other rows. A task gives each id once; copies in other tasks give the same rows again."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -221,9 +221,11 @@ def token_rows(rows: DataFrame, words: int, similarity: float, within: np.ndarra
                 found = shingle_set(text, words)
                 some = found[:listed_size(len(found), similarity)]
                 if within is None:
-                    kinds.append(np.repeat([TOKEN, SIZE, LAST], [len(some), 1, 1]))
-                    keys.append(np.concatenate((some, [i, i])))
-                    values.append(np.concatenate((np.full(len(some), i), [len(found), some[-1]])))
+                    bits = signed(fingerprint(found.view(np.uint64)))
+                    kinds.append(np.repeat([TOKEN, SIZE, LAST, PRINT], [len(some), 1, 1, 1]))
+                    keys.append(np.concatenate((some, [i, i, i])))
+                    values.append(np.concatenate((np.full(len(some), i),
+                                                  [len(found), some[-1], bits])))
                 else:
                     some = some[marked(some, within)]
                     kinds.append(np.full(len(some), TOKEN))
@@ -393,12 +395,35 @@ def read_sets(rows: DataFrame, asked: DataFrame, words: int) -> DataFrame:
         run, "id bigint, set array<bigint>"), "sets")
 
 
+def print_pairs(prints: DataFrame, max_bits: int = 2) -> DataFrame:
+    """Pairs (a, b) of ids whose fingerprints the signatures link: of each fingerprint its smallest
+    `id` with all others, and over each link the smallest ids of both. `prints` has `id`, `bits`."""
+    least = stored(prints.groupBy("bits").agg(F.min("id").alias("least")), "prints")
+    equal = join_apart(prints, least, "bits").where("id <> least").select("id", "least")
+    end = lambda c: least.select(F.col("bits").alias(c), F.col("least").alias(f"id_{c}"))
+    near = links(least.select("bits"), max_bits).join(end("a"), "a").join(end("b"), "b").select(
+        F.col("id_a").alias("id"), F.col("id_b").alias("least"))
+    return equal.unionAll(near).select(
+        F.least("id", "least").alias("a"), F.greatest("id", "least").alias("b")).distinct()
+
+
+def unjoined(pairs: DataFrame, group: DataFrame) -> DataFrame:
+    """The pairs (a, b) that `group` (`id`, `root`) does not join already."""
+    end = lambda c: group.select(F.col("id").alias(c), F.col("root").alias(f"root_{c}"))
+    return pairs.join(end("a"), "a", "left").join(end("b"), "b", "left").where(
+        "root_a IS NULL OR root_b IS NULL OR root_a <> root_b").select("a", "b")
+
+
 def similar_links(rows: DataFrame, words: int, similarity: float) -> DataFrame:
     """Edges (a, b) between `id`s of texts that join exactly the groups that all pairs join whose
     sets of `words`-word shingles have a Jaccard similarity of `similarity` or more. `rows` has
     `id` and `text`, copies too; equal ids have equal texts.
 
-    Similar texts share one of their first hashes in any order of all hashes: here that of the
+    SimHash comes first: fingerprints of the sets meet by deletion-variant signatures (`links`), and
+    pairs that verify as similar join their texts. An exact check follows, as similar texts may
+    differ in more bits: it compares only texts that are not joined yet.
+
+    There, similar texts share one of their first hashes in any order of all hashes: here that of the
     values, with the crowded ones (listed by over `CROWD` texts) behind all others. Each text lists
     more hashes than needed, so most have enough that are not crowded, and texts that share one of
     those are compared. The others are dense: all their hashes that are not crowded meet the lists
@@ -414,7 +439,11 @@ def similar_links(rows: DataFrame, words: int, similarity: float) -> DataFrame:
         F.col("key").alias("token"), F.col("value").alias("id"), "n")
     of = lambda kind: F.max(F.when(F.col("kind") == kind, F.col("value")))
     sizes = stored(kept.where(f"kind <> {TOKEN}").groupBy(F.col("key").alias("id")).agg(
-        of(SIZE).alias("size"), of(LAST).alias("last")), "sizes")
+        of(SIZE).alias("size"), of(LAST).alias("last"), of(PRINT).alias("bits")), "sizes")
+    check = lambda some: verified(
+        some, rows, sizes.select("id", "size"), words, similarity)
+    alike = check(print_pairs(sizes.select("id", "bits")))
+    group = stored(components(alike).withColumnRenamed("bits", "id"), "alike")
     crowded = shared.where(F.col("n") > CROWD)
     least = F.col("size") - F.ceil(F.col("size") * similarity - SLACK) + 1
     room = F.least("size", least + F.floor(least / 2) + CROWD) - least
@@ -431,10 +460,8 @@ def similar_links(rows: DataFrame, words: int, similarity: float) -> DataFrame:
     pairs = small_pairs(shared).join(note("a"), "a").join(note("b"), "b").where(
         F.col("o") + F.when(F.col("last_a") <= F.col("last_b"), F.col("more_a")).otherwise(
             F.col("more_b")) >= least).select("a", "b")
-    check = lambda some: verified(
-        some, rows, sizes.select("id", "size"), words, similarity)
     if dense.isEmpty():
-        return check(pairs.distinct())
+        return alike.unionAll(check(unjoined(pairs.distinct(), group)))
     sets = read_sets(rows, dense, words)
     other = stored(sets.select(F.col("id").alias("b"), F.explode("set").alias("token")).join(
         crowded.select("token").distinct(), "token", "left_anti"), "dense")
@@ -446,7 +473,7 @@ def similar_links(rows: DataFrame, words: int, similarity: float) -> DataFrame:
         F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     common = stored(counted(rare_first(sets, similarity), "token").where("n > 1"), "common")
     pairs = pairs.unionAll(across).unionAll(small_pairs(common).drop("o")).distinct()
-    found = check(pairs)
+    found = alike.unionAll(check(unjoined(pairs, group)))
     crowd = common.where(F.col("n") > CROWD).drop("n")
     return found if crowd.isEmpty() else crowded_links(crowd, found, check, similarity)
 

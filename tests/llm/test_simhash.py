@@ -193,3 +193,26 @@ def test_copies_with_a_repeated_line(spark, docs):
         words, line = [f"g{g}w{k}" for k in range(300)], [f"g{g}l{k}" for k in range(12)]
         rows += [(2 * g, " ".join(words + line)), (2 * g + 1, " ".join(words + line * 10))]
     assert {r.doc_id for r in S.keep_one(docs(rows)).collect()} == {2 * g for g in range(40)}
+
+
+def test_near_copies_go_through_the_signatures(spark, docs, monkeypatch):
+    """Pairs whose fingerprints meet are joined by them; the exact check gets only the others."""
+    rng = random.Random(23)
+    rows = []
+    for g in range(20):
+        words = [f"g{g}w{k}" for k in range(1500)]
+        rows += [(3 * g, " ".join(words)), (3 * g + 1, " ".join(words[:-1])),
+                 (3 * g + 2, edited(words, rng, 0.01))]
+    asked, check = [], S.verified
+
+    def seen(pairs, *args):
+        out = check(pairs, *args)
+        asked.append(({tuple(r) for r in pairs.collect()}, {tuple(r) for r in out.collect()}))
+        return out
+
+    monkeypatch.setattr(S, "verified", seen)
+    kept = {r.doc_id for r in S.keep_one(docs(rows)).collect()}
+    assert kept == jaccard_groups(rows) == {3 * g for g in range(20)}
+    (first, joined), *later = asked
+    assert len(joined) >= 15 and joined <= first and later
+    assert not any(joined & pairs for pairs, _ in later)
