@@ -32,7 +32,8 @@ CROWD = 8      # members up to which those of a segment value, or of a shingle,
 MARKS = 1 << 18
 BITMAP = 1 << 24   # marks of hashes that are looked for
 BLOCK = 1 << 21    # hashes of the texts that are compared in one task, about
-LEADERS = 3    # members of a crowded shingle, beside the first, that all others are compared with
+PAIRS = 1 << 13    # pairs that are compared in one task, about
+LEADERS = 2    # members of a crowded shingle, picked by hash, that all others are compared with
 SLACK = 1e-9   # for rounding in bounds, which may only let more pairs through
 UPPER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _BYTE_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1)
@@ -250,10 +251,9 @@ def bitmap_of(tokens: DataFrame) -> np.ndarray:
     the number of hashes."""
     bit = F.col("token").bitwiseAND(F.lit(BITMAP - 1))
     words = tokens.groupBy(F.shiftright(bit, 5).alias("word")).agg(F.bit_or(F.expr(
-        "shiftleft(1L, cast(token & 31 as int))")).alias("bits")).collect()
+        "shiftleft(1L, cast(token & 31 as int))")).alias("bits")).toArrow()
     out = np.zeros(BITMAP >> 5, np.int64)
-    for word, bits in words:
-        out[word] = bits
+    out[words.column("word").to_numpy()] = words.column("bits").to_numpy()
     return out
 
 
@@ -273,12 +273,14 @@ def small_pairs(shared: DataFrame) -> DataFrame:
 
 def homes(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
     """`id`, `degree` and `home` of all texts in pairs: a text's home is shared with its smallest
-    partner, so texts of one group mostly meet there. Homes over `BLOCK` hashes are split."""
+    partner, so texts of one group mostly meet there. Homes over `BLOCK` hashes or `PAIRS` pairs are
+    split."""
     both = pairs.select(F.col("a").alias("id"), F.col("b").alias("o")).unionAll(
         pairs.select(F.col("b").alias("id"), F.col("a").alias("o")))
     nodes = both.groupBy("id").agg(F.min("o").alias("o"), F.count(F.lit(1)).alias("degree")).join(
         sizes, "id").select("id", "degree", "size", F.least("id", "o").alias("label"))
-    parts = nodes.groupBy("label").agg(F.ceil(F.sum("size") / F.lit(BLOCK)).alias("parts")).select(
+    parts = nodes.groupBy("label").agg(F.ceil(F.greatest(
+        F.sum("size") / F.lit(BLOCK), F.sum("degree") / F.lit(2 * PAIRS))).alias("parts")).select(
         F.col("label").alias("l"), "parts")
     return nodes.join(parts, apart(F.col("label")) == apart(F.col("l"))).select(
         "id", "degree", F.xxhash64("label", F.pmod(F.xxhash64("id"), "parts")).alias("home"))
@@ -344,40 +346,57 @@ def texts_of(rows: DataFrame, asked: DataFrame) -> DataFrame:
 def rare_first(sets: DataFrame, similarity: float) -> DataFrame:
     """`id`, `size`, `token` and its place `at` among the hashes that would be listed if hashes of
     few of the `sets` came first. Hashes that no other set has come before all others and have no
-    row, so texts without enough common hashes have none."""
+    row, so texts without enough common hashes have none. `rare` is how many hashes of the text at
+    most `CROWD` sets have, `weight` how many sets have each of its hashes, in all."""
     tokens = sets.select("id", F.size("set").alias("size"), F.explode("set").alias("token"))
     common = counted(tokens, "token").where("n > 1").groupBy("id", "size").agg(
-        F.array_sort(F.collect_list(F.struct("n", "token"))).alias("all"))
+        F.array_sort(F.collect_list(F.struct("n", "token"))).alias("all"),
+        (F.col("size") - F.count(F.when(F.col("n") > CROWD, True))).alias("rare"),
+        F.sum("n").alias("weight"))
     spare = (F.size("all") - F.ceil(F.col("size") * similarity - SLACK) + 1).cast("int")
     return common.withColumn("spare", spare).where("spare > 0").select(
         "id", "size", F.posexplode(F.slice("all", F.lit(1), F.col("spare"))).alias("k", "t"),
-        (F.col("size") - F.size("all")).alias("own")).select(
-        "id", "size", F.col("t.token").alias("token"), (F.col("own") + F.col("k")).alias("at"))
+        (F.col("size") - F.size("all")).alias("own"), "rare", "weight").select(
+        "id", "size", F.col("t.token").alias("token"), (F.col("own") + F.col("k")).alias("at"),
+        "rare", "weight")
 
 
 def crowded_links(crowd: DataFrame, found: DataFrame, check, similarity: float) -> DataFrame:
     """Further edges between texts that share tokens of many texts: the rows of `crowd` have `id`,
-    `size`, `token` and `at`. A few members of each token are compared with all of its members;
-    then every pair is compared that no verified edges, `found` among them, join yet and that sizes
-    and places do not forbid. So a large group of near copies is never paired throughout, and no
-    other pair is left out. `check` gives the similar ones of pairs."""
-    tops = [F.min_by("id", F.xxhash64("id", F.lit(k))) for k in range(LEADERS)]
-    tops = crowd.groupBy("token").agg(F.array_distinct(F.array(F.min("id"), *tops)).alias("tops"))
-    stars = join_apart(crowd, tops, "token").select("id", F.explode("tops").alias("top")).where(
-        "id <> top").select(F.least("id", "top").alias("a"), F.greatest("id", "top").alias("b"))
+    `size`, `token`, `at`, `rare` and `weight`. A few members of each token are compared with all of
+    its members; then every pair is compared that no verified edges, `found` among them, join yet and
+    that sizes and places do not forbid. `check` gives the similar ones of pairs.
+
+    Two edited copies of one text are less similar to each other than to that text. So the members
+    that hold least that is rare and most that is common come first: they join what can be joined by
+    one text, and only the texts too far from all others are left to meet the rest.
+    """
+    tops = [F.min_by("id", F.struct("rare", -F.col("size"), "id")),
+            F.max_by("id", F.struct("weight", "id")),
+            *[F.min_by("id", F.xxhash64("id", F.lit(k))) for k in range(LEADERS)]]
+    tops = crowd.groupBy("token").agg(F.array_distinct(F.array(*tops)).alias("tops"))
+    stars = join_apart(crowd.select("id", "token"), tops, "token").groupBy("id").agg(
+        F.array_distinct(F.flatten(F.collect_set("tops"))).alias("tops")).select(
+        "id", F.explode("tops").alias("top")).where("id <> top").select(
+        F.least("id", "top").alias("a"), F.greatest("id", "top").alias("b"))
     known = found.unionAll(check(stars.distinct()))
-    rooted = stored(crowd.join(components(known).withColumnRenamed("bits", "id"), "id", "left"
-                               ).withColumn("root", F.coalesce("root", "id")), "crowd")
+    # a pair counts at the first token that both have, where the bound by places is widest
+    listed = crowd.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("at", "token")))["token"
+                                                                         ].alias("listed"))
+    rooted = stored(crowd.select("id", "size", "token", "at").join(listed, "id").join(
+        components(known).withColumnRenamed("bits", "id"), "id", "left").withColumn(
+        "root", F.coalesce("root", "id")), "crowd")
     # the members outside of a token's largest group meet all members of other groups
     groups = rooted.groupBy("token", "root").agg(F.count(F.lit(1)).alias("n"))
     main = groups.groupBy("token").agg(F.max(F.struct("n", "root"))["root"].alias("main"))
-    minor = join_apart(rooted, main, "token").where("root <> main").select(
-        "token", "main", *[F.col(c).alias(f"_{c}") for c in ("id", "size", "at", "root")])
+    minor = join_apart(rooted, main, "token").where("root <> main").select("token", "main", *[
+        F.col(c).alias(f"_{c}") for c in ("id", "size", "at", "listed", "root")])
     overlap = F.lit(similarity / (1 + similarity)) * (F.col("size") + F.col("_size")) - SLACK
     ahead = F.least(F.col("size") - F.col("at"), F.col("_size") - F.col("_at"))
     rest = minor.join(rooted, "token").where(
         (F.col("root") != F.col("_root")) & ((F.col("root") == F.col("main")) | (
-            F.col("_id") < F.col("id"))) & (ahead >= overlap)).select(
+            F.col("_id") < F.col("id"))) & (ahead >= overlap) & (
+            F.array_intersect("listed", "_listed")[0] == F.col("token"))).select(
         F.least("id", "_id").alias("a"), F.greatest("id", "_id").alias("b")).distinct()
     return known.unionAll(check(rest))
 

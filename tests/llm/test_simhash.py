@@ -216,3 +216,34 @@ def test_near_copies_go_through_the_signatures(spark, docs, monkeypatch):
     (first, joined), *later = asked
     assert len(joined) >= 15 and joined <= first and later
     assert not any(joined & pairs for pairs, _ in later)
+
+
+def test_edited_copies_of_one_text_are_not_paired_throughout(spark, docs, monkeypatch):
+    """Copies below the similarity to each other, though not to their text: its place must not matter
+    and the pairs that are compared follow the number of copies, not its square."""
+    rng = random.Random(24)
+    base, rows = [f"b{k}" for k in range(150)], []
+    for k in range(400):
+        words = list(base)
+        for n, at in enumerate(rng.sample(range(5, 145, 7), 3) if k != 250 else []):
+            words[at] = f"e{k}n{n}"
+        rows.append((k, " ".join(words)))
+    loose = [f"l{k}" for k in range(150)]  # and a group that no text is near to
+    rows += [(1000 + k, " ".join(f"x{k}{w}" if n in at else w for n, w in enumerate(loose)))
+             for k in range(60) for at in [rng.sample(range(5, 145, 7), 4)]]
+    asked, check = [], S.verified
+
+    def seen(pairs, *args):
+        asked.append(pairs.count())
+        return check(pairs, *args)
+
+    monkeypatch.setattr(S, "verified", seen)
+    kept = {r.doc_id for r in S.keep_one(docs(rng.sample(rows, len(rows)))).collect()}
+    assert kept == jaccard_groups(rows) and kept & set(range(400)) == {0}
+    assert sum(asked) < 12 * len(rows), asked
+
+
+def test_a_crowd_of_pairs_is_dealt_out(spark):
+    pairs = spark.range(1, 4 * S.PAIRS).selectExpr("0L AS a", "id AS b")
+    sizes = spark.range(4 * S.PAIRS).selectExpr("id", "10 AS size")
+    assert S.homes(pairs, sizes).select("home").distinct().count() >= 3
