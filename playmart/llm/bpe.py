@@ -24,12 +24,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from playmart.llm.batches import slices
+from playmart.llm.batches import keep, slices
 
 PIECES = 600_000      # encoded pieces a worker remembers
 PAIRS = 1_000_000     # judged token pairs a worker remembers
 NEVER = 1 << 60
-_TABLES: dict[str, Table] = {}
 
 
 def read_ranks(path: str) -> bytes:
@@ -216,11 +215,9 @@ class Encoded:
 
 
 def table(ranks: bytes, pattern: str) -> Table:
-    """The table of a rank file, built once in each worker."""
+    """The table of a rank file, built once in each worker until other operators use that."""
     key = hashlib.sha256(ranks + pattern.encode()).hexdigest()
-    if key not in _TABLES:
-        _TABLES[key] = Table(ranks, pattern)
-    return _TABLES[key]
+    return keep(f"bpe {key}", lambda: Table(ranks, pattern))
 
 
 def _column(docs: DataFrame, name: str) -> F.Column:

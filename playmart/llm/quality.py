@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
+from playmart.llm.batches import let_go
+
 SAMPLE = 20_000          # labelled rows that the trees are grown on
 TREES, DEPTH, RATE, BINS, LEAST = 80, 3, 0.15, 48, 5
 SMOOTH = 1.0             # added to the weight of a leaf
@@ -192,6 +194,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Trees | N
 
     @pandas_udf("array<double>")
     def features(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        let_go()
         for texts in parts:
             yield pd.Series([statistics(t)[1] for t in texts])
 
@@ -216,6 +219,7 @@ def judge(docs: DataFrame, model: Trees | None, text: str = "text",
 
     @pandas_udf(f"{kinds}, base_failed boolean, score double, kept boolean")
     def rules(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        let_go()
         for texts in parts:
             found = [statistics(t) for t in texts]
             out = pd.DataFrame(np.array([c for c, _ in found], np.int64).reshape(-1, len(COUNTS)),

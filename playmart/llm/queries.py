@@ -27,6 +27,7 @@ from playmart.llm import (
     warc,
     whiten,
 )
+from playmart.llm.batches import bound_batches
 from playmart.llm.oracle import ORACLE_SQL  # noqa: F401
 from playmart.session import ensure_checkpoint_dir, scratch_path
 
@@ -35,9 +36,10 @@ ROOT = str(Path(__file__).resolve().parents[2])
 
 
 def ready(spark: SparkSession) -> None:
-    """Sets the checkpoint folder, and lets Python workers find the package where it is not
-    installed (a cluster gets it with --py-files)."""
+    """Sets the checkpoint folder and the size of batches, and lets Python workers find the package
+    where it is not installed (a cluster gets it with --py-files)."""
     ensure_checkpoint_dir(spark)
+    bound_batches(spark)
     env = spark.sparkContext.environment
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if ROOT not in paths:

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from playmart.llm.batches import slices
+from playmart.llm.batches import let_go, slices
 from playmart.llm.components import apart, components, join_apart, stored
 
 SEED = 42
@@ -77,6 +77,7 @@ def fingerprints(docs: DataFrame, words: int = 3, key: str = "doc_id",
                            T.StructField("bits", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in slices(batches):
             found = [fingerprint(shingle_hashes(t, words))
                      for t in batch.column("text").to_pylist()]
@@ -212,6 +213,7 @@ def token_rows(rows: DataFrame, words: int, similarity: float, within: np.ndarra
     other rows. A task gives each id once; copies in other tasks give the same rows again."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         done: set[int] = set()
         for batch in slices(batches):
             kinds, keys, values = [], [], []
@@ -315,6 +317,7 @@ def verified(pairs: DataFrame, rows: DataFrame, sizes: DataFrame, words: int, si
     sent = texts_of(rows, need).join(need, "id").select("block", "id", "text")
 
     def check(texts: pa.Table, asked: pa.Table) -> pa.Table:
+        let_go()
         body = dict(zip(texts.column("id").to_pylist(), texts.column("text").to_pylist()))
         sets: dict[int, np.ndarray] = {}
         found = []
@@ -405,6 +408,7 @@ def read_sets(rows: DataFrame, asked: DataFrame, words: int) -> DataFrame:
     """`id` and shingle `set` of the texts whose `id` is in `asked`; those texts alone are read."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in slices(batches):
             lists = [shingle_set(t, words) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
