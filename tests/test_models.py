@@ -303,3 +303,45 @@ def test_genre_files_keep_a_play_together_by_date(spark, tmp_path):
         assert [r.date_sid for r in got] == sorted(r.date_sid for r in got)
         runs = [r for k, r in enumerate(got) if not k or got[k - 1] != r]
         assert len(runs) == len(set(runs))
+
+
+ODD = [play(), play(), play("a", "A", 1), play("a", None, 1), play(None, "A", 1),
+       play(None, "A", 1), play(None, "A", 2), play("a", "A", 1, "q")]
+
+
+def stored_plays(spark, path, rows):
+    tracks_played(spark, rows).write.parquet(str(path))
+    return spark.read.parquet(str(path))
+
+
+@pytest.mark.parametrize("few", [stage.FEW_REPEATS, 0])
+@pytest.mark.parametrize("rows", [ODD, ODD[1:3], ODD[:2], []])
+def test_stored_plays_are_made_distinct_by_their_hashes(spark, tmp_path, rows, few):
+    df = stored_plays(spark, tmp_path / "plays", rows)
+    want, got = stage.stg_tracks_played(df), stage.stored_tracks_played(df, few=few)
+    assert got.schema == want.schema and got.count() == want.count()
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+def test_plays_that_share_a_hash_alone_all_stay(spark, tmp_path, monkeypatch):
+    df = stored_plays(spark, tmp_path / "plays", ODD)
+    want = sorted(tuples(stage.stg_tracks_played(df)), key=str)
+    monkeypatch.setattr(stage, "row_hash", lambda columns: F.col("duration_ms") % 2)
+    assert sorted(tuples(stage.stored_tracks_played(df)), key=str) == want
+
+
+def test_plays_are_not_shuffled_into_the_facts(spark, tmp_path):
+    rows = [play("a", "A", k) for k in range(20)] + [play(None, "N", 9)]
+    tables = {
+        "tracks_played": stored_plays(spark, tmp_path / "plays", rows),
+        "spotify_artists": spark.createDataFrame(
+            [("a", "A", "m", 3.0)], "artist_id string, artist_name string, artist_mbid string, "
+            "artist_popularity float"),
+        "spotify_artist_genre": spark.createDataFrame(
+            [("a", "A", "x"), ("a", "A", "y")], "artist_id string, artist_name string, genre string")}
+    inputs = warehouse.Inputs(spark, tables)
+    for name in warehouse.FACTS:
+        plan = plan_of(warehouse._in_files(inputs, name))
+        assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan, name
+    days = plan_of(warehouse.build_model(inputs, "fact_days"))
+    assert days.count("Exchange hashpartitioning") == 1  # one row for each task and day
