@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from datetime import datetime
+from itertools import islice
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +25,11 @@ DELAY = "1 hour"
 MICROS, SECOND = "_micros", 1_000_000
 STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# a store keeps up to 128 MB of unwritten rows outside the heap for each partition; bounded, all
+# stores of an executor share 500 MB and write the rest to their files
+STORE_CONF = {STORE: ROCKS, "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true"}
+# rows of a track that are handed to the store at once
+CHUNK = 10_000
 
 
 def _raw_stream(spark: SparkSession, path: str, archive: str | None,
@@ -109,40 +115,49 @@ class LastPlay(StatefulProcessor):
         self.pending = handle.getListState("pending", self.schema)
         self.last = handle.getValueState("last", f"{MICROS} bigint, duration_ms bigint")
 
-    def _wake(self, rows: list) -> None:
-        first = min(r[self.schema.names.index(MICROS)] for r in rows)
+    def _wake(self, first: int) -> None:
         self.handle.registerTimer(first // 1000 + 1)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        new = [tuple(r[c] for c in self.schema.names) for r in rows if r[MICROS] is not None]
-        if new and None not in tuple(key):  # plays without a track or time are no plays
+        if None in tuple(key):  # plays without a track or time are no plays
+            return iter(())
+        timed = (tuple(r[c] for c in self.schema.names) for r in rows if r[MICROS] is not None)
+        at, first = self.schema.names.index(MICROS), None
+        while new := list(islice(timed, CHUNK)):
             self.pending.appendList(new)
-            self._wake(new)
+            earliest = min(r[at] for r in new)
+            first = earliest if first is None else min(first, earliest)
+        if first is not None:
+            self._wake(first)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         closed = timerValues.getCurrentWatermarkInMs() * 1000
-        waiting = [Row(**dict(zip(self.schema.names, r))) for r in self.pending.get()]
-        final = [r for r in waiting if r[MICROS] <= closed]
-        later = [tuple(r) for r in waiting if r[MICROS] > closed]
+        names = self.schema.names
+        at, length = names.index(MICROS), names.index("duration_ms")
+        order = [names.index(c) for c in self.order]
+        final, later = [], []
+        for row in self.pending.get():
+            (final if row[at] <= closed else later).append(tuple(row))
         if not final:
             return iter(())
         # null comes first, as in the batch operator
-        final.sort(key=lambda r: (r[MICROS], *[(r[c] is not None, r[c]) for c in self.order]))
+        final.sort(key=lambda r: (r[at], *[(r[c] is not None, r[c]) for c in order]))
         before = self.last.get() if self.last.exists() else None
         kept = []
         for row in final:
             if (before is None or before[1] is None or
-                    (row[MICROS] - before[0]) // SECOND * 1000 > before[1]):
+                    (row[at] - before[0]) // SECOND * 1000 > before[1]):
                 kept.append(row)
-            before = (row[MICROS], row["duration_ms"])
+            before = (row[at], row[length])
         self.last.update(before)
         if later:
             self.pending.put(later)
-            self._wake(later)
+            self._wake(min(r[at] for r in later))
         else:
             self.pending.clear()
-        return iter(kept)
+        # rows with names one at a time: they are far larger than tuples
+        return (Row(**dict(zip(names, r))) for r in kept)
 
     def close(self) -> None:
         pass
@@ -153,14 +168,15 @@ def stream_dedup_within_duration(plays: DataFrame, delay: str = DELAY, tie: tupl
     """Near-repeat removal on a stream: the rows of ``dedup_within_duration``, each once the
     watermark has passed it.
 
-    Order inside the delay is free. Plays behind the watermark are late; Spark drops and counts
+    What waits is in files of the state store, which keeps a bounded part of it in memory. Order inside the delay is free. Plays behind the watermark are late; Spark drops and counts
     them in the query's progress. Plays without track name, artist or time are left out. Needs the
     RocksDB state store, which is set for the session. A bounded stream ends with
     ``closing_play``, whose track is empty here so that it only waits.
     """
     conf = plays.sparkSession.conf
-    if conf.get(STORE) != ROCKS:
-        conf.set(STORE, ROCKS)
+    for name, value in STORE_CONF.items():
+        if conf.get(name, None) != value:
+            conf.set(name, value)
     columns = [c for c in plays.columns if c != "played_at"]
     order = [c for c in total_order(plays, tie)]
     timed = plays.withWatermark("played_at", delay).withColumn(

@@ -198,3 +198,40 @@ def test_batches_only_use_public_columns(spark):
     df = plays(spark, [("1", "n", "a", at(), 1)])
     assert dedup.near_repeats(df).columns == [*df.columns, "near_repeat"]
     assert dedup.near_repeats(df).agg(F.max("near_repeat")).first()[0] is False
+
+
+class FakeState:
+    def __init__(self):
+        self.lists, self.timers, self.value = [], [], None
+
+    def getListState(self, name, schema):
+        return self
+
+    def getValueState(self, name, schema):
+        return self
+
+    def registerTimer(self, at):
+        self.timers.append(at)
+
+    def appendList(self, rows):
+        self.lists.append(rows)
+
+
+def test_a_track_s_plays_reach_the_state_in_chunks(spark, monkeypatch):
+    monkeypatch.setattr(S, "CHUNK", 2)
+    names = ["track_id", "duration_ms", S.MICROS]
+    last, state = S.LastPlay(spark.createDataFrame([], "track_id string, duration_ms bigint, "
+                                                   "_micros bigint").schema, ["track_id"]), FakeState()
+    last.init(state)
+    micros = (5_000, 3_000, None, 1_000, 9_000, 7_000)
+    rows = (dict(zip(names, (str(m), 1, m))) for m in micros)
+    assert list(last.handleInputRows(("n", "a"), rows, None)) == []
+    assert [len(x) for x in state.lists] == [2, 2, 1] and state.timers == [2]
+    assert list(last.handleInputRows(("n", None), iter([dict(zip(names, ("x", 1, 1)))]), None)) == []
+    assert len(state.lists) == 3
+
+
+def test_the_state_of_tracks_is_bounded_in_memory(spark, tmp_path):
+    stream = feed(spark, tmp_path / "in", [[("a", "n", "x", at(0), 1)]])
+    S.stream_dedup_within_duration(stream)
+    assert spark.conf.get("spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage") == "true"
